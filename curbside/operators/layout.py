@@ -1,0 +1,59 @@
+"""File layout: rows that are close in several columns share files."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BITS = 4
+
+
+def range_bounds(df: DataFrame, col: str, buckets: int) -> list:
+    """Lower bounds of about equal ranges of a column's distinct values.
+
+    Spark's range partitioner finds the ranges; only the bounds, fewer than ``buckets``,
+    reach the driver. Repeated values are merged before the shuffle.
+    """
+    values = df.select(F.col(col).alias("x")).dropna().distinct()
+    ranged = values.repartitionByRange(buckets, "x")
+    firsts = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min("x").alias("lo"))
+    return [r["lo"] for r in firsts.orderBy("lo").collect()][1:]
+
+
+def _bucket(col: Column, bounds: list, lo: int = 0) -> Column:
+    """Number of bounds at or below the value, as a balanced tree of comparisons."""
+    if not bounds:
+        return F.lit(lo)
+    mid = len(bounds) // 2
+    return F.when(col < F.lit(bounds[mid]), _bucket(col, bounds[:mid], lo)).otherwise(
+        _bucket(col, bounds[mid + 1:], lo + mid + 1))
+
+
+def interleaved_key(df: DataFrame, cols: Sequence[str], bits: int = BITS) -> Column:
+    """Bits of the columns' range numbers in turn, most significant first; NULL is 0."""
+    key = F.lit(0).cast("long")
+    buckets = []
+    for c in cols:
+        number = F.when(F.col(c).isNull(), 0).otherwise(
+            _bucket(F.col(c), range_bounds(df, c, 2 ** bits)))
+        buckets.append(number.cast("long"))
+    for bit in reversed(range(bits)):
+        for b in buckets:
+            key = F.shiftleft(key, 1).bitwiseOR(F.shiftright(b, bit).bitwiseAND(F.lit(1)))
+    return key
+
+
+def cluster_by(df: DataFrame, cols: Sequence[str], files: int, bits: int = BITS,
+               within: Sequence[str] = ()) -> DataFrame:
+    """The same rows in about ``files`` partitions with narrow ranges of each column.
+
+    ``within`` names the table's partition columns; they come first, so that a task writes
+    to few of them. A hash of the whole row comes last, so that a range with very many rows
+    is spread over several tasks.
+    """
+    keyed = df.withColumns({
+        "_key": interleaved_key(df, cols, bits), "_spread": F.xxhash64(*df.columns)})
+    return (keyed.repartitionByRange(files, *within, "_key", "_spread")
+            .sortWithinPartitions(*within, "_key", *cols).drop("_key", "_spread"))

@@ -1,0 +1,259 @@
+"""Keyed parquet tables with versions.
+
+``data/v=N/…`` holds the rows written by version N. ``log/version=N`` holds one row: the schema
+and the folders that make up the table at that version. A version is complete once its log row
+exists; folders without one are never read, and the next attempt overwrites them. One writer at
+a time is assumed; readers need no coordination, as nothing is changed in place.
+
+The driver handles the list of folders, as Spark's own partition listing does, never rows.
+"""
+
+from __future__ import annotations
+
+import json
+from collections.abc import Sequence
+from datetime import datetime, timedelta, timezone
+from urllib.parse import unquote
+
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from curbside import settings as S
+from curbside.operators.changes import changes_between
+from curbside.operators.layout import cluster_by
+from curbside.operators.upsert import merge_upsert
+
+LOG = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("committed_at", T.TimestampType()),
+    T.StructField("operation", T.StringType()),
+    T.StructField("txn_id", T.StringType()),
+    T.StructField("schema_json", T.StringType()),
+    T.StructField("folders", T.ArrayType(T.StructType([
+        T.StructField("path", T.StringType()), T.StructField("rows", T.LongType())]))),
+])
+
+
+class VersionedTable:
+    def __init__(self, spark: SparkSession, root: str, partition_by: Sequence[str] = ()):
+        self.spark = spark
+        self.root = root.rstrip("/")
+        self.partition_by = list(partition_by)
+
+    # -- log -------------------------------------------------------------------------------
+
+    def log(self) -> DataFrame:
+        """One row per version; empty before the first write."""
+        try:
+            return self.spark.read.schema(LOG).parquet(f"{self.root}/log")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], LOG)
+
+    def history(self, limit: int | None = None) -> DataFrame:
+        """Versions, newest first."""
+        rows = F.coalesce(F.aggregate("folders.rows", F.lit(0).cast("long"), lambda a, b: a + b),
+                          F.lit(0))
+        h = self.log().select("version", "committed_at", "operation", "txn_id",
+                              F.size("folders").alias("folders"), rows.alias("rows"))
+        h = h.orderBy(F.desc("version"))
+        return h.limit(limit) if limit else h
+
+    def entry(self, version: int | None = None, as_of: datetime | None = None) -> Row | None:
+        """Log row of a version, of the last version at a time, or of the latest one."""
+        log = self.log()
+        if version is None:
+            known = log if as_of is None else log.filter(F.col("committed_at") <= F.lit(as_of))
+            version = known.agg(F.max("version")).first()[0]
+            if version is None and as_of is None:
+                return None
+        found = log.filter(F.col("version") == version).collect() if version is not None else []
+        if not found:
+            raise ValueError(f"{self.root}: no version {as_of if version is None else version}")
+        return found[0]
+
+    def has_transaction(self, txn_id: str) -> bool:
+        return not self.log().filter(F.col("txn_id") == txn_id).isEmpty()
+
+    def _commit(self, version, operation, schema_json, folders, txn_id, committed_at) -> int:
+        at = committed_at or datetime.now(timezone.utc)
+        row = (version, at, operation, txn_id, schema_json, folders)
+        self.spark.createDataFrame([row], LOG).drop("version").coalesce(1).write.mode(
+            "overwrite").parquet(f"{self.root}/log/version={version}")
+        return version
+
+    # -- read ------------------------------------------------------------------------------
+
+    def _frame(self, schema: T.StructType, folders: Sequence[str], with_folder: bool = False):
+        if not folders:
+            empty = self.spark.createDataFrame([], schema)
+            return empty.withColumn("_folder", F.lit("")) if with_folder else empty
+        data = f"{self.root}/data"
+        df = (self.spark.read.schema(schema).option("basePath", data)
+              .parquet(*[f"{data}/{unquote(f)}" for f in folders]))
+        if not with_folder:
+            return df.select(*schema.names)
+        return df.select(*schema.names, _folder_of_row().alias("_folder"))
+
+    def read(self, version: int | None = None, as_of: datetime | None = None) -> DataFrame:
+        e = self.entry(version, as_of)
+        if e is None:
+            raise ValueError(f"{self.root}: nothing written yet")
+        return self._frame(_schema(e), [f.path for f in e.folders])
+
+    # -- write -----------------------------------------------------------------------------
+
+    def _put(self, df: DataFrame, version: int) -> list[tuple[str, int]]:
+        """Writes rows below v=N and returns the folders with their row counts.
+
+        The rebalance hint gathers each partition into few files and lets adaptive execution
+        split a partition that is much larger than the others.
+        """
+        return self._save(df.hint("rebalance", *self.partition_by), version)
+
+    def _save(self, df: DataFrame, version: int) -> list[tuple[str, int]]:
+        out = f"{self.root}/data/v={version}"
+        # Static: leftovers of a failed attempt must go even where the session says dynamic.
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(out)
+        written = self.spark.read.schema(df.schema).option("basePath", f"{self.root}/data")
+        counted = written.parquet(out).groupBy(_folder_of_row().alias("f")).count().collect()
+        return [(r["f"], r["count"]) for r in counted]
+
+    def write(self, df: DataFrame, operation: str = "WRITE", append: bool = False,
+              txn_id: str | None = None, committed_at: datetime | None = None) -> int:
+        """A new version that replaces the table or, with ``append``, adds to it.
+
+        Appending may bring new columns; older rows read NULL there.
+        """
+        last = self.entry()
+        version = last.version + 1 if last else 0
+        folders = self._put(df, version)
+        schema = df.schema
+        if append and last:
+            old = _schema(last)
+            known = set(old.names)
+            schema = T.StructType(old.fields + [f for f in schema.fields if f.name not in known])
+            folders = [tuple(f) for f in last.folders] + folders
+        return self._commit(version, operation, schema.json(), folders, txn_id, committed_at)
+
+    def merge(self, source: DataFrame, keys: Sequence[str], *, txn_id: str | None = None,
+              committed_at: datetime | None = None, operation: str = "MERGE", **options) -> int:
+        """Upsert (see ``merge_upsert``); returns the version in force afterwards.
+
+        Only folders holding a matched key are rewritten, the others stay as they are. A
+        ``txn_id`` that is already in the log makes the call do nothing.
+        """
+        last = self.entry()
+        if txn_id is not None and last is not None and self.has_transaction(txn_id):
+            return last.version
+        if last is None:
+            return self.write(source, operation, txn_id=txn_id, committed_at=committed_at)
+        version = last.version + 1
+        schema = _schema(last)
+        live = {f.path: f.rows for f in last.folders}
+        source = source.persist(StorageLevel.MEMORY_AND_DISK)
+        found = None
+        try:
+            wanted = source.select(*keys).dropna(how="any")
+            found = (self._frame(schema, list(live), with_folder=True).select(*keys, "_folder")
+                     .join(wanted, list(keys), "left_semi").distinct()
+                     .persist(StorageLevel.MEMORY_AND_DISK))
+            if options.get("delete_unmatched_target"):
+                touched = set(live)
+            else:
+                touched = {r["_folder"] for r in found.select("_folder").distinct().collect()}
+            merged = merge_upsert(self._frame(schema, sorted(touched)), source, keys,
+                                  hits=found.select(*keys).distinct(), **options)
+            folders = self._put(merged, version)
+        finally:
+            if found is not None:
+                found.unpersist()
+            source.unpersist()
+        kept = [(p, n) for p, n in live.items() if p not in touched]
+        return self._commit(version, operation, last.schema_json, kept + folders, txn_id,
+                            committed_at)
+
+    def cluster(self, cols: Sequence[str], file_bytes: int = S.FILE_BYTES,
+                operation: str = "OPTIMIZE", committed_at: datetime | None = None) -> int:
+        """A new version with the same rows in larger files that are narrow in ``cols``."""
+        last = self.entry()
+        version = last.version + 1
+        size = table_detail(self.read()).first()["size_bytes"] or 0
+        df = cluster_by(self.read(), cols, max(1, -(-size // file_bytes)), within=self.partition_by)
+        return self._commit(version, operation, last.schema_json, self._save(df, version), None,
+                            committed_at)
+
+    def restore(self, version: int, committed_at: datetime | None = None) -> int:
+        """A new version equal to an old one; it points at the old folders, no row moves."""
+        old, last = self.entry(version), self.entry()
+        return self._commit(last.version + 1, f"RESTORE v{version}", old.schema_json,
+                            [tuple(f) for f in old.folders], None, committed_at)
+
+    # -- derived data ----------------------------------------------------------------------
+
+    def changes(self, since: int, until: int, keys: Sequence[str]) -> DataFrame:
+        """Row changes from one version to another; folders both share are not read."""
+        a, b = self.entry(since), self.entry(until)
+        in_a, in_b = {f.path for f in a.folders}, {f.path for f in b.folders}
+        schema = _schema(b)
+        return changes_between(self._frame(schema, sorted(in_a - in_b)),
+                               self._frame(schema, sorted(in_b - in_a)), keys)
+
+    def expired(self, hours: int = S.RETENTION_HOURS, as_of: datetime | None = None) -> DataFrame:
+        """Versions committed before the retention period; never the latest."""
+        return expired_versions(self.log(), hours, as_of)
+
+    def expired_folders(self, hours: int = S.RETENTION_HOURS,
+                        as_of: datetime | None = None) -> DataFrame:
+        """Folders that only expired versions refer to. Selection only: nothing is deleted."""
+        log = self.log()
+        old = expired_versions(log, hours, as_of).select("version")
+        listed = log.select("version", F.explode("folders.path").alias("path"))
+        kept = listed.join(old, "version", "left_anti").select("path")
+        return listed.join(old, "version", "left_semi").select("path").distinct().join(
+            kept, "path", "left_anti")
+
+    def stats(self, name: str) -> DataFrame:
+        """Rows, latest version, its time and operation; read from the log alone."""
+        return self.history(1).select(
+            F.lit(name).alias("table_name"), F.col("rows").alias("row_count"),
+            F.col("version").alias("latest_version"), F.col("committed_at").alias("latest_ts"),
+            "operation")
+
+
+def _folder_of_row() -> Column:
+    """Folder below data/ of a row's file, URI-encoded as Spark reports it."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"/data/(v=.*)/[^/]+$", 1)
+
+
+def table_detail(df: DataFrame) -> DataFrame:
+    """One row: files, bytes and rows behind a DataFrame read from files."""
+    per_file = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.first("_metadata.file_size").alias("bytes"), F.count("*").alias("n"))
+    return per_file.agg(F.count("*").alias("num_files"), F.sum("bytes").alias("size_bytes"),
+                        F.sum("n").alias("num_rows"))
+
+
+def _schema(entry: Row) -> T.StructType:
+    return T.StructType.fromJson(json.loads(entry.schema_json))
+
+
+def expired_versions(log: DataFrame, hours: int = S.RETENTION_HOURS,
+                     as_of: datetime | None = None) -> DataFrame:
+    at = as_of or datetime.now(timezone.utc)
+    latest = log.agg(F.max("version")).scalar()
+    return log.filter((F.col("committed_at") < F.lit(at - timedelta(hours=hours)))
+                      & (F.col("version") < latest))
+
+
+def table_stats(tables: dict[str, VersionedTable]) -> DataFrame:
+    frames = [t.stats(name) for name, t in tables.items()]
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionAll(f)
+    return out
