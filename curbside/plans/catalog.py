@@ -99,8 +99,8 @@ class Inputs:
 
     @property
     def cleaned_stream(self) -> DataFrame:
-        parsed = bronze.parse_events(self.message_stream, F.col("timestamp"))
-        return silver.clean(bronze.accepted(parsed), F.col("ingestion_ts"))
+        rides = source.ride_events(source.stream_events(self.spark, self.sf_dir))
+        return silver.clean(bronze.accepted(source.bronze_rows(rides)), F.col("ingestion_ts"))
 
     def run_bronze(self) -> tuple[str, str]:
         root = self.folder("bronze")
