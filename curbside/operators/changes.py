@@ -50,4 +50,5 @@ def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> Da
     """The new state from the old one and a change feed with non-NULL keys."""
     gone = changes.filter(F.col(CHANGE).isin("delete", "update_preimage")).select(*keys)
     come = changes.filter(F.col(CHANGE).isin("insert", "update_postimage")).select(*old.columns)
-    return old.join(gone, list(keys), "left_anti").unionAll(come)
+    # A join on names puts the keys first.
+    return old.join(gone, list(keys), "left_anti").select(*old.columns).unionAll(come)

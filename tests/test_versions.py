@@ -1,0 +1,199 @@
+from datetime import timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from curbside.operators.layout import cluster_by, interleaved_key, range_bounds
+from curbside.operators.changes import apply_changes
+from curbside.operators.upsert import NEWER
+from curbside.sources.sinks import append_evolving, log_run, read_evolving
+from curbside.sources.versions import VersionedTable, table_detail, table_stats
+from helpers import physical_plan, silver, ts
+
+KEYS = ["ride_id", "event_type"]
+T0 = ts("2024-01-01 00:00:00")
+PARTS = ["event_date", "city"]
+
+
+def rows(df, *cols):
+    return sorted(map(tuple, df.select(*(cols or df.columns)).collect()), key=repr)
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return VersionedTable(spark, str(tmp_path / "t"), PARTS)
+
+
+def later(hours):
+    return ts("2024-01-15 10:00:05") + timedelta(hours=hours)
+
+
+def test_write_read_history(spark, table):
+    with pytest.raises(ValueError):
+        table.read()
+    assert table.history().count() == 0
+    a, b = silver(spark, {}, {"city": "O'Hare / x=1%{a} é"}), silver(spark, {"city": None})
+    assert table.write(a, committed_at=T0) == 0
+    assert table.write(b, committed_at=T0 + timedelta(hours=5)) == 1
+    assert rows(table.read(0), "city") == rows(a, "city")
+    assert table.read(0).schema == a.schema
+    assert rows(table.read(), "city") == [(None,)]
+    assert rows(table.read(as_of=T0 + timedelta(hours=4)), "city") == rows(a, "city")
+    for bad in ({"version": 7}, {"as_of": T0 - timedelta(hours=1)}):
+        with pytest.raises(ValueError):
+            table.read(**bad)
+    assert [(r.version, r.operation, r.rows) for r in table.history().collect()] == [
+        (1, "WRITE", 1), (0, "WRITE", 2)]
+
+
+def test_append_adds_columns(spark, table):
+    table.write(silver(spark, {}).select("ride_id", "event_date", "city"))
+    table.write(silver(spark, {"ride_id": "R2"}).select("ride_id", "event_date", "city", "fare_amount"), append=True)
+    assert rows(table.read(), "ride_id", "fare_amount") == [("R1", None), ("R2", 20.0)]
+    assert table.read(0).columns == ["ride_id", "event_date", "city"]
+
+
+def test_merge_rewrites_only_matched_folders(spark, table):
+    table.write(silver(spark, {}, {"ride_id": "R2", "city": "Miami"}, {"ride_id": "R3", "city": "Denver"}))
+    before = {f.path: f.rows for f in table.entry().folders}
+    source = silver(
+        spark, {"fare_amount": 99.0, "ingestion_ts": later(1)},
+        {"ride_id": "R2", "city": "Miami", "fare_amount": 98.0, "ingestion_ts": later(-1)},
+        {"ride_id": "R9", "city": "Denver"})
+    assert table.merge(source, KEYS, when=NEWER) == 1
+    after = {f.path: f.rows for f in table.entry().folders}
+    denver = [p for p in before if "Denver" in p]
+    assert set(before) & set(after) == set(denver)
+    assert rows(table.read(), "ride_id", "fare_amount") == [("R1", 99.0), ("R2", 20.0), ("R3", 20.0), ("R9", 20.0)]
+    assert rows(table.read(0), "ride_id", "fare_amount") == [("R1", 20.0), ("R2", 20.0), ("R3", 20.0)]
+
+
+def test_merge_moves_a_row_to_another_partition(spark, table):
+    table.write(silver(spark, {}, {"ride_id": "R2"}))
+    table.merge(silver(spark, {"city": "Miami", "ingestion_ts": later(1)}), KEYS, when=NEWER)
+    assert rows(table.read(), "ride_id", "city") == [("R1", "Miami"), ("R2", "New York")]
+
+
+def test_merge_once_per_transaction(spark, table):
+    assert table.merge(silver(spark, {}), KEYS, txn_id="q/0") == 0
+    assert table.merge(silver(spark, {"ride_id": "R2"}), KEYS, txn_id="q/1") == 1
+    assert table.merge(silver(spark, {"ride_id": "R3"}), KEYS, txn_id="q/1") == 1
+    assert rows(table.read(), "ride_id") == [("R1",), ("R2",)]
+
+
+def test_merge_with_delete_and_empty_results(spark, table):
+    table.write(silver(spark, {}, {"ride_id": "R2"}))
+    table.merge(silver(spark, {"ride_id": "R2", "fare_amount": 1.0}), KEYS, delete_unmatched_target=True)
+    assert rows(table.read(), "ride_id", "fare_amount") == [("R2", 1.0)]
+    table.merge(silver(spark), KEYS, delete_unmatched_target=True)
+    assert table.read().count() == 0
+    table.merge(silver(spark, {}), KEYS)
+    assert table.read().count() == 1
+
+
+def test_failed_attempt_leaves_no_trace(spark, table):
+    table.write(silver(spark, {}))
+    silver(spark, {"ride_id": "ghost", "city": "Boston"}).write.partitionBy(*PARTS).parquet(
+        f"{table.root}/data/v=1")
+    assert rows(table.read(), "ride_id") == [("R1",)]
+    table.write(silver(spark, {"ride_id": "R2"}))
+    assert rows(table.read(), "ride_id") == [("R2",)]
+
+
+def test_restore_and_changes(spark, table):
+    table.write(silver(spark, {}, {"ride_id": "R2", "city": "Miami"}))
+    table.merge(silver(spark, {"fare_amount": 9.0, "ingestion_ts": later(1)}, {"ride_id": "R3"}), KEYS, when=NEWER)
+    feed = table.changes(0, 1, KEYS)
+    assert rows(feed, "ride_id", "fare_amount", "_change_type") == [
+        ("R1", 20.0, "update_preimage"), ("R1", 9.0, "update_postimage"), ("R3", 20.0, "insert")]
+    assert rows(apply_changes(table.read(0), feed, KEYS)) == rows(table.read(1))
+    assert "Miami" not in "".join(feed.inputFiles())
+    assert table.restore(0) == 2
+    assert rows(table.read()) == rows(table.read(0))
+    assert table.changes(0, 2, KEYS).count() == 0
+
+
+def test_expired_versions(spark, table):
+    for hours in (0, 100, 200):
+        table.write(silver(spark, {"fare_amount": float(hours)}), committed_at=T0 + timedelta(hours=hours))
+    table.restore(0, committed_at=T0 + timedelta(hours=250))
+    at = T0 + timedelta(hours=300)
+    assert [r.version for r in table.expired(168, at).orderBy("version").collect()] == [0, 1]
+    assert [r.version for r in table.expired(0, at).orderBy("version").collect()] == [0, 1, 2]
+    # Version 3 still refers to the folders of version 0.
+    assert [r.path.split("/")[0] for r in table.expired_folders(168, at).collect()] == ["v=1"]
+
+
+def test_stats(spark, table, tmp_path):
+    table.write(silver(spark, {}), committed_at=T0)
+    table.merge(silver(spark, {"ride_id": "R2"}), KEYS)
+    other = VersionedTable(spark, str(tmp_path / "u"))
+    other.write(silver(spark, {}))
+    got = {r.table_name: r for r in table_stats({"a": table, "b": other}).collect()}
+    assert (got["a"].row_count, got["a"].latest_version, got["a"].operation) == (2, 1, "MERGE")
+    assert got["b"].row_count == 1
+
+
+def test_folders_are_pruned(spark, table):
+    table.write(silver(spark, {}, {"city": "Miami"}))
+    plan = physical_plan(table.read().filter("city = 'Miami' and ride_id = 'R1'"))
+    assert "city" in plan[plan.index("PartitionFilters"):].split("]")[0]
+    assert "EqualTo(ride_id,R1)" in plan
+
+
+# -- layout ----------------------------------------------------------------------------------
+
+def test_cluster_keeps_rows_and_narrows_files(spark, tmp_path):
+    df = spark.range(4000).selectExpr(
+        "concat('D', cast(id * 7919 % 4000 as string)) d", "id * 104729 % 4000 r", "cast(null as string) n")
+    out = cluster_by(df, ["d", "r"], files=16)
+    assert rows(out) == rows(df)
+    path = str(tmp_path / "c")
+    out.write.parquet(path)
+    spread = (spark.read.parquet(path).groupBy("_metadata.file_path")
+              .agg((F.max("r") - F.min("r")).alias("w"), F.countDistinct("d").alias("n")))
+    assert spread.count() >= 12
+    assert spread.agg(F.avg("w")).first()[0] < 2500
+
+
+def test_bounds_and_keys(spark):
+    df = spark.createDataFrame([(i,) for i in range(100)] + [(5,)] * 500 + [(None,)], "x int")
+    bounds = range_bounds(df, "x", 4)
+    assert len(bounds) == 3 and bounds == sorted(bounds)
+    keyed = df.withColumn("k", interleaved_key(df, ["x"], 2))
+    assert [r[0] for r in keyed.select("k").distinct().orderBy("k").collect()] == [0, 1, 2, 3]
+    assert keyed.filter("x is null").first().k == 0
+    steps = keyed.filter("x is not null").orderBy("x").select("k").collect()
+    assert [r.k for r in steps] == sorted(r.k for r in steps)
+
+
+def test_hot_value_is_spread(spark):
+    df = spark.range(3000).selectExpr("if(id < 2000, 'hot', cast(id as string)) d", "id")
+    sizes = [r["count"] for r in cluster_by(df, ["d"], files=8)
+             .groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 1000
+
+
+def test_cluster_version(spark, table):
+    table.write(silver(spark, *[{"ride_id": f"R{i}", "city": c} for i in range(20) for c in ("Miami", "Denver")]))
+    assert table.cluster(["ride_id", "driver_id"]) == 1
+    assert rows(table.read(), "ride_id", "city") == rows(table.read(0), "ride_id", "city")
+    detail = table_detail(table.read()).first()
+    assert (detail.num_files, detail.num_rows) == (2, 40) and detail.size_bytes > 0
+
+
+# -- sinks -----------------------------------------------------------------------------------
+
+def test_evolving_append(spark, tmp_path):
+    path = str(tmp_path / "e")
+    append_evolving(spark.createDataFrame([("a", "x")], "k string, p string"), path, ["p"])
+    append_evolving(spark.createDataFrame([("b", 2, "x")], "k string, v int, p string"), path, ["p"])
+    assert rows(read_evolving(spark, path), "k", "v", "p") == [("a", None, "x"), ("b", 2, "x")]
+
+
+def test_audit_rows(spark, tmp_path):
+    path = str(tmp_path / "audit")
+    log_run(spark, path, "bronze", 1, 10, 9, 0.5)
+    log_run(spark, path, "silver", 1, 9, 0, 1.5, "FAILED", "boom")
+    got = rows(read_evolving(spark, path), "layer", "rows_in", "rows_out", "status", "error_message")
+    assert got == [("bronze", 10, 9, "SUCCESS", ""), ("silver", 9, 0, "FAILED", "boom")]
