@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BITS = 4
+# Values looked at to place the bounds. They decide which rows share files, never which rows exist.
+SAMPLE_ROWS = 200_000
 
 
-def range_bounds(df: DataFrame, col: str, buckets: int) -> list:
+def range_bounds(values: DataFrame, col: str, buckets: int) -> list:
     """Lower bounds of about equal ranges of a column's distinct values.
 
     Spark's range partitioner finds the ranges; only the bounds, fewer than ``buckets``,
-    reach the driver. Repeated values are merged before the shuffle.
+    reach the driver.
     """
-    values = df.select(F.col(col).alias("x")).dropna().distinct()
-    ranged = values.repartitionByRange(buckets, "x")
+    ranged = (values.select(F.col(col).alias("x")).dropna().distinct()
+              .repartitionByRange(buckets, "x"))
     firsts = ranged.groupBy(F.spark_partition_id().alias("p")).agg(F.min("x").alias("lo"))
     return [r["lo"] for r in firsts.orderBy("lo").collect()][1:]
 
@@ -31,17 +34,25 @@ def _bucket(col: Column, bounds: list, lo: int = 0) -> Column:
         _bucket(col, bounds[mid + 1:], lo + mid + 1))
 
 
-def interleaved_key(df: DataFrame, cols: Sequence[str], bits: int = BITS) -> Column:
+def interleaved_key(df: DataFrame, cols: Sequence[str], bits: int = BITS,
+                    sample_rows: int = SAMPLE_ROWS) -> Column:
     """Bits of the columns' range numbers in turn, most significant first; NULL is 0."""
+    values = df.select(*cols)
+    rows = df.count()
+    if rows > sample_rows:
+        values = values.sample(sample_rows / rows, seed=0)
+    values = values.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        bounds = {c: range_bounds(values, c, 2 ** bits) for c in cols}
+    finally:
+        values.unpersist()
+    numbers = [F.when(F.col(c).isNull(), 0).otherwise(_bucket(F.col(c), bounds[c])).cast("long")
+               for c in cols]
     key = F.lit(0).cast("long")
-    buckets = []
-    for c in cols:
-        number = F.when(F.col(c).isNull(), 0).otherwise(
-            _bucket(F.col(c), range_bounds(df, c, 2 ** bits)))
-        buckets.append(number.cast("long"))
     for bit in reversed(range(bits)):
-        for b in buckets:
-            key = F.shiftleft(key, 1).bitwiseOR(F.shiftright(b, bit).bitwiseAND(F.lit(1)))
+        for number in numbers:
+            key = F.shiftleft(key, 1).bitwiseOR(
+                F.shiftright(number, bit).bitwiseAND(F.lit(1)))
     return key
 
 

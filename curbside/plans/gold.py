@@ -51,8 +51,3 @@ def run_gold(silver: DataFrame, tables: dict[str, VersionedTable],
     finally:
         if cache:
             rows.unpersist()
-
-
-def cluster_gold(tables: dict[str, VersionedTable]) -> dict[str, int]:
-    """Rewrite the windowed tables into files narrow in their cluster columns."""
-    return {name: tables[name].cluster(S.CLUSTER_COLUMNS[name]) for name in WINDOWED}

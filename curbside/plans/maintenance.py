@@ -1,0 +1,26 @@
+"""Periodic upkeep of versioned tables."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from curbside import settings as S
+from curbside.sources.versions import VersionedTable
+
+
+def cluster_tables(tables: Mapping[str, VersionedTable]) -> dict[str, int]:
+    """Rewrite each table that has cluster columns into fewer, narrower files."""
+    return {name: t.cluster(S.CLUSTER_COLUMNS[name]) for name, t in tables.items()
+            if name in S.CLUSTER_COLUMNS}
+
+
+def expired_folders(tables: Mapping[str, VersionedTable], hours: int = S.RETENTION_HOURS,
+                    as_of=None) -> DataFrame:
+    """table_name, path: what no version within the retention period refers to."""
+    frames = [t.expired_folders(hours, as_of).select(F.lit(name).alias("table_name"), "path")
+              for name, t in tables.items()]
+    return reduce(DataFrame.unionAll, frames)

@@ -45,11 +45,15 @@ def read_event_stream(spark: SparkSession, format: str = "kafka",
     return reader.load(path) if path else reader.load()
 
 
-def read_bronze_stream(spark: SparkSession, path: str,
-                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """New bronze files as a stream. Bronze only grows, so new files are the change feed."""
+def read_bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                       options: Mapping[str, str] | None = None) -> DataFrame:
+    """New bronze files as a stream. Bronze only grows, so new files are the change feed.
+
+    On a folder with a long history pass ``maxFileAge`` or ``cleanSource`` in ``options``,
+    so that Spark does not keep track of every file it ever saw.
+    """
     schema = T.StructType(schemas.BRONZE.fields + BATCH_FOLDERS)
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).options(**dict(options or {}))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path).select(*schemas.BRONZE.names)

@@ -105,6 +105,10 @@ class VersionedTable:
             raise ValueError(f"{self.root}: nothing written yet")
         return self._frame(_schema(e), [f.path for f in e.folders])
 
+    def publish(self, name: str, version: int | None = None, as_of: datetime | None = None) -> None:
+        """A temporary view for SQL over one version."""
+        self.read(version, as_of).createOrReplaceTempView(name)
+
     # -- write -----------------------------------------------------------------------------
 
     def _put(self, df: DataFrame, version: int) -> list[tuple[str, int]]:

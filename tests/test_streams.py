@@ -8,7 +8,8 @@ from curbside import schemas
 from curbside.operators import bronze as B
 from curbside.operators import gold as G
 from curbside.operators import silver as V
-from curbside.plans.gold import cluster_gold, gold_tables, run_gold
+from curbside.plans.gold import gold_tables, run_gold
+from curbside.plans.maintenance import cluster_tables, expired_folders
 from curbside.sources import rides as source
 from curbside.sources.streams import kafka_options, read_bronze_stream, read_event_stream
 from curbside.sources.versions import VersionedTable
@@ -157,8 +158,13 @@ def test_gold_run(spark, tmp_path):
     assert rows(city.read(), "window_start_date", "total_rides") == [
         (ts("2024-01-14").date(), 3), (ts("2024-01-15").date(), 1)]
     assert tables["funnel_analysis"].read().count() == 2
-    assert set(cluster_gold(tables).values()) == {2}
+    assert cluster_tables(tables) == {"city_ride_metrics": 2, "driver_utilization": 2, "surge_pricing": 2}
     assert city.read().count() == 2
+    old = expired_folders(tables, hours=0)
+    assert {r.table_name for r in old.collect()} >= {"city_ride_metrics", "surge_pricing"}
+    city.publish("city_now")
+    city.publish("city_before", version=0)
+    assert spark.sql("SELECT * FROM city_now LEFT ANTI JOIN city_before USING (window_start)").count() == 1
 
 
 def test_progress_rows(spark, tmp_path):

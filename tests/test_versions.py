@@ -141,6 +141,23 @@ def test_folders_are_pruned(spark, table):
     assert "EqualTo(ride_id,R1)" in plan
 
 
+def test_hot_partition_is_split_into_files(spark, table):
+    rows_ = spark.range(40000).selectExpr(
+        "concat('R', cast(id as string)) ride_id", "uuid() x", "uuid() y", "date'2024-01-15' event_date",
+        "if(id % 10 < 7, 'hot', concat('c', cast(id % 10 as string))) city")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        table.write(rows_.repartition(16, "ride_id"))
+    finally:
+        spark.conf.set(key, before)
+    files = {r.city: r.n for r in table.read().groupBy("city").agg(
+        F.countDistinct("_metadata.file_path").alias("n")).collect()}
+    assert files["hot"] > 3
+    assert table.read().count() == 40000
+
+
 # -- layout ----------------------------------------------------------------------------------
 
 def test_cluster_keeps_rows_and_narrows_files(spark, tmp_path):
