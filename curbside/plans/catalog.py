@@ -30,6 +30,10 @@ FEED = ["ride_id", "event_type", "driver_id", "city", "fare_amount", "net_fare",
 ONCE = {"availableNow": True}
 
 
+def _hours_ago(hours: float) -> datetime:
+    return datetime.now(timezone.utc) - timedelta(hours=hours)
+
+
 class Inputs:
     """The layers as plans over the ``events`` table of one data folder."""
 
@@ -85,10 +89,10 @@ class Inputs:
         return VersionedTable(self.spark, self.folder(purpose), partition_by)
 
     def silver_versions(self) -> VersionedTable:
-        """Version 0: the first load. Version 1: the second load merged into it."""
+        """Version 0, three days old: the first load. Version 1: the second load merged into it."""
         table = self.table("silver", S.SILVER_PARTITIONS)
-        table.write(self.load(True))
-        table.merge(self.load(False), S.SILVER_KEYS, when=upsert.NEWER)
+        table.write(self.load(True), committed_at=_hours_ago(72))
+        table.merge(self.load(False), S.SILVER_KEYS, when=upsert.NEWER, source_is_unique=True)
         return table
 
     # -- streams -------------------------------------------------------------------------
@@ -230,9 +234,11 @@ def _weeks(i: Inputs) -> DataFrame:
 
 # -- upserts, versions, changes, layout ------------------------------------------------------
 
-query("merge_newer_wins")(lambda i: upsert.merge_newer(i.load(True), i.load(False), S.SILVER_KEYS))
+query("merge_newer_wins")(lambda i: upsert.merge_newer(
+    i.load(True), i.load(False), S.SILVER_KEYS, source_is_unique=True))
 query("merge_replace")(lambda i: upsert.merge_upsert(
-    gold.city_ride_metrics(i.load(True)), gold.city_ride_metrics(i.load(False)), S.GOLD_KEYS[_CITY]))
+    gold.city_ride_metrics(i.load(True)), gold.city_ride_metrics(i.load(False)), S.GOLD_KEYS[_CITY],
+    source_is_unique=True))
 
 
 @query("merge_sync")
@@ -252,7 +258,7 @@ def _sync(i: Inputs) -> DataFrame:
 @query("changes_between")
 def _changes(i: Inputs) -> DataFrame:
     old = i.load(True)
-    new = upsert.merge_newer(old, i.load(False), S.SILVER_KEYS)
+    new = upsert.merge_newer(old, i.load(False), S.SILVER_KEYS, source_is_unique=True)
     return changes_between(old.select(*FEED), new.select(*FEED), S.SILVER_KEYS)
 
 
@@ -270,6 +276,10 @@ def _counts_by_version(i: Inputs) -> DataFrame:
     return counts(0).unionAll(counts(1)).unionAll(counts(2))
 
 
+query("r11_counts_as_of")(lambda i: reports.rides_by_city(
+    i.silver_versions().read(as_of=_hours_ago(48))))
+query("n7_rows_as_of")(lambda i: quality.row_counts(
+    {"silver": i.silver_versions().read(as_of=_hours_ago(1))}))
 query("r11_version_changes")(lambda i: i.silver_versions().changes(0, 1, S.SILVER_KEYS).select(
     *FEED, "_change_type"))
 query("table_stats")(lambda i: table_stats({"silver": i.silver_versions()}).drop("latest_ts"))
@@ -278,11 +288,10 @@ query("table_stats")(lambda i: table_stats({"silver": i.silver_versions()}).drop
 @query("r07_time_travel")
 def _weeks_by_version(i: Inputs) -> DataFrame:
     """The prior week is read from the table as it was a week ago."""
-    today = datetime.now(timezone.utc)
     table = i.table("city", S.GOLD_PARTITIONS[_CITY])
-    table.write(gold.city_ride_metrics(i.load(True)), committed_at=today - timedelta(days=8))
-    table.write(i.gold(_CITY), committed_at=today)
-    prior = table.read(as_of=today - timedelta(days=7))
+    table.write(gold.city_ride_metrics(i.load(True)), committed_at=_hours_ago(8 * 24))
+    table.write(i.gold(_CITY))
+    prior = table.read(as_of=_hours_ago(7 * 24))
     return reports.week_over_week(table.read(), prior, i.now + F.expr("INTERVAL 6 DAYS"))
 
 

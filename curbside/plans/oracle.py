@@ -476,6 +476,8 @@ Q["r11_counts_by_version"] = """
 SELECT 0 AS version, city, count(*) AS rides FROM first_load GROUP BY city UNION ALL
 SELECT 1, city, count(*) FROM merged GROUP BY city UNION ALL
 SELECT 2, city, count(*) FROM first_load GROUP BY city"""
+Q["r11_counts_as_of"] = "SELECT city, count(*) AS rides FROM first_load GROUP BY city"
+Q["n7_rows_as_of"] = "SELECT 'silver' AS table_name, count(*) AS row_count FROM first_load"
 Q["r11_version_changes"] = Q["changes_between"]
 Q["table_stats"] = """
 SELECT 'silver' AS table_name, count(*) AS row_count, 1 AS latest_version, 'MERGE' AS operation FROM merged"""
