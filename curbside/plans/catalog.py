@@ -245,8 +245,7 @@ query("merge_replace")(lambda i: upsert.merge_upsert(
 def _sync(i: Inputs) -> DataFrame:
     """The latest state per driver and next shift; the shift starts 20 hours later."""
     shift = F.to_date(F.col("event_ts") + F.expr("INTERVAL 20 HOURS"))
-    known = i.cleaned.filter("driver_id IS NOT NULL")
-    current = silver.deduplicate(known.unionByName(i.cleaned.filter("driver_id IS NULL")))
+    current = silver.deduplicate(i.cleaned)
     roster = silver.deduplicate(
         current.filter("driver_id IS NOT NULL").withColumn("event_date", shift),
         ["driver_id", "event_date"], ["ingestion_ts", "kafka_offset"],

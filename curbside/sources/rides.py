@@ -7,7 +7,7 @@ that thirty days of events fill twelve hours across one midnight.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbside import settings as S
@@ -31,53 +31,42 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
             .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
 
 
-def _every(n: int) -> Column:
-    return F.col("event_id") % n == 0
-
-
-def _choose(key: Column, mapping: dict) -> Column:
-    chosen = None
-    for value, result in mapping.items():
-        chosen = (F.when if chosen is None else chosen.when)(key == value, F.lit(result))
-    return chosen
+def _case(key: str, mapping: dict) -> str:
+    arms = " ".join(f"WHEN '{k}' THEN {v!r}" + ("D" if isinstance(v, float) else "")
+                    for k, v in mapping.items())
+    return f"CASE {key} {arms} END"
 
 
 def ride_events(events: DataFrame) -> DataFrame:
     """Payload fields, message position and ingestion time per event; no shuffle."""
-    moved = f"{START_MICROS} + (unix_micros(cast(ts AS timestamp)) - {START_MICROS}) div 60"
-    base = events.select(
-        "event_id", "user_id", F.col("event_type").alias("kind"), "value",
-        F.get_json_object("props", "$.k").cast("int").alias("k"),
-        F.expr("event_id div 8").alias("ride"),
-        F.expr(f"timestamp_micros({moved} + {SHIFT_MICROS})").alias("event_time"),
-    )
-    town = (F.when(F.col("ride") % 2 == 0, "New York").when(F.col("ride") % 3 == 0, "Chicago")
-            .when(F.col("ride") % 5 == 0, "Miami").otherwise("Denver"))
-    return base.withColumn("town", town).select(
-        F.when(~_every(97), F.concat(F.lit("RIDE-"), F.col("ride").cast("string"))).alias("ride_id"),
-        F.when(~_every(53), F.concat(F.lit("DRV-"), (F.col("user_id") % 6).cast("string")))
-        .alias("driver_id"),
-        F.when(~_every(59), F.concat(F.lit("RDR-"), F.col("user_id").cast("string")))
-        .alias("rider_id"),
-        F.when(_every(7), F.concat(F.lit("  "), F.lower("town"), F.lit(" ")))
-        .otherwise(F.col("town")).alias("city"),
-        F.when(_every(89), F.lit(None)).when(_every(83), "ride_rated")
-        .otherwise(_choose(F.col("kind"), STAGE_OF)).alias("event_type"),
-        F.when(_every(61), F.lit(None)).when(_every(67), F.col("k") * 1000.0)
-        .otherwise(F.col("k") / 2.0).alias("trip_distance"),
-        F.when(_every(71), F.lit(None)).when(_every(73), -1.0).when(_every(79), 99999.0)
-        .otherwise(F.col("value")).alias("fare_amount"),
-        _choose(F.col("town"), SURGE_OF).alias("surge_multiplier"),
+    base = events.selectExpr(
+        "event_id", "user_id", "event_type AS kind", "value",
+        "cast(get_json_object(props, '$.k') AS int) AS k",
+        "event_id div 8 AS ride",
+        f"timestamp_micros({START_MICROS} + (unix_micros(cast(ts AS timestamp)) - {START_MICROS})"
+        f" div 60 + {SHIFT_MICROS}) AS event_time",
+        """CASE WHEN event_id div 8 % 2 = 0 THEN 'New York' WHEN event_id div 8 % 3 = 0 THEN 'Chicago'
+                WHEN event_id div 8 % 5 = 0 THEN 'Miami' ELSE 'Denver' END AS town""")
+    return base.selectExpr(
+        "CASE WHEN event_id % 97 <> 0 THEN concat('RIDE-', ride) END AS ride_id",
+        "CASE WHEN event_id % 53 <> 0 THEN concat('DRV-', user_id % 6) END AS driver_id",
+        "CASE WHEN event_id % 59 <> 0 THEN concat('RDR-', user_id) END AS rider_id",
+        "CASE WHEN event_id % 7 = 0 THEN concat('  ', lower(town), ' ') ELSE town END AS city",
+        f"""CASE WHEN event_id % 89 = 0 THEN NULL WHEN event_id % 83 = 0 THEN 'ride_rated'
+                 ELSE {_case("kind", STAGE_OF)} END AS event_type""",
+        """CASE WHEN event_id % 61 = 0 THEN NULL WHEN event_id % 67 = 0 THEN k * 1000D
+                ELSE k / 2D END AS trip_distance""",
+        """CASE WHEN event_id % 71 = 0 THEN NULL WHEN event_id % 73 = 0 THEN -1D
+                WHEN event_id % 79 = 0 THEN 99999D ELSE value END AS fare_amount""",
+        f"{_case('town', SURGE_OF)} AS surge_multiplier",
         # Lower-case x prints +00:00 where upper-case X prints Z.
-        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("event_timestamp"),
-        F.lit(S.SCHEMA_VERSION).alias("schema_version"),
+        """date_format(event_time, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx") AS event_timestamp""",
+        f"'{S.SCHEMA_VERSION}' AS schema_version",
         "event_time",
-        F.timestamp_add("SECOND", (F.col("event_id") % 600).cast("int"), F.col("event_time"))
-        .alias("ingestion_ts"),
-        F.col("event_id").alias("kafka_offset"),
-        (F.col("event_id") % 10).cast("int").alias("kafka_partition"),
-        F.lit(S.TOPIC).alias("kafka_topic"),
-    )
+        "timestampadd(SECOND, cast(event_id % 600 AS int), event_time) AS ingestion_ts",
+        "event_id AS kafka_offset",
+        "cast(event_id % 10 AS int) AS kafka_partition",
+        f"'{S.TOPIC}' AS kafka_topic")
 
 
 def bronze_rows(rides: DataFrame) -> DataFrame:

@@ -43,7 +43,7 @@ def pipeline(spark, inbox, tmp_path):
                            trigger=ONCE, ingestion_ts=F.col("timestamp"), audit_path=f"{root}/audit")
         q.awaitTermination()
         table = VersionedTable(spark, f"{root}/silver", PARTS)
-        s = P.start_silver(read_bronze_stream(spark, f"{root}/events", 2), table, f"{root}/cp_s",
+        s = P.start_silver(read_bronze_stream(spark, f"{root}/events", 10), table, f"{root}/cp_s",
                            name="s", trigger=ONCE, time_fallback=F.col("ingestion_ts"),
                            audit_path=f"{root}/audit")
         s.awaitTermination()
