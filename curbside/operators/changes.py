@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHANGE = "_change_type"
+COPIES = 10_000
 
 
 def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -42,8 +43,13 @@ def _unkeyed_changes(old: DataFrame, new: DataFrame, names: list[str]) -> DataFr
         old.withColumn("_n", F.lit(-1)).unionAll(new.withColumn("_n", F.lit(1)))
         .groupBy(*names).agg(F.sum("_n").alias("_n")).filter("_n <> 0"))
     kind = F.when(F.col("_n") > 0, "insert").otherwise("delete")
-    copies = F.explode(F.sequence(F.lit(1), F.abs("_n").cast("int")))
-    return counted.select(*names, kind.alias(CHANGE), copies.alias("_copy")).drop("_copy")
+    # Copies are written out in chunks that are first spread over the tasks.
+    chunk = F.explode(F.sequence(F.lit(0), F.floor((F.abs("_n") - 1) / COPIES))).alias("_chunk")
+    chunks = counted.select("*", kind.alias(CHANGE), chunk)
+    chunks = chunks.repartition(F.xxhash64(*names, "_chunk"))
+    left = F.least(F.lit(COPIES).cast("long"), F.abs("_n") - F.col("_chunk") * COPIES)
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), left)).alias("_copy")
+    return chunks.select(*names, CHANGE, copies).drop("_copy")
 
 
 def apply_changes(old: DataFrame, changes: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -57,14 +57,14 @@ def interleaved_key(df: DataFrame, cols: Sequence[str], bits: int = BITS,
 
 
 def cluster_by(df: DataFrame, cols: Sequence[str], files: int, bits: int = BITS,
-               within: Sequence[str] = ()) -> DataFrame:
+               within: Sequence[str] = (), spread: Column | None = None) -> DataFrame:
     """The same rows in about ``files`` partitions with narrow ranges of each column.
 
     ``within`` names the table's partition columns; they come first, so that a task writes
-    to few of them. A hash of the whole row comes last, so that a range with very many rows
-    is spread over several tasks.
+    to few of them. ``spread`` comes last, so that a range with very many rows is divided
+    over several tasks: a hash of the row, or of its position where rows may be copies.
     """
-    keyed = df.withColumns({
-        "_key": interleaved_key(df, cols, bits), "_spread": F.xxhash64(*df.columns)})
+    spread = F.xxhash64(*df.columns) if spread is None else spread
+    keyed = df.withColumns({"_key": interleaved_key(df, cols, bits), "_spread": spread})
     return (keyed.repartitionByRange(files, *within, "_key", "_spread")
             .sortWithinPartitions(*within, "_key", *cols).drop("_key", "_spread"))

@@ -160,7 +160,10 @@ class VersionedTable:
         version = last.version + 1
         schema = _schema(last)
         live = {f.path: f.rows for f in last.folders}
-        source = source.persist(StorageLevel.MEMORY_AND_DISK)
+        level = source.storageLevel
+        ours = not (level.useMemory or level.useDisk)
+        if ours:
+            source = source.persist(StorageLevel.MEMORY_AND_DISK)
         found = None
         try:
             wanted = source.select(*keys).dropna(how="any")
@@ -177,7 +180,8 @@ class VersionedTable:
         finally:
             if found is not None:
                 found.unpersist()
-            source.unpersist()
+            if ours:
+                source.unpersist()
         kept = [(p, n) for p, n in live.items() if p not in touched]
         return self._commit(version, operation, last.schema_json, kept + folders, txn_id,
                             committed_at)
@@ -188,7 +192,9 @@ class VersionedTable:
         last = self.entry()
         version = last.version + 1
         size = table_detail(self.read()).first()["size_bytes"] or 0
-        df = cluster_by(self.read(), cols, max(1, -(-size // file_bytes)), within=self.partition_by)
+        position = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        df = cluster_by(self.read(), cols, max(1, -(-size // file_bytes)),
+                        within=self.partition_by, spread=position)
         return self._commit(version, operation, last.schema_json, self._save(df, version), None,
                             committed_at)
 

@@ -118,3 +118,11 @@ def test_changes_of_rows_without_a_key(spark):
     new = spark.createDataFrame([(None, "x", 1, 1)] + [(None, "x", 3, 3)] * 2, SCHEMA)
     kinds = [r[-1] for r in rows(changes_between(old, new, KEYS))]
     assert sorted(kinds) == ["delete"] * 3 + ["insert"] * 2
+
+
+def test_many_copies_without_a_key(spark):
+    old = spark.createDataFrame([(None, "x", 1, 1)], SCHEMA)
+    new = spark.range(25001).selectExpr("cast(null as string) k", "'x' e", "1 v", "1 at")
+    feed = changes_between(old, new, KEYS)
+    assert [tuple(r) for r in feed.groupBy("_change_type", "v").count().collect()] == [("insert", 1, 25000)]
+    assert changes_between(new, new, KEYS).isEmpty()

@@ -199,6 +199,26 @@ def test_cluster_version(spark, table):
     assert (detail.num_files, detail.num_rows) == (2, 40) and detail.size_bytes > 0
 
 
+def test_copies_are_spread(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "copies"))
+    table.write(spark.range(4000).selectExpr("if(id % 3 = 0, 'same', cast(id as string)) k"))
+    table.cluster(["k"], file_bytes=max(1, table_detail(table.read()).first().size_bytes // 6))
+    sizes = [r["count"] for r in table.read().groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 4000 and len(sizes) >= 5 and max(sizes) < 1200
+    assert rows(table.read()) == rows(table.read(0))
+
+
+def test_merge_keeps_the_callers_cache(spark, table):
+    table.write(silver(spark, {}))
+    source = silver(spark, {"ride_id": "R2"}).persist()
+    table.merge(source, KEYS)
+    assert source.storageLevel.useMemory
+    source.unpersist()
+    other = silver(spark, {"ride_id": "R3"})
+    table.merge(other, KEYS)
+    assert not other.storageLevel.useMemory
+
+
 # -- sinks -----------------------------------------------------------------------------------
 
 def test_evolving_append(spark, tmp_path):
