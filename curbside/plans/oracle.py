@@ -480,7 +480,7 @@ Q["r11_counts_as_of"] = "SELECT city, count(*) AS rides FROM first_load GROUP BY
 Q["n7_rows_as_of"] = "SELECT 'silver' AS table_name, count(*) AS row_count FROM first_load"
 Q["r11_version_changes"] = Q["changes_between"]
 Q["table_stats"] = """
-SELECT 'silver' AS table_name, count(*) AS row_count, 1 AS latest_version, 'MERGE' AS operation FROM merged"""
+SELECT 'silver' AS table_name, count(*) AS row_count, CAST(1 AS BIGINT) AS latest_version, 'MERGE' AS operation FROM merged"""
 Q["r07_time_travel"] = _week("city_metrics", "city_first")
 Q["stream_bronze"] = Q["triage_valid"]
 Q["stream_dead_letter"] = Q["dead_letter"]

@@ -7,15 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_STORE = "spark.sql.streaming.stateStore."
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app: str = "curbside", **conf: str) -> SparkSession:
+                  app: str = "curbside", large_state: bool = False, **conf: str) -> SparkSession:
     """UTC session with adaptive execution.
 
     Leave ``shuffle_partitions`` unset on a cluster and size
     ``spark.sql.adaptive.coalescePartitions.initialPartitionNum`` instead: adaptive
     execution merges small shuffle partitions but cannot add any. Streaming state is
     not adaptive; there ``spark.sql.shuffle.partitions`` is fixed by the first start.
+    ``large_state`` keeps streaming state in RocksDB instead of the executors' heap and
+    checkpoints only what changed. Further settings: dots in their names as two underscores.
     """
     builder = (
         SparkSession.builder.appName(app)
@@ -29,6 +34,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if large_state:
+        builder = builder.config(STATE_STORE + "providerClass", ROCKSDB).config(
+            STATE_STORE + "rocksdb.changelogCheckpointing.enabled", "true")
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
     return builder.getOrCreate()

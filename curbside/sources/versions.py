@@ -1,9 +1,10 @@
 """Keyed parquet tables with versions.
 
-``data/v=N/…`` holds the rows written by version N. ``log/version=N`` holds one row: the schema
-and the folders that make up the table at that version. A version is complete once its log row
-exists; folders without one are never read, and the next attempt overwrites them. One writer at
-a time is assumed; readers need no coordination, as nothing is changed in place.
+``data/v=N-…/`` holds the rows one attempt at version N wrote. ``log/version=N`` holds one row:
+the schema and the folders that make up the table at that version. A version is complete once
+its log row exists; folders no log row names are never read. One writer at a time is assumed, a
+second one is noticed before it commits; readers need no coordination, as nothing is changed in
+place.
 
 The driver handles the list of folders, as Spark's own partition listing does, never rows.
 """
@@ -11,6 +12,7 @@ The driver handles the list of folders, as Spark's own partition listing does, n
 from __future__ import annotations
 
 import json
+import uuid
 from collections.abc import Sequence
 from datetime import datetime, timedelta, timezone
 from urllib.parse import unquote
@@ -63,12 +65,16 @@ class VersionedTable:
         h = h.orderBy(F.desc("version"))
         return h.limit(limit) if limit else h
 
+    def latest_version(self, as_of: datetime | None = None) -> int | None:
+        log = self.log()
+        known = log if as_of is None else log.filter(F.col("committed_at") <= F.lit(as_of))
+        return known.agg(F.max("version")).first()[0]
+
     def entry(self, version: int | None = None, as_of: datetime | None = None) -> Row | None:
         """Log row of a version, of the last version at a time, or of the latest one."""
         log = self.log()
         if version is None:
-            known = log if as_of is None else log.filter(F.col("committed_at") <= F.lit(as_of))
-            version = known.agg(F.max("version")).first()[0]
+            version = self.latest_version(as_of)
             if version is None and as_of is None:
                 return None
         found = log.filter(F.col("version") == version).collect() if version is not None else []
@@ -80,6 +86,9 @@ class VersionedTable:
         return not self.log().filter(F.col("txn_id") == txn_id).isEmpty()
 
     def _commit(self, version, operation, schema_json, folders, txn_id, committed_at) -> int:
+        latest = self.latest_version()
+        if latest is not None and latest >= version:
+            raise RuntimeError(f"{self.root}: version {version} was written by someone else")
         at = committed_at or datetime.now(timezone.utc)
         row = (version, at, operation, txn_id, schema_json, folders)
         self.spark.createDataFrame([row], LOG).drop("version").coalesce(1).write.mode(
@@ -112,7 +121,7 @@ class VersionedTable:
     # -- write -----------------------------------------------------------------------------
 
     def _put(self, df: DataFrame, version: int) -> list[tuple[str, int]]:
-        """Writes rows below v=N and returns the folders with their row counts.
+        """Writes rows below data/ and returns the folders with their row counts.
 
         The rebalance hint gathers each partition into few files and lets adaptive execution
         split a partition that is much larger than the others.
@@ -120,9 +129,8 @@ class VersionedTable:
         return self._save(df.hint("rebalance", *self.partition_by), version)
 
     def _save(self, df: DataFrame, version: int) -> list[tuple[str, int]]:
-        out = f"{self.root}/data/v={version}"
-        # Static: leftovers of a failed attempt must go even where the session says dynamic.
-        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        out = f"{self.root}/data/v={version}-{uuid.uuid4().hex[:8]}"
+        writer = df.write
         (writer.partitionBy(*self.partition_by) if self.partition_by else writer).parquet(out)
         written = self.spark.read.schema(df.schema).option("basePath", f"{self.root}/data")
         counted = written.parquet(out).groupBy(_folder_of_row().alias("f")).count().collect()

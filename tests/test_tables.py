@@ -7,6 +7,7 @@ from curbside import schemas
 from curbside.operators import gold as G
 from curbside.operators import quality as Q
 from curbside.plans import reports as R
+from curbside.session import shared_folder
 from curbside.settings import Names
 from curbside.sources import tables as T
 from helpers import bronze, frame, physical_plan, silver, ts
@@ -150,3 +151,17 @@ def test_layer_checks(spark):
     assert {tuple(r) for r in Q.nonempty_check({"a": s, "b": empty}).collect()} == {("a", 3, True), ("b", 0, False)}
     assert [tuple(r) for r in Q.duplicate_keys(s).collect()] == [("R2", "ride_requested", 2)]
     assert tuple(Q.batch_quality(s).first()) == (2, 1)
+
+
+def test_shared_folder(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    a, b = shared_folder(spark, "x"), shared_folder(spark, "x")
+    assert a.startswith(f"{base}/x-") and a != b
+
+    class Conf(dict):
+        get = dict.get
+
+    class Cluster:
+        conf = Conf({"spark.master": "yarn"})
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster(), "x")

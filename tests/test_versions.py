@@ -100,6 +100,20 @@ def test_failed_attempt_leaves_no_trace(spark, table):
     assert rows(table.read(), "ride_id") == [("R2",)]
 
 
+def test_second_writer_is_noticed(spark, table, monkeypatch):
+    table.write(silver(spark, {}))
+    other = VersionedTable(spark, table.root, PARTS)
+    save = table._save
+    def slow_save(df, version):
+        out = save(df, version)
+        other.restore(0)
+        return out
+    monkeypatch.setattr(table, "_save", slow_save)
+    with pytest.raises(RuntimeError, match="version 1"):
+        table.write(silver(spark, {"ride_id": "R2"}))
+    assert rows(table.read(), "ride_id") == [("R1",)]
+
+
 def test_restore_and_changes(spark, table):
     table.write(silver(spark, {}, {"ride_id": "R2", "city": "Miami"}))
     table.merge(silver(spark, {"fare_amount": 9.0, "ingestion_ts": later(1)}, {"ride_id": "R3"}), KEYS, when=NEWER)
@@ -121,7 +135,7 @@ def test_expired_versions(spark, table):
     assert [r.version for r in table.expired(168, at).orderBy("version").collect()] == [0, 1]
     assert [r.version for r in table.expired(0, at).orderBy("version").collect()] == [0, 1, 2]
     # Version 3 still refers to the folders of version 0.
-    assert [r.path.split("/")[0] for r in table.expired_folders(168, at).collect()] == ["v=1"]
+    assert [r.path.split("-")[0] for r in table.expired_folders(168, at).collect()] == ["v=1"]
 
 
 def test_stats(spark, table, tmp_path):
