@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -43,10 +42,11 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir`` that every executor can reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="curbside-")
+    """A new folder that every executor can reach.
+
+    It lies below ``spark.checkpoint.dir``; where that is unset, below the warehouse, which
+    executors share as well.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or (
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
