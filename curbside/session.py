@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -50,3 +51,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None) or (
         spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def reach_workers(spark: SparkSession) -> None:
+    """Lets Python workers that share the driver's files import this package.
+
+    On a cluster it is installed on the workers or sent along by ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
