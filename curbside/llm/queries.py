@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbside.llm.lines import line_dedup
+from curbside.llm.packing import pack_documents
 from curbside.llm.rows import table
 from curbside.llm.substrings import substring_dedup
+from curbside.llm.token_files import token_round_trip
 
 
 def sha256(column: str = "kept"):
@@ -19,12 +21,21 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", sha256())
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_round_trip(table(spark, sf_dir, "documents")).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", sha256())
 
 
-QUERIES = {x.__name__: x for x in (op1_substring_dedup, op9_line_dedup)}
+QUERIES = {x.__name__: x for x in (op1_substring_dedup, op5_packing, op6_token_files, op9_line_dedup)}
 
 OP1_SQL = r"""
 WITH words AS (

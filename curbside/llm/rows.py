@@ -9,13 +9,14 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.session import shared_folder
+from curbside.session import reach_workers, shared_folder
 
 #: Bytes of text that a task holds at once; a longer single text is held alone.
 BLOCK_BYTES = 8 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

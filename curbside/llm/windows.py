@@ -14,8 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.rows import NO_ID, blocks, row_of, texts_of
-from curbside.llm.words import inner_starts, word_hashes, word_spans
+from curbside.llm.rows import NO_ID
 
 #: Entries that a bucket gets on average, so that its task needs some 200 MB at any input size.
 BUCKET = 3_000_000
@@ -94,7 +93,7 @@ def requests(docs: np.ndarray, rows: np.ndarray, places: np.ndarray, high: np.nd
         yield packed(int(bucket[at[0]]), docs[at], rows[at], places[at], keys, False)
 
 
-def answers(owners: bool, wide: bool) -> Callable[[pa.Table], pa.Table]:
+def answers(owners: bool, wide: bool, shards: int) -> Callable[[pa.Table], pa.Table]:
     """For a bucket: the windows that later documents repeat (``owners``), or all repeated ones."""
 
     def answer(sent: pa.Table) -> pa.Table:
@@ -122,24 +121,40 @@ def answers(owners: bool, wide: bool) -> Callable[[pa.Table], pa.Table]:
                 hit &= docs[order] != first[run]
             at = order[hit]
             found.append((docs[at], rows[at], places[at]))
-        return by_text(*(np.concatenate(x) for x in zip(*found)))
+        return for_shards(*(np.concatenate(x) for x in zip(*found)), shards)
 
     return answer
 
 
-def by_text(docs: np.ndarray, rows: np.ndarray, places: np.ndarray) -> pa.Table:
+def for_shards(docs: np.ndarray, rows: np.ndarray, places: np.ndarray, shards: int) -> pa.Table:
+    """Found windows for each shard of the texts, in packed form."""
+    shard = rows % shards
+    order = np.lexsort((places, rows, docs, shard))
+    docs, rows, places, shard = docs[order], rows[order], places[order], shard[order]
+    edges = np.flatnonzero(np.r_[True, shard[1:] != shard[:-1], True]) if len(docs) else np.zeros(1, int)
+    return pa.Table.from_batches([to_send(
+        packed(int(shard[x]), docs[x:y], rows[x:y], places[x:y], np.empty(0, np.uint32), True)
+        for x, y in zip(edges[:-1], edges[1:]))])
+
+
+def by_text(found: pa.Table) -> pa.Table:
+    """The windows of a shard, one row for each text."""
+    docs, rows, places = (np.concatenate(x) for x in zip(*(
+        unpacked(*(row[x] for x in ("docs", "rows", "counts", "places"))) for row in found.to_pylist())))
     order = np.lexsort((places, rows, docs))
-    docs, rows, places = docs[order], rows[order], places[order]
-    heads = np.flatnonzero(np.r_[True, (rows[1:] != rows[:-1]) | (docs[1:] != docs[:-1])]) if len(docs) else np.empty(0, int)
-    parts = np.split(places.astype(np.uint32), heads[1:]) if len(docs) else []
-    return pa.table({"doc": pa.array(docs[heads], pa.int64()), "row": pa.array(rows[heads], pa.int64()),
-                     "places": pa.array([x.tobytes() for x in parts], pa.binary())}, PLACES)
+    docs, rows, places = docs[order], rows[order], places[order].astype(np.uint32)
+    new = np.r_[True, (rows[1:] != rows[:-1]) | (docs[1:] != docs[:-1])]
+    keep = new | np.r_[True, places[1:] != places[:-1]]
+    heads = np.flatnonzero(new[keep])
+    docs, rows, raw = docs[keep][heads], rows[keep][heads], places[keep].tobytes()
+    return pa.table({"doc": pa.array(docs), "row": pa.array(rows), "places": pa.array(
+        [raw[4 * x:4 * y] for x, y in zip(heads.tolist(), [*heads[1:].tolist(), len(raw) // 4])], pa.binary())}, PLACES)
 
 
-def exchanged(sent: DataFrame, owners: bool, wide: bool) -> DataFrame:
-    """(doc, row, places list): one row for each text with any window found."""
-    found = sent.groupBy("bucket").applyInArrow(answers(owners, wide), PLACES_SQL)
-    return found.groupBy("doc", "row").agg(F.collect_list("places").alias("places"))
+def exchanged(sent: DataFrame, owners: bool, wide: bool, shards: int) -> DataFrame:
+    """(doc, row, places): one row for each text with any window found, places ascending."""
+    found = sent.groupBy("bucket").applyInArrow(answers(owners, wide, shards), SENT_SQL)
+    return found.groupBy("bucket").applyInArrow(by_text, PLACES_SQL)
 
 
 def to_send(rows: Iterable[tuple]) -> pa.RecordBatch:
@@ -147,20 +162,8 @@ def to_send(rows: Iterable[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(columns, SENT)], schema=SENT)
 
 
-def gathered(parts: list[bytes] | None) -> np.ndarray:
-    """The places in a text that some buckets found, ascending."""
-    return np.unique(np.concatenate([np.frombuffer(x, np.uint32) for x in parts]).astype(np.int64)) \
-        if parts else np.empty(0, np.int64)
-
-
-def first_copies(rows: DataFrame) -> DataFrame:
-    """Of (doc, row, text): the smallest document of each text, and none without an id.
-
-    Every window of another copy starts in that document, so copies need no comparing.
-    """
-    first = rows.where(F.col("doc") != NO_ID).groupBy(F.sha2("text", 256)).agg(
-        F.min_by(F.struct("doc", "row"), "doc").alias("first"))
-    return first.select("first.doc", "first.row")
+def gathered(places: bytes | None) -> np.ndarray:
+    return np.frombuffer(places or b"", np.uint32).astype(np.int64)
 
 
 def copies(rows: DataFrame) -> DataFrame:

@@ -41,13 +41,18 @@ def word_spans(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, np.nd
 def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """A 64-bit hash for every word; text i has the words bounds[i] to bounds[i + 1]."""
     whole, starts, ends, bounds = word_spans(texts)
+    return span_hashes(whole, starts, ends), bounds
+
+
+def span_hashes(whole: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The hashes of the words of a buffer."""
     if len(starts) and (ends - starts).max() > LONGEST:
         words = whole.split()
         hashes = word_hashes([b" ".join(x[:LONGEST] for x in words)])[0]
         for i in np.flatnonzero(ends - starts > LONGEST):
             hashes[i] = xxhash.xxh3_64_intdigest(words[i])
-        return hashes, bounds
-    return hashed_spans(np.frombuffer(whole, np.uint8), starts, ends), bounds
+        return hashes
+    return hashed_spans(np.frombuffer(whole, np.uint8), starts, ends)
 
 
 def hashed_spans(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
