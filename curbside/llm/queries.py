@@ -10,6 +10,7 @@ from curbside.llm.packing import pack_documents
 from curbside.llm.rows import table
 from curbside.llm.substrings import substring_dedup
 from curbside.llm.token_files import token_round_trip
+from curbside.llm.toxicity import toxicity
 
 
 def sha256(column: str = "kept"):
@@ -21,6 +22,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", sha256())
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -35,7 +40,7 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", sha256())
 
 
-QUERIES = {x.__name__: x for x in (op1_substring_dedup, op5_packing, op6_token_files, op9_line_dedup)}
+QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op5_packing, op6_token_files, op9_line_dedup)}
 
 OP1_SQL = r"""
 WITH words AS (

@@ -14,9 +14,9 @@ from tokenizers import Tokenizer, pre_tokenizers
 from curbside.llm.words import span_hashes, word_spans
 
 #: Words, by hash, and pieces of words whose ids a worker remembers; it starts anew when they are more.
-WORDS, PIECES = 2_000_000, 200_000
+WORDS, PIECES = 600_000, 100_000
 #: Bytes of text to encode at once: the larger, the fewer words are new.
-ENCODED_BYTES = 16 << 20
+ENCODED_BYTES = 8 << 20
 
 # The set-up under which texts may be encoded word by word.
 WORD_NORMALIZER = ["NFC", ("Replace", r"\s+", " "), "Lowercase"]
