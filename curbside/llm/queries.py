@@ -11,6 +11,7 @@ from curbside.llm.rows import table
 from curbside.llm.substrings import substring_dedup
 from curbside.llm.token_files import token_round_trip
 from curbside.llm.toxicity import toxicity
+from curbside.llm.warc import archive_round_trip
 
 
 def sha256(column: str = "kept"):
@@ -40,7 +41,12 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_lines", "n_dropped", sha256())
 
 
-QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op5_packing, op6_token_files, op9_line_dedup)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(table(spark, sf_dir, "pages")).drop("payload")
+
+
+QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op5_packing, op6_token_files,
+                                     op9_line_dedup, op10_warc)}
 
 OP1_SQL = r"""
 WITH words AS (
@@ -72,4 +78,14 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
 
-ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL}
+OP10_SQL = """
+WITH each AS (
+  SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+last AS (SELECT html, max(page_id) AS last FROM each WHERE n >= 1000 GROUP BY html),
+found AS (SELECT page_id, each.html, n, CASE WHEN page_id < last THEN last END AS refers_to
+          FROM each LEFT JOIN last ON each.html = last.html AND n >= 1000)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM found"""
+
+ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL,
+              "op10_warc": OP10_SQL}
