@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbside.llm.decontamination import decontaminate
+from curbside.llm.fingerprints import edited_fingerprints
 from curbside.llm.lines import line_dedup
 from curbside.llm.packing import pack_documents
 from curbside.llm.rows import table
@@ -36,6 +38,14 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("doc", "row")
+
+
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_lines", "n_dropped", sha256())
@@ -46,7 +56,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op5_packing, op6_token_files,
-                                     op9_line_dedup, op10_warc)}
+                                     op7_decontamination, op8_fingerprints, op9_line_dedup, op10_warc)}
 
 OP1_SQL = r"""
 WITH words AS (
