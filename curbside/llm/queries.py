@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from curbside.llm.decontamination import decontaminate
 from curbside.llm.fingerprints import edited_fingerprints
 from curbside.llm.lines import line_dedup
+from curbside.llm.near_copies import near_copies
 from curbside.llm.packing import pack_documents
 from curbside.llm.rows import table
 from curbside.llm.substrings import substring_dedup
@@ -29,6 +30,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies(table(spark, sf_dir, "documents"), words=4).drop("doc", "row")
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages")).drop("payload")
 
 
-QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op5_packing, op6_token_files,
+QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op4_near_copies, op5_packing, op6_token_files,
                                      op7_decontamination, op8_fingerprints, op9_line_dedup, op10_warc)}
 
 OP1_SQL = r"""
@@ -74,6 +79,27 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) A
   sha256(coalesce(text, '')) AS kept_sha256
 FROM words LEFT JOIN kept USING (doc_id)"""
 
+OP4_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+sets AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4
+    THEN list_transform(range(1, len(w) - 2), lambda p: array_to_string(w[p:p + 3], ' '))
+    ELSE [array_to_string(w, ' ')] END) AS s FROM words WHERE len(w) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM sets a JOIN sets b USING (s)
+           WHERE a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * k >= 80 * (x.n + y.n - k)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  WITH RECURSIVE walk(a, b) AS (
+    SELECT doc_id, doc_id FROM documents UNION SELECT walk.a, ways.b FROM walk JOIN ways ON walk.b = ways.a)
+  SELECT a AS doc_id, min(b) AS component_id FROM walk GROUP BY a)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, component_id = doc_id AS kept
+FROM reach LEFT JOIN sizes USING (doc_id)"""
+
 OP9_SQL = r"""
 WITH each AS (
   SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
@@ -97,5 +123,5 @@ found AS (SELECT page_id, each.html, n, CASE WHEN page_id < last THEN last END A
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM found"""
 
-ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op9_line_dedup": OP9_SQL,
+ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op4_near_copies": OP4_SQL, "op9_line_dedup": OP9_SQL,
               "op10_warc": OP10_SQL}
