@@ -2,12 +2,13 @@
 
 A payload that other pages share is archived once; the others refer to it. A record longer than a
 segment goes on in continuation records, which name the record that began it, are numbered, and the
-last of which states the length of the whole. HTTP payloads are framed in chunks.
+last of which states the length of the whole. HTTP payloads are framed in chunks, files compressed.
 """
 
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import re
 from collections.abc import Iterable, Iterator
@@ -26,6 +27,7 @@ RECORDS_PER_FILE = 2000
 # Fixed values of the formats.
 VERSION = b"WARC/1.1"
 END = b"\r\n\r\n"
+GZIP = b"\x1f\x8b"
 DATE = "1970-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
@@ -123,7 +125,8 @@ def write_archives(pages: DataFrame, folder: str, ident: str = "page_id", payloa
                                                  F.col("last.row").alias("target_row")).distinct())
     (rows.join(targets, ["page", "row"], "left").withColumn("digest", F.sha1("payload"))
      .mapInArrow(record_writer(segment), "record binary").select(F.col("record").cast("string"))
-     .write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE).text(folder))
+     .write.option("lineSep", END.decode()).option("maxRecordsPerFile", RECORDS_PER_FILE)
+     .option("compression", "gzip").text(folder))
 
 
 FIELD = re.compile(rb"([A-Za-z-]+):[ \t]*(.*)\r\n")
@@ -153,6 +156,8 @@ def archive_reader(payloads: bool):
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column("content").to_pylist():
+                if content.startswith(GZIP):
+                    content = gzip.decompress(content)
                 out: dict[str, list] = {x: [] for x in PARTS.names}
                 for fields, block in records(content):
                     origin = fields.get("warc-segment-origin-id", fields["warc-record-id"])
