@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.rows import NO_ID, blocks, doc_of, keyed, partitions, row_of, texts_of
+from curbside.llm.rows import NO_ID, blocks, doc_of, keyed, partitions, rest_of, row_of, texts_of
 
 FOUND = "high long, low long, doc long, row long, lines binary, sure boolean"
 FOUND_ARROW = pa.schema([("high", pa.int64()), ("low", pa.int64()), ("doc", pa.int64()),
@@ -157,20 +157,18 @@ def kept_text(text: str | None, n_lines: int, keep: bytes) -> str:
 def texts_kept(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         texts = [kept_text(*x) for x in zip(*(batch.column(c).to_pylist()
-                                              for c in ("__text", "n_lines", "keep")))]
-        yield batch.drop_columns(["__text", "keep"]).append_column("kept", pa.array(texts, pa.string()))
+                                              for c in ("text", "n_lines", "keep")))]
+        yield batch.drop_columns(["text", "keep"]).append_column("kept", pa.array(texts, pa.string()))
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, ident: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """(doc_id, doc, row, n_lines, n_dropped, kept) for each row of ``docs``."""
-    own = docs.select(F.col(ident).alias("doc_id"), doc_of(ident).alias("doc"),
-                      row_of(ident, text).alias("row"), F.col(text).cast("string").alias("__text"))
-    both = own.join(bitmaps, ["doc", "row"]).select("doc_id", "doc", "row", "__text", "n_lines",
-                                                    "n_dropped", "keep")
-    kind = dict(both.dtypes)["doc_id"]
-    return both.mapInArrow(texts_kept, f"doc_id {kind}, doc long, row long, n_lines long, "
-                                       "n_dropped long, kept string")
+    """(rest, n_lines, n_dropped, kept) for each row of ``docs``; ``rest`` holds its other columns."""
+    own = docs.select(rest_of(docs, text), doc_of(ident).alias("doc"), row_of(ident, text).alias("row"),
+                      F.col(text).cast("string").alias("text"))
+    both = own.join(bitmaps, ["doc", "row"]).select("rest", "text", "n_lines", "n_dropped", "keep")
+    kind = both.schema["rest"].dataType.simpleString()
+    return both.mapInArrow(texts_kept, f"rest {kind}, n_lines long, n_dropped long, kept string")
 
 
 def line_dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text",

@@ -12,6 +12,7 @@ from curbside.llm.near_copies import near_copies
 from curbside.llm.packing import pack_documents
 from curbside.llm.rows import table
 from curbside.llm.substrings import substring_dedup
+from curbside.llm.suffixes import suffix_dedup
 from curbside.llm.token_files import token_round_trip
 from curbside.llm.toxicity import toxicity
 from curbside.llm.warc import archive_round_trip
@@ -30,6 +31,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", sha256())
+
+
 def op4_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies(table(spark, sf_dir, "documents"), words=4).drop("doc", "row")
 
@@ -53,14 +59,14 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents")).select(
-        "doc_id", "n_lines", "n_dropped", sha256())
+        "rest.doc_id", "n_lines", "n_dropped", sha256())
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages")).drop("payload")
 
 
-QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op4_near_copies, op5_packing, op6_token_files,
+QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op3_suffix_dedup, op4_near_copies, op5_packing, op6_token_files,
                                      op7_decontamination, op8_fingerprints, op9_line_dedup, op10_warc)}
 
 OP1_SQL = r"""
@@ -123,5 +129,5 @@ found AS (SELECT page_id, each.html, n, CASE WHEN page_id < last THEN last END A
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM found"""
 
-ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op4_near_copies": OP4_SQL, "op9_line_dedup": OP9_SQL,
+ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op3_suffix_dedup": OP1_SQL, "op4_near_copies": OP4_SQL, "op9_line_dedup": OP9_SQL,
               "op10_warc": OP10_SQL}

@@ -48,6 +48,16 @@ def row_of(ident: str = "doc_id", text: str = "text") -> Column:
     return F.xxhash64(F.col(ident).cast("long"), F.col(text).cast("string"))
 
 
+def rest_of(docs: DataFrame, text: str = "text") -> Column:
+    """All columns but the text as one, so that none clashes with those of an operator."""
+    return F.struct(*(f"`{x}`" for x in docs.columns if x != text)).alias("rest")
+
+
+def restored(frame: DataFrame, like: DataFrame, text: Column, name: str = "text") -> DataFrame:
+    """The columns of ``like`` from ``rest`` and a text."""
+    return frame.select(*(text.alias(x) if x == name else F.col("rest")[x].alias(x) for x in like.columns))
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """UTF-8 of a column, NULL as an empty text."""
     return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.rows import blocks, stored, texts_of
+from curbside.llm.rows import blocks, rest_of, stored, texts_of
 from curbside.llm.words import span_hashes, word_spans
 
 #: Labelled rows to learn from at most; those with the smallest hashes of their ids.
@@ -207,11 +207,20 @@ def scorer(weights: dict[str, float], bias: float):
             sums = np.full(len(texts), bias)
             for t, f in sorted(pairs):
                 sums[t] += weight[f]
-            yield block.drop_columns(["text"]).append_column("score", pa.array(1 / (1 + np.exp(-np.clip(sums, -30, 30)))))
+            yield block.append_column("score", pa.array(1 / (1 + np.exp(-np.clip(sums, -30, 30)))))
 
     return score
 
 
+def with_scores(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label: str = "toxic",
+                sample: int = SAMPLE) -> DataFrame:
+    """(rest, text, score) for each row of ``docs``; ``rest`` holds its other columns."""
+    weights, bias = train(docs, labels, ident, text, label, sample)
+    frame = docs.select(rest_of(docs, text), F.col(text).cast("string").alias("text"))
+    kind = frame.schema["rest"].dataType.simpleString()
+    return frame.mapInArrow(scorer(weights, bias), f"rest {kind}, text string, score double")
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label: str = "toxic",
              threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs``.
@@ -221,9 +230,8 @@ def toxicity(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: st
     for id or label teach nothing, and rows without an id are held out. NULL and empty texts get the
     score of a text without a known word. Without labels of both kinds the fixed lexicons decide.
     """
-    weights, bias = train(docs, labels, ident, text, label, sample)
-    frame = docs.select(F.col(ident).alias("doc_id"), F.coalesce(held_out(ident), F.lit(True)).alias("held_out"),
-                        F.col(text).cast("string").alias("text"))
-    kind = dict(frame.dtypes)["doc_id"]
-    return frame.mapInArrow(scorer(weights, bias), f"doc_id {kind}, held_out boolean, score double").withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int"))
+    scored = with_scores(docs.select(F.col(ident).alias("doc_id"), F.col(text).alias("text")),
+                         labels.select(F.col(ident).alias("doc_id"), F.col(label).alias("toxic")), sample=sample)
+    return scored.select("rest.doc_id", "score").select(
+        "doc_id", F.coalesce(held_out("doc_id"), F.lit(True)).alias("held_out"), "score",
+        (F.col("score") >= threshold).cast("int").alias("predicted"))
