@@ -204,9 +204,7 @@ def cross_pairs(trees: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
     for depth in range(LEAST_DEPTH, DEPTH + 1):
         own = rows.withColumn("region", F.substring(F.col("key"), F.lit(1), F.lit(4 * depth)))
         regions = own.groupBy("tree", "region").agg(F.count("*").alias("rows"), F.min("component").alias("x"), F.max("component").alias("y"))
-        mixed = own.join(regions.where("x < y").select("tree", "region", "rows"), ["tree", "region"])
-        if depth == LEAST_DEPTH:
-            mixed = stored(mixed, "regions")
+        mixed = stored(own.join(regions.where("x < y").select("tree", "region", "rows"), ["tree", "region"]), "regions")
         near = mixed.where(f"rows <= {REGION}").select("tree", "region", "doc", "n", "component")
         far = mixed.where(f"rows > {REGION}")
         pairs = joined(near, percent)

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 from curbside.llm.words import span_hashes, word_spans
 
 #: Words, by hash, and pieces of words whose ids a worker remembers; it starts anew when they are more.
-WORDS, PIECES = 600_000, 100_000
+WORDS, PIECES = 1_500_000, 200_000
 #: Bytes of text to encode at once: the larger, the fewer words are new.
 ENCODED_BYTES = 8 << 20
 
@@ -75,7 +75,7 @@ class Encoder:
     def forget(self) -> None:
         """No word is known: hashes in order, where a word's ids begin, how many there are, all ids."""
         self.hashes, self.ids = np.empty(0, np.uint64), np.empty(0, np.uint32)
-        self.offsets, self.counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.offsets, self.counts = np.empty(0, np.int32), np.empty(0, np.int32)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and the number of ids of each text."""
@@ -87,10 +87,10 @@ class Encoder:
         hashes, first, of = np.unique(span_hashes(whole, starts, ends), return_index=True, return_inverse=True)
         place = self.places(hashes, whole, starts[first], ends[first])
         offset, each = self.offsets[place][of], self.counts[place][of]
-        heads = np.cumsum(each) - each
-        at = np.repeat(offset - heads, each)
-        at += np.arange(len(at))
-        return self.ids[at], np.diff(np.r_[0, np.cumsum(each)][bounds])
+        stops = np.cumsum(each, dtype=np.int64)
+        at = np.repeat((offset - (stops - each)).astype(np.int32), each)
+        at += np.arange(len(at), dtype=np.int32)
+        return self.ids[at], np.diff(np.r_[0, stops][bounds])
 
     def places(self, hashes: np.ndarray, whole: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Where the distinct words of a block stand among the known ones, to which new ones are added."""
@@ -105,8 +105,8 @@ class Encoder:
             merged = np.concatenate([self.hashes, hashes[new]])
             order = np.argsort(merged, kind="stable")
             self.hashes = merged[order]
-            self.offsets = np.concatenate([self.offsets, len(self.ids) + np.cumsum(counts) - counts])[order]
-            self.counts = np.concatenate([self.counts, counts])[order]
+            self.offsets = np.concatenate([self.offsets, (len(self.ids) + np.cumsum(counts) - counts).astype(np.int32)])[order]
+            self.counts = np.concatenate([self.counts, counts.astype(np.int32)])[order]
             self.ids = np.concatenate([self.ids, ids])
             place = np.searchsorted(self.hashes, hashes)
         return place
