@@ -5,12 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Two digits below the cent: hides the noise of floating-point addition order, keeps money exact.
-SUM_SCALE = 4
+# Decimal sums are exact in any order; six digits keep money and distances as they are.
+EXACT = "decimal(28,6)"
+
+
+def exact(col: Column | str) -> Column:
+    """A number for exact sums; NULL where it is not finite."""
+    return (F.col(col) if isinstance(col, str) else col).try_cast(EXACT)
+
+
+def exact_sum(col: Column | str) -> Column:
+    """A decimal sum, to be added up further."""
+    return F.sum(exact(col))
 
 
 def total(col: Column | str) -> Column:
-    return F.round(F.sum(col), SUM_SCALE)
+    return exact_sum(col).cast("double")
+
+
+def total_of(sums: str) -> Column:
+    """The total of partial decimal sums."""
+    return F.sum(sums).cast("double")
 
 
 def mean(col: Column | str) -> Column:
@@ -18,8 +33,8 @@ def mean(col: Column | str) -> Column:
 
 
 def mean_of(sums: str, counts: str) -> Column:
-    """Mean from partial sums and counts."""
-    return F.try_divide(total(sums), F.sum(counts))
+    """Mean from partial decimal sums and counts."""
+    return F.try_divide(total_of(sums), F.sum(counts))
 
 
 def ratio(part: Column | str, whole: Column | str) -> Column:

@@ -12,14 +12,17 @@ CHANGE = "_change_type"
 COPIES = 10_000
 
 
-def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
+def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str], null_keys: bool = False) -> DataFrame:
     """Inserts, deletes and both images of updates; unchanged rows give nothing.
 
-    Keys must be unique on each side where they are not NULL. Rows with a NULL key have no
-    identity: equal ones cancel out, the rest are deletes and inserts.
+    Each side is read once. A key that one side holds twice raises an error. Rows with a NULL
+    key have no identity: with ``null_keys`` equal ones cancel out and the rest are deletes and
+    inserts, which reads both sides once more; without, they raise an error too.
     """
     names = old.columns
     new = new.select(*names)
+    if not null_keys:
+        return _keyed_changes(old, new, keys, names)
     keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
     return _keyed_changes(old.filter(keyed), new.filter(keyed), keys, names).unionAll(
         _unkeyed_changes(old.filter(~keyed), new.filter(~keyed), names))
@@ -27,12 +30,20 @@ def changes_between(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> Data
 
 def _keyed_changes(old: DataFrame, new: DataFrame, keys: Sequence[str], names: list[str]):
     row = F.struct(*names)
-    before = old.select(*keys, row.alias("before"))
-    after = new.select(*keys, row.alias("after"))
-    both = before.join(after, list(keys), "full").filter(~F.col("before").eqNullSafe(F.col("after")))
+    sides = old.select(*keys, row.alias("row"), F.lit(True).alias("was")).unionAll(
+        new.select(*keys, row.alias("row"), F.lit(False).alias("was")))
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    both = sides.groupBy(*keys).agg(
+        F.max(F.when(F.col("was"), F.col("row"))).alias("before"),
+        F.max(F.when(~F.col("was"), F.col("row"))).alias("after"),
+        F.greatest(F.count_if("was"), F.count_if(~F.col("was"))).alias("copies"),
+    ).withColumn("fault", F.when((F.col("copies") > 1) | ~known, F.raise_error(F.concat(
+        F.lit("a key is NULL or repeated: "),
+        F.concat_ws(", ", *[F.coalesce(F.col(k).cast("string"), F.lit("NULL")) for k in keys])))))
     image = lambda kind, col: F.struct(F.lit(kind).alias("kind"), F.col(col).alias("row"))
     images = (
-        F.when(F.col("before").isNull(), F.array(image("insert", "after")))
+        F.when(F.col("fault").isNotNull() | F.col("before").eqNullSafe(F.col("after")), None)
+        .when(F.col("before").isNull(), F.array(image("insert", "after")))
         .when(F.col("after").isNull(), F.array(image("delete", "before")))
         .otherwise(F.array(image("update_preimage", "before"), image("update_postimage", "after"))))
     return both.select(F.explode(images).alias("i")).select("i.row.*", F.col("i.kind").alias(CHANGE))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbside import settings as S
-from curbside.functions.numeric import mean, mean_of, percent, ratio, total
+from curbside.functions.numeric import exact_sum, mean, mean_of, percent, ratio, total_of
 from curbside.schemas import CITY_RIDE_METRICS, DRIVER_UTILIZATION, FUNNEL_ANALYSIS, SURGE_PRICING
 
 
@@ -49,15 +49,15 @@ def city_ride_metrics(silver: DataFrame) -> DataFrame:
             F.count_if(_is(S.COMPLETED)).alias("completed"),
             F.count_if(_is(S.REQUESTED)).alias("requested"),
             F.count_if(_is(S.PAID)).alias("paid"),
-            F.sum(F.when(earning, F.col("fare_amount")).otherwise(0.0)).alias("gross"),
-            F.sum(F.when(earning, F.col("net_fare")).otherwise(0.0)).alias("net"),
-            F.sum(completed_fare).alias("fares"),
+            exact_sum(F.when(earning, F.col("fare_amount")).otherwise(0.0)).alias("gross"),
+            exact_sum(F.when(earning, F.col("net_fare")).otherwise(0.0)).alias("net"),
+            exact_sum(completed_fare).alias("fares"),
             F.count(completed_fare).alias("fares_n"),
             F.max("fare_amount").alias("fare_hi"),
             F.min("fare_amount").alias("fare_lo"),
-            F.sum("trip_distance").alias("km"),
+            exact_sum("trip_distance").alias("km"),
             F.count("trip_distance").alias("km_n"),
-            F.sum("surge_multiplier").alias("surge"),
+            exact_sum("surge_multiplier").alias("surge"),
             F.count("surge_multiplier").alias("surge_n"),
         )
     )
@@ -67,13 +67,13 @@ def city_ride_metrics(silver: DataFrame) -> DataFrame:
         F.sum("completed").alias("completed_rides"),
         F.sum("requested").alias("requested_rides"),
         F.sum("paid").alias("payment_events"),
-        total("gross").alias("total_gross_revenue"),
-        total("net").alias("total_net_revenue"),
+        total_of("gross").alias("total_gross_revenue"),
+        total_of("net").alias("total_net_revenue"),
         mean_of("fares", "fares_n").alias("avg_fare"),
         F.max("fare_hi").alias("max_fare"),
         F.min("fare_lo").alias("min_fare"),
         mean_of("km", "km_n").alias("avg_distance_km"),
-        total("km").alias("total_distance_km"),
+        total_of("km").alias("total_distance_km"),
         mean_of("surge", "surge_n").alias("avg_surge_multiplier"),
     )
     rated = _with_window(per_window).withColumn(
@@ -92,8 +92,8 @@ def driver_utilization(silver: DataFrame) -> DataFrame:
         .agg(
             F.count_if(_is(S.ASSIGNED)).alias("assigned"),
             F.count_if(_is(S.COMPLETED)).alias("completed"),
-            F.sum(F.when(_is(S.PAID), F.col("fare_amount")).otherwise(0.0)).alias("earned"),
-            F.sum("trip_distance").alias("km"),
+            exact_sum(F.when(_is(S.PAID), F.col("fare_amount")).otherwise(0.0)).alias("earned"),
+            exact_sum("trip_distance").alias("km"),
             F.count("trip_distance").alias("km_n"),
         )
     )
@@ -101,7 +101,7 @@ def driver_utilization(silver: DataFrame) -> DataFrame:
         F.count("ride_id").alias("unique_rides"),
         F.sum("assigned").alias("trips_assigned"),
         F.sum("completed").alias("trips_completed"),
-        total("earned").alias("total_earnings"),
+        total_of("earned").alias("total_earnings"),
         mean_of("km", "km_n").alias("avg_distance_km"),
     )
     return score_drivers(_with_window(per_window)).select(*DRIVER_UTILIZATION.names)
@@ -161,7 +161,7 @@ def demand_supply(silver: DataFrame) -> DataFrame:
         .agg(
             F.count_if(_is(S.REQUESTED)).alias("requests"),
             F.count_if(_is(S.ASSIGNED)).alias("assignments"),
-            F.sum(requested_surge).alias("surge"),
+            exact_sum(requested_surge).alias("surge"),
             F.count(requested_surge).alias("surge_n"),
         )
     )
@@ -196,11 +196,17 @@ def surge_pricing(silver: DataFrame) -> DataFrame:
 
 def funnel_analysis(silver: DataFrame) -> DataFrame:
     """Distinct rides per stage, day and city (batch only); a stage nobody reached is NULL."""
-    stages = dict(zip(S.EVENT_TYPES, FUNNEL_ANALYSIS.names[2:7]))
+    stages = {
+        S.REQUESTED: "stage_1_requested",
+        S.ASSIGNED: "stage_2_assigned",
+        S.STARTED: "stage_3_started",
+        S.COMPLETED: "stage_4_completed",
+        S.PAID: "stage_5_payment",
+    }
     counted = (
         usable(silver)
         .groupBy("event_date", "city")
-        .pivot("event_type", list(S.EVENT_TYPES))
+        .pivot("event_type", list(stages))
         .agg(F.count_distinct("ride_id"))
         .withColumnsRenamed(stages)
     )
@@ -218,3 +224,11 @@ AGGREGATES = {
     "surge_pricing": surge_pricing,
     "funnel_analysis": funnel_analysis,
 }
+
+#: The column that names the day of a stored row.
+AGGREGATE_DAYS = {
+    "city_ride_metrics": "window_start_date",
+    "driver_utilization": "window_start_date",
+    "surge_pricing": "window_start_date",
+    "funnel_analysis": "event_date",
+}

@@ -107,20 +107,17 @@ def merge_newer(target: DataFrame, source: DataFrame, keys: Sequence[str], **opt
 
 def correct_fares(silver: DataFrame, scope: Column, factor: float, share: float,
                   processed_ts: Column | None = None) -> DataFrame:
-    """Scale the out-of-range fares in ``scope`` and clear their flags."""
-    source = silver.filter(scope & F.col("dq_fare_out_of_range")).select(
-        "ride_id", "event_type",
-        (F.col("fare_amount") * factor).alias("corrected"),
-        (F.current_timestamp() if processed_ts is None else processed_ts).alias("at"))
-    return merge_upsert(
-        silver, source, ["ride_id", "event_type"], insert=False,
-        set={
-            "fare_amount": "s.corrected",
-            "net_fare": F.round(F.col("s.corrected") * share, 2),
-            "dq_fare_out_of_range": F.lit(False),
-            "has_data_quality_issue": F.lit(False),
-            "silver_processed_ts": "s.at",
-        })
+    """Scale the out-of-range fares in ``scope`` and clear their flags; one pass over the rows."""
+    fare = F.col("fare_amount") * factor
+    wrong = F.coalesce(scope & F.col("dq_fare_out_of_range"), F.lit(False))
+    changed = {
+        "fare_amount": fare,
+        "net_fare": F.round(fare * share, 2),
+        "dq_fare_out_of_range": F.lit(False),
+        "has_data_quality_issue": F.lit(False),
+        "silver_processed_ts": F.current_timestamp() if processed_ts is None else processed_ts,
+    }
+    return silver.withColumns({c: F.when(wrong, new).otherwise(F.col(c)) for c, new in changed.items()})
 
 
 def sync_drivers(silver: DataFrame, updates: DataFrame) -> DataFrame:

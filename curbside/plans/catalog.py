@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,25 +12,26 @@ from curbside import settings as S
 from curbside.functions.timing import newest
 from curbside.operators import bronze, gold, quality, silver, upsert
 from curbside.operators.changes import changes_between
-from curbside.operators.layout import cluster_by
+from curbside.operators.history import silver_as_of
 from curbside.plans import reports
+from curbside.plans.gold import read_gold, run_gold
 from curbside.session import shared_folder
 from curbside.sources import rides as source
-from curbside.sources.streams import read_bronze_stream
-from curbside.sources.versions import VersionedTable, table_stats
+from curbside.sources.sinks import append_evolving, clustered, log_run, read_evolving
+from curbside.sources.streams import read_bronze_stream, read_event_stream, read_silver
 from curbside.streaming import pipeline
+from curbside.streaming.progress import PROGRESS, with_health
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Differ from run to run, or are not part of what a query is about.
-HIDDEN = ("silver_processed_ts", "gold_processed_ts", "raw_value")
+HIDDEN = ("silver_processed_ts", "gold_processed_ts")
 FEED = ["ride_id", "event_type", "driver_id", "city", "fare_amount", "net_fare", "surge_multiplier",
         "event_ts", "event_date", "has_data_quality_issue", "ingestion_ts"]
 ONCE = {"availableNow": True}
 
 
-def _hours_ago(hours: float) -> datetime:
-    return datetime.now(timezone.utc) - timedelta(hours=hours)
+BATCHES = 3
 
 
 class Inputs:
@@ -49,17 +49,13 @@ class Inputs:
     def parsed(self) -> DataFrame:
         return bronze.parse_events(source.messages(self.rides), F.col("timestamp"))
 
-    @property
-    def bronze(self) -> DataFrame:
-        return source.bronze_rows(self.rides)
-
     @property
     def valid(self) -> DataFrame:
-        return bronze.accepted(self.bronze)
+        return bronze.accepted(self.parsed)
 
     @property
     def dead(self) -> DataFrame:
-        return bronze.rejected(self.bronze)
+        return bronze.rejected(self.parsed)
 
     @property
     def cleaned(self) -> DataFrame:
@@ -85,49 +81,50 @@ class Inputs:
     def folder(self, purpose: str) -> str:
         return shared_folder(self.spark, purpose)
 
-    def table(self, purpose: str, partition_by=()) -> VersionedTable:
-        return VersionedTable(self.spark, self.folder(purpose), partition_by)
+    def early(self) -> DataFrame:
+        """Silver as it was six hours before the present."""
+        return silver_as_of(self.parsed, self.now - F.expr("INTERVAL 6 HOURS"), F.col("ingestion_ts"))
 
-    def silver_versions(self) -> VersionedTable:
-        """Version 0, three days old: the first load. Version 1: the second load merged into it."""
-        table = self.table("silver", S.SILVER_PARTITIONS)
-        table.write(self.load(True), committed_at=_hours_ago(72))
-        table.merge(self.load(False), S.SILVER_KEYS, when=upsert.NEWER, source_is_unique=True)
-        return table
+    def stored_gold(self, *names: str, times: int = 1, rows: DataFrame | None = None) -> str:
+        """The folder of aggregates that the batch run stored, once or several times."""
+        root = self.folder("gold")
+        for _ in range(times):
+            run_gold(self.silver if rows is None else rows, root, self.now, since_hours=24 * 30, tables=names or tuple(gold.AGGREGATES))
+        return root
+
+    def stored(self, name: str) -> DataFrame:
+        return read_gold(self.spark, self.stored_gold(name), name)
 
     # -- streams -------------------------------------------------------------------------
 
-    @property
     def message_stream(self) -> DataFrame:
-        return source.messages(source.ride_events(source.stream_events(self.spark, self.sf_dir)))
-
-    @property
-    def cleaned_stream(self) -> DataFrame:
-        rides = source.ride_events(source.stream_events(self.spark, self.sf_dir))
-        return silver.clean(bronze.accepted(source.bronze_rows(rides)), F.col("ingestion_ts"))
+        """The messages in files of ascending offsets, one for each micro-batch."""
+        folder = self.folder("inbox")
+        source.messages(self.rides).repartitionByRange(BATCHES, "offset").write.parquet(folder)
+        return read_event_stream(self.spark, "parquet", path=folder, max_files_per_trigger=1)
 
     def run_bronze(self) -> tuple[str, str]:
         root = self.folder("bronze")
         paths = f"{root}/events", f"{root}/dead_letter"
         pipeline.start_bronze(
-            self.message_stream, *paths, f"{root}/checkpoint", name=None, trigger=ONCE,
+            self.message_stream(), *paths, f"{root}/checkpoint", name=None, trigger=ONCE,
             ingestion_ts=F.col("timestamp")).awaitTermination()
         return paths
 
-    def run_silver(self) -> VersionedTable:
+    def run_silver(self, gold_path: str | None = None) -> str:
+        """The folder of silver records; with ``gold_path`` the aggregates are kept up with them."""
         events, _ = self.run_bronze()
-        table = self.table("silver", S.SILVER_PARTITIONS)
+        root = self.folder("silver")
         pipeline.start_silver(
-            read_bronze_stream(self.spark, events), table, self.folder("checkpoint"), name=None,
-            trigger=ONCE, time_fallback=F.col("ingestion_ts")).awaitTermination()
-        return table
+            read_bronze_stream(self.spark, events, max_files_per_trigger=8), f"{root}/records",
+            f"{root}/checkpoint", name=None, trigger=ONCE, time_fallback=F.col("ingestion_ts"),
+            gold_path=gold_path).awaitTermination()
+        return f"{root}/records"
 
-    def run_aggregate(self, aggregate) -> DataFrame:
-        root = self.folder("aggregate")
-        plan = aggregate(self.cleaned_stream)
-        pipeline.start_aggregate(
-            plan, f"{root}/rows", f"{root}/checkpoint", name=None, trigger=ONCE).awaitTermination()
-        return self.spark.read.schema(plan.schema).parquet(f"{root}/rows")
+    def run_aggregate(self, name: str) -> DataFrame:
+        root = self.folder("gold")
+        self.run_silver(root)
+        return read_gold(self.spark, root, name)
 
 
 QUERIES: dict[str, Query] = {}
@@ -158,6 +155,9 @@ def _bounds(df: DataFrame) -> DataFrame:
 query("bronze_parse")(lambda i: i.parsed)
 query("triage_valid")(lambda i: bronze.accepted(i.parsed))
 query("dead_letter")(lambda i: bronze.rejected(i.parsed))
+query("bronze_malformed")(lambda i: bronze.parse_events(source.damaged(source.messages(i.rides)), F.col("timestamp")))
+query("dead_letter_strict")(lambda i: bronze.rejected(
+    bronze.parse_events(source.damaged(source.messages(i.rides)), F.col("timestamp")), strict_reasons=True))
 query("n1_bronze_profile")(lambda i: reports.bronze_profile(i.valid))
 query("n2_dead_letter_reasons")(lambda i: reports.dead_letter_reasons(i.dead))
 query("n2_dead_letter_today")(lambda i: reports.dead_letter_reasons(i.dead, i.now, today_only=True))
@@ -178,6 +178,9 @@ query("incremental_silver")(lambda i: silver.recent(i.silver, i.now + F.expr("IN
 query("point_lookup")(lambda i: reports.point_lookup(i.silver, "2024-01-01", "New York", "RIDE-40"))
 query("dq_summary")(lambda i: reports.quality_summary(i.silver))
 query("n9_dq_averages")(lambda i: reports.quality_averages(i.silver))
+query("silver_bad_times")(lambda i: silver.silver_from_bronze(
+    bronze.accepted(bronze.parse_events(source.damaged(source.messages(i.rides)), F.col("timestamp"))),
+    F.col("ingestion_ts")))
 query("r10_fare_correction")(lambda i: upsert.correct_fares(
     i.silver, (F.col("city") == "New York") & (F.col("event_date") == F.lit("2024-01-01").cast("date")),
     1.1, S.DRIVER_SHARE))
@@ -261,45 +264,99 @@ def _changes(i: Inputs) -> DataFrame:
     return changes_between(old.select(*FEED), new.select(*FEED), S.SILVER_KEYS)
 
 
-query("cluster_rows_preserved")(lambda i: cluster_by(
-    i.silver, S.CLUSTER_COLUMNS["silver"], files=8))
+query("cluster_rows_preserved")(lambda i: clustered(i.silver, S.CLUSTER_COLUMNS["silver"]))
+
+
+@query("clustered_ranges")
+def _ranges(i: Inputs) -> DataFrame:
+    """How many partitions of the clustered rows reach into the range of another one: none."""
+    ranges = clustered(i.silver.filter("ride_id IS NOT NULL"), ["ride_id", "event_type"]).groupBy(
+        F.spark_partition_id().alias("part")).agg(
+            F.min(F.struct("ride_id", "event_type")).alias("lo"), F.max(F.struct("ride_id", "event_type")).alias("hi"))
+    other = ranges.select(F.col("part").alias("other"), F.col("lo").alias("lo2"))
+    return ranges.join(other, (F.col("part") != F.col("other")) & (F.col("lo2") >= F.col("lo"))
+                       & (F.col("lo2") <= F.col("hi"))).agg(F.count("*").alias("overlaps"))
 
 
 @query("r11_counts_by_version")
 def _counts_by_version(i: Inputs) -> DataFrame:
-    table = i.silver_versions()
-    table.restore(0)
-    def counts(version):
-        return reports.rides_by_city(table.read(version)).select(
-            F.lit(version).alias("version"), "city", "rides")
-    return counts(0).unionAll(counts(1)).unionAll(counts(2))
+    """Version 0 is the earlier state, 1 the present one and 2 the earlier one restored."""
+    def counts(state: DataFrame, *versions: int) -> DataFrame:
+        return reports.rides_by_city(state).select(
+            F.explode(F.array(*[F.lit(v) for v in versions])).alias("version"), "city", "rides")
+    return counts(i.early(), 0, 2).unionAll(counts(i.silver, 1))
 
 
-query("r11_counts_as_of")(lambda i: reports.rides_by_city(
-    i.silver_versions().read(as_of=_hours_ago(48))))
-query("n7_rows_as_of")(lambda i: quality.row_counts(
-    {"silver": i.silver_versions().read(as_of=_hours_ago(1))}))
-query("r11_version_changes")(lambda i: i.silver_versions().changes(0, 1, S.SILVER_KEYS).select(
-    *FEED, "_change_type"))
-query("table_stats")(lambda i: table_stats({"silver": i.silver_versions()}).drop("latest_ts"))
+query("r11_counts_as_of")(lambda i: reports.rides_by_city(i.early()))
+query("n7_rows_as_of")(lambda i: quality.row_counts({"silver": i.early()}))
+query("r11_version_changes")(lambda i: changes_between(
+    i.early().select(*FEED), i.silver.select(*FEED), S.SILVER_KEYS))
+query("table_stats")(lambda i: i.silver.agg(
+    F.lit("silver").alias("table_name"), F.count("*").alias("row_count"), F.max("ingestion_ts").alias("latest_ts")))
+query("r07_time_travel")(lambda i: reports.week_over_week(
+    i.gold(_CITY), gold.city_ride_metrics(i.early()), i.now + F.expr("INTERVAL 6 DAYS")))
 
+# -- stored aggregates ------------------------------------------------------------------------
 
-@query("r07_time_travel")
-def _weeks_by_version(i: Inputs) -> DataFrame:
-    """The prior week is read from the table as it was a week ago."""
-    table = i.table("city", S.GOLD_PARTITIONS[_CITY])
-    table.write(gold.city_ride_metrics(i.load(True)), committed_at=_hours_ago(8 * 24))
-    table.write(i.gold(_CITY))
-    prior = table.read(as_of=_hours_ago(7 * 24))
-    return reports.week_over_week(table.read(), prior, i.now + F.expr("INTERVAL 6 DAYS"))
+for _name in gold.AGGREGATES:
+    query(f"gold_refresh_{_name}")(lambda i, name=_name: i.stored(name))
+query("gold_refresh_twice")(lambda i: read_gold(i.spark, i.stored_gold(_CITY, times=2), _CITY))
+query("gold_refresh_null_city")(lambda i: read_gold(i.spark, i.stored_gold(
+    _CITY, times=2, rows=i.silver.withColumn("city", F.when(F.col("city") != "Miami", F.col("city")))), _CITY))
+query("r01_stored")(lambda i: reports.city_dashboard(i.stored(_CITY), i.now))
+query("r02_stored")(lambda i: reports.surge_alerts(i.stored(_SURGE), i.now))
+query("r03_stored")(lambda i: reports.driver_leaderboard(i.stored(_DRIVER), i.now))
+query("r04_stored")(lambda i: reports.hourly_revenue(i.stored(_CITY), i.now))
+query("r05_stored")(lambda i: reports.funnel_conversion(i.stored(_FUNNEL), i.now))
+query("r06_stored")(lambda i: reports.demand_gap(i.stored(_SURGE), i.now))
+
+
+@query("append_evolving")
+def _evolving(i: Inputs) -> DataFrame:
+    """Two batches, the second with a column more."""
+    path = i.folder("evolving")
+    rows = i.valid.select("kafka_offset", "ride_id", "city", "kafka_partition")
+    append_evolving(rows.filter("kafka_partition < 5").drop("city"), path, ["kafka_partition"])
+    append_evolving(rows.filter("kafka_partition >= 5"), path, ["kafka_partition"])
+    return read_evolving(i.spark, path).select("kafka_offset", "ride_id", "city", "kafka_partition")
+
+
+@query("audit_rows")
+def _audit(i: Inputs) -> DataFrame:
+    """A row of the audit log for each layer."""
+    path = i.folder("audit")
+    counts = {r.table_name: r.row_count for r in quality.row_counts(
+        {"all": i.parsed.select("event_date"), "bronze": i.valid.select("event_date"), "silver": i.silver.select("event_date")}).collect()}
+    for layer, before, after in (("bronze", "all", "bronze"), ("silver", "bronze", "silver")):
+        log_run(i.spark, path, layer=layer, batch_id=0, rows_in=counts[before], rows_out=counts[after], duration_sec=0.0)
+    return read_evolving(i.spark, path).drop("run_ts")
+
+
+@query("stream_health")
+def _health(i: Inputs) -> DataFrame:
+    """The stall rule on progress records, one for each message partition."""
+    seen = i.valid.groupBy("kafka_partition").agg(F.count("*").alias("n"))
+    part = F.col("kafka_partition")
+    values = {"query_id": part.cast("string"), "query_name": F.concat(F.lit("partition-"), part), "is_active": part != 9,
+              "batch_id": part.cast("long"), "num_input_rows": F.col("n"),
+              "input_rows_per_sec": F.when(part % 2 == 0, 0.0).otherwise(F.col("n") / 10),
+              "processed_rows_per_sec": F.col("n") / 10}
+    rows = seen.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PROGRESS.fields))
+    return with_health(rows).drop("watermark", "error", "checked_at")
 
 
 # -- quality ---------------------------------------------------------------------------------
 
 query("dead_letter_rate")(lambda i: quality.dead_letter_rate(i.valid, i.dead, i.now))
 query("pipeline_metrics")(lambda i: quality.pipeline_metrics(i.valid, i.silver, i.gold(_CITY)))
-query("gold_nonempty_check")(lambda i: quality.nonempty_check(
-    {name: compute(i.silver) for name, compute in gold.AGGREGATES.items()}))
+
+
+@query("gold_nonempty_check")
+def _nonempty(i: Inputs) -> DataFrame:
+    root = i.stored_gold()
+    return quality.nonempty_check({name: read_gold(i.spark, root, name) for name in gold.AGGREGATES})
+
+
 query("duplicate_keys")(lambda i: quality.duplicate_keys(i.valid))
 query("batch_quality")(lambda i: quality.batch_quality(i.silver))
 
@@ -308,7 +365,7 @@ query("batch_quality")(lambda i: quality.batch_quality(i.silver))
 query("stream_bronze")(lambda i: i.spark.read.parquet(i.run_bronze()[0]).drop("stream", "batch_id"))
 query("stream_dead_letter")(
     lambda i: i.spark.read.parquet(i.run_bronze()[1]).drop("stream", "batch_id"))
-query("stream_silver")(lambda i: i.run_silver().read())
-query("stream_city_metrics")(lambda i: i.run_aggregate(gold.city_ride_metrics))
-query("stream_driver_utilization")(lambda i: i.run_aggregate(gold.driver_utilization))
-query("stream_surge")(lambda i: i.run_aggregate(gold.surge_pricing))
+query("stream_silver")(lambda i: read_silver(i.spark, i.run_silver()))
+query("stream_city_metrics")(lambda i: i.run_aggregate(_CITY))
+query("stream_driver_utilization")(lambda i: i.run_aggregate(_DRIVER))
+query("stream_surge")(lambda i: i.run_aggregate(_SURGE))

@@ -8,10 +8,10 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside import settings as S
-from curbside.operators.gold import AGGREGATES
+from curbside.operators.gold import AGGREGATE_DAYS, AGGREGATES
 from curbside.operators.silver import recent, since_cutoff
-from curbside.sources.versions import VersionedTable
+from curbside.schemas import GOLD
+from curbside.sources.sinks import overwrite_days
 
 # Columns any aggregate reads; the rest of silver is not cached.
 NEEDED = ("ride_id", "driver_id", "city", "event_type", "trip_distance", "fare_amount", "net_fare",
@@ -22,32 +22,35 @@ NEEDED = ("ride_id", "driver_id", "city", "event_type", "trip_distance", "fare_a
 WINDOWED = ("city_ride_metrics", "driver_utilization", "surge_pricing")
 
 
-def gold_tables(spark: SparkSession, root: str) -> dict[str, VersionedTable]:
-    return {name: VersionedTable(spark, f"{root}/{name}", S.GOLD_PARTITIONS[name])
-            for name in AGGREGATES}
-
-
-def gold_since(silver: DataFrame, as_of: Column | datetime | None, hours: float) -> dict[str, DataFrame]:
+def gold_since(silver: DataFrame, as_of: Column | datetime | None, hours: float,
+               tables: tuple[str, ...] = tuple(AGGREGATES)) -> dict[str, DataFrame]:
     """The aggregates of rows since the cutoff, without windows that began before it."""
     rows = recent(silver, as_of, hours).select(*NEEDED)
     cutoff = since_cutoff(as_of, hours).cast("timestamp")
-    frames = {name: compute(rows) for name, compute in AGGREGATES.items()}
+    frames = {name: AGGREGATES[name](rows) for name in tables}
     return {name: df.filter(F.col("window_start") >= cutoff) if name in WINDOWED else df
             for name, df in frames.items()}
 
 
-def run_gold(silver: DataFrame, tables: dict[str, VersionedTable],
-             as_of: Column | datetime | None = None, since_hours: float = 2,
-             cache: bool = True) -> dict[str, int]:
-    """Recompute recent windows and replace or insert them. Returns the table versions."""
+def run_gold(silver: DataFrame, root: str, as_of: Column | datetime | None = None,
+             since_hours: float = 2, cache: bool = True,
+             tables: tuple[str, ...] = tuple(AGGREGATES)) -> None:
+    """Compute whole days since the cutoff and put them in the place of what is stored for them.
+
+    Repeating a run changes nothing. A day that has no rows any more keeps what it had.
+    """
     as_of = datetime.now(timezone.utc) if as_of is None else as_of
     rows = silver.select(*NEEDED)
     if cache:
         rows = recent(rows, as_of, since_hours).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        frames = gold_since(rows, as_of, since_hours)
-        return {name: tables[name].merge(df, S.GOLD_KEYS[name], source_is_unique=True)
-                for name, df in frames.items()}
+        for name, df in gold_since(rows, as_of, since_hours, tables).items():
+            overwrite_days(df, f"{root}/{name}", AGGREGATE_DAYS[name])
     finally:
         if cache:
             rows.unpersist()
+
+
+def read_gold(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A stored aggregate; a filter on its day reads the partitions of these days only."""
+    return spark.read.schema(GOLD[name]).parquet(f"{root}/{name}").select(*GOLD[name].names)

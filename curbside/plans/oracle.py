@@ -15,7 +15,8 @@ def r(x: str, digits: int = 2) -> str:
 
 
 def total(x: str) -> str:
-    return r(f"sum({x})", 4)
+    """An exact decimal sum."""
+    return f"CAST(sum(CAST(CAST({x} AS VARCHAR) AS DECIMAL(28,6))) AS DOUBLE)"
 
 
 def mean(x: str) -> str:
@@ -74,11 +75,49 @@ SELECT CASE WHEN event_id % 97 <> 0 THEN 'RIDE-' || ride END AS ride_id,
        'ride-events' AS kafka_topic
 FROM placed"""
 
+
+
+def _json(**renamed: str) -> str:
+    """The payload as text: fields that are not NULL, in order."""
+    text = ("ride_id", "driver_id", "rider_id", "city", "event_type")
+    more = (("timestamp", "event_timestamp"), ("kafka_partition_key", "city"), ("schema_version", "schema_version"))
+    def field(name: str, value: str, quote: str) -> str:
+        return f"""CASE WHEN {value} IS NOT NULL THEN '"{name}":{quote}' || {value} || '{quote}' END"""
+    fields = [*(field(x, x, '"') for x in text),
+              *(field(x, f"CAST({x} AS VARCHAR)", "") for x in ("trip_distance", "fare_amount", "surge_multiplier")),
+              *(field(x, y, '"') for x, y in more)]
+    return f"'{{' || array_to_string(list_filter([{', '.join(fields)}], lambda x: x IS NOT NULL), ',') || '}}'"
+
+
 STEPS["bronze"] = f"""
-SELECT {_PAYLOAD}, city AS raw_key, ingestion_ts, kafka_offset, kafka_partition, kafka_topic,
+SELECT {_PAYLOAD}, {_json()} AS raw_value, city AS raw_key, ingestion_ts, kafka_offset, kafka_partition, kafka_topic,
        CAST(ingestion_ts AS DATE) AS event_date, event_time
 FROM rides"""
 
+# What is left of the damaged messages.
+STEPS["faulty"] = """
+SELECT * REPLACE (
+  CASE WHEN kafka_offset % 11 <> 0 THEN ride_id END AS ride_id, CASE WHEN kafka_offset % 11 <> 0 THEN driver_id END AS driver_id,
+  CASE WHEN kafka_offset % 11 <> 0 THEN rider_id END AS rider_id, CASE WHEN kafka_offset % 11 <> 0 THEN city END AS city,
+  CASE WHEN kafka_offset % 11 <> 0 THEN event_type END AS event_type,
+  CASE WHEN kafka_offset % 11 <> 0 THEN trip_distance END AS trip_distance,
+  CASE WHEN kafka_offset % 11 <> 0 AND kafka_offset % 13 <> 0 THEN fare_amount END AS fare_amount,
+  CASE WHEN kafka_offset % 11 <> 0 THEN surge_multiplier END AS surge_multiplier,
+  CASE WHEN kafka_offset % 11 = 0 THEN NULL WHEN kafka_offset % 13 = 0 THEN event_timestamp
+       WHEN kafka_offset % 17 = 0 THEN regexp_replace(event_timestamp, '\\.[0-9]{6}', '')
+       WHEN kafka_offset % 19 = 0 THEN 'x' ELSE event_timestamp END AS event_timestamp,
+  CASE WHEN kafka_offset % 11 <> 0 THEN schema_version END AS schema_version,
+  CASE WHEN kafka_offset % 11 = 0 THEN '{bad ' || raw_value
+       WHEN kafka_offset % 13 = 0 THEN regexp_replace(raw_value, '"fare_amount":([-0-9.E]+)', '"fare_amount":"\\1"')
+       WHEN kafka_offset % 17 = 0 THEN regexp_replace(raw_value, '\\.[0-9]{6}\\+00:00', '+00:00')
+       WHEN kafka_offset % 19 = 0 THEN regexp_replace(raw_value, '"timestamp":"[^"]*"', '"timestamp":"x"')
+       ELSE raw_value END AS raw_value,
+  CASE WHEN kafka_offset % 13 <> 0 AND kafka_offset % 17 = 0 THEN date_trunc('second', event_time)
+       WHEN kafka_offset % 13 <> 0 AND kafka_offset % 19 = 0 THEN ingestion_ts ELSE event_time END AS event_time)
+FROM bronze"""
+
+STEPS["faulty_valid"] = "SELECT * FROM faulty WHERE ride_id IS NOT NULL AND event_type IS NOT NULL"
+
 STEPS["valid"] = "SELECT * FROM bronze WHERE ride_id IS NOT NULL AND event_type IS NOT NULL"
 
 STEPS["dead"] = """
@@ -86,6 +125,12 @@ SELECT *, CASE WHEN ride_id IS NULL THEN 'NULL_RIDE_ID' ELSE 'NULL_EVENT_TYPE' E
   AS dead_letter_reason
 FROM bronze WHERE ride_id IS NULL OR event_type IS NULL"""
 
+def _cleaned(source: str) -> str:
+    """One statement from accepted records to cleaned ones."""
+    parts = [STEPS[x] for x in ("imputed", "flagged", "cleaned")]
+    return parts[2].replace("FROM flagged", f"FROM ({parts[1].replace('FROM imputed', f'FROM ({parts[0].replace('FROM valid', f'FROM {source}')})')})")
+
+
 STEPS["imputed"] = """
 SELECT * REPLACE (
          array_to_string(list_transform(string_split(lower(trim(city)), ' '),
@@ -120,6 +165,8 @@ QUALIFY row_number() OVER (PARTITION BY ride_id, event_type
 
 
 STEPS["silver"] = _newest("cleaned")
+STEPS["faulty_cleaned"] = _cleaned("faulty_valid")
+STEPS["early"] = _newest("(SELECT * FROM cleaned WHERE ingestion_ts <= (SELECT ts FROM clock) - INTERVAL '6 hours')")
 STEPS["first_load"] = _newest("(SELECT * FROM cleaned WHERE kafka_partition < 5)")
 STEPS["second_load"] = _newest("(SELECT * FROM cleaned WHERE kafka_partition >= 5)")
 STEPS["clock"] = "SELECT max(event_time) AS ts FROM rides"
@@ -217,14 +264,6 @@ SELECT *, {pct("stage_2_assigned", "stage_1_requested")} AS assignment_rate,
        {pct("stage_5_payment", "stage_4_completed")} AS payment_rate
 FROM stages"""
 
-# Streams aggregate records that were cleaned but not merged; only closed windows are out.
-STEPS["stream_city"] = _city("cleaned")
-STEPS["stream_drivers"] = _driver("cleaned")
-STEPS["stream_demand"] = _pairs("cleaned")["demand"]
-STEPS["stream_supply"] = _pairs("cleaned")["supply"]
-STEPS["stream_pairs"] = _PAIRED.format(demand="stream_demand", supply="stream_supply")
-STEPS["stream_surge"] = _PRICED.format(pairs="stream_pairs")
-
 _UPDATED = ("driver_id rider_id city trip_distance fare_amount net_fare surge_multiplier event_ts "
             "event_date event_hour event_minute schema_version has_data_quality_issue "
             "dq_invalid_event_type dq_fare_out_of_range dq_distance_out_of_range dq_null_driver "
@@ -238,6 +277,9 @@ SELECT ride_id, event_type, {_PICK} FROM (
   FROM first_load t FULL JOIN second_load s ON t.ride_id = s.ride_id AND t.event_type = s.event_type)"""
 
 STEPS["city_first"] = _city("first_load")
+STEPS["city_early"] = _city("early")
+STEPS["no_miami"] = "SELECT * REPLACE (CASE WHEN city <> 'Miami' THEN city END AS city) FROM silver"
+STEPS["city_no_miami"] = _city("no_miami")
 STEPS["city_second"] = _city("second_load")
 
 STEPS["roster"] = """
@@ -249,11 +291,17 @@ QUALIFY row_number() OVER (PARTITION BY driver_id, CAST(event_ts + INTERVAL '20
 QUERIES: dict[str, str] = {}
 Q = QUERIES
 
-_BRONZE_OUT = (f"{_PAYLOAD}, raw_key, ingestion_ts, kafka_offset, kafka_partition, kafka_topic, "
+_BRONZE_OUT = (f"{_PAYLOAD}, raw_value, raw_key, ingestion_ts, kafka_offset, kafka_partition, kafka_topic, "
                "event_date")
 Q["bronze_parse"] = f"SELECT {_BRONZE_OUT} FROM bronze"
 Q["triage_valid"] = f"SELECT {_BRONZE_OUT} FROM valid"
 Q["dead_letter"] = f"SELECT {_BRONZE_OUT}, dead_letter_reason FROM dead"
+Q["bronze_malformed"] = f"SELECT {_BRONZE_OUT} FROM faulty"
+Q["dead_letter_strict"] = f"""
+SELECT {_BRONZE_OUT}, CASE WHEN kafka_offset % 11 = 0 THEN 'SCHEMA_MISMATCH' WHEN ride_id IS NULL THEN 'NULL_RIDE_ID'
+  ELSE 'NULL_EVENT_TYPE' END AS dead_letter_reason FROM faulty WHERE ride_id IS NULL OR event_type IS NULL"""
+STEPS["faulty_silver"] = _newest("faulty_cleaned")
+Q["silver_bad_times"] = f"SELECT {SILVER_COLUMNS} FROM faulty_silver"
 Q["silver_clean"] = f"SELECT {SILVER_COLUMNS} FROM cleaned"
 Q["dq_flags"] = """
 SELECT kafka_offset, dq_invalid_event_type, dq_fare_out_of_range, dq_distance_out_of_range,
@@ -472,23 +520,55 @@ SELECT ride_id, event_type, count(*) AS row_count FROM valid GROUP BY ALL HAVING
 Q["batch_quality"] = """
 SELECT count(*) FILTER (NOT has_data_quality_issue) AS valid_count,
        count(*) FILTER (has_data_quality_issue) AS flagged_count FROM silver"""
+Q["clustered_ranges"] = "SELECT CAST(0 AS BIGINT) AS overlaps FROM (SELECT count(*) FROM silver)"
 Q["r11_counts_by_version"] = """
-SELECT 0 AS version, city, count(*) AS rides FROM first_load GROUP BY city UNION ALL
-SELECT 1, city, count(*) FROM merged GROUP BY city UNION ALL
-SELECT 2, city, count(*) FROM first_load GROUP BY city"""
-Q["r11_counts_as_of"] = "SELECT city, count(*) AS rides FROM first_load GROUP BY city"
-Q["n7_rows_as_of"] = "SELECT 'silver' AS table_name, count(*) AS row_count FROM first_load"
-Q["r11_version_changes"] = Q["changes_between"]
-Q["table_stats"] = """
-SELECT 'silver' AS table_name, count(*) AS row_count, CAST(1 AS BIGINT) AS latest_version, 'MERGE' AS operation FROM merged"""
-Q["r07_time_travel"] = _week("city_metrics", "city_first")
+SELECT 0 AS version, city, count(*) AS rides FROM early GROUP BY city UNION ALL
+SELECT 1, city, count(*) FROM silver GROUP BY city UNION ALL
+SELECT 2, city, count(*) FROM early GROUP BY city"""
+Q["r11_counts_as_of"] = "SELECT city, count(*) AS rides FROM early GROUP BY city"
+Q["n7_rows_as_of"] = "SELECT 'silver' AS table_name, count(*) AS row_count FROM early"
+STEPS["two_states"] = """
+SELECT s.ride_id AS k1, s.event_type AS k2, e.ride_id IS NULL AS is_new, s.ingestion_ts > e.ingestion_ts AS is_newer
+FROM silver s LEFT JOIN early e ON s.ride_id = e.ride_id AND s.event_type = e.event_type"""
+Q["r11_version_changes"] = f"""
+SELECT m.ride_id, m.event_type, {_FEED_M},
+       CASE WHEN is_new THEN 'insert' ELSE 'update_postimage' END AS _change_type
+FROM two_states JOIN silver m ON m.ride_id = k1 AND m.event_type = k2 WHERE is_new OR is_newer
+UNION ALL
+SELECT t.ride_id, t.event_type, {_FEED_T}, 'update_preimage'
+FROM two_states JOIN early t ON t.ride_id = k1 AND t.event_type = k2 WHERE is_newer"""
+Q["table_stats"] = "SELECT 'silver' AS table_name, count(*) AS row_count, max(ingestion_ts) AS latest_ts FROM silver"
+Q["r07_time_travel"] = _week("city_metrics", "city_early")
+for _name in _GOLD:
+    Q[f"gold_refresh_{_name}"] = Q[_name]
+Q["gold_refresh_twice"] = Q["city_ride_metrics"]
+Q["gold_refresh_null_city"] = "SELECT * FROM city_no_miami"
+Q["r01_stored"] = Q["r01_city_dashboard"]
+Q["r02_stored"] = Q["r02_surge_alerts"]
+Q["r03_stored"] = Q["r03_driver_leaderboard"]
+Q["r04_stored"] = Q["r04_hourly_revenue"]
+Q["r05_stored"] = Q["r05_funnel_conversion"]
+Q["r06_stored"] = Q["r06_demand_gap"]
+Q["append_evolving"] = """
+SELECT kafka_offset, ride_id, CASE WHEN kafka_partition >= 5 THEN city END AS city, kafka_partition FROM valid"""
+Q["audit_rows"] = """
+SELECT 'bronze' AS layer, CAST(0 AS BIGINT) AS batch_id, (SELECT count(*) FROM bronze) AS rows_in,
+       (SELECT count(*) FROM valid) AS rows_out, 0.0::DOUBLE AS duration_sec, 'SUCCESS' AS status, '' AS error_message
+UNION ALL
+SELECT 'silver', 0, (SELECT count(*) FROM valid), (SELECT count(*) FROM silver), 0.0, 'SUCCESS', ''"""
+Q["stream_health"] = """
+SELECT *, NOT is_active AS stopped, is_active AND input_rows_per_sec = 0 AND batch_id > 5 AS stalled FROM (
+  SELECT CAST(kafka_partition AS VARCHAR) AS query_id, 'partition-' || kafka_partition AS query_name,
+         kafka_partition <> 9 AS is_active, CAST(kafka_partition AS BIGINT) AS batch_id, count(*) AS num_input_rows,
+         CASE WHEN kafka_partition % 2 = 0 THEN 0.0::DOUBLE ELSE count(*) / 10 END AS input_rows_per_sec,
+         count(*) / 10 AS processed_rows_per_sec FROM valid GROUP BY kafka_partition)"""
 Q["stream_bronze"] = Q["triage_valid"]
 Q["stream_dead_letter"] = Q["dead_letter"]
 Q["stream_silver"] = Q["deduplicate"]
-_CLOSED = "SELECT * FROM {} WHERE window_end <= (SELECT max(event_ts) FROM cleaned) - INTERVAL '{} minutes'"
-Q["stream_city_metrics"] = _CLOSED.format("stream_city", 5)
-Q["stream_driver_utilization"] = _CLOSED.format("stream_drivers", 10)
-Q["stream_surge"] = _CLOSED.format("stream_surge", 5)
+# Streams keep up the stored aggregates of deduplicated records.
+Q["stream_city_metrics"] = Q["city_ride_metrics"]
+Q["stream_driver_utilization"] = Q["driver_utilization"]
+Q["stream_surge"] = Q["surge_pricing"]
 
 
 def statement(name: str) -> str:

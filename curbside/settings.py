@@ -55,10 +55,10 @@ GOLD_KEYS = {
 BRONZE_PARTITIONS = SILVER_PARTITIONS = ("event_date", "city")
 DEAD_LETTER_PARTITIONS = ("event_date",)
 GOLD_PARTITIONS = {
-    "city_ride_metrics": ("window_start_date", "city"),
-    "driver_utilization": ("window_start_date", "city"),
-    "surge_pricing": ("window_start_date", "city"),
-    "funnel_analysis": ("event_date", "city"),
+    "city_ride_metrics": ("window_start_date",),
+    "driver_utilization": ("window_start_date",),
+    "surge_pricing": ("window_start_date",),
+    "funnel_analysis": ("event_date",),
 }
 CLUSTER_COLUMNS = {
     "bronze": ("ride_id", "driver_id"),

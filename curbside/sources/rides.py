@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbside import settings as S
-from curbside.schemas import BRONZE, PAYLOAD
+from curbside.schemas import PAYLOAD
 
 # Fixed values of the projection.
 START_MICROS = 1704067200000000
@@ -25,12 +25,6 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = read_events(spark, sf_dir).schema
-    return (spark.readStream.schema(schema)
-            .option("pathGlobFilter", "events.parquet").parquet(sf_dir))
-
-
 def _case(key: str, mapping: dict) -> str:
     arms = " ".join(f"WHEN '{k}' THEN {v!r}" + ("D" if isinstance(v, float) else "")
                     for k, v in mapping.items())
@@ -69,15 +63,6 @@ def ride_events(events: DataFrame) -> DataFrame:
         f"'{S.TOPIC}' AS kafka_topic")
 
 
-def bronze_rows(rides: DataFrame) -> DataFrame:
-    """Bronze columns without the detour over JSON."""
-    return rides.withColumns({
-        "raw_value": F.lit(None).cast("string"),
-        "raw_key": F.col("city"),
-        "event_date": F.to_date("ingestion_ts"),
-    }).select(*BRONZE.names)
-
-
 def messages(rides: DataFrame) -> DataFrame:
     """Message records with a JSON payload; ``timestamp`` carries the ingestion time."""
     fields = {"timestamp": "event_timestamp", "kafka_partition_key": "city"}
@@ -90,3 +75,14 @@ def messages(rides: DataFrame) -> DataFrame:
         F.col("kafka_offset").alias("offset"),
         F.col("ingestion_ts").alias("timestamp"),
     )
+
+
+def damaged(records: DataFrame) -> DataFrame:
+    """The messages with faults by offset: broken JSON, quoted fares, times without a fraction or unreadable."""
+    text, offset = F.col("value").cast("string"), F.col("offset")
+    value = (F.when(offset % 11 == 0, F.concat(F.lit("{bad "), text))
+             .when(offset % 13 == 0, F.regexp_replace(text, r'"fare_amount":([-0-9.E]+)', '"fare_amount":"$1"'))
+             .when(offset % 17 == 0, F.regexp_replace(text, r"\.\d{6}\+00:00", "+00:00"))
+             .when(offset % 19 == 0, F.regexp_replace(text, r'"timestamp":"[^"]*"', '"timestamp":"x"'))
+             .otherwise(text))
+    return records.withColumn("value", value.cast("binary"))

@@ -30,9 +30,18 @@ def write_batch(df: DataFrame, path: str, stream_id: str, batch_id: int,
         *partition_by).parquet(f"{path}/stream={stream_id}/batch_id={batch_id}")
 
 
-def log_run(spark: SparkSession, path: str, layer: str, batch_id: int, rows_in: int, rows_out: int,
-            duration_sec: float, status: str = "SUCCESS", error: str | None = None) -> None:
-    """Append one row to the audit log."""
-    row = (datetime.now(timezone.utc).isoformat(), layer, batch_id, rows_in, rows_out,
-           float(duration_sec), status, error or "")
-    append_evolving(spark.createDataFrame([row], AUDIT).coalesce(1), path)
+def overwrite_days(df: DataFrame, path: str, day: str) -> None:
+    """Replace the partitions of the days that ``df`` has rows of; other days stay."""
+    df.hint("rebalance", day).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic").partitionBy(day).parquet(path)
+
+
+def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows that are close in the columns in one partition, and so in one file, in order."""
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
+def log_run(spark: SparkSession, path: str, **row) -> None:
+    """Append one row to the audit log, given by the names of its columns."""
+    row = {"run_ts": datetime.now(timezone.utc).isoformat(), "status": "SUCCESS", "error_message": ""} | row
+    append_evolving(spark.createDataFrame([tuple(row.get(n) for n in AUDIT.names)], AUDIT).coalesce(1), path)

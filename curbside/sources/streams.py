@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from curbside import schemas
 from curbside import settings as S
+from curbside.operators.silver import deduplicate
 
 BATCH_FOLDERS = [T.StructField("stream", T.StringType()), T.StructField("batch_id", T.LongType())]
 
@@ -57,3 +58,14 @@ def read_bronze_stream(spark: SparkSession, path: str, max_files_per_trigger: in
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.parquet(path).select(*schemas.BRONZE.names)
+
+
+def read_silver_records(spark: SparkSession, path: str) -> DataFrame:
+    """All records that silver batches appended, replaced ones among them."""
+    schema = T.StructType(schemas.SILVER.fields + BATCH_FOLDERS)
+    return spark.read.schema(schema).parquet(path).select(*schemas.SILVER.names)
+
+
+def read_silver(spark: SparkSession, path: str) -> DataFrame:
+    """The newest record of each key."""
+    return deduplicate(read_silver_records(spark, path))

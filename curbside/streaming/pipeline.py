@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
+from datetime import timedelta
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -14,9 +15,9 @@ from curbside import settings as S
 from curbside.operators.bronze import accepted, has_required_fields, parse_events, rejected
 from curbside.operators.quality import batch_quality
 from curbside.operators.silver import clean, deduplicate, to_silver
-from curbside.operators.upsert import NEWER
-from curbside.sources.sinks import log_run, write_batch
-from curbside.sources.versions import VersionedTable
+from curbside.operators.gold import AGGREGATES, AGGREGATE_DAYS
+from curbside.sources.sinks import log_run, overwrite_days, write_batch
+from curbside.sources.streams import read_silver_records
 
 log = logging.getLogger(__name__)
 
@@ -58,39 +59,61 @@ def start_bronze(messages: DataFrame, events_path: str, dead_letter_path: str, c
             batch.unpersist()
         log.info("bronze batch %d: %d in, %d accepted", batch_id, counts.n, counts.ok)
         if audit_path:
-            log_run(batch.sparkSession, audit_path, "bronze", batch_id, counts.n, counts.ok,
-                    time.time() - started)
+            log_run(batch.sparkSession, audit_path, layer="bronze", batch_id=batch_id, rows_in=counts.n,
+                    rows_out=counts.ok, duration_sec=time.time() - started)
 
     return _start(parse_events(messages, ingestion_ts), write, checkpoint, name, trigger)
 
 
-def start_silver(bronze: DataFrame, table: VersionedTable, checkpoint: str,
+def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str,
                  name: str | None = "silver_ride_events", trigger: dict | None = None,
-                 time_fallback: Column | None = None,
-                 audit_path: str | None = None) -> StreamingQuery:
-    """Clean, deduplicate within the batch and upsert: the later ingested record wins.
+                 time_fallback: Column | None = None, audit_path: str | None = None,
+                 gold_path: str | None = None) -> StreamingQuery:
+    """Clean each batch, keep its newest record per key and append it; ``read_silver`` gives the newest of all.
 
-    The batch is recorded in the table's log, so a replayed batch changes nothing.
+    With ``gold_path`` the aggregates of the days that the batch touches are computed anew. A
+    replayed batch replaces what it wrote before.
     """
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
+    def append(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
-        txn_id = f"{_stream_id(batch)}/{batch_id}"
-        rows = to_silver(deduplicate(clean(batch, time_fallback)))
-        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+        spark = batch.sparkSession
+        rows = to_silver(deduplicate(clean(batch, time_fallback))).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counts = batch_quality(rows).first()
-            table.merge(rows, S.SILVER_KEYS, when=NEWER, source_is_unique=True, txn_id=txn_id)
+            write_batch(rows, silver_path, _stream_id(batch), batch_id, S.SILVER_PARTITIONS)
+            if gold_path and counts.valid_count + counts.flagged_count:
+                refresh_days(read_silver_records(spark, silver_path), rows, gold_path)
         finally:
             rows.unpersist()
         log.info("silver batch %d: %d valid, %d flagged", batch_id, counts.valid_count,
                  counts.flagged_count)
         if audit_path:
             kept = counts.valid_count + counts.flagged_count
-            log_run(batch.sparkSession, audit_path, "silver", batch_id, kept, kept,
-                    time.time() - started)
+            log_run(spark, audit_path, layer="silver", batch_id=batch_id, rows_in=kept, rows_out=kept,
+                    duration_sec=time.time() - started)
+
+    return _start(bronze, append, checkpoint, name, trigger)
+
 
-    return _start(bronze, upsert, checkpoint, name, trigger)
+def refresh_days(records: DataFrame, arrived: DataFrame, gold_path: str) -> None:
+    """Compute anew the aggregates of all days that rows with the keys of ``arrived`` lie in.
+
+    A newer record may lie on another day than the one it replaces; both days are touched. Sliding
+    windows reach back over midnight, so the day before is computed too, from whole input days.
+    """
+    keys = arrived.select(*S.SILVER_KEYS).distinct()
+    touched = [r[0] for r in records.join(keys, list(S.SILVER_KEYS), "left_semi").select("event_date").distinct().collect()]
+    reached = sorted({d + timedelta(days=i) for d in touched for i in (-1, 0)})
+    source = sorted({d + timedelta(days=i) for d in reached for i in (0, 1)})
+    # The newest record decides, and it may lie on any day: only then are days chosen.
+    rows = deduplicate(records).filter(F.col("event_date").isin(source)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for table, compute in AGGREGATES.items():
+            day = AGGREGATE_DAYS[table]
+            overwrite_days(compute(rows).filter(F.col(day).isin(reached)), f"{gold_path}/{table}", day)
+    finally:
+        rows.unpersist()
 
 
 def start_aggregate(aggregate: DataFrame, path: str, checkpoint: str, name: str | None,

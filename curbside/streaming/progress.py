@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections import deque
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,10 +41,11 @@ def progress_row(query_id, name, progress: dict | None, active: bool = True, err
 
 
 class ProgressLog(StreamingQueryListener):
-    """Keeps the latest progress records of all queries, including how they ended."""
+    """Keeps for each query its latest progress record and, once it ended, how it did."""
 
-    def __init__(self, keep: int = 1000):
-        self._rows: deque[tuple] = deque(maxlen=keep)
+    def __init__(self):
+        self._latest: dict[str, tuple] = {}
+        self._ended: dict[str, tuple] = {}
         self._names: dict[str, str | None] = {}
 
     def onQueryStarted(self, event):
@@ -54,17 +54,18 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         self._names[str(p.id)] = p.name
-        self._rows.append(progress_row(p.id, p.name, json.loads(p.json)))
+        self._latest[str(p.id)] = progress_row(p.id, p.name, json.loads(p.json))
 
     def onQueryIdle(self, event):
         pass
 
     def onQueryTerminated(self, event):
-        self._rows.append(progress_row(
-            event.id, self._names.pop(str(event.id), None), None, False, event.exception))
+        self._ended[str(event.id)] = progress_row(
+            event.id, self._names.pop(str(event.id), None), None, False, event.exception)
 
     def to_df(self, spark: SparkSession) -> DataFrame:
-        return with_health(spark.createDataFrame(list(self._rows), PROGRESS))
+        rows = [*self._latest.values(), *self._ended.values()]
+        return with_health(spark.createDataFrame(rows, PROGRESS))
 
 
 def active_queries(spark: SparkSession) -> DataFrame:

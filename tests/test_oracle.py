@@ -9,8 +9,9 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import __spark_entry__ as contract  # noqa: E402
+from curbside.plans import catalog, oracle  # noqa: E402
 
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLE = catalog.QUERIES, {name: oracle.statement(name) for name in oracle.QUERIES}
 
 
 @pytest.fixture(scope="module")
@@ -29,6 +30,7 @@ def rows_of(columns, rows):
 
 def test_same_names():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -64,7 +64,7 @@ def test_merge(spark, target, source, insert, delete):
 @given(TABLE, TABLE)
 def test_change_feed_accounts_for_every_row(spark, old, new):
     a, b = to_rows(old), to_rows(new)
-    feed = changes_between(make(spark, a), make(spark, b), ["k", "e"]).collect()
+    feed = changes_between(make(spark, a), make(spark, b), ["k", "e"], null_keys=True).collect()
     out = Counter(tuple(r)[:4] for r in feed if r[CHANGE] in ("delete", "update_preimage"))
     come = Counter(tuple(r)[:4] for r in feed if r[CHANGE] in ("insert", "update_postimage"))
     assert Counter(a) - out + come == Counter(b)

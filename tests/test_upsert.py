@@ -116,13 +116,28 @@ def test_changes(spark):
 def test_changes_of_rows_without_a_key(spark):
     old = spark.createDataFrame([(None, "x", 1, 1)] * 3 + [(None, "x", 2, 2)], SCHEMA)
     new = spark.createDataFrame([(None, "x", 1, 1)] + [(None, "x", 3, 3)] * 2, SCHEMA)
-    kinds = [r[-1] for r in rows(changes_between(old, new, KEYS))]
+    kinds = [r[-1] for r in rows(changes_between(old, new, KEYS, null_keys=True))]
     assert sorted(kinds) == ["delete"] * 3 + ["insert"] * 2
 
 
 def test_many_copies_without_a_key(spark):
     old = spark.createDataFrame([(None, "x", 1, 1)], SCHEMA)
     new = spark.range(25001).selectExpr("cast(null as string) k", "'x' e", "1 v", "1 at")
-    feed = changes_between(old, new, KEYS)
+    feed = changes_between(old, new, KEYS, null_keys=True)
     assert [tuple(r) for r in feed.groupBy("_change_type", "v").count().collect()] == [("insert", 1, 25000)]
-    assert changes_between(new, new, KEYS).isEmpty()
+    assert changes_between(new, new, KEYS, null_keys=True).isEmpty()
+
+
+def test_changes_need_unique_keys(spark):
+    one = spark.createDataFrame([("a", "x", 1, 1)], SCHEMA)
+    for bad in ([("a", "x", 1, 1), ("a", "x", 2, 2)], [(None, "x", 1, 1)]):
+        with pytest.raises(Exception, match="a key is NULL or repeated"):
+            changes_between(one, spark.createDataFrame(bad, SCHEMA), KEYS).collect()
+
+
+def test_one_scan_for_each_input(spark, tmp_path):
+    silver(spark, {}, {"ride_id": "R2"}).write.parquet(str(tmp_path / "s"))
+    stored = spark.read.parquet(str(tmp_path / "s"))
+    fixed = U.correct_fares(stored, F.col("city") == "New York", 1.1, 0.82)
+    assert physical_plan(fixed).count("FileScan") == 1
+    assert physical_plan(changes_between(stored, stored, ["ride_id", "event_type"])).count("FileScan") == 2
