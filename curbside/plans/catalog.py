@@ -111,19 +111,19 @@ class Inputs:
             ingestion_ts=F.col("timestamp")).awaitTermination()
         return paths
 
-    def run_silver(self, gold_path: str | None = None) -> str:
+    def run_silver(self, gold_path: str | None = None, *tables: str) -> str:
         """The folder of silver records; with ``gold_path`` the aggregates are kept up with them."""
         events, _ = self.run_bronze()
         root = self.folder("silver")
         pipeline.start_silver(
             read_bronze_stream(self.spark, events, max_files_per_trigger=8), f"{root}/records",
             f"{root}/checkpoint", name=None, trigger=ONCE, time_fallback=F.col("ingestion_ts"),
-            gold_path=gold_path).awaitTermination()
+            gold_path=gold_path, gold_tables=tables).awaitTermination()
         return f"{root}/records"
 
     def run_aggregate(self, name: str) -> DataFrame:
         root = self.folder("gold")
-        self.run_silver(root)
+        self.run_silver(root, name)
         return read_gold(self.spark, root, name)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 import time
+from collections.abc import Sequence
 from datetime import timedelta
 
 from pyspark import StorageLevel
@@ -68,7 +69,7 @@ def start_bronze(messages: DataFrame, events_path: str, dead_letter_path: str, c
 def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str,
                  name: str | None = "silver_ride_events", trigger: dict | None = None,
                  time_fallback: Column | None = None, audit_path: str | None = None,
-                 gold_path: str | None = None) -> StreamingQuery:
+                 gold_path: str | None = None, gold_tables: Sequence[str] = tuple(AGGREGATES)) -> StreamingQuery:
     """Clean each batch, keep its newest record per key and append it; ``read_silver`` gives the newest of all.
 
     With ``gold_path`` the aggregates of the days that the batch touches are computed anew. A
@@ -83,7 +84,7 @@ def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str,
             counts = batch_quality(rows).first()
             write_batch(rows, silver_path, _stream_id(batch), batch_id, S.SILVER_PARTITIONS)
             if gold_path and counts.valid_count + counts.flagged_count:
-                refresh_days(read_silver_records(spark, silver_path), rows, gold_path)
+                refresh_days(read_silver_records(spark, silver_path), rows, gold_path, gold_tables)
         finally:
             rows.unpersist()
         log.info("silver batch %d: %d valid, %d flagged", batch_id, counts.valid_count,
@@ -96,7 +97,8 @@ def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str,
     return _start(bronze, append, checkpoint, name, trigger)
 
 
-def refresh_days(records: DataFrame, arrived: DataFrame, gold_path: str) -> None:
+def refresh_days(records: DataFrame, arrived: DataFrame, gold_path: str,
+                 tables: Sequence[str] = tuple(AGGREGATES)) -> None:
     """Compute anew the aggregates of all days that rows with the keys of ``arrived`` lie in.
 
     A newer record may lie on another day than the one it replaces; both days are touched. Sliding
@@ -109,9 +111,9 @@ def refresh_days(records: DataFrame, arrived: DataFrame, gold_path: str) -> None
     # The newest record decides, and it may lie on any day: only then are days chosen.
     rows = deduplicate(records).filter(F.col("event_date").isin(source)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for table, compute in AGGREGATES.items():
+        for table in tables:
             day = AGGREGATE_DAYS[table]
-            overwrite_days(compute(rows).filter(F.col(day).isin(reached)), f"{gold_path}/{table}", day)
+            overwrite_days(AGGREGATES[table](rows).filter(F.col(day).isin(reached)), f"{gold_path}/{table}", day)
     finally:
         rows.unpersist()
 

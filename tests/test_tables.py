@@ -158,10 +158,6 @@ def test_shared_folder(spark):
     a, b = shared_folder(spark, "x"), shared_folder(spark, "x")
     assert a.startswith(f"{base}/x-") and a != b
 
-    class Conf(dict):
-        get = dict.get
-
     class Cluster:
-        conf = Conf({"spark.master": "yarn"})
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(Cluster(), "x")
+        conf = {"spark.sql.warehouse.dir": "hdfs:/warehouse/"}
+    assert shared_folder(Cluster(), "x").startswith("hdfs:/warehouse/_shared/x-")
