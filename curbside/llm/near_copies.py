@@ -2,8 +2,9 @@
 
 Every tree sorts the documents by a signature of its own. Neighbours in a tree whose signatures
 begin alike are candidates, and so is the first document of every region with a common beginning.
-Links are confirmed on the full sets of shingles. Regions that then still hold several components
-are compared across these, at the smallest depth at which a region is of moderate size.
+Links are confirmed on the full sets of shingles. Some trees do for most links; then the regions of
+all trees that still hold several components are compared across these, at the smallest depth at
+which a region is of moderate size.
 """
 
 from __future__ import annotations
@@ -23,8 +24,10 @@ from curbside.llm.words import window_hashes, word_hashes
 TREES, DEPTH = 16, 6
 #: Signatures must begin alike in so many values.
 LEAST_DEPTH = 2
+#: Trees whose neighbours are compared at once; the others serve where components are left apart.
+FIRST_TREES = 6
 #: Neighbours on either side, and the depths of regions whose first document is a candidate for all.
-NEIGHBOURS, PIVOTS = 2, (2, 3, 4, 6)
+NEIGHBOURS, PIVOTS = 1, (2,)
 #: Regions of more rows are looked at one level deeper.
 REGION = 128
 #: Partners that a document is compared with in one task.
@@ -247,7 +250,7 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, ident: str =
     crowd = stored(crowd, "trees")
     ids = heads.select("doc", "row").join(crowd.select("doc").distinct(), "doc", "left_semi")
     texts = stored(own.join(ids, ["doc", "row"], "left_semi").select("doc", "text").dropDuplicates(["doc"]), "candidates")
-    links = stored(confirmed(forest_pairs(crowd, percent), texts, percent, words), "confirmed")
+    links = stored(confirmed(forest_pairs(crowd.where(F.col("tree") < FIRST_TREES), percent), texts, percent, words), "confirmed")
     labels = components(links)
     more = stored(confirmed(cross_pairs(crowd, labels, percent), texts, percent, words), "confirmed")
     # Rows of one document may have different sets.
