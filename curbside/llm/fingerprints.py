@@ -8,6 +8,8 @@ a bin by chance once in 256 times, which the likeness is corrected for.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,8 +88,8 @@ def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text", wor
     return docs.select(F.col(ident).alias("doc_id"), packed(low_bits(F.col(text).cast("string"), words)).alias("fingerprint"))
 
 
-def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
-    """Rows of (doc, row, ...) with ``next``, a struct of the columns of the row after each; the first after the last.
+def with_next(rows: DataFrame, columns: list[str], describe: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Described rows of (doc, row, ...) with ``next``, a struct of the columns of the row after each; the first after the last.
 
     Rows are dealt out by ranges of ids, four for each partition, and each range is ordered by itself. A range's last row is
     joined with the first row of the next range.
@@ -95,12 +97,12 @@ def with_next(rows: DataFrame, columns: list[str]) -> DataFrame:
     n = 4 * partitions(rows)
     cuts = rows.agg(F.percentile_approx("doc", [i / n for i in range(1, n)], 10 * n + 1000)).first()[0] or []
     cuts = sorted(set(cuts))
-    spread = rows.withColumn("range", F.size(F.filter(F.lit(cuts), lambda x: x < F.col("doc"))) if cuts else F.lit(0))
+    spread = describe(rows).withColumn("range", F.size(F.filter(F.lit(cuts), lambda x: x < F.col("doc"))) if cuts else F.lit(0))
     # One row for each range.
-    firsts = sorted(spread.groupBy("range").agg(F.min(F.struct("doc", "row")).alias("x")).select("range", "x.doc", "x.row").collect())
+    firsts = sorted(spread.select("range", "doc", "row").groupBy("range").agg(F.min(F.struct("doc", "row")).alias("x")).select("range", "x.doc", "x.row").collect())
     after = [(a[0], b[1], b[2]) for a, b in zip(firsts, firsts[1:] + firsts[:1])]
     edges = rows.sparkSession.createDataFrame(after, "range int, doc long, row long")
-    heads = (rows.join(F.broadcast(edges), ["doc", "row"]).groupBy("range")
+    heads = (describe(rows.join(F.broadcast(edges), ["doc", "row"])).groupBy("range")
              .agg(F.first(F.struct(*columns)).alias("head")))
     order = Window.partitionBy("range").orderBy("doc", "row")
     return (spread.withColumn("after", F.lead(F.struct(*columns)).over(order)).join(heads, "range")
@@ -116,10 +118,10 @@ def edited_fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "tex
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(ident).alias("doc_id"), doc_of(ident).alias("doc"), row_of(ident, text).alias("row"),
-                       whole.alias("text")).withColumn("bits", low_bits(F.col("text")))
+                       whole.alias("text"))
     n = F.length("text")
     cut = F.floor(n / 4).cast("int")
-    both = with_next(rows, ["text", "bits"]).withColumn("edited", F.concat(
+    both = with_next(rows, ["text", "bits"], lambda x: x.withColumn("bits", low_bits(F.col("text")))).withColumn("edited", F.concat(
         F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next.text"), F.lit(1), cut)))
     bits = both.withColumn("edited_bits", low_bits(F.col("edited")))
     return bits.select("doc_id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
