@@ -75,7 +75,8 @@ def stem_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for word in set(text.decode("utf-8", "replace").split()):
                 stems.update(stems_of(word))
             count[toxic == 1].update(stems)
-        stems = list(count[True])  # a stem of clean texts alone is of no use
+        # A stem of this block's clean texts alone may be in toxic texts of others.
+        stems = list(count[True] | count[False])
         yield pa.RecordBatch.from_pydict({
             "stem": pa.array(stems, pa.string()), "toxic": pa.array([count[True][x] for x in stems], pa.int64()),
             "clean": pa.array([count[False][x] for x in stems], pa.int64())})
@@ -168,7 +169,6 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return {f"{x} ": 4.0 for x in LEXICON_OF}, -3.0
-    # The clean texts of blocks without a toxic one are not counted; ratios only rank stems here.
     odds = F.log(((F.col("toxic") + 0.2) / (toxic + 0.4)) / ((F.col("clean") + 0.2) / (clean + 0.4)))
     best = (counted.withColumn("odds", odds).where(f"odds > 1.5 and toxic >= {min(4, max(1, toxic // 20))}")
             .orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "stem").limit(FEATURES).collect())

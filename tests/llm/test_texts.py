@@ -16,6 +16,7 @@ from curbside.llm.near_copies import near_copies
 from curbside.llm.rows import reach_workers
 from curbside.llm.substrings import substring_dedup
 from curbside.llm.suffixes import suffix_dedup
+from curbside.llm.toxicity import train
 from curbside.llm.words import LONGEST, levels, window_hashes, word_hashes
 from curbside.llm.decontamination import benchmark_overlaps, decontaminate
 
@@ -235,3 +236,26 @@ def test_decontamination(spark):
     assert decontaminate(docs_of(spark, rows).limit(0), bench).count() == 0
     plan = decontaminate(docs_of(spark, rows), bench)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Arrow|Pandas", plan) and "CartesianProduct" not in plan and zlib
+
+
+def test_toxic_stems_do_not_depend_on_partitions(spark):
+    rng = random.Random(6)
+    common, rare = [f"common{chr(97 + i)}" for i in range(20)], [f"rare{chr(97 + i)}" for i in range(6)]
+    rows, marks = [], []
+    for i in range(80):
+        toxic = i % 5 == 0
+        rows.append((i, " ".join(rng.sample(common, 8) + (rng.sample(rare, 3) if toxic or i % 9 == 0 else []))))
+        marks.append((i, int(toxic)))
+    labels = spark.createDataFrame(marks, "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    cost = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(cost)
+    weights = []
+    try:
+        for parts, each in ((1, before), (80, str(1 << 30))):  # each file is a partition of its own
+            spark.conf.set(cost, each)
+            weights.append(train(docs.repartition(parts, "doc_id"), labels)[0])
+    finally:
+        spark.conf.set(cost, before)
+    assert list(weights[0]) == list(weights[1])
+    assert "rare" in weights[0] and not any(x.startswith("common") for x in weights[0])
