@@ -259,3 +259,27 @@ def test_toxic_stems_do_not_depend_on_partitions(spark):
         spark.conf.set(cost, before)
     assert list(weights[0]) == list(weights[1])
     assert "rare" in weights[0] and not any(x.startswith("common") for x in weights[0])
+
+
+def test_decontamination_at_every_place(spark):
+    items = [(n, " ".join(f"item{n}word{i}" for i in range(n))) for n in (8, 9, 18)]
+    rows, expected = [], {}
+    for n, text in items:
+        for shift in range(4):
+            around = lambda side: " ".join(f"{side}{i}" for i in range(20 + shift))
+            rows.append((100 * n + shift, f"{around('a')} {text} {around('b')}"))
+            expected[100 * n + shift] = (n, min(n, 18))
+    words = items[2][1].split()
+    for i in range(18):  # an item of 18 words, two of which were replaced, is worth 10
+        for j in range(i):
+            text = " ".join("other" if x in (i, j) else word for x, word in enumerate(words))
+            for shift in range(2):
+                at = 10000 + 100 * i + 4 * j + shift
+                rows.append((at, "before " * (3 + shift) + text + " after" * 3))
+                expected[at] = 18
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: r for r in decontaminate(docs_of(spark, rows), bench).collect()}
+    assert {i for i, r in got.items() if not r.contaminated} == set()
+    for i, x in expected.items():
+        assert got[i].item_id == (x if isinstance(x, int) else x[0])
+        assert isinstance(x, int) or got[i].words == x[1]
