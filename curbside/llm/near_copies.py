@@ -3,8 +3,8 @@
 Every tree sorts the documents by a signature of its own. Neighbours in a tree whose signatures
 begin alike are candidates, and so is the first document of every region with a common beginning.
 Links are confirmed on the full sets of shingles. Some trees do for most links; then the regions of
-all trees that still hold several components are compared across these, at the smallest depth at
-which a region is of moderate size.
+all trees that still hold several components are compared across these: small regions as pairs of
+rows, crowded ones in parts of moderate size by whole signatures, of which similar sets share many values.
 """
 
 from __future__ import annotations
@@ -28,8 +28,10 @@ LEAST_DEPTH = 2
 FIRST_TREES = 6
 #: Neighbours on either side, and the depths of regions whose first document is a candidate for all.
 NEIGHBOURS, PIVOTS = 1, (2,)
-#: Regions of more rows are looked at one level deeper.
-REGION = 128
+#: Regions of more rows are compared by signatures, in parts of about PART rows; a task compares so many at once.
+REGION, PART, AT_ONCE = 128, 1024, 512
+#: A pair at the least similarity shares too few values of whole signatures with at most this probability.
+LOST = 1e-9
 #: Partners that a document is compared with in one task.
 PARTNERS = 256
 
@@ -196,28 +198,80 @@ def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> D
             .mapInArrow(linked(percent, words), "a long, b long"))
 
 
-def cross_pairs(trees: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a region, at the least depth at which it has at most REGION rows.
+def least_shared(percent: int) -> int:
+    """So many values of whole signatures are shared by sets of a similarity of ``percent``, by Chernoff's bound."""
+    p, n = percent / 100, TREES * DEPTH
+
+    def lost(k: int) -> float:
+        x = k / n
+        below = x * np.log(x / p) + (1 - x) * np.log((1 - x) / (1 - p)) if 0 < x < p < 1 else 0.0
+        return float(np.exp(-n * below))
+
+    return max((k for k in range(1, n) if lost(k) <= LOST), default=0)
+
+
+def crowded_pairs(percent: int) -> Callable:
+    """Of two parts of a region, or of one, the pairs that may be linked and share no region of an earlier tree."""
+    least = least_shared(percent)
+
+    def find(group: pa.Table) -> pa.Table:
+        group = group.sort_by("doc")
+        tree, p, q = (group.column(x)[0].as_py() for x in ("tree", "p", "q"))
+        part, doc, n, component = (group.column(x).to_numpy() for x in ("part", "doc", "n", "component"))
+        key = np.frombuffer(b"".join(group.column("signature").to_pylist()), ">u4").astype(np.uint32).reshape(len(doc), -1)
+        left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
+        pairs = [np.empty((0, 2), np.int64)]
+        for i in range(0, len(left), AT_ONCE):
+            for j in range(i if p == q else 0, len(right), AT_ONCE):
+                a, b = left[i:i + AT_ONCE], right[j:j + AT_ONCE]
+                fit = component[a, None] != component[b]
+                fit &= similar_sizes(n[a, None], n[b], percent)
+                fit &= doc[a, None] < doc[b] if p == q else doc[a, None] != doc[b]
+                x, y = fit.any(1), fit.any(0)
+                if not x.any():
+                    continue
+                a, b, fit = a[x], b[y], fit[np.ix_(x, y)]
+                shared = np.zeros(fit.shape, np.uint8)
+                for t in range(TREES):
+                    alike = np.ones(fit.shape, bool)
+                    for d in range(DEPTH):
+                        equal = key[a, None, t * DEPTH + d] == key[b, t * DEPTH + d]
+                        shared += equal
+                        if d < LEAST_DEPTH:
+                            alike &= equal
+                    if t < tree:
+                        fit &= ~alike
+                x, y = np.nonzero(fit & (shared >= least))
+                pairs.append(np.sort(np.column_stack([doc[a[x]], doc[b[y]]]), axis=1))
+        both = np.unique(np.concatenate(pairs), axis=0)
+        return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
+
+    return find
 
-    What is left at full depth, where whole signatures of a tree agree, is joined in full.
+
+def cross_pairs(trees: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a region and may be linked.
+
+    Regions of at most REGION rows are joined in full. A larger one is dealt into parts by hash, and
+    each two parts are compared in one task, which passes on the pairs whose signatures share enough.
     """
-    rows = trees.join(labels, trees["doc"] == labels["node"], "left").select(
-        "tree", "key", "doc", "n", F.coalesce("component", "doc").alias("component"))
-    out = None
-    for depth in range(LEAST_DEPTH, DEPTH + 1):
-        own = rows.withColumn("region", F.substring(F.col("key"), F.lit(1), F.lit(4 * depth)))
-        regions = own.groupBy("tree", "region").agg(F.count("*").alias("rows"), F.min("component").alias("x"), F.max("component").alias("y"))
-        mixed = stored(own.join(regions.where("x < y").select("tree", "region", "rows"), ["tree", "region"]), "regions")
-        near = mixed.where(f"rows <= {REGION}").select("tree", "region", "doc", "n", "component")
-        far = mixed.where(f"rows > {REGION}")
-        pairs = joined(near, percent)
-        out = pairs if out is None else out.union(pairs)
-        if far.isEmpty():
-            break
-        rows = far.select("tree", "key", "doc", "n", "component")
-        if depth == DEPTH:
-            out = out.union(joined(far.select("tree", "region", "doc", "n", "component"), percent))
-    return out.distinct()
+    width = 4 * DEPTH
+    own = trees.join(labels, trees["doc"] == labels["node"], "left").select(
+        "tree", "key", F.substring("key", 1, 4 * LEAST_DEPTH).alias("region"), "doc", "n", F.coalesce("component", "doc").alias("component"))
+    regions = own.groupBy("tree", "region").agg(F.count("*").alias("rows"), F.min("component").alias("x"), F.max("component").alias("y"))
+    mixed = stored(own.join(regions.where("x < y").select("tree", "region", "rows"), ["tree", "region"]), "regions")
+    near = joined(mixed.where(f"rows <= {REGION}"), percent)
+    far = mixed.where(f"rows > {REGION}")
+    if far.isEmpty():
+        return near.distinct()
+    # Rows of one document may have different sets: the one that the key belongs to is meant.
+    signed = far.join(sets.select("doc", "signature"), "doc").where(
+        F.col("key") == F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)))
+    parts = F.ceil(F.col("rows") / PART).cast("int")
+    dealt = signed.withColumn("part", F.pmod(F.xxhash64("doc"), parts).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
+            "tree", "region", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "doc", "n", "component", "signature")
+    return near.union(dealt.groupBy("tree", "region", "p", "q").applyInArrow(crowded_pairs(percent), "a long, b long")).distinct()
 
 
 def joined(rows: DataFrame, percent: int) -> DataFrame:
@@ -252,7 +306,7 @@ def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, ident: str =
     texts = stored(own.join(ids, ["doc", "row"], "left_semi").select("doc", "text").dropDuplicates(["doc"]), "candidates")
     links = stored(confirmed(forest_pairs(crowd.where(F.col("tree") < FIRST_TREES), percent), texts, percent, words), "confirmed")
     labels = components(links)
-    more = stored(confirmed(cross_pairs(crowd, labels, percent), texts, percent, words), "confirmed")
+    more = stored(confirmed(cross_pairs(crowd, heads, labels, percent), texts, percent, words), "confirmed")
     # Rows of one document may have different sets.
     sets_of = known.join(nodes.select("digest", F.col("first.doc").alias("node")), "digest").select("doc", "row", "node").distinct()
     split = sets_of.groupBy("doc").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")

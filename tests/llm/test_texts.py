@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from curbside.llm.fingerprints import BINS, edited_fingerprints
 from curbside.llm.graph import components
 from curbside.llm.lines import kept_text, keep_bitmaps, line_dedup
-from curbside.llm.near_copies import near_copies
+from curbside.llm.near_copies import DEPTH, TREES, near_copies, shingle_sets, signature
 from curbside.llm.rows import reach_workers
 from curbside.llm.substrings import substring_dedup
 from curbside.llm.suffixes import suffix_dedup
@@ -283,3 +284,32 @@ def test_decontamination_at_every_place(spark):
     for i, x in expected.items():
         assert got[i].item_id == (x if isinstance(x, int) else x[0])
         assert isinstance(x, int) or got[i].words == x[1]
+
+
+def test_near_copies_of_a_crowded_region(spark):
+    rng = random.Random(12)
+    base = [f"b{i}" for i in range(300)]
+
+    def edited(words, places):
+        return [f"e{rng.randrange(10 ** 9)}" if i in places else x for i, x in enumerate(words)]
+
+    def key(words):
+        return np.frombuffer(signature(shingle_sets([" ".join(words).encode()], 5)[0]), ">u4").reshape(TREES, DEPTH)
+
+    grid = range(5, 290, 6)
+    used = [sorted(rng.sample(grid, 2)) for _ in range(400)]
+    crowd = [edited(base, x) for x in used]
+    keys = [key(x) for x in crowd]
+    rows_of = Counter((t, d, x[t, :d].tobytes()) for x in keys for t in range(TREES) for d in range(2, DEPTH))
+    while True:  # a document linked with a single one of the crowd, their common prefixes short of whole and crowded
+        at = rng.randrange(len(crowd))
+        single = edited(crowd[at], rng.sample([x for x in grid if x not in used[at]], 6))
+        common = np.cumprod(key(single) == keys[at], axis=1).sum(1)
+        if common.max() < DEPTH and all(d < 2 or rows_of[t, d, keys[at][t, :d].tobytes()] > 140 for t, d in enumerate(common)):
+            break
+    apart = [edited(base, rng.sample(grid, 9)) for _ in range(12)]  # in the same regions, linked with nothing
+    rows = [(1000 + i, " ".join(x)) for i, x in enumerate([*crowd, *apart])] + [(5000, " ".join(single))]
+    expected = plain_components(rows, 5)
+    assert expected[5000][1] == 1000 and len({x[1] for x in expected.values()}) > 5
+    got = near_copies(docs_of(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
