@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbside.llm.byte_pairs import byte_pair_round_trip
 from curbside.llm.decontamination import decontaminate
+from curbside.llm.filter_audit import filter_audit
 from curbside.llm.fingerprints import edited_fingerprints
 from curbside.llm.lines import line_dedup
 from curbside.llm.near_copies import near_copies
 from curbside.llm.packing import pack_documents
+from curbside.llm.resampling import resampled
 from curbside.llm.rows import table
 from curbside.llm.substrings import substring_dedup
 from curbside.llm.suffixes import suffix_dedup
@@ -66,8 +69,23 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(table(spark, sf_dir, "pages")).drop("payload")
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_pair_round_trip(table(spark, sf_dir, "documents")).select(
+        "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {x.__name__: x for x in (op1_substring_dedup, op2_toxicity, op3_suffix_dedup, op4_near_copies, op5_packing, op6_token_files,
-                                     op7_decontamination, op8_fingerprints, op9_line_dedup, op10_warc)}
+                                     op7_decontamination, op8_fingerprints, op9_line_dedup, op10_warc, op11_resampling,
+                                     op12_byte_pairs, op13_filter_audit)}
 
 OP1_SQL = r"""
 WITH words AS (
@@ -129,5 +147,37 @@ found AS (SELECT page_id, each.html, n, CASE WHEN page_id < last THEN last END A
 SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
   CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to FROM found"""
 
+OP13_SQL = r"""
+WITH words AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+marks AS (SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+cells AS (
+  SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM (
+    SELECT doc_id, part, [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+      100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text), regexp_matches(text, '[#$%&*|]'),
+      coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)] AS fails FROM words)
+  LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+letters AS (SELECT unnest(range(1, 6)) AS x),
+orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (SELECT o, unnest(range(1, 6)) AS step FROM orders),
+states AS (
+  SELECT part, o, step, o[step] AS own, n, good, toxic, fails[o[step]] AS failing,
+    coalesce(list_bool_or(list_transform(o[1:step - 1], lambda x: fails[x])), false) AS gone,
+    len(list_filter(fails, lambda x: x)) = 1 AS alone FROM cells, steps),
+sums AS (
+  SELECT part, o, step, own, sum(CASE WHEN NOT gone AND NOT failing THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN failing AND NOT gone THEN n ELSE 0 END) AS removed, sum(CASE WHEN failing AND gone THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN failing AND alone THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN failing AND NOT gone THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN failing AND NOT gone THEN toxic ELSE 0 END) AS toxic_lost FROM states GROUP BY ALL)
+SELECT part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x, 1)), '') AS filter_order, CAST(step AS INT) AS step,
+  CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley FROM sums"""
+
 ORACLE_SQL = {"op1_substring_dedup": OP1_SQL, "op3_suffix_dedup": OP1_SQL, "op4_near_copies": OP4_SQL, "op9_line_dedup": OP9_SQL,
-              "op10_warc": OP10_SQL}
+              "op10_warc": OP10_SQL, "op13_filter_audit": OP13_SQL}
