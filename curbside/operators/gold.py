@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbside import settings as S
-from curbside.functions.numeric import exact_sum, mean, mean_of, percent, ratio, total_of
+from curbside.functions.numeric import exact, mean, mean_of, percent, ratio, total_of
 from curbside.schemas import CITY_RIDE_METRICS, DRIVER_UTILIZATION, FUNNEL_ANALYSIS, SURGE_PRICING
 
 
@@ -27,6 +27,10 @@ def _is(event_type: str) -> Column:
     return F.col("event_type") == event_type
 
 
+def _one(condition: Column) -> Column:
+    return F.when(condition, 1).otherwise(0)
+
+
 def _with_window(df: DataFrame) -> DataFrame:
     return df.withColumns({
         "window_start": F.col("win.start"),
@@ -36,32 +40,36 @@ def _with_window(df: DataFrame) -> DataFrame:
     })
 
 
-def city_ride_metrics(silver: DataFrame) -> DataFrame:
-    """Counts, revenue, fares, distances and surge per city and minute."""
+def city_measures() -> dict[str, Column]:
+    """What each record adds to its ride's sums within a window; money and distances as exact decimals."""
     earning = F.col("event_type").isin(S.COMPLETED, S.PAID)
     completed_fare = F.when(_is(S.COMPLETED), F.col("fare_amount"))
-    per_ride = (
-        usable(silver)
-        .withWatermark("event_ts", S.CITY_WATERMARK)
-        .groupBy(F.window("event_ts", S.CITY_WINDOW).alias("win"), "city", "ride_id")
-        .agg(
-            F.count("*").alias("events"),
-            F.count_if(_is(S.COMPLETED)).alias("completed"),
-            F.count_if(_is(S.REQUESTED)).alias("requested"),
-            F.count_if(_is(S.PAID)).alias("paid"),
-            exact_sum(F.when(earning, F.col("fare_amount")).otherwise(0.0)).alias("gross"),
-            exact_sum(F.when(earning, F.col("net_fare")).otherwise(0.0)).alias("net"),
-            exact_sum(completed_fare).alias("fares"),
-            F.count(completed_fare).alias("fares_n"),
-            F.max("fare_amount").alias("fare_hi"),
-            F.min("fare_amount").alias("fare_lo"),
-            exact_sum("trip_distance").alias("km"),
-            F.count("trip_distance").alias("km_n"),
-            exact_sum("surge_multiplier").alias("surge"),
-            F.count("surge_multiplier").alias("surge_n"),
-        )
-    )
-    per_window = per_ride.groupBy("win", "city").agg(
+    return {
+        "events": F.lit(1),
+        "completed": _one(_is(S.COMPLETED)),
+        "requested": _one(_is(S.REQUESTED)),
+        "paid": _one(_is(S.PAID)),
+        "gross": exact(F.when(earning, F.col("fare_amount")).otherwise(0.0)),
+        "net": exact(F.when(earning, F.col("net_fare")).otherwise(0.0)),
+        "fares": exact(completed_fare),
+        "fares_n": _one(completed_fare.isNotNull()),
+        "km": exact("trip_distance"),
+        "km_n": _one(F.col("trip_distance").isNotNull()),
+        "surge": exact("surge_multiplier"),
+        "surge_n": _one(F.col("surge_multiplier").isNotNull()),
+    }
+
+
+def city_rides(records: DataFrame) -> DataFrame:
+    """Sums per window, city and ride, of a batch or of a stream with a watermark."""
+    return records.groupBy(F.window("event_ts", S.CITY_WINDOW).alias("win"), "city", "ride_id").agg(
+        *(F.sum(x).alias(name) for name, x in city_measures().items()),
+        F.max("fare_amount").alias("fare_hi"), F.min("fare_amount").alias("fare_lo"))
+
+
+def city_totals(rides: DataFrame) -> DataFrame:
+    """The measures of a window from those of its rides."""
+    per_window = rides.groupBy("win", "city").agg(
         F.sum("events").alias("total_rides"),
         F.count("ride_id").alias("unique_rides"),
         F.sum("completed").alias("completed_rides"),
@@ -81,23 +89,32 @@ def city_ride_metrics(silver: DataFrame) -> DataFrame:
     return rated.select(*CITY_RIDE_METRICS.names)
 
 
-def driver_utilization(silver: DataFrame) -> DataFrame:
-    """Trips, earnings and score per driver and city over sliding windows."""
-    per_ride = (
-        usable(silver)
-        .filter(F.col("driver_id").isNotNull())
-        .withWatermark("event_ts", S.DRIVER_WATERMARK)
-        .groupBy(F.window("event_ts", S.DRIVER_WINDOW, S.DRIVER_SLIDE).alias("win"),
-                 "driver_id", "city", "ride_id")
-        .agg(
-            F.count_if(_is(S.ASSIGNED)).alias("assigned"),
-            F.count_if(_is(S.COMPLETED)).alias("completed"),
-            exact_sum(F.when(_is(S.PAID), F.col("fare_amount")).otherwise(0.0)).alias("earned"),
-            exact_sum("trip_distance").alias("km"),
-            F.count("trip_distance").alias("km_n"),
-        )
-    )
-    per_window = per_ride.groupBy("win", "driver_id", "city").agg(
+def city_ride_metrics(silver: DataFrame) -> DataFrame:
+    """Counts, revenue, fares, distances and surge per city and minute."""
+    return city_totals(city_rides(usable(silver).withWatermark("event_ts", S.CITY_WATERMARK)))
+
+
+def driver_measures() -> dict[str, Column]:
+    """What each record adds to the sums of its driver's ride within a window."""
+    return {
+        "events": F.lit(1),
+        "assigned": _one(_is(S.ASSIGNED)),
+        "completed": _one(_is(S.COMPLETED)),
+        "earned": exact(F.when(_is(S.PAID), F.col("fare_amount")).otherwise(0.0)),
+        "km": exact("trip_distance"),
+        "km_n": _one(F.col("trip_distance").isNotNull()),
+    }
+
+
+def driver_rides(records: DataFrame) -> DataFrame:
+    """Sums per sliding window, driver, city and ride."""
+    window = F.window("event_ts", S.DRIVER_WINDOW, S.DRIVER_SLIDE).alias("win")
+    return records.groupBy(window, "driver_id", "city", "ride_id").agg(*(F.sum(x).alias(name) for name, x in driver_measures().items()))
+
+
+def driver_totals(rides: DataFrame) -> DataFrame:
+    """The measures of a driver, city and window from those of the rides."""
+    per_window = rides.groupBy("win", "driver_id", "city").agg(
         F.count("ride_id").alias("unique_rides"),
         F.sum("assigned").alias("trips_assigned"),
         F.sum("completed").alias("trips_completed"),
@@ -107,6 +124,12 @@ def driver_utilization(silver: DataFrame) -> DataFrame:
     return score_drivers(_with_window(per_window)).select(*DRIVER_UTILIZATION.names)
 
 
+def driver_utilization(silver: DataFrame) -> DataFrame:
+    """Trips, earnings and score per driver and city over sliding windows."""
+    known = usable(silver).filter(F.col("driver_id").isNotNull())
+    return driver_totals(driver_rides(known.withWatermark("event_ts", S.DRIVER_WATERMARK)))
+
+
 def score_drivers(df: DataFrame) -> DataFrame:
     """Utilisation, earnings per trip and the 0-100 score from counts and earnings."""
     earnings_mark = F.least(
@@ -118,14 +141,14 @@ def score_drivers(df: DataFrame) -> DataFrame:
         F.col("utilization_rate") * S.UTILIZATION_WEIGHT + earnings_mark * S.EARNINGS_WEIGHT, 2))
 
 
+def demand_counts(records: DataFrame) -> DataFrame:
+    """Requests per window and city, of a batch or of a stream with a watermark."""
+    return records.filter(_is(S.REQUESTED)).groupBy(F.window("event_ts", S.SURGE_WINDOW).alias("win"), "city").agg(
+        F.count("*").alias("ride_requests"), mean("surge_multiplier").alias("avg_surge_multiplier"))
+
+
 def surge_demand(silver: DataFrame) -> DataFrame:
-    return (
-        usable(silver).filter(_is(S.REQUESTED))
-        .withWatermark("event_ts", S.SURGE_WATERMARK)
-        .groupBy(F.window("event_ts", S.SURGE_WINDOW).alias("win"), "city")
-        .agg(F.count("*").alias("ride_requests"),
-             mean("surge_multiplier").alias("avg_surge_multiplier"))
-    )
+    return demand_counts(usable(silver).withWatermark("event_ts", S.SURGE_WATERMARK))
 
 
 def surge_supply(silver: DataFrame) -> DataFrame:
@@ -137,6 +160,13 @@ def surge_supply(silver: DataFrame) -> DataFrame:
     )
 
 
+def supply_counts(records: DataFrame) -> DataFrame:
+    """Distinct assigned drivers per window and city in two steps, as streams have no distinct counts."""
+    per_driver = records.filter(_is(S.ASSIGNED)).groupBy(
+        F.window("event_ts", S.SURGE_WINDOW).alias("win"), "city", "driver_id").agg(F.count("*").alias("assignments"))
+    return per_driver.groupBy("win", "city").agg(F.count("driver_id").alias("drivers_active"))
+
+
 def demand_supply_join(silver: DataFrame) -> DataFrame:
     """Demand with its supply, as a join of the two aggregates (batch only).
 
@@ -147,32 +177,45 @@ def demand_supply_join(silver: DataFrame) -> DataFrame:
     return joined.withColumn("drivers_active", F.coalesce("drivers_active", F.lit(0)))
 
 
-def demand_supply(silver: DataFrame) -> DataFrame:
-    """Requests and distinct assigned drivers per city and window that has requests.
+def surge_measures() -> dict[str, Column]:
+    """What each record adds to the sums of its driver within a window."""
+    requested = _is(S.REQUESTED)
+    return {
+        "requests": _one(requested),
+        "assignments": _one(_is(S.ASSIGNED)),
+        "surge": exact(F.when(requested, F.col("surge_multiplier"))),
+        "surge_n": _one(requested & F.col("surge_multiplier").isNotNull()),
+    }
+
+
+def wanted_or_supplied(records: DataFrame) -> DataFrame:
+    return records.filter(F.col("event_type").isin(S.REQUESTED, S.ASSIGNED))
+
+
+def surge_drivers(records: DataFrame) -> DataFrame:
+    """Sums per window, city and driver."""
+    return records.groupBy(F.window("event_ts", S.SURGE_WINDOW).alias("win"), "city", "driver_id").agg(
+        *(F.sum(x).alias(name) for name, x in surge_measures().items()))
+
+
+def paired(drivers: DataFrame) -> DataFrame:
+    """Requests and active drivers of windows that have requests.
 
     A NULL city has no supply, as it would match nothing in a join.
     """
-    requested_surge = F.when(_is(S.REQUESTED), F.col("surge_multiplier"))
-    per_driver = (
-        usable(silver)
-        .filter(F.col("event_type").isin(S.REQUESTED, S.ASSIGNED))
-        .withWatermark("event_ts", S.SURGE_WATERMARK)
-        .groupBy(F.window("event_ts", S.SURGE_WINDOW).alias("win"), "city", "driver_id")
-        .agg(
-            F.count_if(_is(S.REQUESTED)).alias("requests"),
-            F.count_if(_is(S.ASSIGNED)).alias("assignments"),
-            exact_sum(requested_surge).alias("surge"),
-            F.count(requested_surge).alias("surge_n"),
-        )
-    )
     active = (F.col("assignments") > 0) & F.col("driver_id").isNotNull() & F.col("city").isNotNull()
-    return per_driver.groupBy("win", "city").agg(
+    return drivers.groupBy("win", "city").agg(
         F.sum("requests").alias("ride_requests"),
         F.count_if(active).alias("drivers_active"),
         mean_of("surge", "surge_n").alias("avg_surge_multiplier"),
     ).filter("ride_requests > 0")
 
 
+def demand_supply(silver: DataFrame) -> DataFrame:
+    """Requests and distinct assigned drivers per city and window that has requests."""
+    return paired(surge_drivers(wanted_or_supplied(usable(silver)).withWatermark("event_ts", S.SURGE_WATERMARK)))
+
+
 def _by_step(pick, rest) -> Column:
     ratio_ = F.col("demand_supply_ratio")
     start = F.when(ratio_ > S.SURGE_STEPS[0][0], pick(S.SURGE_STEPS[0]))
@@ -190,8 +233,13 @@ def price_surge(pairs: DataFrame) -> DataFrame:
     })
 
 
+def surge_totals(drivers: DataFrame) -> DataFrame:
+    """Ratio, tier and price of a window and city from the sums of drivers."""
+    return price_surge(_with_window(paired(drivers))).select(*SURGE_PRICING.names)
+
+
 def surge_pricing(silver: DataFrame) -> DataFrame:
-    return price_surge(_with_window(demand_supply(silver))).select(*SURGE_PRICING.names)
+    return surge_totals(surge_drivers(wanted_or_supplied(usable(silver)).withWatermark("event_ts", S.SURGE_WATERMARK)))
 
 
 def funnel_analysis(silver: DataFrame) -> DataFrame:

@@ -75,8 +75,12 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str] = S.SILVER_KEYS) -> DataFr
     return df.groupBy(*keys).agg(F.count("*").alias("row_count")).filter("row_count > 1")
 
 
+def quality_counts() -> tuple[Column, Column]:
+    """Valid and flagged records, for an aggregate or an observation."""
+    flagged = F.col("has_data_quality_issue")
+    return F.count_if(~flagged).alias("valid_count"), F.count_if(flagged).alias("flagged_count")
+
+
 def batch_quality(df: DataFrame) -> DataFrame:
     """One row: valid and flagged records, from a single pass."""
-    return df.agg(
-        F.count_if(~F.col("has_data_quality_issue")).alias("valid_count"),
-        F.count_if("has_data_quality_issue").alias("flagged_count"))
+    return df.agg(*quality_counts())

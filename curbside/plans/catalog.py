@@ -2,25 +2,30 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from curbside import settings as S
 from curbside.functions.timing import newest
 from curbside.operators import bronze, gold, quality, silver, upsert
 from curbside.operators.changes import changes_between
-from curbside.operators.history import silver_as_of
+from curbside.operators.history import counts_at, read_intervals, silver_as_of, store_intervals, validity_intervals
 from curbside.plans import reports
 from curbside.plans.gold import read_gold, run_gold
+from curbside.schemas import SILVER
 from curbside.session import shared_folder
 from curbside.sources import rides as source
-from curbside.sources.sinks import append_evolving, clustered, log_run, read_evolving
+from curbside.sources.sinks import append_evolving, clustered, log_run, look_up, read_evolving, write_lookup
+from curbside.sources.tables import save_bucketed
 from curbside.sources.streams import read_bronze_stream, read_event_stream, read_silver
-from curbside.streaming import pipeline
-from curbside.streaming.progress import PROGRESS, with_health
+from curbside.streaming import pipeline, windows
+from curbside.streaming.kept import read_kept
+from curbside.streaming.progress import ProgressLog, with_health
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,6 +39,11 @@ ONCE = {"availableNow": True}
 BATCHES = 3
 
 
+def third_of_offsets(rides: DataFrame) -> Column:
+    first, last = (rides.agg(f("kafka_offset")).scalar() for f in (F.min, F.max))
+    return F.floor(BATCHES * (F.col("kafka_offset") - first) / (last - first + 1))
+
+
 class Inputs:
     """The layers as plans over the ``events`` table of one data folder."""
 
@@ -92,39 +102,94 @@ class Inputs:
             run_gold(self.silver if rows is None else rows, root, self.now, since_hours=24 * 30, tables=names or tuple(gold.AGGREGATES))
         return root
 
+    def lookup_table(self) -> DataFrame:
+        """Silver stored for point lookups by ride."""
+        path = self.folder("lookup")
+        write_lookup(self.silver, path, "ride_id", S.SILVER_PARTITIONS)
+        return self.spark.read.schema(SILVER).parquet(path)
+
     def stored(self, name: str) -> DataFrame:
         return read_gold(self.spark, self.stored_gold(name), name)
 
     # -- streams -------------------------------------------------------------------------
 
-    def message_stream(self) -> DataFrame:
-        """The messages in files of ascending offsets, one for each micro-batch."""
-        folder = self.folder("inbox")
-        source.messages(self.rides).repartitionByRange(BATCHES, "offset").write.parquet(folder)
-        return read_event_stream(self.spark, "parquet", path=folder, max_files_per_trigger=1)
+    def message_stream(self, arrival: Column | None = None, batches: int = BATCHES) -> DataFrame:
+        """The messages in micro-batches: by thirds of the offsets, or by ``arrival``, the number of a batch.
 
-    def run_bronze(self) -> tuple[str, str]:
+        Each batch is a folder that all tasks write, as many files as a trigger takes.
+        """
+        folder, files = self.folder("inbox"), int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        rides = self.rides.withColumn("arrival", third_of_offsets(self.rides) if arrival is None else arrival)
+        for batch in range(batches):
+            source.messages(rides.filter(F.col("arrival") == batch)).repartition(files).write.parquet(f"{folder}/arrival={batch}")
+        return read_event_stream(self.spark, "parquet", path=folder, max_files_per_trigger=files)
+
+    def start_bronze(self) -> tuple[StreamingQuery, str, str]:
         root = self.folder("bronze")
         paths = f"{root}/events", f"{root}/dead_letter"
-        pipeline.start_bronze(
-            self.message_stream(), *paths, f"{root}/checkpoint", name=None, trigger=ONCE,
-            ingestion_ts=F.col("timestamp")).awaitTermination()
-        return paths
-
-    def run_silver(self, gold_path: str | None = None, *tables: str) -> str:
-        """The folder of silver records; with ``gold_path`` the aggregates are kept up with them."""
-        events, _ = self.run_bronze()
-        root = self.folder("silver")
-        pipeline.start_silver(
-            read_bronze_stream(self.spark, events, max_files_per_trigger=8), f"{root}/records",
-            f"{root}/checkpoint", name=None, trigger=ONCE, time_fallback=F.col("ingestion_ts"),
-            gold_path=gold_path, gold_tables=tables).awaitTermination()
-        return f"{root}/records"
+        return pipeline.start_bronze(
+            self.message_stream(), *paths, f"{root}/checkpoint", name=None, trigger=ONCE, ingestion_ts=F.col("timestamp")), *paths
+
+    def run_bronze(self) -> tuple[str, str]:
+        stream, *paths = self.start_bronze()
+        stream.awaitTermination()
+        return tuple(paths)
 
-    def run_aggregate(self, name: str) -> DataFrame:
+    def start_silver(self, events: str, files: int | None) -> tuple[StreamingQuery, str]:
+        root = self.folder("silver")
+        return pipeline.start_silver(
+            read_bronze_stream(self.spark, events, max_files_per_trigger=files), f"{root}/records",
+            f"{root}/checkpoint", name=None, trigger=ONCE, time_fallback=F.col("ingestion_ts")), f"{root}/records"
+
+    def run_silver(self) -> str:
+        """The folder of silver records."""
+        stream, records = self.start_silver(self.run_bronze()[0], 8)
+        stream.awaitTermination()
+        return records
+
+    def observed(self) -> DataFrame:
+        """The progress of the bronze stream, and of the silver stream, which takes all files at once."""
+        log, path = ProgressLog(), self.folder("progress")
+        self.spark.streams.addListener(log)
+        try:
+            stream, events, _ = self.start_bronze()
+            stream.awaitTermination()
+            log.wait_for(stream)
+            stream, _ = self.start_silver(events, None)
+            stream.awaitTermination()
+            log.wait_for(stream)
+        finally:
+            self.spark.streams.removeListener(log)
+        log.append_observed(self.spark, path)
+        return read_evolving(self.spark, path).filter("num_input_rows > 0")
+
+    def run_kept(self, name: str, arrival: Column | None = None) -> DataFrame:
+        """An aggregate kept up with the messages by what each batch adds and withdraws."""
         root = self.folder("gold")
-        self.run_silver(root, name)
-        return read_gold(self.spark, root, name)
+        pipeline.start_gold(self.stream_records(arrival), root, f"{root}/_checkpoint", name=None, trigger=ONCE,
+                            time_fallback=F.col("ingestion_ts"), tables=(name,)).awaitTermination()
+        return read_kept(self.spark, root, name)
+
+    def stream_records(self, arrival: Column | None = None, batches: int = BATCHES) -> DataFrame:
+        return bronze.accepted(bronze.parse_events(self.message_stream(arrival, batches), F.col("timestamp")))
+
+    def repeats_later(self) -> DataFrame:
+        """A stream of records in which the repeats of a key arrive one batch after its first record."""
+        place = F.row_number().over(Window.partitionBy("ride_id", "event_type").orderBy("kafka_offset"))
+        return self.stream_records(third_of_offsets(self.rides) + F.when(place > 1, 1).otherwise(0), BATCHES + 1)
+
+    def run_closed(self, aggregate: DataFrame) -> DataFrame:
+        """What an append-mode aggregate has written when its input is at an end."""
+        root = self.folder("closed")
+        windows.start_closed(aggregate, f"{root}/rows", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+        return self.spark.read.schema(aggregate.schema).parquet(f"{root}/rows")
+
+    def run_split(self) -> str:
+        """The folder of records split into those on time and late ones."""
+        root = self.folder("split")
+        windows.start_split_by_watermark(self.stream_records(LATE), root, f"{root}/checkpoint", S.CITY_WATERMARK, S.CITY_WINDOW,
+                                         trigger=ONCE, time_fallback=F.col("ingestion_ts")).awaitTermination()
+        return root
 
 
 QUERIES: dict[str, Query] = {}
@@ -264,6 +329,27 @@ def _changes(i: Inputs) -> DataFrame:
     return changes_between(old.select(*FEED), new.select(*FEED), S.SILVER_KEYS)
 
 
+@query("merge_bucketed")
+def _merge_bucketed(i: Inputs) -> DataFrame:
+    """The upsert of a batch into current state kept in buckets, which stays where it is."""
+    name = "current_" + uuid.uuid4().hex
+    state = save_bucketed(i.load(True), name, S.SILVER_KEYS, S.BUCKETS, i.folder("current"))
+    return upsert.merge_newer(state, i.load(False), S.SILVER_KEYS, source_is_unique=True)
+
+
+@query("point_lookup_stored")
+def _point_stored(i: Inputs) -> DataFrame:
+    return reports.point_lookup(i.lookup_table(), "2024-01-01", "New York", "RIDE-40").select(*SILVER.names)
+
+
+@query("lookup_many")
+def _lookup_many(i: Inputs) -> DataFrame:
+    """All records of the rides that have a fare out of range in New York."""
+    table = i.lookup_table()
+    wanted = i.silver.filter("city = 'New York' AND dq_fare_out_of_range").select("ride_id")
+    return look_up(table, wanted, "ride_id").select(*SILVER.names)
+
+
 query("cluster_rows_preserved")(lambda i: clustered(i.silver, S.CLUSTER_COLUMNS["silver"]))
 
 
@@ -280,11 +366,24 @@ def _ranges(i: Inputs) -> DataFrame:
 
 @query("r11_counts_by_version")
 def _counts_by_version(i: Inputs) -> DataFrame:
-    """Version 0 is the earlier state, 1 the present one and 2 the earlier one restored."""
-    def counts(state: DataFrame, *versions: int) -> DataFrame:
-        return reports.rides_by_city(state).select(
-            F.explode(F.array(*[F.lit(v) for v in versions])).alias("version"), "city", "rides")
-    return counts(i.early(), 0, 2).unionAll(counts(i.silver, 1))
+    """Version 0 is the state six hours ago, 1 the present one and 2 the earlier one restored."""
+    versions = i.spark.range(3).select(F.col("id").cast("int").alias("version"), (
+        i.now - F.when(F.col("id") == 1, F.expr("INTERVAL 0 HOURS")).otherwise(F.expr("INTERVAL 6 HOURS"))).alias("at"))
+    # The newest records may have been ingested after the latest event: the present has no end.
+    far = versions.withColumn("at", F.when(F.col("version") == 1, F.col("at") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("at")))
+    return counts_at(validity_intervals(i.parsed, F.col("ingestion_ts")), far, "version", "city").drop("at")
+
+
+query("history_intervals")(lambda i: validity_intervals(i.parsed, F.col("ingestion_ts")))
+
+
+@query("counts_at_many")
+def _counts_at_many(i: Inputs) -> DataFrame:
+    """Records by city at 24 hourly instants, from stored intervals."""
+    path = i.folder("intervals")
+    store_intervals(validity_intervals(i.parsed, F.col("ingestion_ts")), path)
+    hours = i.spark.range(24).select((i.now - F.make_dt_interval(hours=F.col("id").cast("int"))).alias("at"))
+    return counts_at(read_intervals(i.spark, path), hours, "city").withColumnRenamed("at", "instant")
 
 
 query("r11_counts_as_of")(lambda i: reports.rides_by_city(i.early()))
@@ -332,17 +431,17 @@ def _audit(i: Inputs) -> DataFrame:
     return read_evolving(i.spark, path).drop("run_ts")
 
 
+@query("stream_progress")
+def _progress(i: Inputs) -> DataFrame:
+    """What each micro-batch of the bronze and silver streams was observed to hold."""
+    return i.observed().select("observation", "batch_id", "num_input_rows", *(
+        F.col("metrics")[x].alias(x) for x in ("rows_in", "rows_good")))
+
+
 @query("stream_health")
 def _health(i: Inputs) -> DataFrame:
-    """The stall rule on progress records, one for each message partition."""
-    seen = i.valid.groupBy("kafka_partition").agg(F.count("*").alias("n"))
-    part = F.col("kafka_partition")
-    values = {"query_id": part.cast("string"), "query_name": F.concat(F.lit("partition-"), part), "is_active": part != 9,
-              "batch_id": part.cast("long"), "num_input_rows": F.col("n"),
-              "input_rows_per_sec": F.when(part % 2 == 0, 0.0).otherwise(F.col("n") / 10),
-              "processed_rows_per_sec": F.col("n") / 10}
-    rows = seen.select(*(values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in PROGRESS.fields))
-    return with_health(rows).drop("watermark", "error", "checked_at")
+    """The stall rule on the progress of the streams."""
+    return with_health(i.observed()).select("observation", "batch_id", "is_active", "stopped", "stalled")
 
 
 # -- quality ---------------------------------------------------------------------------------
@@ -366,6 +465,39 @@ query("stream_bronze")(lambda i: i.spark.read.parquet(i.run_bronze()[0]).drop("s
 query("stream_dead_letter")(
     lambda i: i.spark.read.parquet(i.run_bronze()[1]).drop("stream", "batch_id"))
 query("stream_silver")(lambda i: read_silver(i.spark, i.run_silver()))
-query("stream_city_metrics")(lambda i: i.run_aggregate(_CITY))
-query("stream_driver_utilization")(lambda i: i.run_aggregate(_DRIVER))
-query("stream_surge")(lambda i: i.run_aggregate(_SURGE))
+query("stream_city_metrics")(lambda i: i.run_kept(_CITY))
+query("stream_driver_utilization")(lambda i: i.run_kept(_DRIVER))
+query("stream_surge")(lambda i: i.run_kept(_SURGE))
+
+# Newer and older records of most keys arrive in other batches than the first one.
+LATE = F.floor(F.pmod(F.col("kafka_offset") * 7, F.lit(10)) * BATCHES / 10)
+query("gold_delta_city")(lambda i: i.run_kept(_CITY, LATE))
+query("gold_delta_driver")(lambda i: i.run_kept(_DRIVER, LATE))
+query("gold_delta_surge")(lambda i: i.run_kept(_SURGE, LATE))
+
+
+# -- streams with windows in append mode -------------------------------------------------------
+
+_FALLBACK = F.col("ingestion_ts")
+query("stream_closed_city")(lambda i: i.run_closed(windows.closed_city_metrics(i.repeats_later(), _FALLBACK)))
+query("stream_closed_driver")(lambda i: i.run_closed(windows.closed_driver_utilization(i.repeats_later(), _FALLBACK)))
+
+
+@query("stream_demand_supply")
+def _demand_supply(i: Inputs) -> DataFrame:
+    records = i.repeats_later()
+    return _bounds(i.run_closed(windows.demand_with_supply(records, records, _FALLBACK)))
+
+
+@query("stream_late_rows")
+def _late_rows(i: Inputs) -> DataFrame:
+    return i.spark.read.parquet(f"{i.run_split()}/late").select(*SILVER.names, F.col("batch_id").cast("long").alias("batch_id"))
+
+
+@query("stream_accounting")
+def _accounting(i: Inputs) -> DataFrame:
+    """Closed windows, open ones and late records add up to all records."""
+    root = i.run_split()
+    on_time, late = (i.spark.read.parquet(f"{root}/{x}") for x in ("on_time", "late"))
+    stream = i.spark.readStream.schema(on_time.schema).parquet(f"{root}/on_time")
+    return windows.accounting(on_time, late, i.run_closed(gold.city_ride_metrics(stream)))

@@ -556,12 +556,18 @@ SELECT 'bronze' AS layer, CAST(0 AS BIGINT) AS batch_id, (SELECT count(*) FROM b
        (SELECT count(*) FROM valid) AS rows_out, 0.0::DOUBLE AS duration_sec, 'SUCCESS' AS status, '' AS error_message
 UNION ALL
 SELECT 'silver', 0, (SELECT count(*) FROM valid), (SELECT count(*) FROM silver), 0.0, 'SUCCESS', ''"""
+STEPS["thirds"] = """
+SELECT *, 3 * (kafka_offset - (SELECT min(kafka_offset) FROM bronze))
+  // ((SELECT max(kafka_offset) FROM bronze) - (SELECT min(kafka_offset) FROM bronze) + 1) AS batch_id FROM bronze"""
+Q["stream_progress"] = """
+SELECT 'bronze' AS observation, CAST(batch_id AS BIGINT) AS batch_id, count(*) AS num_input_rows, count(*) AS rows_in,
+       count(*) FILTER (ride_id IS NOT NULL AND event_type IS NOT NULL) AS rows_good FROM thirds GROUP BY batch_id
+UNION ALL
+SELECT 'silver', 0, count(*), count(*), count(*) FILTER (NOT has_data_quality_issue) FROM cleaned"""
 Q["stream_health"] = """
-SELECT *, NOT is_active AS stopped, is_active AND input_rows_per_sec = 0 AND batch_id > 5 AS stalled FROM (
-  SELECT CAST(kafka_partition AS VARCHAR) AS query_id, 'partition-' || kafka_partition AS query_name,
-         kafka_partition <> 9 AS is_active, CAST(kafka_partition AS BIGINT) AS batch_id, count(*) AS num_input_rows,
-         CASE WHEN kafka_partition % 2 = 0 THEN 0.0::DOUBLE ELSE count(*) / 10 END AS input_rows_per_sec,
-         count(*) / 10 AS processed_rows_per_sec FROM valid GROUP BY kafka_partition)"""
+SELECT observation, batch_id, true AS is_active, false AS stopped, false AS stalled FROM (
+  SELECT DISTINCT 'bronze' AS observation, CAST(batch_id AS BIGINT) AS batch_id FROM thirds
+  UNION ALL SELECT DISTINCT 'silver', CAST(0 AS BIGINT) FROM cleaned)"""
 Q["stream_bronze"] = Q["triage_valid"]
 Q["stream_dead_letter"] = Q["dead_letter"]
 Q["stream_silver"] = Q["deduplicate"]
@@ -569,6 +575,55 @@ Q["stream_silver"] = Q["deduplicate"]
 Q["stream_city_metrics"] = Q["city_ride_metrics"]
 Q["stream_driver_utilization"] = Q["driver_utilization"]
 Q["stream_surge"] = Q["surge_pricing"]
+Q["gold_delta_city"] = Q["city_ride_metrics"]
+Q["gold_delta_driver"] = Q["driver_utilization"]
+Q["gold_delta_surge"] = Q["surge_pricing"]
+STEPS["arrived"] = """
+SELECT * FROM cleaned QUALIFY row_number() OVER (PARTITION BY ride_id, event_type ORDER BY kafka_offset) = 1"""
+STEPS["arrived_city"] = _city("arrived")
+STEPS["arrived_drivers"] = _driver("arrived")
+for _step, _sql in _pairs("arrived").items():
+    STEPS[f"arrived_{_step}"] = _sql
+STEPS["arrived_pairs"] = _PAIRED.format(demand="arrived_demand", supply="arrived_supply")
+_LATEST = "(SELECT max(event_ts) FROM cleaned)"
+Q["stream_closed_city"] = f"SELECT * FROM arrived_city WHERE window_end <= {_LATEST} - INTERVAL '5 minutes'"
+Q["stream_closed_driver"] = f"SELECT * FROM arrived_drivers WHERE window_end <= {_LATEST} - INTERVAL '10 minutes'"
+Q["stream_demand_supply"] = f"SELECT * FROM arrived_pairs WHERE window_end <= {_LATEST} - INTERVAL '5 minutes'"
+STEPS["arrivals"] = """
+SELECT *, CAST(kafka_offset * 7 % 10 * 3 // 10 AS BIGINT) AS batch_id, time_bucket(INTERVAL '1 minute', event_ts) AS minute FROM cleaned"""
+STEPS["limits"] = """
+SELECT batch_id + 1 AS batch_id, max(max(event_ts)) OVER (ORDER BY batch_id) - INTERVAL '5 minutes' AS watermark FROM arrivals GROUP BY batch_id"""
+STEPS["timed"] = """
+SELECT a.*, coalesce(minute + INTERVAL '1 minute' <= watermark, false) AS late FROM arrivals a LEFT JOIN limits l ON a.batch_id = l.batch_id"""
+Q["stream_late_rows"] = f"SELECT {SILVER_COLUMNS}, batch_id FROM timed WHERE late"
+STEPS["on_time_end"] = """
+SELECT max(event_ts) - INTERVAL '5 minutes' AS watermark FROM timed WHERE NOT late AND NOT has_data_quality_issue"""
+Q["stream_accounting"] = """
+SELECT minute AS window_start, city,
+       count(*) FILTER (NOT late AND minute + INTERVAL '1 minute' <= (SELECT watermark FROM on_time_end)) AS closed,
+       count(*) FILTER (late) AS late,
+       count(*) FILTER (NOT late AND minute + INTERVAL '1 minute' > (SELECT watermark FROM on_time_end)) AS open,
+       count(*) AS records
+FROM timed WHERE NOT has_data_quality_issue GROUP BY ALL"""
+
+STEPS["intervals"] = """
+SELECT * FROM (
+  SELECT *, ingestion_ts AS valid_from, lead(ingestion_ts) OVER (
+    PARTITION BY ride_id, event_type ORDER BY ingestion_ts, kafka_offset, kafka_partition) AS valid_to FROM cleaned)
+WHERE valid_to IS NULL OR valid_from < valid_to"""
+Q["history_intervals"] = f"SELECT {SILVER_COLUMNS}, valid_from, valid_to FROM intervals"
+Q["counts_at_many"] = """
+SELECT instant, city, count(*) AS rides
+FROM (SELECT ts - to_hours(h) AS instant FROM clock, range(24) r(h))
+JOIN cleaned_ranked ON ingestion_ts <= instant AND (next_ts IS NULL OR next_ts > instant)
+GROUP BY ALL"""
+STEPS["cleaned_ranked"] = """
+SELECT city, ingestion_ts, lead(ingestion_ts) OVER (
+  PARTITION BY ride_id, event_type ORDER BY ingestion_ts, kafka_offset, kafka_partition) AS next_ts FROM cleaned"""
+Q["merge_bucketed"] = Q["merge_newer_wins"]
+Q["point_lookup_stored"] = Q["point_lookup"]
+Q["lookup_many"] = f"""
+SELECT {SILVER_COLUMNS} FROM silver WHERE ride_id IN (SELECT ride_id FROM silver WHERE city = 'New York' AND dq_fare_out_of_range)"""
 
 
 def statement(name: str) -> str:

@@ -42,8 +42,8 @@ DRIVER_WATERMARK = "10 minutes"
 TOPIC = "ride-events"
 TRIGGER = "30 seconds"
 MAX_OFFSETS_PER_TRIGGER = 50_000
-RETENTION_HOURS = 168
-FILE_BYTES = 128 * 1024 * 1024
+#: Buckets of current state: a power of two well above the tasks that run at once on a small cluster.
+BUCKETS = 64
 
 SILVER_KEYS = ("ride_id", "event_type")
 GOLD_KEYS = {

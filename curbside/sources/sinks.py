@@ -45,3 +45,27 @@ def log_run(spark: SparkSession, path: str, **row) -> None:
     """Append one row to the audit log, given by the names of its columns."""
     row = {"run_ts": datetime.now(timezone.utc).isoformat(), "status": "SUCCESS", "error_message": ""} | row
     append_evolving(spark.createDataFrame([tuple(row.get(n) for n in AUDIT.names)], AUDIT).coalesce(1), path)
+
+
+def write_lookup(df: DataFrame, path: str, key: str, partition_by: Sequence[str], row_group_bytes: int = 8 << 20) -> None:
+    """A table for point lookups: sorted by the key within its partitions, in small row groups with bloom filters.
+
+    A lookup reads the partitions that its filter names, and in them the row groups whose range and
+    bloom filter admit the key.
+    """
+    spread = df.hint("rebalance", *partition_by).sortWithinPartitions(*partition_by, key)
+    writer = spread.write.mode("overwrite").partitionBy(*partition_by)
+    writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option("parquet.block.size", row_group_bytes).parquet(path)
+
+
+def look_up(table: DataFrame, keys: DataFrame, key: str, most: int = 1000) -> DataFrame:
+    """The rows of a table whose key occurs in ``keys``, each once.
+
+    Up to ``most`` distinct keys are sent along with the scan, where they skip row groups; beyond
+    that the table is joined with them, and only Spark's own runtime filter narrows the scan.
+    """
+    wanted = keys.select(key).distinct().filter(f"{key} IS NOT NULL")
+    few = [r[0] for r in wanted.limit(most + 1).collect()]
+    if len(few) <= most:
+        return table.filter(table[key].isin(few))
+    return table.join(wanted, key, "left_semi").select(*table.columns)

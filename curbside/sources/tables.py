@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curbside import schemas
@@ -85,3 +89,23 @@ def list_tables(spark: SparkSession, database: str) -> DataFrame:
 
 def preview(df: DataFrame, rows: int = 20) -> DataFrame:
     return df.limit(rows)
+
+
+def save_bucketed(df: DataFrame, name: str, keys: Sequence[str], buckets: int, path: str) -> DataFrame:
+    """A table in buckets of its keys: joins and upserts by these keys do not move it.
+
+    The rows are dealt to the buckets first, so that there is one sorted file for each.
+    """
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def table_detail(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """For each table of files: its files, bytes, rows, and when a file was last written."""
+    def detail(name: str, df: DataFrame) -> DataFrame:
+        files = df.select("_metadata").groupBy("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").agg(
+            F.count("*").alias("n"))
+        return files.agg(F.lit(name).alias("table_name"), F.count("*").alias("num_files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("size_in_bytes"),
+                         F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.max("file_modification_time").alias("last_modified"))
+    return reduce(DataFrame.unionAll, [detail(name, df) for name, df in tables.items()])

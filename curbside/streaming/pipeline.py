@@ -5,20 +5,19 @@ from __future__ import annotations
 import logging
 import time
 from collections.abc import Sequence
-from datetime import timedelta
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from curbside import settings as S
 from curbside.operators.bronze import accepted, has_required_fields, parse_events, rejected
-from curbside.operators.quality import batch_quality
+from curbside.operators.quality import quality_counts
 from curbside.operators.silver import clean, deduplicate, to_silver
-from curbside.operators.gold import AGGREGATES, AGGREGATE_DAYS
-from curbside.sources.sinks import log_run, overwrite_days, write_batch
-from curbside.sources.streams import read_silver_records
+from curbside.operators.retraction import KEPT
+from curbside.sources.sinks import log_run, write_batch
+from curbside.streaming.kept import apply_images, signed_images
 
 log = logging.getLogger(__name__)
 
@@ -49,73 +48,63 @@ def start_bronze(messages: DataFrame, events_path: str, dead_letter_path: str, c
         started = time.time()
         stream_id = _stream_id(batch)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        counts = Observation()
         try:
-            counts = batch.agg(F.count("*").alias("n"),
-                               F.count_if(has_required_fields()).alias("ok")).first()
-            write_batch(accepted(batch), events_path, stream_id, batch_id, S.BRONZE_PARTITIONS)
-            if counts.ok < counts.n:
+            # The write counts what passes through it; no job is run for that.
+            seen = batch.observe(counts, F.count("*").alias("n"), F.count_if(has_required_fields()).alias("ok"))
+            write_batch(accepted(seen), events_path, stream_id, batch_id, S.BRONZE_PARTITIONS)
+            n, ok = counts.get["n"], counts.get["ok"]
+            if ok < n:
                 write_batch(rejected(batch, strict_reasons), dead_letter_path, stream_id, batch_id,
                             S.DEAD_LETTER_PARTITIONS)
         finally:
             batch.unpersist()
-        log.info("bronze batch %d: %d in, %d accepted", batch_id, counts.n, counts.ok)
+        log.info("bronze batch %d: %d in, %d accepted", batch_id, n, ok)
         if audit_path:
-            log_run(batch.sparkSession, audit_path, layer="bronze", batch_id=batch_id, rows_in=counts.n,
-                    rows_out=counts.ok, duration_sec=time.time() - started)
+            log_run(batch.sparkSession, audit_path, layer="bronze", batch_id=batch_id, rows_in=n,
+                    rows_out=ok, duration_sec=time.time() - started)
 
-    return _start(parse_events(messages, ingestion_ts), write, checkpoint, name, trigger)
+    parsed = parse_events(messages, ingestion_ts).observe(
+        "bronze", F.count("*").alias("rows_in"), F.count_if(has_required_fields()).alias("rows_good"))
+    return _start(parsed, write, checkpoint, name, trigger)
 
 
 def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str,
                  name: str | None = "silver_ride_events", trigger: dict | None = None,
-                 time_fallback: Column | None = None, audit_path: str | None = None,
-                 gold_path: str | None = None, gold_tables: Sequence[str] = tuple(AGGREGATES)) -> StreamingQuery:
+                 time_fallback: Column | None = None, audit_path: str | None = None) -> StreamingQuery:
     """Clean each batch, keep its newest record per key and append it; ``read_silver`` gives the newest of all.
 
-    With ``gold_path`` the aggregates of the days that the batch touches are computed anew. A
-    replayed batch replaces what it wrote before.
+    A replayed batch replaces what it wrote before.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         started = time.time()
-        spark = batch.sparkSession
-        rows = to_silver(deduplicate(clean(batch, time_fallback))).persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            counts = batch_quality(rows).first()
-            write_batch(rows, silver_path, _stream_id(batch), batch_id, S.SILVER_PARTITIONS)
-            if gold_path and counts.valid_count + counts.flagged_count:
-                refresh_days(read_silver_records(spark, silver_path), rows, gold_path, gold_tables)
-        finally:
-            rows.unpersist()
-        log.info("silver batch %d: %d valid, %d flagged", batch_id, counts.valid_count,
-                 counts.flagged_count)
+        counts = Observation()
+        rows = to_silver(deduplicate(batch)).observe(counts, *quality_counts())
+        write_batch(rows, silver_path, _stream_id(batch), batch_id, S.SILVER_PARTITIONS)
+        valid, flagged = counts.get["valid_count"], counts.get["flagged_count"]
+        log.info("silver batch %d: %d valid, %d flagged", batch_id, valid, flagged)
         if audit_path:
-            kept = counts.valid_count + counts.flagged_count
-            log_run(spark, audit_path, layer="silver", batch_id=batch_id, rows_in=kept, rows_out=kept,
+            log_run(batch.sparkSession, audit_path, layer="silver", batch_id=batch_id, rows_in=valid + flagged, rows_out=valid + flagged,
                     duration_sec=time.time() - started)
 
-    return _start(bronze, append, checkpoint, name, trigger)
+    cleaned = clean(bronze, time_fallback).observe(
+        "silver", F.count("*").alias("rows_in"), F.count_if(~F.col("has_data_quality_issue")).alias("rows_good"))
+    return _start(cleaned, append, checkpoint, name, trigger)
 
 
-def refresh_days(records: DataFrame, arrived: DataFrame, gold_path: str,
-                 tables: Sequence[str] = tuple(AGGREGATES)) -> None:
-    """Compute anew the aggregates of all days that rows with the keys of ``arrived`` lie in.
+def start_gold(bronze: DataFrame, root: str, checkpoint: str, name: str | None = "gold_aggregates", trigger: dict | None = None,
+               time_fallback: Column | None = None, tables: Sequence[str] = tuple(KEPT)) -> StreamingQuery:
+    """Keep aggregates up with a stream of accepted records, whose newest one for each key counts.
 
-    A newer record may lie on another day than the one it replaces; both days are touched. Sliding
-    windows reach back over midnight, so the day before is computed too, from whole input days.
+    Each batch adds what its records change, so it costs the hours that it touches and not the
+    history. ``root`` belongs to one checkpoint. Read the result with ``read_kept``.
     """
-    keys = arrived.select(*S.SILVER_KEYS).distinct()
-    touched = [r[0] for r in records.join(keys, list(S.SILVER_KEYS), "left_semi").select("event_date").distinct().collect()]
-    reached = sorted({d + timedelta(days=i) for d in touched for i in (-1, 0)})
-    source = sorted({d + timedelta(days=i) for d in reached for i in (0, 1)})
-    # The newest record decides, and it may lie on any day: only then are days chosen.
-    rows = deduplicate(records).filter(F.col("event_date").isin(source)).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for table in tables:
-            day = AGGREGATE_DAYS[table]
-            overwrite_days(AGGREGATES[table](rows).filter(F.col(day).isin(reached)), f"{gold_path}/{table}", day)
-    finally:
-        rows.unpersist()
+
+    def write(images: DataFrame, batch_id: int) -> None:
+        apply_images(images, root, batch_id, tables)
+
+    return _start(signed_images(clean(bronze, time_fallback)), write, checkpoint, name, trigger)
 
 
 def start_aggregate(aggregate: DataFrame, path: str, checkpoint: str, name: str | None,

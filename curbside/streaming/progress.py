@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
+
+from curbside.sources.sinks import append_evolving
 
 PROGRESS = T.StructType([
     T.StructField("query_id", T.StringType()),
@@ -23,6 +26,13 @@ PROGRESS = T.StructType([
     T.StructField("checked_at", T.StringType()),
 ])
 
+#: One row for each micro-batch and observation in it.
+OBSERVED = T.StructType([
+    T.StructField("observation", T.StringType()),
+    *PROGRESS.fields,
+    T.StructField("metrics", T.MapType(T.StringType(), T.LongType())),
+])
+
 # A query without input is called stalled once it has got past its first batches.
 STALL_AFTER_BATCH = 5
 
@@ -47,6 +57,7 @@ class ProgressLog(StreamingQueryListener):
         self._latest: dict[str, tuple] = {}
         self._ended: dict[str, tuple] = {}
         self._names: dict[str, str | None] = {}
+        self._observed: list[tuple] = []
 
     def onQueryStarted(self, event):
         self._names[str(event.id)] = event.name
@@ -54,7 +65,9 @@ class ProgressLog(StreamingQueryListener):
     def onQueryProgress(self, event):
         p = event.progress
         self._names[str(p.id)] = p.name
-        self._latest[str(p.id)] = progress_row(p.id, p.name, json.loads(p.json))
+        row = self._latest[str(p.id)] = progress_row(p.id, p.name, json.loads(p.json))
+        for name, metrics in (p.observedMetrics or {}).items():
+            self._observed.append((name, *row, {k: int(v or 0) for k, v in metrics.asDict().items()}))
 
     def onQueryIdle(self, event):
         pass
@@ -63,6 +76,18 @@ class ProgressLog(StreamingQueryListener):
         self._ended[str(event.id)] = progress_row(
             event.id, self._names.pop(str(event.id), None), None, False, event.exception)
 
+    def wait_for(self, query: StreamingQuery, seconds: float = 30) -> None:
+        """Until the end of a query has been reported: reports come some time after the fact."""
+        until = time.monotonic() + seconds
+        while str(query.id) not in self._ended and time.monotonic() < until:
+            time.sleep(0.05)
+
+    def append_observed(self, spark: SparkSession, path: str) -> None:
+        """Append what the micro-batches since the last call were observed to hold."""
+        rows, self._observed = self._observed, []
+        if rows:
+            append_evolving(spark.createDataFrame(rows, OBSERVED).coalesce(1), path)
+
     def to_df(self, spark: SparkSession) -> DataFrame:
         rows = [*self._latest.values(), *self._ended.values()]
         return with_health(spark.createDataFrame(rows, PROGRESS))

@@ -166,28 +166,6 @@ def test_stored_aggregates_are_pruned_by_day(spark, tmp_path, name, day):
     assert f"PartitionFilters: [isnotnull({day}" in plan
 
 
-def test_gold_follows_late_corrections(spark, tmp_path):
-    """A newer record of a ride moves it to another day; both days are computed anew."""
-    root = str(tmp_path)
-    def batch(i, day, ingested):
-        body = {"ride_id": "R1", "event_type": "trip_completed", "city": "Miami", "driver_id": "D", "rider_id": "P", "trip_distance": 2.0,
-                "fare_amount": 10.0, "surge_multiplier": 1.0, "timestamp": f"2024-01-{day}T10:00:00.000000+00:00"}
-        df = messages(spark, json.dumps(body), start=i).withColumn("timestamp", F.lit(ts(f"2024-01-{ingested} 12:00:00")))
-        df.coalesce(1).write.mode("append").parquet(f"{root}/in")
-
-    def run():
-        P.start_bronze(read_event_stream(spark, "parquet", path=f"{root}/in"), f"{root}/events", f"{root}/dead", f"{root}/cp",
-                       name=None, trigger=ONCE, ingestion_ts=F.col("timestamp")).awaitTermination()
-        P.start_silver(read_bronze_stream(spark, f"{root}/events"), f"{root}/silver", f"{root}/cp_s", name=None, trigger=ONCE,
-                       gold_path=f"{root}/gold").awaitTermination()
-        return {(r.event_date.day, r.stage_4_completed) for r in read_gold(spark, f"{root}/gold", "funnel_analysis").collect()}
-
-    batch(0, 15, 15)
-    assert run() == {(15, 1)}
-    batch(1, 16, 17)
-    assert (16, 1) in run()
-
-
 def test_progress_rows(spark, tmp_path):
     listener = ProgressLog()
     spark.streams.addListener(listener)
