@@ -2,36 +2,44 @@
 
 Texts are cut into pre-tokens. A block of texts keeps its distinct pre-tokens once and, for each
 place of a text, which of them stands there; so what is shuffled by word is one row for each block
-that has it, however often it occurs. Every distinct word of the table is encoded once, its ids
-are joined back to the blocks, and a block's places turn them into the ids of its texts. Decoding
-explodes ids with their places, joins the table of token bytes and puts the bytes together again.
+that has it, however often it occurs. Where the rows of a word come together it is encoded, once in
+the whole table, and its ids go back to the blocks, whose places turn them into the ids of their
+texts. Decoding explodes ids with their places, joins the table of token bytes and puts the bytes
+together again.
 """
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from base64 import b64decode
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm.rows import blocks, stored, texts_of
+from curbside.llm.rows import blocks, partitions, texts_of
+from curbside.session import shared_folder
 
 #: Bytes of text in a block; a longer single text is a block by itself.
-BLOCK = 4 << 20
+BLOCK = 16 << 20
 #: Matches of a text are taken in one list up to so many bytes, one by one beyond.
 LISTED = 1 << 20
-BLOCKS_SQL = "block long, doc_ids array<long>, counts array<int>, places binary, words array<string>"
-PRE_TOKENS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())),
+#: Entries that a task of the word shuffle holds before it passes them on.
+ENTRIES = 2 << 20
+BLOCKS_SQL = "block long, doc_ids array<long>, counts binary, places binary, words array<string>"
+PRE_TOKENS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.binary()),
                         ("places", pa.binary()), ("words", pa.list_(pa.string()))])
+#: Words of a block, by number, with how many ids each has and all these ids.
+PARTS_SQL = "block long, at binary, counts binary, ids binary"
+PARTS = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary())])
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.binary())])
 
@@ -62,33 +70,10 @@ def splitter(pattern: str) -> regex.Pattern:
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
-def merged(word: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of a word: of all adjacent pieces those of the lowest rank are merged first, from the left."""
-    if word in ranks:
-        return [ranks[word]]
-    size = len(word)
-    end, before = list(range(1, size + 1)), list(range(-1, size - 1))
-    heap = [(rank, i, i + 1, i + 2) for i in range(size - 1) if (rank := ranks.get(word[i:i + 2])) is not None]
-    heapify(heap)
-    while heap:
-        _, start, middle, stop = heappop(heap)
-        if end[start] != middle or end[middle] != stop:
-            continue
-        # The right piece is gone: no entry of the heap may find it.
-        end[start], end[middle] = stop, -1
-        if stop < size:
-            before[stop] = start
-            if (rank := ranks.get(word[start:end[stop]])) is not None:
-                heappush(heap, (rank, start, stop, end[stop]))
-        left = before[start]
-        if left >= 0 and (rank := ranks.get(word[left:stop])) is not None:
-            heappush(heap, (rank, left, start, stop))
-    ids = []
-    at = 0
-    while at < size:
-        ids.append(ranks[word[at:end[at]]])
-        at = end[at]
-    return ids
+@lru_cache(maxsize=2)
+def merger(path: str) -> tiktoken.Encoding:
+    """Merges the bytes of one word: the pattern takes whatever it is given as one piece."""
+    return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=rank_table(path), special_tokens={})
 
 
 def cut(pattern: str, limit: int) -> Callable:
@@ -110,58 +95,100 @@ def cut(pattern: str, limit: int) -> Callable:
             place[order] = np.arange(len(order), dtype=np.uint32)
             words = list(known)
             yield pa.RecordBatch.from_pylist([{
-                "block": first + number, "doc_ids": block.column("doc_id").to_pylist(), "counts": [len(x) for x in found],
-                "places": packed(place[places], len(words)), "words": [words[i] for i in order.tolist()]}], PRE_TOKENS)
+                "block": first + number, "doc_ids": block.column("doc_id").to_pylist(),
+                "counts": packed(np.array([len(x) for x in found])), "places": packed(place[places]),
+                "words": [words[i] for i in order.tolist()]}], PRE_TOKENS)
 
     return pre_tokens
 
 
-def packed(places: np.ndarray, size: int) -> bytes:
-    """Numbers below ``size``, compressed byte by byte: the upper bytes of frequent words are zero."""
-    width = 2 if size <= 1 << 16 else 4
-    planes = np.ascontiguousarray(places.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
+def packed(numbers: np.ndarray) -> bytes:
+    """Numbers from 0 to 2**32 - 1, compressed byte by byte: the upper bytes of small ones are zero."""
+    width = 4 if len(numbers) and numbers.max() >= 1 << 16 else 2
+    planes = np.ascontiguousarray(numbers.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T)
     return zlib.compress(bytes([width]) + planes.tobytes(), 1)
 
 
 def unpacked(raw: bytes) -> np.ndarray:
     raw = zlib.decompress(raw)
     planes = np.frombuffer(raw, np.uint8, offset=1).reshape(raw[0], -1)
-    return np.ascontiguousarray(planes.T).view(f"<u{raw[0]}").ravel()
+    return np.ascontiguousarray(planes.T).view(f"<u{raw[0]}").ravel().astype(np.int64)
+
+
+def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``values`` that begin at ``begin`` and have the given sizes, one after the other."""
+    return values[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(size.sum())]
 
 
 def word_ids(path: str) -> Callable:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = rank_table(path)
+        """Of rows sorted by word: the ids of each word, put together for each block that has it."""
+        encoding = merger(path)
+        last, ids = None, []
+        held: list[tuple[np.ndarray, ...]] = []
+        entries = 0
         for batch in batches:
-            ids = [np.array(merged(x, ranks), "<u4").tobytes() for x in texts_of(batch, "word")]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(ids, pa.binary())], ["word", "ids"])
+            flat, counts = [], []
+            for word in batch.column("word").to_pylist():
+                if word != last:
+                    last, ids = word, encoding.encode_ordinary(word)
+                flat += ids
+                counts.append(len(ids))
+            held.append((batch.column("block").to_numpy(), batch.column("at").to_numpy(), np.array(counts, np.int64), np.array(flat, np.int64)))
+            entries += len(counts)
+            if entries >= ENTRIES:
+                yield by_block(held)
+                held, entries = [], 0
+        if entries:
+            yield by_block(held)
 
     return encode
 
 
+def by_block(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    block, at, counts, ids = (np.concatenate(x) for x in zip(*held))
+    order = np.lexsort([at, block])
+    begin = (np.cumsum(counts) - counts)[order]
+    block, at, counts = block[order], at[order], counts[order]
+    ids = gathered(ids, begin, counts)
+    edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
+    stops = np.r_[0, np.cumsum(counts)]
+    parts = [[], [], []]
+    for a, b in zip(edges, edges[1:]):
+        for part, numbers in zip(parts, (np.diff(at[a:b], prepend=0), counts[a:b], ids[stops[a]:stops[b]])):
+            part.append(packed(numbers))
+    return pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]]), *(pa.array(x, pa.binary()) for x in parts)], schema=PARTS)
+
+
 def assembled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of each text of a block from its places and the ids of its words."""
     for batch in batches:
         for row in range(batch.num_rows):
-            doc_ids, counts, raw, at, ids = (batch.column(x)[row] for x in ("doc_ids", "counts", "places", "at", "ids"))
-            places = unpacked(raw.as_py())
-            at = at.values.to_numpy() if at.is_valid else np.empty(0, np.int32)
-            parts = ids.values.to_pylist() if ids.is_valid else []
-            if len(at) != (int(places.max()) + 1 if len(places) else 0):
+            doc_ids, counts, places, parts = (batch.column(x)[row] for x in ("doc_ids", "counts", "places", "parts"))
+            places, counts = unpacked(places.as_py()), unpacked(counts.as_py())
+            found = [[unpacked(x[name]) for x in parts.as_py() or ()] for name in ("at", "counts", "ids")]
+            at, size, ids = (np.concatenate([np.empty(0, np.int64), *x]) for x in ([np.cumsum(x) for x in found[0]], *found[1:]))
+            if len(at) != (places.max() + 1 if len(places) else 0):
                 raise ValueError("a word of a block has no ids")
-            size = np.empty(len(at), np.int64)
-            size[at] = [len(x) // 4 for x in parts]
-            ordered = [b""] * len(at)
-            for i, x in zip(at.tolist(), parts):
-                ordered[i] = x
-            flat = np.frombuffer(b"".join(ordered), "<i4")
+            order = np.argsort(at)
+            begin, size = (np.cumsum(size) - size)[order], size[order]
             each = size[places]
-            stops = np.cumsum(each)
-            begin = np.cumsum(size) - size
-            picked = np.repeat(begin[places] - (stops - each), each) + np.arange(each.sum())
-            bounds = np.r_[0, stops][np.r_[0, np.cumsum(counts.values.to_numpy())]]
+            flat = gathered(ids, begin[places], each).astype(np.int32)
+            bounds = np.r_[0, np.cumsum(each)][np.r_[0, np.cumsum(counts)]]
             yield pa.RecordBatch.from_arrays(
-                [doc_ids.values, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat[picked], pa.int32()))], schema=ENCODED)
+                [doc_ids.values, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], schema=ENCODED)
+
+
+def kept_by_block(frame: DataFrame) -> DataFrame:
+    """Blocks in a table of buckets, so that what their words send back is joined without moving them again.
+
+    A task writes a file for each block that it has, more or less.
+    """
+    spark = frame.sparkSession
+    name = "pre_tokens_" + uuid.uuid4().hex
+    frame.write.bucketBy(partitions(frame), "block").option("path", shared_folder(spark, "pre-tokens")).option(
+        "compression", "zstd").saveAsTable(name)
+    return spark.table(name)
 
 
 def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -174,13 +201,12 @@ def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", tex
     itself, whose matches are taken one by one.
     """
     rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    cut_blocks = stored(rows.mapInArrow(cut(pattern, block), BLOCKS_SQL), "pre-tokens")
+    cut_blocks = kept_by_block(rows.mapInArrow(cut(pattern, block), BLOCKS_SQL))
     words = cut_blocks.select("block", F.posexplode("words").alias("at", "word"))
-    known = stored(words.select("word").distinct().mapInArrow(word_ids(path), "word string, ids binary"), "word-ids")
-    entries = words.join(known, "word").groupBy("block").agg(F.collect_list(F.struct("at", "ids")).alias("entries"))
-    whole = cut_blocks.select("block", "doc_ids", "counts", "places").join(entries, "block", "left")
-    return whole.select("doc_ids", "counts", "places", F.col("entries.at").alias("at"), F.col("entries.ids").alias("ids")).mapInArrow(
-        assembled, "doc_id long, ids array<int>")
+    parts = words.repartition(partitions(words), "word").sortWithinPartitions("word").mapInArrow(word_ids(path), PARTS_SQL)
+    own = parts.groupBy("block").agg(F.collect_list(F.struct("at", "counts", "ids")).alias("parts"))
+    whole = cut_blocks.select("block", "doc_ids", "counts", "places").join(own, "block", "left")
+    return whole.select("doc_ids", "counts", "places", "parts").mapInArrow(assembled, "doc_id long, ids array<int>")
 
 
 def token_table(spark: SparkSession, path: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbside.llm.rows import stored
+from curbside.llm.rows import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -23,9 +23,11 @@ def components(links: DataFrame) -> DataFrame:
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").union(least).distinct()
-        stars = stored(small, "links")
+        older, stars = stars, stored(small, "links")
+        discard(older)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
-            return stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
-                stars.select("v", "v").distinct())
+            found = stars.select(F.col("u").alias("node"), F.col("v").alias("component")).union(stars.select("v", "v").distinct())
+            found.stored_in = stars.stored_in
+            return found
         before = now

@@ -3,8 +3,9 @@
 Every tree sorts the documents by a signature of its own. Neighbours in a tree whose signatures
 begin alike are candidates, and so is the first document of every region with a common beginning.
 Links are confirmed on the full sets of shingles. Some trees do for most links; then the regions of
-all trees that still hold several components are compared across these: small regions as pairs of
-rows, crowded ones in parts of moderate size by whole signatures, of which similar sets share many values.
+all trees that still hold several components are compared across these, in tasks that hold the
+full sets of a region and pass on only links that join two components. Regions that are too crowded
+for that go deeper: their documents get more trees, with longer beginnings.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curbside.llm.graph import components
-from curbside.llm.rows import NO_ID, blocks, doc_of, keyed, partitions, row_of, stored, texts_of
+from curbside.llm.rows import NO_ID, blocks, discard, doc_of, keyed, partitions, row_of, stored, texts_of
 from curbside.llm.words import window_hashes, word_hashes
 
 TREES, DEPTH = 16, 6
@@ -28,21 +29,25 @@ LEAST_DEPTH = 2
 FIRST_TREES = 6
 #: Neighbours on either side, and the depths of regions whose first document is a candidate for all.
 NEIGHBOURS, PIVOTS = 1, (2,)
-#: Regions of more rows are compared by signatures, in parts of about PART rows; a task compares so many at once.
-REGION, PART, AT_ONCE = 128, 1024, 512
-#: A pair at the least similarity shares too few values of whole signatures with at most this probability.
-LOST = 1e-9
+#: A region with more shingles than this goes deeper; there a region is compared in parts of about so many.
+CROWDED = 4 << 20
+#: Trees for the documents of crowded regions: a pair of similarity 0.8 shares DEPTH values in none of them
+#: with a probability of 1e-6.
+DEEP_TREES = 45
+#: Rows whose sets are compared at once.
+AT_ONCE = 256
 #: Partners that a document is compared with in one task.
 PARTNERS = 256
 
 _random = np.random.default_rng(4242)
-FACTORS = _random.integers(0, 1 << 64, TREES * DEPTH, np.uint64) | np.uint64(1)
-SHIFTS = _random.integers(0, 1 << 64, TREES * DEPTH, np.uint64)
+FACTORS = _random.integers(0, 1 << 64, (TREES + DEEP_TREES) * DEPTH, np.uint64) | np.uint64(1)
+SHIFTS = _random.integers(0, 1 << 64, (TREES + DEEP_TREES) * DEPTH, np.uint64)
 
 SETS_SQL = "doc long, row long, n long, digest binary, signature binary"
-FOREST = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("tree", pa.int32()), ("key", pa.binary()),
-                    ("doc", pa.int64()), ("n", pa.int64())])
-FOREST_SQL = "a long, b long, tree int, key binary, doc long, n long"
+FOREST = pa.schema([("a", pa.int64()), ("a_row", pa.int64()), ("b", pa.int64()), ("b_row", pa.int64()), ("tree", pa.int32()),
+                    ("key", pa.binary()), ("doc", pa.int64()), ("row", pa.int64()), ("n", pa.int64())])
+FOREST_SQL = "a long, a_row long, b long, b_row long, tree int, key binary, doc long, row long, n long"
+PAIR = FOREST.names[:4]
 
 
 def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
@@ -60,12 +65,13 @@ def shingle_sets(texts: list[bytes], words: int) -> list[np.ndarray]:
     return out
 
 
-def signature(shingles: np.ndarray) -> bytes:
+def signature(shingles: np.ndarray, first: int = 0, trees: int = TREES) -> bytes:
     """The smallest value under each hash function, tree after tree, in an order that bytes keep."""
-    least = np.full(len(FACTORS), (1 << 64) - 1, np.uint64)
+    factors, shifts = (x[first * DEPTH:(first + trees) * DEPTH] for x in (FACTORS, SHIFTS))
+    least = np.full(len(factors), (1 << 64) - 1, np.uint64)
     for at in range(0, len(shingles), 1024):
-        values = shingles[at:at + 1024, None] * FACTORS
-        values += SHIFTS
+        values = shingles[at:at + 1024, None] * factors
+        values += shifts
         np.minimum(least, values.min(0), out=least)
     return (least >> np.uint64(32)).astype(">u4").tobytes()
 
@@ -91,44 +97,47 @@ def neighbours(percent: int, with_edges: bool) -> Callable:
 
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
-        pivots = {d: (0, 0) for d in PIVOTS}
+        pivots = {d: (0, 0, 0) for d in PIVOTS}
         tail: list[pa.RecordBatch] = []
         first = True
         for batch in batches:
             if not batch.num_rows:
                 continue
-            own = {"tree": batch.column("tree").to_numpy(), "doc": batch.column("doc").to_numpy(), "n": batch.column("n").to_numpy(),
-                   "key": np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, DEPTH)}
+            own = {x: batch.column(x).to_numpy() for x in ("tree", "doc", "row", "n")}
+            own["key"] = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u4").reshape(-1, DEPTH)
             carried = 0 if held is None else len(held["doc"])
             rows = own if held is None else {k: np.concatenate([held[k], own[k]]) for k in own}
-            tree, key, doc, n = rows["tree"], rows["key"], rows["doc"], rows["n"]
+            tree, key, doc, row, n = (rows[x] for x in ("tree", "key", "doc", "row", "n"))
             alike = np.cumprod(key[1:] == key[:-1], axis=1).sum(1) * (tree[1:] == tree[:-1])
             common = np.r_[0, alike]
-            pairs = [np.empty((0, 2), np.int64)]
+            pairs = [np.empty((0, 4), np.int64)]
             shared = alike
             for step in range(1, NEIGHBOURS + 1):
                 at = np.flatnonzero(shared >= LEAST_DEPTH)
                 at = at[at + step >= carried]
                 at = at[similar_sizes(n[at], n[at + step], percent)]
-                pairs.append(np.column_stack([doc[at], doc[at + step]]))
+                pairs.append(np.column_stack([doc[at], row[at], doc[at + step], row[at + step]]))
                 shared = np.minimum(shared[:-1], alike[step:])
             for depth in PIVOTS:
                 start = np.maximum.accumulate(np.where(common < depth, np.arange(len(doc)), -1))
                 # The first row held over stands in the run of the pivot kept for it.
                 if carried:
                     start[:int(np.argmax(common[1:] < depth)) + 1 if (common[1:] < depth).any() else len(doc)] = -1
-                pivot = np.where(start < 0, pivots[depth][0], doc[start])
-                size = np.where(start < 0, pivots[depth][1], n[start])
+                pivot, pivot_row, size = (np.where(start < 0, kept, x[start]) for kept, x in zip(pivots[depth], (doc, row, n)))
                 at = np.flatnonzero((pivot != doc) & similar_sizes(n, size, percent))
                 at = at[at >= carried]
-                pairs.append(np.column_stack([pivot[at], doc[at]]))
-                pivots[depth] = (int(pivot[max(0, len(doc) - NEIGHBOURS)]), int(size[max(0, len(doc) - NEIGHBOURS)]))
-            both = np.unique(np.sort(np.concatenate(pairs), axis=1), axis=0)
-            both = both[both[:, 0] != both[:, 1]]
+                pairs.append(np.column_stack([pivot[at], pivot_row[at], doc[at], row[at]]))
+                last = max(0, len(doc) - NEIGHBOURS)
+                pivots[depth] = (int(pivot[last]), int(pivot_row[last]), int(size[last]))
+            both = np.concatenate(pairs)
+            both = both[both[:, 0] != both[:, 2]]
+            turned = both[:, 0] > both[:, 2]
+            both[turned] = both[turned][:, [2, 3, 0, 1]]
+            both = np.unique(both, axis=0)
             held = {k: v[-NEIGHBOURS:] for k, v in rows.items()}
             none = pa.nulls(len(both))
-            yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1]),
-                                              *(none.cast(f.type) for f in list(FOREST)[2:])], schema=FOREST)
+            yield pa.RecordBatch.from_arrays([*(pa.array(both[:, i]) for i in range(4)), *(none.cast(f.type) for f in list(FOREST)[4:])],
+                                             schema=FOREST)
             if with_edges and first:
                 yield ends(batch.slice(0, NEIGHBOURS))
             first = False
@@ -142,25 +151,25 @@ def neighbours(percent: int, with_edges: bool) -> Callable:
 
 def ends(batch: pa.RecordBatch) -> pa.RecordBatch:
     none = pa.nulls(batch.num_rows, pa.int64())
-    return pa.RecordBatch.from_arrays([none, none, *(batch.column(x).cast(FOREST.field(x).type) for x in ("tree", "key", "doc", "n"))],
-                                      schema=FOREST)
+    return pa.RecordBatch.from_arrays([*[none] * 4, *(batch.column(f.name).cast(f.type) for f in list(FOREST)[4:])], schema=FOREST)
 
 
 def tree_rows(sets: DataFrame) -> DataFrame:
-    """(tree, key, doc, n): a row for each tree and distinct set."""
+    """(tree, key, doc, row, n): a row for each tree and distinct set."""
     width = 4 * DEPTH
-    return sets.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "signature", "doc", "n").select(
-        "tree", F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)).alias("key"), "doc", "n")
+    return sets.select(F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "signature", "doc", "row", "n").select(
+        "tree", F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)).alias("key"), "doc", "row", "n")
 
 
 def forest_pairs(trees: DataFrame, percent: int) -> DataFrame:
-    """(a, b): candidates. Rows at the ends of partitions, two or so from each, are compared once more."""
-    order = ("tree", "key", "doc")
-    found = stored(trees.repartitionByRange(partitions(trees), *order).sortWithinPartitions(*order)
+    """(a, a_row, b, b_row): candidates. Rows at the ends of partitions, two or so from each, are compared once more."""
+    order = ("tree", "key", "doc", "row")
+    names = FOREST.names[4:]
+    found = stored(trees.select(*names).repartitionByRange(partitions(trees), *order).sortWithinPartitions(*order)
                    .mapInArrow(neighbours(percent, True), FOREST_SQL), "forest")
-    across = (found.where("key is not null").select("tree", "key", "doc", "n").distinct().coalesce(1).sortWithinPartitions(*order)
+    across = (found.where("key is not null").select(*names).distinct().coalesce(1).sortWithinPartitions(*order)
               .mapInArrow(neighbours(percent, False), FOREST_SQL))
-    return found.union(across).where("a is not null").select("a", "b").distinct()
+    return found.union(across).where("a is not null").select(*PAIR).distinct()
 
 
 def linked(percent: int, words: int) -> Callable:
@@ -171,151 +180,239 @@ def linked(percent: int, words: int) -> Callable:
         for block in blocks(batches):
             sets = shingle_sets(texts_of(block), words)
             pairs = []
-            for a, b, shingles in zip(block.column("a").to_pylist(), block.column("b").to_pylist(), sets):
+            columns = (block.column(x).to_pylist() for x in ("a", "a_row", "b"))
+            for a, a_row, b, shingles in zip(*columns, sets):
                 if b is None:
-                    hub, own = a, shingles
+                    hub, own = (a, a_row), shingles
                     continue
-                if hub != a:
+                if hub != (a, a_row):
                     raise ValueError("a hub is missing")
                 both = len(own) + len(shingles)
                 common = both - len(np.union1d(own, shingles))
                 if 100 * common >= percent * (both - common):
                     pairs.append((a, b))
-            a, b = zip(*pairs) if pairs else ((), ())
-            yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+            yield link_rows(pairs)
 
     return confirm
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, percent: int, words: int) -> DataFrame:
     """The pairs whose full sets are similar. Each partner's text goes to its hub; hubs with many are split."""
-    hubs = pairs.groupBy("a").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
-    partners = pairs.join(hubs, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), "b", F.col("b").alias("doc"))
-    heads = hubs.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"),
-                        F.col("a").alias("doc"))
-    return (partners.union(heads).join(texts, "doc").select("a", "part", "b", "text")
-            .repartition("a", "part").sortWithinPartitions("a", "part", F.asc_nulls_first("b"))
+    hubs = pairs.groupBy("a", "a_row").agg(F.ceil(F.count("*") / PARTNERS).cast("int").alias("parts"))
+    partners = pairs.join(hubs, ["a", "a_row"]).select(
+        "a", "a_row", F.pmod(F.xxhash64("b", "b_row"), F.col("parts")).cast("int").alias("part"), "b", F.col("b").alias("doc"), F.col("b_row").alias("row"))
+    heads = hubs.select("a", "a_row", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(None).cast("long").alias("b"),
+                        F.col("a").alias("doc"), F.col("a_row").alias("row"))
+    hub = ("a", "a_row", "part")
+    return (partners.union(heads).join(texts, ["doc", "row"]).select(*hub, "b", "text")
+            .repartition(*hub).sortWithinPartitions(*hub, F.asc_nulls_first("b"))
             .mapInArrow(linked(percent, words), "a long, b long"))
 
 
-def least_shared(percent: int) -> int:
-    """So many values of whole signatures are shared by sets of a similarity of ``percent``, by Chernoff's bound."""
-    p, n = percent / 100, TREES * DEPTH
-
-    def lost(k: int) -> float:
-        x = k / n
-        below = x * np.log(x / p) + (1 - x) * np.log((1 - x) / (1 - p)) if 0 < x < p < 1 else 0.0
-        return float(np.exp(-n * below))
-
-    return max((k for k in range(1, n) if lost(k) <= LOST), default=0)
-
-
-def crowded_pairs(percent: int) -> Callable:
-    """Of two parts of a region, or of one, the pairs that may be linked and share no region of an earlier tree."""
-    least = least_shared(percent)
-
-    def find(group: pa.Table) -> pa.Table:
-        group = group.sort_by("doc")
-        tree, p, q = (group.column(x)[0].as_py() for x in ("tree", "p", "q"))
-        part, doc, n, component = (group.column(x).to_numpy() for x in ("part", "doc", "n", "component"))
-        key = np.frombuffer(b"".join(group.column("signature").to_pylist()), ">u4").astype(np.uint32).reshape(len(doc), -1)
-        left, right = np.flatnonzero(part == p), np.flatnonzero(part == q)
-        pairs = [np.empty((0, 2), np.int64)]
-        for i in range(0, len(left), AT_ONCE):
-            for j in range(i if p == q else 0, len(right), AT_ONCE):
-                a, b = left[i:i + AT_ONCE], right[j:j + AT_ONCE]
-                fit = component[a, None] != component[b]
-                fit &= similar_sizes(n[a, None], n[b], percent)
-                fit &= doc[a, None] < doc[b] if p == q else doc[a, None] != doc[b]
-                x, y = fit.any(1), fit.any(0)
-                if not x.any():
-                    continue
-                a, b, fit = a[x], b[y], fit[np.ix_(x, y)]
-                shared = np.zeros(fit.shape, np.uint8)
-                for t in range(TREES):
-                    alike = np.ones(fit.shape, bool)
-                    for d in range(DEPTH):
-                        equal = key[a, None, t * DEPTH + d] == key[b, t * DEPTH + d]
-                        shared += equal
-                        if d < LEAST_DEPTH:
-                            alike &= equal
-                    if t < tree:
-                        fit &= ~alike
-                x, y = np.nonzero(fit & (shared >= least))
-                pairs.append(np.sort(np.column_stack([doc[a[x]], doc[b[y]]]), axis=1))
-        both = np.unique(np.concatenate(pairs), axis=0)
-        return pa.table({"a": pa.array(both[:, 0]), "b": pa.array(both[:, 1])})
+def region_links(sets: list[np.ndarray], component: np.ndarray, sides: np.ndarray | None, percent: int) -> list[tuple[int, int]]:
+    """Links between rows of different components that together join whatever all links between them join.
+
+    With ``sides`` only rows of different sides are compared. Rows are taken in the order of their
+    sizes, so that most blocks of rows need no comparison with each other; common shingles are
+    counted by a product of matrices over the shingles that occur more than once.
+    """
+    size = np.array([len(x) for x in sets], np.int64)
+    order = np.argsort(size, kind="stable")
+    size, component = size[order], component[order].copy()
+    sides = None if sides is None else sides[order]
+    _, column, count = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(len(size)), size)
+    often = count[column] > 1
+    column, row = column[often], row[often]
+    bounds = np.searchsorted(row, np.arange(0, len(size) + AT_ONCE, AT_ONCE))
+    place = np.zeros(len(count), np.int64)
+    found = []
+    for i in range(len(bounds) - 1):
+        rows_a = slice(i * AT_ONCE, min((i + 1) * AT_ONCE, len(size)))
+        own = np.unique(column[bounds[i]:bounds[i + 1]])
+        if not len(own):
+            continue
+        place[:] = -1
+        place[own] = np.arange(len(own))
+        left = None
+        for j in range(i, len(bounds) - 1):
+            rows_b = slice(j * AT_ONCE, min((j + 1) * AT_ONCE, len(size)))
+            if 100 * size[rows_a].max() < percent * size[rows_b].min():
+                break
+            fit = component[rows_a, None] != component[rows_b]
+            fit &= 100 * size[rows_a, None] >= percent * size[rows_b]
+            if sides is not None:
+                fit &= sides[rows_a, None] != sides[rows_b]
+            if not fit.any():
+                continue
+            if left is None:
+                left = matrix(row[bounds[i]:bounds[i + 1]] - rows_a.start, place[column[bounds[i]:bounds[i + 1]]], rows_a, len(own))
+            right = left if i == j else matrix(row[bounds[j]:bounds[j + 1]] - rows_b.start, place[column[bounds[j]:bounds[j + 1]]], rows_b, len(own))
+            common = (left @ right.T).astype(np.int64)
+            fit &= 100 * common >= percent * (size[rows_a, None] + size[rows_b] - common)
+            a, b = (x + y for x, y in zip(np.nonzero(fit), (rows_a.start, rows_b.start)))
+            _, once = np.unique(np.column_stack([component[a], component[b]]), axis=0, return_index=True)
+            for a, b in zip(a[once].tolist(), b[once].tolist()):
+                if component[a] != component[b]:
+                    component[component == component[b]] = component[a]
+                    found.append((order[a], order[b]))
+    return found
+
+
+def matrix(row: np.ndarray, column: np.ndarray, rows: slice, columns: int) -> np.ndarray:
+    """Which rows have which of some shingles; those without a column are left out."""
+    out = np.zeros((rows.stop - rows.start, columns), np.float32)
+    out[row[column >= 0], column[column >= 0]] = 1
+    return out
+
+
+def group_links(percent: int) -> Callable:
+    """Links of the groups of rows sorted by group; each group is held whole, which CROWDED bounds."""
+
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            group = batch.column("group").to_numpy()
+            starts = np.flatnonzero(np.diff(group, prepend=group[0] - 1)) if not held else np.flatnonzero(
+                np.diff(group, prepend=held[-1].column("group")[0].as_py()))
+            edges = [0, *starts[starts > 0].tolist(), batch.num_rows]
+            pairs = []
+            for a, b in zip(edges, edges[1:]):
+                if a in starts and held:
+                    pairs += links_of(held, percent)
+                    held = []
+                held.append(pa.Table.from_batches([batch.slice(a, b - a)]))
+            yield link_rows(pairs)
+        if held:
+            yield link_rows(links_of(held, percent))
 
     return find
 
 
-def cross_pairs(trees: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a region and may be linked.
+def links_of(held: list[pa.Table], percent: int) -> list[tuple[int, int]]:
+    rows = pa.concat_tables(held)
+    doc, component, side = (rows.column(x).to_numpy() for x in ("doc", "component", "side"))
+    if len(doc) < 2 or (component == component[0]).all():
+        return []
+    sets = [np.frombuffer(x, np.uint64) for x in rows.column("shingles").to_pylist()]
+    apart = rows.column("apart")[0].as_py()
+    return [(doc[a], doc[b]) for a, b in region_links(sets, component, side if apart else None, percent)]
+
+
+def link_rows(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*pairs) if pairs else ((), ())
+    return pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def described(texts: DataFrame, words: int, name: str, describe: Callable[[np.ndarray], bytes]) -> DataFrame:
+    """(doc, row, ``name``): bytes that describe the set of each text."""
 
-    Regions of at most REGION rows are joined in full. A larger one is dealt into parts by hash, and
-    each two parts are compared in one task, which passes on the pairs whose signatures share enough.
+    def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            found = [describe(x) for x in shingle_sets(texts_of(block), words)]
+            yield pa.RecordBatch.from_arrays([block.column("doc"), block.column("row"), pa.array(found, pa.binary())], ["doc", "row", name])
+
+    return texts.select("doc", "row", "text").mapInArrow(find, f"doc long, row long, {name} binary")
+
+
+def mixed_regions(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(tree, region, doc, row, n, component, shingle_count) of regions that hold several components."""
+    own = rows.join(labels, rows["doc"] == labels["node"], "left").select(
+        "tree", "region", "doc", "row", "n", F.coalesce("component", "doc").alias("component"))
+    regions = own.groupBy("tree", "region").agg(F.sum("n").alias("shingle_count"), F.min("component").alias("x"), F.max("component").alias("y"))
+    return own.join(regions.where("x < y").select("tree", "region", "shingle_count"), ["tree", "region"])
+
+
+def compared(mixed: DataFrame, texts: DataFrame, percent: int, words: int, crowded: int) -> DataFrame:
+    """(a, b): links between components of a region, compared on full sets; at most one for each row of a group.
+
+    A region of more than ``crowded`` shingles is dealt into parts, and each two parts are a group.
     """
+    node = ["doc", "row"]
+    parts = F.ceil(F.col("shingle_count") / crowded).cast("int")
+    dealt = mixed.withColumn("side", F.pmod(F.xxhash64(*node), parts).cast("int")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0), parts - 1)))
+    p, q = F.least("side", "other"), F.greatest("side", "other")
+    groups = dealt.select(F.xxhash64("tree", "region", p, q).alias("group"), *node, "component", "side", (p != q).alias("apart"))
+    sets = described(texts.join(mixed.select(*node).distinct(), node, "left_semi"), words, "shingles", np.ndarray.tobytes)
+    return (groups.join(sets, node).select("group", "doc", "component", "side", "apart", "shingles").repartition("group").sortWithinPartitions("group")
+            .mapInArrow(group_links(percent), "a long, b long"))
+
+
+def deep_regions(far: DataFrame, texts: DataFrame, words: int) -> DataFrame:
+    """(tree, region, doc, row, n) in the trees that only documents of crowded regions have."""
     width = 4 * DEPTH
-    own = trees.join(labels, trees["doc"] == labels["node"], "left").select(
-        "tree", "key", F.substring("key", 1, 4 * LEAST_DEPTH).alias("region"), "doc", "n", F.coalesce("component", "doc").alias("component"))
-    regions = own.groupBy("tree", "region").agg(F.count("*").alias("rows"), F.min("component").alias("x"), F.max("component").alias("y"))
-    mixed = stored(own.join(regions.where("x < y").select("tree", "region", "rows"), ["tree", "region"]), "regions")
-    near = joined(mixed.where(f"rows <= {REGION}"), percent)
-    far = mixed.where(f"rows > {REGION}")
+    own = far.select("doc", "row", "n").distinct()
+    signed = described(texts.join(own, ["doc", "row"], "left_semi"), words, "signature", deep_signature).join(own, ["doc", "row"])
+    trees = F.explode(F.sequence(F.lit(0), F.lit(DEEP_TREES - 1))).alias("tree")
+    return signed.select(trees, "doc", "row", "n", "signature").select(
+        (F.col("tree") + TREES).alias("tree"), F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)).alias("region"),
+        "doc", "row", "n")
+
+
+def deep_signature(shingles: np.ndarray) -> bytes:
+    return signature(shingles, TREES, DEEP_TREES)
+
+
+def cross_links(trees: DataFrame, texts: DataFrame, labels: DataFrame, percent: int, words: int, crowded: int) -> DataFrame:
+    """(a, b): links between components that share a region in any tree.
+
+    Regions of up to ``crowded`` shingles are compared whole. The documents of larger ones get
+    DEEP_TREES more trees, in which a region shares DEPTH values.
+    """
+    rows = trees.select("tree", F.substring("key", 1, 4 * LEAST_DEPTH).alias("region"), "doc", "row", "n")
+    mixed = stored(mixed_regions(rows, labels), "regions")
+    near = stored(compared(mixed.where(F.col("shingle_count") <= crowded), texts, percent, words, crowded), "confirmed")
+    far = mixed.where(F.col("shingle_count") > crowded)
     if far.isEmpty():
-        return near.distinct()
-    # Rows of one document may have different sets: the one that the key belongs to is meant.
-    signed = far.join(sets.select("doc", "signature"), "doc").where(
-        F.col("key") == F.substring(F.col("signature"), F.col("tree") * width + 1, F.lit(width)))
-    parts = F.ceil(F.col("rows") / PART).cast("int")
-    dealt = signed.withColumn("part", F.pmod(F.xxhash64("doc"), parts).cast("int")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0), parts - 1))).select(
-            "tree", "region", F.least("part", "other").alias("p"), F.greatest("part", "other").alias("q"), "part", "doc", "n", "component", "signature")
-    return near.union(dealt.groupBy("tree", "region", "p", "q").applyInArrow(crowded_pairs(percent), "a long, b long")).distinct()
-
-
-def joined(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a region whose components differ and whose sizes allow a link."""
-    left = rows.select("tree", "region", *(F.col(x).alias(f"{x}_a") for x in ("doc", "n", "component")))
-    right = rows.select("tree", "region", *(F.col(x).alias(f"{x}_b") for x in ("doc", "n", "component")))
-    return left.join(right, ["tree", "region"]).where(
-        f"component_a <> component_b and doc_a < doc_b and 100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)").select(
-            F.col("doc_a").alias("a"), F.col("doc_b").alias("b"))
-
-
-def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text") -> DataFrame:
+        discard(mixed)
+        return near
+    labels = components(near.union(labels.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+    deep = stored(mixed_regions(deep_regions(far, texts, words), labels), "regions")
+    all_links = stored(near.union(compared(deep, texts, percent, words, crowded)), "confirmed")
+    discard(mixed, near, deep, labels)
+    return all_links
+
+
+def near_copies(docs: DataFrame, words: int = 5, percent: int = 80, ident: str = "doc_id", text: str = "text",
+                crowded: int = CROWDED) -> DataFrame:
     """(doc_id, doc, row, n_shingles, component_id, kept) for each row of ``docs``.
 
     Documents are linked whose sets of distinct shingles of ``words`` words, A-Z in lower case, have
     100 * intersection >= ``percent`` * union. A text of fewer words has one shingle; texts without
     words, NULL among them, are linked with nothing. ``component_id`` is the smallest id that links
     lead to, and the row with that id is kept. Equal sets are one node from the start. Rows with one
-    id count as one document; rows without an id have no component and are kept.
+    id count as one document, which has the links of all its texts; rows without an id have no
+    component and are kept. Regions of up to ``crowded`` shingles are held whole in one task.
+    Other columns are not looked at; an empty table gives no rows.
     """
     own = keyed(docs, ident, text)
+    node = ["doc", "row"]
     sets = stored(own.mapInArrow(set_rows(words), SETS_SQL), "shingle-sets")
     known = sets.where((F.col("n") > 0) & (F.col("doc") != NO_ID))
-    nodes = known.groupBy("digest").agg(F.min(F.struct("doc", "row")).alias("first"))
-    heads = known.join(nodes.select("first.doc", "first.row"), ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"])
+    nodes = known.groupBy("digest").agg(F.min(F.struct(*node)).alias("first"))
+    heads = known.join(nodes.select("first.doc", "first.row"), node, "left_semi").dropDuplicates(node)
     trees = tree_rows(heads)
     region = F.substring(F.col("key"), F.lit(1), F.lit(4 * LEAST_DEPTH))
-    crowded = trees.groupBy("tree", region.alias("region")).count().where("count > 1").select("tree", "region")
-    crowd = trees.withColumn("region", region).join(crowded, ["tree", "region"], "left_semi").select("tree", "key", "doc", "n")
-    crowd = stored(crowd, "trees")
-    ids = heads.select("doc", "row").join(crowd.select("doc").distinct(), "doc", "left_semi")
-    texts = stored(own.join(ids, ["doc", "row"], "left_semi").select("doc", "text").dropDuplicates(["doc"]), "candidates")
-    links = stored(confirmed(forest_pairs(crowd.where(F.col("tree") < FIRST_TREES), percent), texts, percent, words), "confirmed")
+    shared = trees.groupBy("tree", region.alias("region")).count().where("count > 1").select("tree", "region")
+    crowd = stored(trees.withColumn("region", region).join(shared, ["tree", "region"], "left_semi").drop("region"), "trees")
+    texts = stored(own.join(crowd.select(*node).distinct(), node, "left_semi").dropDuplicates(node), "candidates")
+    pairs = forest_pairs(crowd.where(F.col("tree") < FIRST_TREES), percent)
+    links = stored(confirmed(pairs, texts, percent, words), "confirmed")
     labels = components(links)
-    more = stored(confirmed(cross_pairs(crowd, heads, labels, percent), texts, percent, words), "confirmed")
+    more = cross_links(crowd, texts, labels, percent, words, crowded)
     # Rows of one document may have different sets.
-    sets_of = known.join(nodes.select("digest", F.col("first.doc").alias("node")), "digest").select("doc", "row", "node").distinct()
+    sets_of = known.join(nodes.select("digest", F.col("first.doc").alias("node")), "digest").select(*node, "node").distinct()
     split = sets_of.groupBy("doc").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x < y")
     same = sets_of.join(split, "doc").select(F.col("node").alias("a"), F.col("x").alias("b"))
-    labels = components(links.union(more).union(same))
-    found = sets_of.join(labels, "node", "left").select("doc", "row", F.coalesce("component", "node").alias("component"))
+    found_labels = components(links.union(more).union(same))
+    discard(crowd, texts, links, more, labels)
+    found = sets_of.join(found_labels, "node", "left").select(*node, F.coalesce("component", "node").alias("component"))
     rows = docs.select(F.col(ident).alias("doc_id"), doc_of(ident).alias("doc"), row_of(ident, text).alias("row"))
-    counts = sets.select("doc", "row", "n").distinct()
-    return rows.join(counts, ["doc", "row"]).join(found, ["doc", "row"], "left").select(
-        "doc_id", "doc", "row", F.col("n").alias("n_shingles"),
+    counts = sets.select(*node, "n").distinct()
+    return rows.join(counts, node).join(found, node, "left").select(
+        "doc_id", *node, F.col("n").alias("n_shingles"),
         F.coalesce(F.col("component"), F.when(F.col("doc") != NO_ID, F.col("doc"))).alias("component_id")).withColumn(
             "kept", F.coalesce(F.col("doc") == F.col("component_id"), F.lit(True)))

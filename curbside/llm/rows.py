@@ -9,7 +9,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.session import reach_workers, shared_folder
+from curbside.session import reach_workers, remove, shared_folder
 
 #: Bytes of text that a task holds at once; a longer single text is held alone.
 BLOCK_BYTES = 8 << 20
@@ -24,7 +24,15 @@ def stored(frame: DataFrame, purpose: str) -> DataFrame:
     """``frame`` written to the shared folder and read again: cut lineage that survives executors."""
     path = shared_folder(frame.sparkSession, purpose)
     frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    found = frame.sparkSession.read.schema(frame.schema).parquet(path)
+    found.stored_in = path
+    return found
+
+
+def discard(*frames: DataFrame) -> None:
+    """Removes the files of stored frames that no later plan reads."""
+    for frame in frames:
+        remove(frame.sparkSession, frame.stored_in)
 
 
 def keyed(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from curbside.llm import byte_pairs, resampling
-from curbside.llm.byte_pairs import byte_pair_round_trip, decoded, default_path, default_pattern, encoded, merged, rank_table, splitter
+from curbside.llm.byte_pairs import byte_pair_round_trip, decoded, default_path, default_pattern, encoded, merger, splitter
 from curbside.llm.filter_audit import filter_audit
 from curbside.llm.resampling import resampled, text_runs
 from curbside.llm.rows import reach_workers
@@ -113,8 +113,7 @@ def library():
 
 
 def plain_ids(text):
-    ranks = rank_table(default_path())
-    return [i for x in splitter(default_pattern()).findall(text) for i in merged(x.encode(), ranks)]
+    return [i for x in splitter(default_pattern()).findall(text) for i in merger(default_path()).encode_ordinary(x)]
 
 
 @settings(max_examples=300, deadline=None)
@@ -149,7 +148,7 @@ def test_blocks_of_few_texts(spark, library):
 
 
 def test_a_text_beyond_a_block(spark, library):
-    rows = [(1, "Ein langer Text 12 of many words, " * 160_000, "de"), (2, "short", "en")]
+    rows = [(1, "Ein langer Text 12 of many words, " * 500_000, "de"), (2, "short", "en")]
     assert len(rows[0][1]) > byte_pairs.BLOCK
     got = [(r.doc_id, bytes(r.ids), bytes(r.text)) for r in byte_pair_round_trip(docs_of(spark, rows, 1)).collect()]
     assert sorted(got, key=repr) == wanted(library, rows)
