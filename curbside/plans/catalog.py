@@ -187,7 +187,7 @@ class Inputs:
     def run_split(self) -> str:
         """The folder of records split into those on time and late ones."""
         root = self.folder("split")
-        windows.start_split_by_watermark(self.stream_records(LATE), root, f"{root}/checkpoint", S.CITY_WATERMARK, S.CITY_WINDOW,
+        windows.start_split_by_watermark(self.stream_records(F.expr(LATE)), root, f"{root}/checkpoint", S.CITY_WATERMARK, S.CITY_WINDOW,
                                          trigger=ONCE, time_fallback=F.col("ingestion_ts")).awaitTermination()
         return root
 
@@ -470,23 +470,22 @@ query("stream_driver_utilization")(lambda i: i.run_kept(_DRIVER))
 query("stream_surge")(lambda i: i.run_kept(_SURGE))
 
 # Newer and older records of most keys arrive in other batches than the first one.
-LATE = F.floor(F.pmod(F.col("kafka_offset") * 7, F.lit(10)) * BATCHES / 10)
-query("gold_delta_city")(lambda i: i.run_kept(_CITY, LATE))
-query("gold_delta_driver")(lambda i: i.run_kept(_DRIVER, LATE))
-query("gold_delta_surge")(lambda i: i.run_kept(_SURGE, LATE))
+LATE = f"floor(pmod(kafka_offset * 7, 10) * {BATCHES} / 10)"
+query("gold_delta_city")(lambda i: i.run_kept(_CITY, F.expr(LATE)))
+query("gold_delta_driver")(lambda i: i.run_kept(_DRIVER, F.expr(LATE)))
+query("gold_delta_surge")(lambda i: i.run_kept(_SURGE, F.expr(LATE)))
 
 
 # -- streams with windows in append mode -------------------------------------------------------
 
-_FALLBACK = F.col("ingestion_ts")
-query("stream_closed_city")(lambda i: i.run_closed(windows.closed_city_metrics(i.repeats_later(), _FALLBACK)))
-query("stream_closed_driver")(lambda i: i.run_closed(windows.closed_driver_utilization(i.repeats_later(), _FALLBACK)))
+query("stream_closed_city")(lambda i: i.run_closed(windows.closed_city_metrics(i.repeats_later(), F.col("ingestion_ts"))))
+query("stream_closed_driver")(lambda i: i.run_closed(windows.closed_driver_utilization(i.repeats_later(), F.col("ingestion_ts"))))
 
 
 @query("stream_demand_supply")
 def _demand_supply(i: Inputs) -> DataFrame:
     records = i.repeats_later()
-    return _bounds(i.run_closed(windows.demand_with_supply(records, records, _FALLBACK)))
+    return _bounds(i.run_closed(windows.demand_with_supply(records, records, F.col("ingestion_ts"))))
 
 
 @query("stream_late_rows")
