@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 from curbside.llm.rows import blocks, rest_of, stored, texts_of
 from curbside.llm.words import span_hashes, word_spans
 
-#: Labelled rows to learn from at most; those with the smallest hashes of their ids.
+#: Labelled rows to learn from at most; those with the smallest hashes of id and text.
 SAMPLE = 20_000
 #: Word stems that the classifier knows at most, and those that vote as learned lexicons.
 FEATURES, LEARNED = 4096, 200
+#: Toxic texts of the sample that a stem must be in.
+LEAST_TOXIC = 3
 STEMS = range(3, 9)
 THRESHOLD = 0.3
 #: Correlations below this are taken for chance.
@@ -30,13 +32,13 @@ CORRELATED = 0.15
 
 # Words that count against a text in any corpus.
 LEXICONS = {
-    "insults": "idiot moron loser clown scum trash fool jerk creep imbecile",
-    "contempt": "stupid pathetic worthless disgusting dumb useless ugly filthy vile",
-    "profanity": "damn crap bastard bullshit arse ass shit fuck bitch",
-    "threats": "kill die hurt destroy hang choke",
-    "german": "dumm dummkopf trottel abschaum versager arschloch widerlich wertlos",
-    "french": "imbécile crétin ordure minable nul débile connard dégoûtant",
-    "spanish": "imbécil estúpido basura payaso inútil asqueroso patético perdedor",
+    "insults": ("idiot", "moron", "loser", "clown", "scum", "trash", "fool", "jerk", "creep", "imbecile"),
+    "contempt": ("stupid", "pathetic", "worthless", "disgusting", "dumb", "useless", "ugly", "filthy", "vile"),
+    "profanity": ("damn", "crap", "bastard", "bullshit", "arse", "ass", "shit", "fuck", "bitch"),
+    "threats": ("kill", "die", "hurt", "destroy", "hang", "choke"),
+    "german": ("dumm", "dummkopf", "trottel", "abschaum", "versager", "arschloch", "widerlich", "wertlos"),
+    "french": ("imbécile", "crétin", "ordure", "minable", "nul", "débile", "connard", "dégoûtant"),
+    "spanish": ("imbécil", "estúpido", "basura", "payaso", "inútil", "asqueroso", "patético", "perdedor"),
 }
 PATTERNS = {
     "you_are": r"\b(?:you|u)(?:'re| are| r)? (?:an? |such an? |all )?(?:idiot|moron|loser|clown|scum|trash|fool|stupid|pathetic|worthless|disgusting|dumb)",
@@ -45,7 +47,7 @@ PATTERNS = {
     "shouting": r"!{3,}|\b[A-ZÀ-Þ]{4,}(?:\s+[A-ZÀ-Þ]{4,}){2,}",
     "masked": r"\b\w+\*{2,}\w*\b|\b\w*[@$]\w*[@$]\w*\b",
 }
-LEXICON_OF = {word: name for name, words in LEXICONS.items() for word in words.split()}
+LEXICON_OF = {word: name for name, words in LEXICONS.items() for word in words}
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -110,7 +112,9 @@ def posterior(votes: np.ndarray, start: np.ndarray, rounds: int = 12) -> tuple[n
     """Posterior labels of texts from their votes (texts by voters), and the voters' rates.
 
     Expectation maximisation from the labels ``start``. Voters that agree beyond what the label
-    XX    """
+    explains share one voice: a voter weighs 1 over the sum of its correlations with all voters,
+    itself included. The last voter, people, keeps its full weight.
+    """
     n, m = votes.shape
     q, weight = start, np.ones(m)
     for step in range(rounds):
@@ -155,14 +159,17 @@ def held_out(ident: str = "doc_id"):
 
 
 def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label: str = "toxic",
-          sample: int = SAMPLE) -> tuple[dict[str, float], float]:
+          sample: int = SAMPLE, features: int = FEATURES, learned: int = LEARNED, least_toxic: int = LEAST_TOXIC
+          ) -> tuple[dict[str, float], float]:
     """Weights of stems and a bias, from at most ``sample`` labelled rows that are not held out."""
-    known = (labels.where(F.col(label).isNotNull() & F.col(ident).isNotNull() & ~held_out(ident))
-             .select(F.col(ident).alias("id"), F.col(label).cast("int").alias("toxic")).distinct()
-             .orderBy(F.xxhash64("id"), "id", "toxic").limit(sample))
-    # At most ``sample`` rows of two numbers.
-    texts = stored(docs.select(F.col(ident).alias("id"), F.col(text).cast("string").alias("text"))
-                   .join(F.broadcast(known), "id").select("text", "toxic"), "toxicity-sample")
+    marks = labels.where(F.col(label).isNotNull() & F.col(ident).isNotNull() & ~held_out(ident)).select(
+        F.col(ident).cast("long").alias("id"), F.col(label).cast("int").alias("toxic")).distinct()
+    rows = docs.select(F.col(ident).cast("long").alias("id"), F.xxhash64(F.col(ident).cast("long"), F.col(text).cast("string")).alias("row"),
+                       F.col(text).cast("string").alias("text"))
+    key = ["id", "row", "toxic"]
+    known = rows.select("id", "row").join(marks, "id").distinct().orderBy(F.xxhash64(*key), *key).limit(sample)
+    # At most ``sample`` rows of three numbers; repeated rows are one.
+    texts = stored(rows.join(F.broadcast(known), ["id", "row"]).dropDuplicates(key).select("text", "toxic"), "toxicity-sample")
     counted = texts.mapInArrow(stem_counts, "stem string, toxic long, clean long").groupBy("stem").agg(
         F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
     totals = {toxic: n for toxic, n in texts.groupBy("toxic").count().collect()}
@@ -170,21 +177,20 @@ def train(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str =
     if not toxic or not clean:
         return {f"{x} ": 4.0 for x in LEXICON_OF}, -3.0
     odds = F.log(((F.col("toxic") + 0.2) / (toxic + 0.4)) / ((F.col("clean") + 0.2) / (clean + 0.4)))
-    best = (counted.withColumn("odds", odds).where(f"odds > 1.5 and toxic >= {min(4, max(1, toxic // 20))}")
-            .orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "stem").limit(FEATURES).collect())
-    features = [x["stem"] for x in best] + [f"{x} " for x in LEXICON_OF]
-    features = list(dict.fromkeys(features))
-    rows = texts.mapInArrow(sample_rows(features), "features array<int>, votes array<int>, toxic int").collect()
+    best = [x["stem"] for x in counted.withColumn("odds", odds).where((F.col("odds") > 1.5) & (F.col("toxic") >= least_toxic))
+            .orderBy(F.desc(F.col("odds") * F.sqrt("toxic")), "stem").limit(features).collect()]
+    stems = list(dict.fromkeys(best + [f"{x} " for x in LEXICON_OF]))
+    rows = texts.mapInArrow(sample_rows(stems), "features array<int>, votes array<int>, toxic int").collect()
     fixed = len(LEXICONS) + len(PATTERNS)
-    learned = min(LEARNED, len(best))
+    learned = min(learned, len(best))
     votes = np.zeros((len(rows), fixed + learned + 1), np.float32)
     for i, row in enumerate(rows):
         votes[i, row["votes"]] = 1
         votes[i, [fixed + x for x in row["features"] if x < learned]] = 1
         votes[i, -1] = row["toxic"]  # people vote too
     soft, _, _ = posterior(votes, 0.02 + 0.95 * votes[:, -1])
-    weights, bias = fitted([(x["features"], y) for x, y in zip(rows, soft.tolist())], len(features))
-    return dict(zip(features, weights.tolist())), bias
+    weights, bias = fitted([(x["features"], y) for x, y in zip(rows, soft.tolist())], len(stems))
+    return dict(zip(stems, weights.tolist())), bias
 
 
 def scorer(weights: dict[str, float], bias: float):
@@ -213,25 +219,32 @@ def scorer(weights: dict[str, float], bias: float):
 
 
 def with_scores(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label: str = "toxic",
-                sample: int = SAMPLE) -> DataFrame:
-    """(rest, text, score) for each row of ``docs``; ``rest`` holds its other columns."""
-    weights, bias = train(docs, labels, ident, text, label, sample)
+                **bounds: int) -> DataFrame:
+    """(rest, text, score) for each row of ``docs``; ``rest`` holds its other columns. ``bounds`` as in ``toxicity``."""
+    weights, bias = train(docs, labels, ident, text, label, **bounds)
     frame = docs.select(rest_of(docs, text), F.col(text).cast("string").alias("text"))
     kind = frame.schema["rest"].dataType.simpleString()
     return frame.mapInArrow(scorer(weights, bias), f"rest {kind}, text string, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, ident: str = "doc_id", text: str = "text", label: str = "toxic",
-             threshold: float = THRESHOLD, sample: int = SAMPLE) -> DataFrame:
+             threshold: float = THRESHOLD, sample: int = SAMPLE, features: int = FEATURES, learned: int = LEARNED,
+             least_toxic: int = LEAST_TOXIC) -> DataFrame:
     """(doc_id, held_out, score, predicted) for each row of ``docs``.
 
     Scores depend on the words of a text alone. Labels are learned from rows that are not held out
-    (crc32 of the id as text, modulo 4, other than 2), at most ``sample`` of them; rows with NULL
-    for id or label teach nothing, and rows without an id are held out. NULL and empty texts get the
-    score of a text without a known word. Without labels of both kinds the fixed lexicons decide.
+    (crc32 of the id as text, modulo 4, other than 2): at most ``sample`` different pairs of text and
+    label, which also bounds what reaches the driver, repeated rows counting once. The classifier
+    knows at most ``features`` stems, each in ``least_toxic`` toxic texts of the sample, the best
+    ``learned`` of which vote. Rows with NULL for id or label teach nothing, and rows without an id
+    are held out. NULL and empty texts get the score of a text without a known word. Without labels
+    of both kinds the fixed lexicons decide. Repeated rows are scored one by one; an empty table
+    gives no rows; other columns, whatever their names, are not looked at. Texts are read in blocks
+    of some megabytes, a longer one as a block by itself.
     """
     scored = with_scores(docs.select(F.col(ident).alias("doc_id"), F.col(text).alias("text")),
-                         labels.select(F.col(ident).alias("doc_id"), F.col(label).alias("toxic")), sample=sample)
+                         labels.select(F.col(ident).alias("doc_id"), F.col(label).alias("toxic")),
+                         sample=sample, features=features, learned=learned, least_toxic=least_toxic)
     return scored.select("rest.doc_id", "score").select(
         "doc_id", F.coalesce(held_out("doc_id"), F.lit(True)).alias("held_out"), "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"))

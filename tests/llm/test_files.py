@@ -1,6 +1,7 @@
 """Tokens, packing, token files, archives, toxicity and the pipeline."""
 
 import hashlib
+import math
 import random
 import zlib
 
@@ -17,7 +18,8 @@ from curbside.llm import warc
 from curbside.llm.packing import best_cuts, pack_documents
 from curbside.llm.rows import reach_workers, table
 from curbside.llm.tokens import Encoder, default_path
-from curbside.llm.toxicity import posterior, stems_of, toxicity, with_scores
+from curbside.llm import toxicity as toxicity_module
+from curbside.llm.toxicity import fitted, posterior, stems_of, toxicity, train, with_scores
 
 SCHEMA = "doc_id long, text string, doc long, row string, score double"
 ODD_TEXTS = ["Straße ΑΣ ΣΑ İstanbul", "don't we'll ''s x's .'s", "<|endoftext|>a b<|startoftext|>  x", "", " \t\n", "à́ ́b ﬁ Ａ",
@@ -223,6 +225,70 @@ def test_toxicity(spark):
     assert with_scores(docs_of(spark, rows), marks).select("rest.score").distinct().collect() == [(None,)]
 
 
+def test_the_sample_bounds_rows(spark):
+    rows = [(i, f"plain text {i} {n}" + (" idiot" if i == 1 else "")) for i in (1, 4) for n in range(200)] * 2
+    assert all(zlib.crc32(str(i).encode()) % 4 != 2 for i, _ in rows)
+    marks = spark.createDataFrame([(1, 1), (4, 0)], "doc_id long, toxic int")
+    seen = []
+    keep = toxicity_module.stored
+    toxicity_module.stored = lambda frame, purpose: seen.append(keep(frame, purpose)) or seen[-1]
+    try:
+        train(docs_of(spark, rows), marks, sample=30)
+        train(docs_of(spark, rows), marks)
+    finally:
+        toxicity_module.stored = keep
+    assert [x.count() for x in seen] == [30, 400]
+
+
+def plain_posterior(votes, q, rounds=12):
+    """The same model, one text and voter after the other."""
+    n, m = len(votes), len(votes[0])
+    weight = [1.0] * m
+    for step in range(rounds):
+        total = sum(q)
+        hit = [min(max((sum(q[i] * votes[i][j] for i in range(n)) + 0.1) / (total + 1), 1e-4), 0.999) for j in range(m)]
+        miss = [min(max((sum((1 - q[i]) * votes[i][j] for i in range(n)) + 0.01) / (n - total + 1), 1e-5), 0.999) for j in range(m)]
+        prior = min(max(total / n, 1e-3), 0.999)
+        q = []
+        for row in votes:
+            odds = math.log(prior / (1 - prior))
+            for j, v in enumerate(row):
+                odds += weight[j] * (math.log(hit[j] / miss[j]) if v else math.log((1 - hit[j]) / (1 - miss[j])))
+            q.append(1 / (1 + math.exp(-min(max(odds, -30), 30))))
+        if step % 5 == 1:
+            rest = [[votes[i][j] - q[i] * hit[j] - (1 - q[i]) * miss[j] for i in range(n)] for j in range(m)]
+            spread = [math.sqrt(sum(x * x for x in r) / n) + 1e-9 for r in rest]
+            for j in range(m):
+                each = [sum(a * b for a, b in zip(rest[j], rest[k])) / n / spread[j] / spread[k] for k in range(m)]
+                weight[j] = 1 / max(sum(x for x in each if x > 0.15), 1)
+            weight[-1] = 1.0
+    return q
+
+
+def test_posterior_and_fit_by_plain_versions():
+    rng = np.random.default_rng(2)
+    truth = rng.random(60) < 0.3
+    votes = np.column_stack([np.where(truth, rng.random(60) < 0.8, rng.random(60) < 0.1) for _ in range(4)] + [truth]).astype(float)
+    votes = np.column_stack([votes[:, [0]], votes])
+    start = 0.1 + 0.8 * votes[:, -1]
+    assert np.allclose(posterior(votes, start)[0], plain_posterior(votes.tolist(), start.tolist()))
+    rows = [([j for j in range(5) if row[j]], float(y)) for row, y in zip(votes, start)]
+    weights, bias = fitted(rows, 5)
+
+    def loss(w, b):
+        z = [b + sum(w[j] for j in found) for found, _ in rows]
+        return sum(math.log1p(math.exp(x)) - y * x for x, (_, y) in zip(z, rows)) / len(rows) + 1.5e-6 * sum(x * x for x in w)
+
+    least = loss(weights, bias)
+    assert (weights >= 0).all()
+    for j in range(5):  # no small step makes it better
+        for step in (-0.05, 0.05):
+            moved = weights.copy()
+            moved[j] = max(0, moved[j] + step)
+            assert loss(moved, bias) > least - 1e-6
+    assert min(loss(weights, bias - 0.05), loss(weights, bias + 0.05)) > least - 1e-6
+
+
 def test_label_model():
     rng = np.random.default_rng(0)
     truth = rng.random(3000) < 0.2

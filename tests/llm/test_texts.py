@@ -8,12 +8,13 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from curbside.llm.fingerprints import BINS, edited_fingerprints
 from curbside.llm.graph import components
 from curbside.llm.lines import kept_text, keep_bitmaps, line_dedup
-from curbside.llm.near_copies import DEPTH, TREES, near_copies, shingle_sets, signature
+from curbside.llm.near_copies import CROWDED, DEPTH, TREES, near_copies, region_links, shingle_sets, signature
 from curbside.llm.rows import reach_workers
 from curbside.llm.substrings import substring_dedup
 from curbside.llm.suffixes import suffix_dedup
@@ -286,6 +287,109 @@ def test_decontamination_at_every_place(spark):
         assert isinstance(x, int) or got[i].words == x[1]
 
 
+def plain_overlaps(rows, items):
+    """The best stretch of every document and item over all shifts, where it is enough."""
+    words = lambda x: regex.findall(r"[\p{L}\p{N}]+", (x or "").lower())
+    out = {}
+    for i, text in rows:
+        doc = words(text)
+        for item_id, item_text in items:
+            item, best = words(item_text), 0
+            if not item or len(item) <= 3 and item != doc:
+                continue
+            for shift in range(1 - len(item), len(doc)):
+                here = 0
+                for j, word in enumerate(item):
+                    here = max(0, here + (1 if 0 <= j + shift < len(doc) and doc[j + shift] == word else -3))
+                    best = max(best, here)
+            if best >= min(10, len(item)):
+                out[i, item_id] = best
+    return out
+
+
+def test_decontamination_by_brute_force(spark):
+    rng = random.Random(8)
+    word = lambda: rng.choice("abcdefghijklmnop") + str(rng.randrange(30))
+    items = [(i, " ".join(word() for _ in range(n))) for i, n in enumerate([1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 14, 20, 30, 30, 12])]
+    items += [(50, items[12][1]), (51, items[6][1].upper() + "!"), (52, ""), (53, None)]
+    rows = []
+    for n in range(90):
+        body = [word() for _ in range(rng.randrange(30))]
+        part = items[rng.randrange(16)][1].split()
+        first = rng.randrange(max(1, len(part) - 10)) if n % 3 == 0 else 0
+        part = part[first:]
+        if n % 5 == 0 and len(part) > 16:
+            part[rng.randrange(len(part))] = "other"
+        at = rng.randrange(len(body) + 1)
+        rows.append((n, " ".join(body[:at] + part + body[at:])))
+    rows += [(200, items[1][1]), (201, items[0][1] + "."), (202, None), (203, ""), (5, rows[5][1])]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc, r.item_id): r.words for r in benchmark_overlaps(docs_of(spark, rows), bench).collect()}
+    assert got == plain_overlaps(rows, items) and len(got) > 60
+    best = {r.doc_id: (r.item_id, r.words) for r in decontaminate(docs_of(spark, rows), bench).collect() if r.contaminated}
+    for i, (item_id, n) in best.items():  # the smallest of the longest
+        assert (item_id, n) == min(((y, w) for (x, y), w in got.items() if x == i), key=lambda z: (-z[1], z[0]))
+
+
+def test_items_with_a_common_stem(spark):
+    stem = " ".join(f"stem{i}" for i in range(13))
+    items = [(i, f"{stem} " + " ".join(f"own{i}x{j}" for j in range(12))) for i in range(300)]
+    rows = [(i, f"some text {i} {stem} and an end of its own {i}") for i in range(300)] + [(1000, "before " + items[77][1] + " after")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = benchmark_overlaps(docs_of(spark, rows), bench).collect()
+    assert len(found) <= 2 * len(rows)
+    got = {r.doc_id: r for r in decontaminate(docs_of(spark, rows), bench).collect()}
+    assert all(r.contaminated for r in got.values())
+    assert (got[1000].item_id, got[1000].words) == (77, 25) and (got[5].item_id, got[5].words) == (0, 13)
+
+
+def test_near_copies_of_ids_with_two_texts(spark):
+    rng = random.Random(3)
+    one, two = ([f"{x}{i}" for i in range(120)] for x in "ab")
+    near = lambda words: [f"e{rng.random()}" if i in (40, 80) else x for i, x in enumerate(words)]
+    rows = [(i, " ".join(x)) for i, x in ((1, one), (1, two), (2, near(one)), (3, near(two)), (4, [f"c{i}" for i in range(50)]))]
+    for order in (rows, rows[::-1]):
+        got = {(r.doc_id, r.component_id) for r in near_copies(docs_of(spark, order)).collect()}
+        assert got == {(1, 1), (2, 1), (3, 1), (4, 4)}
+
+
+@pytest.mark.parametrize("crowded", [CROWDED, 60_000])
+def test_one_link_in_a_template(spark, crowded):
+    """Texts of one template, similar to each other at 0.6 to 0.79, two of which are linked: as by comparing all."""
+    rng = random.Random(5)
+    base = [f"b{i}" for i in range(220)]
+    edited = lambda words, n: [f"e{rng.random()}" if i in places else x for places in [set(rng.sample(range(8, 212, 6), n))] for i, x in enumerate(words)]
+    texts = [edited(base, 7) for _ in range(400)]
+    texts.append(edited(texts[123], 2))
+    rows = [(i, " ".join(x)) for i, x in enumerate(texts)]
+    expected = plain_components(rows, 5)
+    linked = [i for i, x in expected.items() if x[1] != i]
+    assert 400 in linked
+    got = near_copies(docs_of(spark, rows), crowded=crowded).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
+def test_links_of_a_region_join_what_all_links_join():
+    rng = np.random.default_rng(3)
+    for sides in (None, rng.integers(0, 2, 600)):
+        base = rng.integers(0, 1 << 62, 60).astype(np.uint64)
+        sets = [np.unique(np.concatenate([base[rng.random(60) < 0.93], rng.integers(0, 1 << 62, 4).astype(np.uint64)])) for _ in range(600)]
+        start = rng.integers(0, 400, 600)
+        links = region_links(sets, start, sides, 80)
+        assert len(links) < 400
+
+        def joined(pairs):
+            label = {x: x for x in start.tolist()}
+            for a, b in pairs:
+                x, y = label[start[a]], label[start[b]]
+                label = {k: min(x, y) if v in (x, y) else v for k, v in label.items()}
+            return label
+
+        every = [(a, b) for a in range(600) for b in range(a) if (sides is None or sides[a] != sides[b]) for k in [len(np.intersect1d(sets[a], sets[b]))]
+                 if 100 * k >= 80 * (len(sets[a]) + len(sets[b]) - k)]
+        assert joined(links) == joined(every)
+
+
 def test_near_copies_of_a_crowded_region(spark):
     rng = random.Random(12)
     base = [f"b{i}" for i in range(300)]
