@@ -1,11 +1,10 @@
 """Byte-level BPE ids of whole tables, by one shuffle of distinct words, and the bytes of ids.
 
 Texts are cut into pre-tokens. A block of texts keeps its distinct pre-tokens once and, for each
-place of a text, which of them stands there; so what is shuffled by word is one row for each block
-that has it, however often it occurs. Where the rows of a word come together it is encoded, once in
-the whole table, and its ids go back to the blocks, whose places turn them into the ids of their
-texts. Decoding explodes ids with their places, joins the table of token bytes and puts the bytes
-together again.
+place of a text, which of them stands there; so what is shuffled by word is one entry for each block
+that has it, however often it occurs. Where the entries of a word come together it is encoded, and
+its ids go back to the blocks, whose places turn them into the ids of their texts. Decoding explodes
+the distinct ids of a block, joins the table of token bytes and puts these in the places of the ids.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from base64 import b64decode
 from collections import defaultdict
 from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,18 +29,24 @@ from curbside.llm.rows import blocks, partitions, texts_of
 from curbside.session import shared_folder
 
 #: Bytes of text in a block; a longer single text is a block by itself.
-BLOCK = 16 << 20
+BLOCK = 4 << 20
 #: Matches of a text are taken in one list up to so many bytes, one by one beyond.
 LISTED = 1 << 20
-#: Entries that a task of the word shuffle holds before it passes them on.
-ENTRIES = 2 << 20
-BLOCKS_SQL = "block long, doc_ids array<long>, counts binary, places binary, words array<string>"
-PRE_TOKENS = pa.schema([("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.binary()),
-                        ("places", pa.binary()), ("words", pa.list_(pa.string()))])
+#: Words of a bucket that a task remembers; it starts anew when they are more.
+WORDS = 2 << 20
+#: Ids that are decoded at once; a longer single text is decoded alone.
+IDS = 1 << 20
+#: A row for the texts of a block, with ``bucket`` NULL, and rows for its words by buckets of their hashes.
+CUT = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.binary()),
+                 ("places", pa.binary()), ("at", pa.binary()), ("lengths", pa.binary()), ("words", pa.binary())])
+CUT_SQL = "block long, bucket int, doc_ids array<long>, counts binary, places binary, at binary, lengths binary, words binary"
 #: Words of a block, by number, with how many ids each has and all these ids.
-PARTS_SQL = "block long, at binary, counts binary, ids binary"
 PARTS = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary())])
+PARTS_SQL = "block long, at binary, counts binary, ids binary"
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
+#: The texts of a block of ids in one row, with ``id`` NULL, and after it a row for each distinct id.
+SPELT = pa.schema([("doc_ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("ids", pa.binary()), ("id", pa.int32())])
+SPELT_SQL = "doc_ids array<long>, counts binary, ids binary, id int"
 DECODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("text", pa.binary())])
 
 
@@ -76,32 +82,80 @@ def merger(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=rank_table(path), special_tokens={})
 
 
-def cut(pattern: str, limit: int) -> Callable:
+def pre_tokens_of(pattern: str) -> Callable[[str], Iterable[str]]:
+    split = splitter(pattern)
+    return lambda text: split.findall(text) if len(text) <= LISTED else (x.group() for x in split.finditer(text))
+
+
+def chunks_of(text: str) -> list[str] | None:
+    """Pieces at whose ends a pre-token of the default pattern ends, or None where white space is not that simple.
+
+    No such pre-token holds white space but as its first character, so one ends before each single
+    space between words, and a single line feed between words is one by itself.
+    """
+    out = []
+    for line in text.split("\n"):
+        words = line.split(" ")
+        if words != line.split():
+            return None
+        out.append("\n")
+        out.append(words[0])
+        out += [" " + x for x in words[1:]]
+    return out[1:]
+
+
+class Vocabulary:
+    """The distinct pre-tokens of a block by number, and those of chunks that were cut before."""
+
+    def __init__(self, pattern: str) -> None:
+        self.find, self.simple = pre_tokens_of(pattern), pattern == default_pattern()
+        self.number: defaultdict[str, int] = defaultdict()
+        self.number.default_factory = self.number.__len__
+        self.chunks: dict[str, tuple[int, ...]] = {}
+
+    def numbers(self, text: str) -> np.ndarray:
+        chunks = chunks_of(text) if self.simple else None
+        if chunks is None:
+            return np.fromiter(map(self.number.__getitem__, self.find(text)), np.uint32)
+        known = self.chunks
+        for chunk in set(chunks).difference(known):
+            known[chunk] = tuple(map(self.number.__getitem__, self.find(chunk)))
+        return np.fromiter(chain.from_iterable(map(known.__getitem__, chunks)), np.uint32)
+
+
+def cut(pattern: str, limit: int, buckets: int) -> Callable:
     def pre_tokens(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """One row for each block: its texts, their pre-tokens by number, and the distinct ones, frequent ones first."""
-        split = splitter(pattern)
+        """For each block its texts, their pre-tokens by number, and the distinct ones, frequent ones first."""
         first = TaskContext.get().partitionId() << 32
         for number, block in enumerate(blocks(batches, limit=limit)):
-            known: defaultdict[str, int] = defaultdict()
-            known.default_factory = known.__len__
-            found = []
-            for raw in texts_of(block):
-                text = raw.decode("utf-8", "replace")
-                matches = split.findall(text) if len(raw) <= LISTED else (x.group() for x in split.finditer(text))
-                found.append(np.fromiter(map(known.__getitem__, matches), np.uint32))
+            known = Vocabulary(pattern)
+            found = [known.numbers(x.decode("utf-8", "replace")) for x in texts_of(block)]
             places = np.concatenate(found)
-            order = np.argsort(-np.bincount(places, minlength=len(known)), kind="stable")
+            order = np.argsort(-np.bincount(places, minlength=len(known.number)), kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
-            words = list(known)
             yield pa.RecordBatch.from_pylist([{
                 "block": first + number, "doc_ids": block.column("doc_id").to_pylist(),
-                "counts": packed(np.array([len(x) for x in found])), "places": packed(place[places]),
-                "words": [words[i] for i in order.tolist()]}], PRE_TOKENS)
+                "counts": packed(np.array([len(x) for x in found])), "places": packed(place[places])}], CUT)
+            if known.number:
+                yield word_rows(first + number, [x.encode() for x in known.number], place, buckets)
 
     return pre_tokens
 
 
+def word_rows(block: int, words: list[bytes], place: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """The words of a block, one row for each bucket of hashes."""
+    bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
+    order = np.lexsort([place, bucket])
+    edges = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1, append=buckets))
+    rows = []
+    for a, b in zip(edges, edges[1:]):
+        own = order[a:b].tolist()
+        rows.append({"block": block, "bucket": int(bucket[own[0]]), "at": packed(np.diff(place[own].astype(np.int64), prepend=0)),
+                     "lengths": packed(np.array([len(words[i]) for i in own])), "words": zlib.compress(b"".join(words[i] for i in own), 1)})
+    return pa.RecordBatch.from_pylist(rows, CUT)
+
+
 def packed(numbers: np.ndarray) -> bytes:
     """Numbers from 0 to 2**32 - 1, compressed byte by byte: the upper bytes of small ones are zero."""
     width = 4 if len(numbers) and numbers.max() >= 1 << 16 else 2
@@ -122,44 +176,27 @@ def gathered(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndar
 
 def word_ids(path: str) -> Callable:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of rows sorted by word: the ids of each word, put together for each block that has it."""
+        """The ids of the words of each row; rows of one bucket follow each other, and a word has one bucket."""
         encoding = merger(path)
-        last, ids = None, []
-        held: list[tuple[np.ndarray, ...]] = []
-        entries = 0
+        bucket, known = None, {}
         for batch in batches:
-            flat, counts = [], []
-            for word in batch.column("word").to_pylist():
-                if word != last:
-                    last, ids = word, encoding.encode_ordinary(word)
-                flat += ids
-                counts.append(len(ids))
-            held.append((batch.column("block").to_numpy(), batch.column("at").to_numpy(), np.array(counts, np.int64), np.array(flat, np.int64)))
-            entries += len(counts)
-            if entries >= ENTRIES:
-                yield by_block(held)
-                held, entries = [], 0
-        if entries:
-            yield by_block(held)
+            for i in range(batch.num_rows):
+                if batch.column("bucket")[i].as_py() != bucket or len(known) > WORDS:
+                    bucket, known = batch.column("bucket")[i].as_py(), {}
+                stops = np.cumsum(unpacked(batch.column("lengths")[i].as_py())).tolist()
+                raw = zlib.decompress(batch.column("words")[i].as_py())
+                words = [raw[a:b] for a, b in zip([0, *stops], stops)]
+                for word in set(words).difference(known):
+                    known[word] = np.array(encoding.encode_ordinary(word.decode()), "<u4").tobytes()
+                ids = [known[x] for x in words]
+                yield pa.RecordBatch.from_arrays([
+                    batch.column("block").slice(i, 1), batch.column("at").slice(i, 1),
+                    pa.array([packed(np.array([len(x) // 4 for x in ids]))], pa.binary()),
+                    pa.array([packed(np.frombuffer(b"".join(ids), "<u4"))], pa.binary())], schema=PARTS)
 
     return encode
 
 
-def by_block(held: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
-    block, at, counts, ids = (np.concatenate(x) for x in zip(*held))
-    order = np.lexsort([at, block])
-    begin = (np.cumsum(counts) - counts)[order]
-    block, at, counts = block[order], at[order], counts[order]
-    ids = gathered(ids, begin, counts)
-    edges = np.flatnonzero(np.diff(block, prepend=block[0] - 1, append=block[-1] + 1))
-    stops = np.r_[0, np.cumsum(counts)]
-    parts = [[], [], []]
-    for a, b in zip(edges, edges[1:]):
-        for part, numbers in zip(parts, (np.diff(at[a:b], prepend=0), counts[a:b], ids[stops[a]:stops[b]])):
-            part.append(packed(numbers))
-    return pa.RecordBatch.from_arrays([pa.array(block[edges[:-1]]), *(pa.array(x, pa.binary()) for x in parts)], schema=PARTS)
-
-
 def assembled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of each text of a block from its places and the ids of its words."""
     for batch in batches:
@@ -173,7 +210,7 @@ def assembled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.argsort(at)
             begin, size = (np.cumsum(size) - size)[order], size[order]
             each = size[places]
-            flat = gathered(ids, begin[places], each).astype(np.int32)
+            flat = gathered(ids.astype(np.int32), begin[places], each)
             bounds = np.r_[0, np.cumsum(each)][np.r_[0, np.cumsum(counts)]]
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.values, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], schema=ENCODED)
@@ -186,8 +223,7 @@ def kept_by_block(frame: DataFrame) -> DataFrame:
     """
     spark = frame.sparkSession
     name = "pre_tokens_" + uuid.uuid4().hex
-    frame.write.bucketBy(partitions(frame), "block").option("path", shared_folder(spark, "pre-tokens")).option(
-        "compression", "zstd").saveAsTable(name)
+    frame.write.bucketBy(partitions(frame), "block").option("path", shared_folder(spark, "pre-tokens")).saveAsTable(name)
     return spark.table(name)
 
 
@@ -201,11 +237,11 @@ def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", tex
     itself, whose matches are taken one by one.
     """
     rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    cut_blocks = kept_by_block(rows.mapInArrow(cut(pattern, block), BLOCKS_SQL))
-    words = cut_blocks.select("block", F.posexplode("words").alias("at", "word"))
-    parts = words.repartition(partitions(words), "word").sortWithinPartitions("word").mapInArrow(word_ids(path), PARTS_SQL)
+    kept = kept_by_block(rows.mapInArrow(cut(pattern, block, 4 * partitions(rows)), CUT_SQL))
+    words = kept.where("bucket is not null").select("bucket", "block", "at", "lengths", "words")
+    parts = words.repartition(partitions(words), "bucket").sortWithinPartitions("bucket").mapInArrow(word_ids(path), PARTS_SQL)
     own = parts.groupBy("block").agg(F.collect_list(F.struct("at", "counts", "ids")).alias("parts"))
-    whole = cut_blocks.select("block", "doc_ids", "counts", "places").join(own, "block", "left")
+    whole = kept.where("bucket is null").select("block", "doc_ids", "counts", "places").join(own, "block", "left")
     return whole.select("doc_ids", "counts", "places", "parts").mapInArrow(assembled, "doc_id long, ids array<int>")
 
 
@@ -215,63 +251,74 @@ def token_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(pa.table({"id": pa.array(ranks.values(), pa.int32()), "token": pa.array(ranks.keys(), pa.binary())}))
 
 
-def rejoined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids and bytes of each text from rows in the order of its places; a text may span batches."""
-    held: tuple[int | None, list[bytes], list[bytes]] | None = None
-    last = -1
+def with_distinct_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts as SPELT says."""
+    held: list[pa.RecordBatch] = []
+    size = 0
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        place = batch.column("place").fill_null(-1).to_numpy()
-        ids, tokens = batch.column("id"), batch.column("token")
-        if tokens.null_count != ids.null_count:
-            raise ValueError("an id is not in the table of tokens")
-        starts = np.flatnonzero(place <= 0)
-        if (np.diff(place, prepend=last)[place > 0] != 1).any():
-            raise ValueError("the places of a text are out of order")
-        last = int(place[-1])
-        numbers = ids.fill_null(0).to_numpy().astype("<u4")
-        ends, raw = joined_bytes(tokens)
-        empty = place < 0
-        edges = [0, *starts.tolist(), batch.num_rows] if not len(starts) or starts[0] else [*starts.tolist(), batch.num_rows]
-        doc_ids = batch.column("doc_id").to_pylist()
-        done = []
-        for a, b in zip(edges, edges[1:]):
-            part = (b"" if empty[a] else numbers[a:b].tobytes()), raw[ends[a]:ends[b]]
-            if place[a] <= 0:
-                if held:
-                    done.append(held)
-                held = doc_ids[a], [], []
-            held[1].append(part[0])
-            held[2].append(part[1])
-        yield text_rows(done)
-    if held:
-        yield text_rows([held])
-
+        start = 0
+        for at, count in enumerate(batch.column("ids").value_lengths().fill_null(0).to_pylist()):
+            if size and size + count > IDS:
+                held.append(batch.slice(start, at - start))
+                yield from spelt(held)
+                held, size, start = [], 0, at
+            size += count
+        held.append(batch.slice(start))
+    yield from spelt(held)
+
+
+def spelt(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if not sum(x.num_rows for x in held):
+        return
+    rows = pa.Table.from_batches(held).combine_chunks()
+    counts = rows.column("ids").combine_chunks().value_lengths().fill_null(0).to_numpy()
+    ids = rows.column("ids").combine_chunks().flatten().to_numpy()
+    yield pa.RecordBatch.from_pylist([{"doc_ids": rows.column("doc_id").to_pylist(), "counts": packed(counts),
+                                       "ids": ids.astype("<u4").tobytes()}], SPELT)
+    distinct = pa.array(np.unique(ids), pa.int32())
+    yield pa.RecordBatch.from_arrays([*(pa.nulls(len(distinct), SPELT.field(i).type) for i in range(3)), distinct], schema=SPELT)
 
-def joined_bytes(values: pa.Array) -> tuple[np.ndarray, bytes]:
-    """Where the bytes of each value begin in those of all; NULLs have none."""
-    lengths = values.fill_null(b"")
-    ends = np.frombuffer(lengths.buffers()[1], np.int32)[lengths.offset:lengths.offset + len(lengths) + 1]
-    return ends - ends[0], memoryview(lengths.buffers()[2] or b"")[int(ends[0]):int(ends[-1])].tobytes()
 
-
-def text_rows(done: list[tuple[int | None, list[bytes], list[bytes]]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([x[0] for x in done], pa.int64()), pa.array([b"".join(x[1]) for x in done], pa.binary()),
-                                       pa.array([b"".join(x[2]) for x in done], pa.binary())], schema=DECODED)
+def rejoined(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The ids and bytes of each text of a block, from its row and those of its distinct ids with their tokens."""
+    texts, parts = None, []
+    for batch in batches:
+        heads = set(np.flatnonzero(batch.column("id").is_null().to_numpy(zero_copy_only=False)).tolist())
+        edges = sorted(heads | {0, batch.num_rows})
+        for a, b in zip(edges, edges[1:]):
+            if a in heads:
+                if texts:
+                    yield text_rows(texts, parts)
+                texts, parts = batch.slice(a, 1).to_pylist()[0], []
+                a += 1
+            if a < b:
+                parts.append(batch.slice(a, b - a))
+    if texts:
+        yield text_rows(texts, parts)
+
+
+def text_rows(texts: dict, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    found = {i: token for part in parts for i, token in zip(part.column("id").to_pylist(), part.column("token").to_pylist())}
+    if None in found.values():
+        raise ValueError("an id is not in the table of tokens")
+    ids, stops = np.frombuffer(texts["ids"], "<u4"), np.cumsum(unpacked(texts["counts"])).tolist()
+    tokens = list(map(found.__getitem__, ids.tolist()))
+    spans = list(zip([0, *stops], stops))
+    return pa.RecordBatch.from_arrays([pa.array(texts["doc_ids"], pa.int64()), pa.array([texts["ids"][4 * a:4 * b] for a, b in spans], pa.binary()),
+                                       pa.array([b"".join(tokens[a:b]) for a, b in spans], pa.binary())], schema=DECODED)
 
 
 def decoded(rows: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) for rows of (doc_id, ids): ids as little-endian unsigned 32-bit numbers, and their bytes.
 
-    The table of tokens is broadcast: it has as many rows as the vocabulary, whatever the input.
-    The join keeps the order of what it reads, so the exploded ids of a text stay together and no
-    shuffle follows; places out of order and ids without a token raise an error. Bytes need not be
-    valid UTF-8. Rows without ids have no bytes.
+    The distinct ids of a block of texts are exploded and joined with the table of tokens, which is
+    broadcast: it has as many rows as the vocabulary, whatever the input. The join keeps the order
+    of what it reads, so the ids of a block stay behind its texts and no shuffle follows. An id
+    without a token raises an error. Bytes need not be valid UTF-8. Rows without ids have no bytes.
     """
-    exploded = rows.select("doc_id", F.posexplode_outer("ids").alias("place", "id"))
+    exploded = rows.select("doc_id", "ids").mapInArrow(with_distinct_ids, SPELT_SQL)
     return exploded.join(F.broadcast(token_table(rows.sparkSession, path)), "id", "left").select(
-        "doc_id", "place", "id", "token").mapInArrow(rejoined, "doc_id long, ids binary, text binary")
+        "doc_ids", "counts", "ids", "id", "token").mapInArrow(rejoined, "doc_id long, ids binary, text binary")
 
 
 def byte_pair_round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None, ident: str = "doc_id",

@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from curbside.llm import byte_pairs, resampling
-from curbside.llm.byte_pairs import byte_pair_round_trip, decoded, default_path, default_pattern, encoded, merger, splitter
+from curbside.llm.byte_pairs import Vocabulary, byte_pair_round_trip, decoded, default_path, default_pattern, encoded, merger, splitter
 from curbside.llm.filter_audit import filter_audit
 from curbside.llm.resampling import resampled, text_runs
 from curbside.llm.rows import reach_workers
@@ -122,6 +122,16 @@ def test_any_text_has_the_library_s_ids(library, text):
     assert plain_ids(text) == library.encode_ordinary(text)
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.one_of(st.text(), st.text(alphabet=" \n\x1c\x85 'stvrelABé1#.", max_size=60)))
+def test_chunks_are_cut_like_whole_texts(text):
+    known = Vocabulary(default_pattern())
+    for _ in range(2):  # the second time from memory
+        numbers = known.numbers(text)
+        words = list(known.number)
+        assert [words[i] for i in numbers] == splitter(default_pattern()).findall(text)
+
+
 def test_long_words_have_the_library_s_ids(library):
     for text in ("ab" * 3000, "a" * 20_000, " " * 5000 + "x", "=" * 4000, "é" * 3000, "hello" * 2000):
         assert plain_ids(text) == library.encode_ordinary(text)
