@@ -35,6 +35,25 @@ def parse_events(messages: DataFrame, ingestion_ts: Column | None = None) -> Dat
     )
 
 
+RESCUED = "rescued"
+
+
+def rescued_fields(text: Column) -> Column:
+    """The payload fields that the schema does not know, as a VARIANT object; NULL where there are none.
+
+    A payload that is not a JSON object has no fields.
+    """
+    fields = F.try_parse_json(text).try_cast("map<string,variant>")
+    others = F.map_filter(fields, lambda name, _: ~name.isin(*PAYLOAD.names))
+    return F.when(F.size(others) > 0, F.to_variant_object(others))
+
+
+def parse_rescued(messages: DataFrame, ingestion_ts: Column | None = None) -> DataFrame:
+    """Bronze columns and ``rescued``: a field that a producer adds is kept with its type until a schema takes it up."""
+    parsed = parse_events(messages, ingestion_ts)
+    return parsed.withColumn(RESCUED, rescued_fields(F.col("raw_value")))
+
+
 def has_required_fields() -> Column:
     return F.col("ride_id").isNotNull() & F.col("event_type").isNotNull()
 

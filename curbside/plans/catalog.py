@@ -20,9 +20,10 @@ from curbside.plans.gold import read_gold, run_gold
 from curbside.schemas import SILVER
 from curbside.session import shared_folder
 from curbside.sources import rides as source
-from curbside.sources.sinks import append_evolving, clustered, log_run, look_up, read_evolving, write_lookup
-from curbside.sources.tables import save_bucketed
+from curbside.sources.sinks import append_evolving, clustered, log_run, look_up, read_evolving, write_lookup, z_clustered
 from curbside.sources.streams import read_bronze_stream, read_event_stream, read_silver
+from curbside.sources.tables import (create_databases, init_tables, list_tables, register_files, save_bucketed, set_properties,
+                                     table_detail, table_stats)
 from curbside.streaming import pipeline, windows
 from curbside.streaming.kept import read_kept
 from curbside.streaming.progress import ProgressLog, with_health
@@ -124,11 +125,12 @@ class Inputs:
             source.messages(rides.filter(F.col("arrival") == batch)).repartition(files).write.parquet(f"{folder}/arrival={batch}")
         return read_event_stream(self.spark, "parquet", path=folder, max_files_per_trigger=files)
 
-    def start_bronze(self) -> tuple[StreamingQuery, str, str]:
+    def start_bronze(self, audit_path: str | None = None) -> tuple[StreamingQuery, str, str]:
         root = self.folder("bronze")
         paths = f"{root}/events", f"{root}/dead_letter"
         return pipeline.start_bronze(
-            self.message_stream(), *paths, f"{root}/checkpoint", name=None, trigger=ONCE, ingestion_ts=F.col("timestamp")), *paths
+            self.message_stream(), *paths, f"{root}/checkpoint", name=None, trigger=ONCE, ingestion_ts=F.col("timestamp"),
+            audit_path=audit_path), *paths
 
     def run_bronze(self) -> tuple[str, str]:
         stream, *paths = self.start_bronze()
@@ -355,13 +357,26 @@ query("cluster_rows_preserved")(lambda i: clustered(i.silver, S.CLUSTER_COLUMNS[
 
 @query("clustered_ranges")
 def _ranges(i: Inputs) -> DataFrame:
-    """How many partitions of the clustered rows reach into the range of another one: none."""
+    """How many partitions of the clustered rows reach into the range of the next one: none."""
+    key = F.struct("ride_id", "event_type")
     ranges = clustered(i.silver.filter("ride_id IS NOT NULL"), ["ride_id", "event_type"]).groupBy(
-        F.spark_partition_id().alias("part")).agg(
-            F.min(F.struct("ride_id", "event_type")).alias("lo"), F.max(F.struct("ride_id", "event_type")).alias("hi"))
-    other = ranges.select(F.col("part").alias("other"), F.col("lo").alias("lo2"))
-    return ranges.join(other, (F.col("part") != F.col("other")) & (F.col("lo2") >= F.col("lo"))
-                       & (F.col("lo2") <= F.col("hi"))).agg(F.count("*").alias("overlaps"))
+        F.spark_partition_id().alias("part")).agg(F.min(key).alias("lo"), F.max(key).alias("hi"))
+    # A row for each partition; ranges that do not meet are in one order by either end.
+    following = F.lead("lo").over(Window.orderBy("lo", "hi"))
+    return ranges.withColumn("following", following).agg(F.count_if(F.col("following") <= F.col("hi")).alias("overlaps"))
+
+
+@query("cluster_skipping")
+def _skipping(i: Inputs) -> DataFrame:
+    """Whether clustering by several columns narrows the range of each of them in the files."""
+    columns = list(S.CLUSTER_COLUMNS["silver"])
+    rows = z_clustered(i.silver.dropna(subset=columns), columns, files=8)
+    ranges = rows.groupBy(F.spark_partition_id().alias("part")).agg(*(f(x).alias(f"{x}_{n}") for x in columns for n, f in (("lo", F.min), ("hi", F.max))))
+    whole = Window.partitionBy()  # over a row for each file
+    for x in columns:
+        narrow = (F.col(f"{x}_lo") > F.min(f"{x}_lo").over(whole)) | (F.col(f"{x}_hi") < F.max(f"{x}_hi").over(whole))
+        ranges = ranges.withColumn(f"{x}_narrow", narrow)
+    return ranges.agg(*((F.count_if(f"{x}_narrow") * 2 >= F.count("*")).alias(f"{x}_narrowed") for x in columns))
 
 
 @query("r11_counts_by_version")
@@ -390,8 +405,48 @@ query("r11_counts_as_of")(lambda i: reports.rides_by_city(i.early()))
 query("n7_rows_as_of")(lambda i: quality.row_counts({"silver": i.early()}))
 query("r11_version_changes")(lambda i: changes_between(
     i.early().select(*FEED), i.silver.select(*FEED), S.SILVER_KEYS))
-query("table_stats")(lambda i: i.silver.agg(
-    F.lit("silver").alias("table_name"), F.count("*").alias("row_count"), F.max("ingestion_ts").alias("latest_ts")))
+@query("table_stats")
+def _table_stats(i: Inputs) -> DataFrame:
+    """Rows and latest time of every table."""
+    return table_stats({"bronze": (i.valid, "ingestion_ts"), "dead_letter": (i.dead, "ingestion_ts"), "silver": (i.silver, "ingestion_ts"),
+                        _CITY: (i.gold(_CITY), "window_start"), _DRIVER: (i.gold(_DRIVER), "window_start"),
+                        _SURGE: (i.gold(_SURGE), "window_start"), _FUNNEL: (i.gold(_FUNNEL), "event_date")})
+
+
+@query("table_detail")
+def _table_detail(i: Inputs) -> DataFrame:
+    """Rows of stored tables, and whether their files were found with a size and a time of writing."""
+    root = i.stored_gold()
+    found = table_detail({name: i.spark.read.parquet(f"{root}/{name}") for name in gold.AGGREGATES})
+    return found.select("table_name", "row_count", (F.col("num_files") > 0).alias("has_files"), (F.col("size_in_bytes") > 0).alias("has_bytes"),
+                        F.col("last_modified").isNotNull().alias("has_time"))
+
+
+@query("r04_catalog")
+def _catalog_report(i: Inputs) -> DataFrame:
+    """A report over a table that the catalog knows by name, registered over stored files."""
+    names = S.Names("curbside_" + uuid.uuid4().hex[:8])
+    create_databases(i.spark, names)
+    name = names.table(_CITY)
+    register_files(i.spark, name, f"{i.stored_gold(_CITY)}/{_CITY}")
+    set_properties(i.spark, name, {"layer": "gold"})
+    return reports.hourly_revenue(i.spark.table(name), i.now)
+
+
+@query("catalog_rows")
+def _catalog_rows(i: Inputs) -> DataFrame:
+    """Rows of the declared tables after an insert into each, by the names that the catalog lists."""
+    names = S.Names("curbside_" + uuid.uuid4().hex[:8])
+    init_tables(i.spark, i.folder("tables"), names)
+    layers = {"ride_events_raw": i.valid, "ride_events_dead_letter": i.dead, "ride_events_clean": i.silver,
+              **{x: i.gold(x) for x in gold.AGGREGATES}}
+    for table, rows in layers.items():
+        i.spark.conf.set("hive.exec.dynamic.partition.mode", "nonstrict")
+        rows.select(*i.spark.table(names.table(table)).columns).write.insertInto(names.table(table))
+    listed = [f"{r.namespace}.{r.tableName}" for db in names.databases for r in list_tables(i.spark, db).collect()]
+    return quality.row_counts({x.split(".")[1]: i.spark.table(x) for x in listed})
+
+
 query("r07_time_travel")(lambda i: reports.week_over_week(
     i.gold(_CITY), gold.city_ride_metrics(i.early()), i.now + F.expr("INTERVAL 6 DAYS")))
 
@@ -420,15 +475,28 @@ def _evolving(i: Inputs) -> DataFrame:
     return read_evolving(i.spark, path).select("kafka_offset", "ride_id", "city", "kafka_partition")
 
 
+@query("bronze_rescued")
+def _rescued(i: Inputs) -> DataFrame:
+    """Fields outside the schema, kept through an append to a table that did not have them."""
+    path = i.folder("rescued")
+    rows = bronze.accepted(bronze.parse_rescued(source.extended(source.messages(i.rides)), F.col("timestamp"))).select(
+        "kafka_offset", "kafka_partition", "ride_id", "fare_amount", bronze.RESCUED)
+    append_evolving(rows.filter("kafka_partition < 5").drop(bronze.RESCUED), path, ["kafka_partition"])
+    append_evolving(rows.filter("kafka_partition >= 5"), path, ["kafka_partition"])
+    field = lambda name, kind: F.try_variant_get(bronze.RESCUED, f"$.{name}", kind)
+    return read_evolving(i.spark, path).select(
+        "kafka_offset", "ride_id", "fare_amount", field("tip", "double").alias("tip"), field("app.version", "string").alias("app_version"),
+        field("ride_id", "string").alias("known"))
+
+
 @query("audit_rows")
 def _audit(i: Inputs) -> DataFrame:
-    """A row of the audit log for each layer."""
+    """The audit log of the bronze stream: a row for each batch, counted while it was written."""
     path = i.folder("audit")
-    counts = {r.table_name: r.row_count for r in quality.row_counts(
-        {"all": i.parsed.select("event_date"), "bronze": i.valid.select("event_date"), "silver": i.silver.select("event_date")}).collect()}
-    for layer, before, after in (("bronze", "all", "bronze"), ("silver", "bronze", "silver")):
-        log_run(i.spark, path, layer=layer, batch_id=0, rows_in=counts[before], rows_out=counts[after], duration_sec=0.0)
-    return read_evolving(i.spark, path).drop("run_ts")
+    stream, *_ = i.start_bronze(path)
+    stream.awaitTermination()
+    return read_evolving(i.spark, path).select(
+        "layer", "batch_id", "rows_in", "rows_out", "status", "error_message", (F.col("duration_sec") > 0).alias("timed"))
 
 
 @query("stream_progress")

@@ -537,7 +537,17 @@ FROM two_states JOIN silver m ON m.ride_id = k1 AND m.event_type = k2 WHERE is_n
 UNION ALL
 SELECT t.ride_id, t.event_type, {_FEED_T}, 'update_preimage'
 FROM two_states JOIN early t ON t.ride_id = k1 AND t.event_type = k2 WHERE is_newer"""
-Q["table_stats"] = "SELECT 'silver' AS table_name, count(*) AS row_count, max(ingestion_ts) AS latest_ts FROM silver"
+Q["table_stats"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, CAST(max({c}) AS TIMESTAMP) AS latest_ts FROM {x}" for t, x, c in (
+        ("bronze", "valid", "ingestion_ts"), ("dead_letter", "dead", "ingestion_ts"), ("silver", "silver", "ingestion_ts"),
+        *((t, x, "event_date" if x == "funnel" else "window_start") for t, x in _GOLD.items())))
+Q["table_detail"] = "\nUNION ALL ".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count, true AS has_files, true AS has_bytes, true AS has_time FROM {x}" for t, x in _GOLD.items())
+Q["r04_catalog"] = Q["r04_hourly_revenue"]
+Q["catalog_rows"] = "\nUNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {x}" for t, x in (
+    ("ride_events_raw", "valid"), ("ride_events_dead_letter", "dead"), ("ride_events_clean", "silver"), *_GOLD.items()))
+Q["cluster_skipping"] = """
+SELECT count(*) > 0 AS ride_id_narrowed, count(*) > 0 AS driver_id_narrowed, count(*) > 0 AS rider_id_narrowed FROM silver"""
 Q["r07_time_travel"] = _week("city_metrics", "city_early")
 for _name in _GOLD:
     Q[f"gold_refresh_{_name}"] = Q[_name]
@@ -551,14 +561,17 @@ Q["r05_stored"] = Q["r05_funnel_conversion"]
 Q["r06_stored"] = Q["r06_demand_gap"]
 Q["append_evolving"] = """
 SELECT kafka_offset, ride_id, CASE WHEN kafka_partition >= 5 THEN city END AS city, kafka_partition FROM valid"""
-Q["audit_rows"] = """
-SELECT 'bronze' AS layer, CAST(0 AS BIGINT) AS batch_id, (SELECT count(*) FROM bronze) AS rows_in,
-       (SELECT count(*) FROM valid) AS rows_out, 0.0::DOUBLE AS duration_sec, 'SUCCESS' AS status, '' AS error_message
-UNION ALL
-SELECT 'silver', 0, (SELECT count(*) FROM valid), (SELECT count(*) FROM silver), 0.0, 'SUCCESS', ''"""
+Q["bronze_rescued"] = """
+SELECT kafka_offset, ride_id, fare_amount, CASE WHEN kafka_offset % 3 = 0 AND kafka_partition >= 5 THEN (kafka_offset % 10) / 2.0::DOUBLE END AS tip,
+       CASE WHEN kafka_offset % 3 = 0 AND kafka_partition >= 5 THEN CAST(kafka_offset % 4 AS VARCHAR) END AS app_version,
+       CAST(NULL AS VARCHAR) AS known FROM valid"""
 STEPS["thirds"] = """
 SELECT *, 3 * (kafka_offset - (SELECT min(kafka_offset) FROM bronze))
   // ((SELECT max(kafka_offset) FROM bronze) - (SELECT min(kafka_offset) FROM bronze) + 1) AS batch_id FROM bronze"""
+Q["audit_rows"] = """
+SELECT 'bronze' AS layer, CAST(batch_id AS BIGINT) AS batch_id, count(*) AS rows_in,
+       count(*) FILTER (ride_id IS NOT NULL AND event_type IS NOT NULL) AS rows_out, 'SUCCESS' AS status, '' AS error_message, true AS timed
+FROM thirds GROUP BY batch_id"""
 Q["stream_progress"] = """
 SELECT 'bronze' AS observation, CAST(batch_id AS BIGINT) AS batch_id, count(*) AS num_input_rows, count(*) AS rows_in,
        count(*) FILTER (ride_id IS NOT NULL AND event_type IS NOT NULL) AS rows_good FROM thirds GROUP BY batch_id

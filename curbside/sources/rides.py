@@ -86,3 +86,11 @@ def damaged(records: DataFrame) -> DataFrame:
              .when(offset % 19 == 0, F.regexp_replace(text, r'"timestamp":"[^"]*"', '"timestamp":"x"'))
              .otherwise(text))
     return records.withColumn("value", value.cast("binary"))
+
+
+def extended(records: DataFrame) -> DataFrame:
+    """The messages of which every third carries two fields more: a tip, and the version of an app."""
+    offset = F.col("offset")
+    more = F.concat(F.lit(',"tip":'), (offset % 10 / 2).cast("string"), F.lit(',"app":{"version":"'), (offset % 4).cast("string"), F.lit('"}}'))
+    text = F.col("value").cast("string")
+    return records.withColumn("value", F.when(offset % 3 == 0, F.concat(F.regexp_replace(text, r"\}$", ""), more)).otherwise(text).cast("binary"))

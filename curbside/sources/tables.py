@@ -109,3 +109,10 @@ def table_detail(tables: Mapping[str, DataFrame]) -> DataFrame:
         return files.agg(F.lit(name).alias("table_name"), F.count("*").alias("num_files"), F.coalesce(F.sum("file_size"), F.lit(0)).alias("size_in_bytes"),
                          F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.max("file_modification_time").alias("last_modified"))
     return reduce(DataFrame.unionAll, [detail(name, df) for name, df in tables.items()])
+
+
+def table_stats(tables: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
+    """table_name, row_count, latest_ts: rows of each table and the latest value of its time column."""
+    stats = [df.agg(F.lit(name).alias("table_name"), F.count("*").alias("row_count"), F.max(F.col(time).cast("timestamp")).alias("latest_ts"))
+             for name, (df, time) in tables.items()]
+    return reduce(DataFrame.unionAll, stats)
