@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from curbside.llm.columns import let, picked, word_hashes
-from curbside.llm.rows import doc_of, partitions, row_of
+from curbside.llm.rows import doc_of, partitions, ranges, row_of
 
 BINS = 128
 BIN_SHIFT = 63 - 7
@@ -84,20 +84,22 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "text", words: int = SHINGLE) -> DataFrame:
-    """(doc_id, fingerprint): one for each row; equal for equal texts, empty without words, as for NULL."""
+    """(doc_id, fingerprint): one for each row; equal for equal texts, empty without words, as for NULL.
+
+    Repeated rows get a row each, an empty table gives none. Other columns are not looked at. Texts
+    are worked on whole, whatever their length.
+    """
     return docs.select(F.col(ident).alias("doc_id"), packed(low_bits(F.col(text).cast("string"), words)).alias("fingerprint"))
 
 
 def with_next(rows: DataFrame, columns: list[str], describe: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Described rows of (doc, row, ...) with ``next``, a struct of the columns of the row after each; the first after the last.
 
-    Rows are dealt out by ranges of ids, four for each partition, and each range is ordered by itself. A range's last row is
+    Rows are dealt out by ranges, four for each partition, and each range is ordered by itself. A range's last row is
     joined with the first row of the next range.
     """
-    n = 4 * partitions(rows)
-    cuts = rows.agg(F.percentile_approx("doc", [i / n for i in range(1, n)], 10 * n + 1000)).first()[0] or []
-    cuts = sorted(set(cuts))
-    spread = describe(rows).withColumn("range", F.size(F.filter(F.lit(cuts), lambda x: x < F.col("doc"))) if cuts else F.lit(0))
+    place, _ = ranges(rows, 4 * partitions(rows))
+    spread = describe(rows).withColumn("range", place)
     # One row for each range.
     firsts = sorted(spread.select("range", "doc", "row").groupBy("range").agg(F.min(F.struct("doc", "row")).alias("x")).select("range", "x.doc", "x.row").collect())
     after = [(a[0], b[1], b[2]) for a, b in zip(firsts, firsts[1:] + firsts[:1])]
@@ -114,7 +116,8 @@ def edited_fingerprints(docs: DataFrame, ident: str = "doc_id", text: str = "tex
 
     The edited text has the first floor(n_chars / 4) code points of the next document's text, or
     all it has, in place of as many at the end. The next document is the next row by id; rows with
-    one id are ordered by a hash, rows without one come first. NULL counts as an empty text.
+    one id are ordered by a hash, rows without one come first, and repeated rows follow each other.
+    NULL counts as an empty text. Other columns are not looked at; an empty table gives no rows.
     """
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(ident).alias("doc_id"), doc_of(ident).alias("doc"), row_of(ident, text).alias("row"),

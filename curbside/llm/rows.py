@@ -98,3 +98,28 @@ def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:
 def partitions(frame: DataFrame) -> int:
     """The session's number of shuffle partitions, which its owner sizes for the input."""
     return int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ranges(rows: DataFrame, n: int) -> tuple[Column, int]:
+    """The number of the range that a row lies in by (doc, row), and how many ranges there are.
+
+    About ``n`` ranges of equal numbers of rows. An id of more rows than a range has is divided by
+    ``row``, a hash, so that no id makes a range larger than others; only rows that are the same in
+    both stay together. The bounds, and the ids that are divided, are at most ``n`` numbers each,
+    found by halving.
+    """
+    found = rows.agg(F.count("*").alias("n"), F.percentile_approx("doc", [i / n for i in range(1, n)] or [0.5], 10 * n + 1000).alias("cuts")).first()
+    hot = rows.groupBy("doc").agg(F.count("*").alias("n")).where(F.col("n") * n > found["n"]).collect()
+    parts = {r["doc"]: -(-r["n"] * n // found["n"]) for r in hot}
+    cuts = sorted({*(found["cuts"] or []), *parts})
+    extra = [parts.get(x, 0) for x in cuts] + [0]
+    first = [0]
+    for x in extra[:-1]:
+        first.append(first[-1] + 1 + x)
+    bounds = F.lit(cuts) if cuts else F.array().cast("array<bigint>")
+    steps = [1 << k for k in reversed(range(len(cuts).bit_length()))] or [1]
+    below = F.aggregate(F.lit(steps), F.lit(0), lambda at, step: F.when(F.get(bounds, at + step - 1) < F.col("doc"), at + step).otherwise(at))
+    divided = F.get(F.lit(extra), below)
+    share = F.least(F.floor((F.col("row") / F.lit(2.0 ** 64) + 0.5) * divided), divided - 1)
+    place = F.get(F.lit(first), below) + F.when((divided > 0) & (F.get(bounds, below) == F.col("doc")), 1 + share).otherwise(0)
+    return place.cast("int"), first[-1] + 1

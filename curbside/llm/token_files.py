@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.llm.rows import NO_ID, blocks, keyed, partitions, stored, texts_of
+from curbside.llm.rows import NO_ID, blocks, keyed, partitions, ranges, stored, texts_of
 from curbside.llm.tokens import ENCODED_BYTES, default_path, encoder, with_end
 from curbside.session import shared_folder
 
@@ -25,6 +25,8 @@ LONGEST = 16
 CHECKPOINT = 256
 #: Ids that a block holds at least, unless it is its file's last one.
 BLOCK_IDS = 1 << 19
+#: Ids of a file, about: some 30 MB, which a task reads as one value.
+FILE_IDS = 1 << 24
 # Fixed values of the format.
 MAGIC = b"HUF1"
 HEADER = struct.Struct("<4sIIQIIQ")  # magic, file, block, ids before it in the file, documents, ids, bytes of codes
@@ -183,7 +185,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
 
     Files lie one after another in ascending order of the document ids, and so do the blocks in
     each; rows without an id come first, rows with one id in the order of a hash. NULL and empty
-    texts have the id ``end`` alone. The codebook, a length for each id, is a file of its own.
+    texts have the id ``end`` alone. Repeated rows are written one by one, an empty table gives no
+    blocks, other columns are not looked at. Files hold about ``FILE_IDS`` ids at most, unless one
+    document has more. The codebook, a length for each id, is a file of its own, and so is the
+    number of ids in each file.
     """
     spark = docs.sparkSession
     path = path or default_path()
@@ -197,16 +202,14 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
         counts[seen] = times
     lengths = code_lengths(counts)
     own = tokens.where("ids is not null")
-    n = partitions(docs)
-    # Equal shares of the documents by rank; one number for each file.
-    cuts = own.agg(F.percentile_approx("doc", [i / n for i in range(1, n)], 10 * n + 1000)).first()[0] if n > 1 else []
-    cuts = sorted(set(cuts or []))
-    place = F.size(F.filter(F.lit(cuts), lambda x: x < F.col("doc"))) if cuts else F.lit(0)
+    # Shares of the documents by rank, one for each file.
+    place, n = ranges(own, max(partitions(docs), -(-int(counts.sum()) // FILE_IDS)))
     coded_docs = own.select("doc", "row", "n", "ids").mapInArrow(
         coder(lengths.tobytes(), "<u2" if size <= 1 << 16 else "<u4"), CODED_SQL)
-    (coded_docs.repartitionById(n, place.cast("int")).sortWithinPartitions("doc", "row")
+    (coded_docs.repartitionById(n, place).sortWithinPartitions("doc", "row")
      .mapInArrow(block_writer, "block binary").select(F.col("block").cast("string"))
      .write.option("lineSep", SEPARATOR.decode()).text(folder + "/blocks"))
+    own.groupBy(place.alias("file")).agg(F.sum("n").alias("n")).coalesce(1).write.parquet(folder + "/lengths")
     book = spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary")
     book.coalesce(1).write.parquet(folder + "/codebook")
 
@@ -225,13 +228,6 @@ def headers(content: bytes) -> Iterator[tuple[tuple, int]]:
         at += 16 * head[4] + 4 * checks + head[6] + len(SEPARATOR)
 
 
-def file_lengths(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        rows = [(head[1], head[5]) for x in batch.column("content").to_pylist() for head, _ in headers(x)]
-        files, ids = zip(*rows) if rows else ((), ())
-        yield pa.RecordBatch.from_pydict({"file": pa.array(files, pa.int32()), "n": pa.array(ids, pa.int64())})
-
-
 def decoded(content: bytes, head: tuple, at: int, table: tuple[np.ndarray, np.ndarray]
             ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The documents of a block, their numbers of ids and all ids."""
@@ -287,7 +283,7 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     book = spark.read.parquet(folder + "/codebook").first()[0]
     files = spark.read.format("binaryFile").load(folder + "/blocks").select("content")
     # A row for each file.
-    lengths = files.mapInArrow(file_lengths, "file int, n long").groupBy("file").agg(F.sum("n")).collect()
+    lengths = spark.read.schema("file int, n long").parquet(folder + "/lengths").collect()
     base, before = [], 0
     for file, n in sorted(lengths):
         base.append((file, before))

@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -16,7 +17,11 @@ import __spark_entry__ as contract
 from curbside.llm import token_files as H
 from curbside.llm import warc
 from curbside.llm.packing import best_cuts, pack_documents
-from curbside.llm.rows import reach_workers, table
+from curbside.llm.lines import line_dedup
+from curbside.llm.near_copies import near_copies
+from curbside.llm.rows import BLOCK_BYTES, NO_ID, ranges, reach_workers, table
+from curbside.llm.substrings import substring_dedup
+from curbside.llm.suffixes import suffix_dedup
 from curbside.llm.tokens import Encoder, default_path
 from curbside.llm import toxicity as toxicity_module
 from curbside.llm.toxicity import fitted, posterior, stems_of, toxicity, train, with_scores
@@ -163,6 +168,53 @@ def test_token_files(spark, plain):
     assert H.token_round_trip(docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_ranges_divide_a_crowded_id(spark):
+    rows = [(5, i) for i in range(-3000, 3000)] + [(i, i) for i in range(2000)] + [(NO_ID, i) for i in range(1500)]
+    frame = spark.createDataFrame([(a, hash((a, b, "x"))) for a, b in rows], "doc long, row long")
+    place, n = ranges(frame, 16)
+    found = frame.withColumn("range", place).groupBy("range").agg(F.count("*").alias("n"), F.min(F.struct("doc", "row")).alias("lo"),
+                                                                 F.max(F.struct("doc", "row")).alias("hi")).orderBy("range").collect()
+    assert sum(r.n for r in found) == len(rows) and max(r.n for r in found) < 3 * len(rows) / 16 and found[-1]["range"] < n
+    assert all(tuple(a.hi) < tuple(b.lo) for a, b in zip(found, found[1:]))
+    for few in ([], [(1, 1)], [(1, 1), (1, 2)]):
+        frame = spark.createDataFrame(few, "doc long, row long")
+        place, n = ranges(frame, 4)
+        assert sorted(r[0] < n for r in frame.select(place).collect()) == [True] * len(few)
+
+
+def test_token_files_of_one_id(spark, plain):
+    rows = [(1, f"text number {i} of one id") for i in range(300)] + [(2, "two"), (None, None), (0, "")]
+    got = token_round(spark, rows)
+    assert sum(r.n_tokens for r in got) == sum(len(ids_of(plain, t)) for _, t in rows)
+    ends = sorted((r.start, r.start + r.n_tokens) for r in got)
+    assert ends[0][0] == 0 and all(a[1] == b[0] for a, b in zip(ends, ends[1:]))
+    assert [r.doc_id for r in sorted(got, key=lambda r: r.start)] == [None, 0] + [1] * 300 + [2]
+
+
+def token_round(spark, rows):
+    return H.token_round_trip(docs_of(spark, rows)).collect()
+
+
+def test_one_text_beyond_a_block(spark, plain):
+    """Every operator on texts takes one that is larger than what a task holds at once."""
+    long = " ".join(f"wort{i % 70_000} Word, and" for i in range(600_000))
+    assert len(long) > BLOCK_BYTES
+    rows = [(1, long), (2, "short text"), (3, long + " end"), (4, None)]
+    docs = docs_of(spark, rows).coalesce(1).persist()
+    n_words = len(long.split())
+    assert {r.doc_id: r.component_id for r in near_copies(docs).collect()} == {1: 1, 2: 2, 3: 1, 4: 4}
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in substring_dedup(docs).collect()}[3][0] == n_words + 1
+    assert {r.doc_id: (r.n_words, r.n_removed) for r in suffix_dedup(docs).collect()}[3] == (n_words + 1, n_words)
+    assert {r.rest.doc_id: r.n_dropped for r in line_dedup(docs).collect()} == {1: 0, 2: 0, 3: 0, 4: 0}
+    tokens = {i: len(ids_of(plain, t)) for i, t in rows}
+    assert {r.doc_id: r.n_tokens for r in H.token_round_trip(docs).collect()} == tokens
+    pieces = pack_documents(docs).collect()
+    assert {i: sum(r.length for r in pieces if r.doc_id == i) for i in tokens} == tokens
+    marks = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, toxic int")
+    assert toxicity(docs, marks).count() == 4
+    docs.unpersist()
+
+
 def test_archives(spark, tmp_path):
     big = "<p>" + "é" * 30_000 + "\r\n\r\nWARC/1.1\r\n"
     pages = [(1, "http://a/x y\r\n", big), (2, None, big), (3, "u", "short"), (4, "u", "short"), (5, "u", None), (6, "u", ""), (7, "http://b", big[:-1]),
@@ -327,6 +379,22 @@ def test_pipeline(spark, data):
     assert key(corpus_pipeline.run(spark, data)) == key(docs)
 
 
+def test_stages_on_odd_rows(spark, data):
+    """Stages keep the columns, whatever their names, and take NULLs, repeated rows and empty tables."""
+    schema = "doc_id long, text string, doc long, row string, n int, component string, item_id string"
+    passage = " ".join(f"passage{i} is here" for i in range(30))
+    rows = [(1, passage), (2, passage + " and more"), (2, passage + " and more"), (None, passage), (None, None), (3, ""), (4, None),
+            (5, table(spark, data, "benchmark").where("length(text) > 80").first().text), (5, "a second text")]
+    docs = spark.createDataFrame([(i, t, i, "r", 1, "c", "x") for i, t in rows], schema)
+    for stage in (corpus_pipeline.one_of_near_copies, corpus_pipeline.not_in_benchmark):
+        assert stage(spark, docs.limit(0), data).collect() == []
+        assert stage(spark, docs, data).schema == docs.schema
+    kept = sorted(((r.doc_id, r.text) for r in corpus_pipeline.one_of_near_copies(spark, docs, data).collect()), key=repr)
+    assert kept == sorted({x for x in rows if x[0] != 2}, key=repr)
+    clean = [(r.doc_id, r.text) for r in corpus_pipeline.not_in_benchmark(spark, docs, data).collect()]
+    assert sorted(clean, key=repr) == sorted((x for x in rows if x != rows[7]), key=repr)
+
+
 def test_registered():
     names = contract.queries()
     assert {n for n in names if n.startswith("op")} == {

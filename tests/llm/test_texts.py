@@ -417,3 +417,16 @@ def test_near_copies_of_a_crowded_region(spark):
     assert expected[5000][1] == 1000 and len({x[1] for x in expected.values()}) > 5
     got = near_copies(docs_of(spark, rows)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == expected
+
+
+def test_fingerprints_of_odd_rows(spark):
+    assert edited_fingerprints(docs_of(spark, [])).collect() == []
+    rows = [(1, "one text of a few words"), (1, "one text of a few words"), (1, "another text under the id"), (None, "no id"), (None, None), (2, "")]
+    got = edited_fingerprints(docs_of(spark, rows)).collect()
+    assert sorted((r.doc_id, r.n_chars) for r in got if r.doc_id) == [(1, 23), (1, 23), (1, 25), (2, 0)] and len(got) == 6
+    assert len({r.fingerprint for r in got if r.doc_id == 1}) == 2
+    # The rows form one ring: each edited text is that of a row and its successor.
+    order = [x for x in rows if x[0] is None] + [x for x in rows if x[0] == 1] + [rows[5]]
+    edits = {hashlib.sha256(((a or "")[:len(a or "") - len(a or "") // 4] + (b or "")[:len(a or "") // 4]).encode()).hexdigest()
+             for _, a in order for _, b in order}
+    assert {r.edited_sha256 for r in got} <= edits
