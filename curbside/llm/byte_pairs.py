@@ -36,13 +36,14 @@ LISTED = 1 << 20
 WORDS = 2 << 20
 #: Ids that are decoded at once; a longer single text is decoded alone.
 IDS = 1 << 20
-#: A row for the texts of a block, with ``bucket`` NULL, and rows for its words by buckets of their hashes.
+#: A row for the texts of a block, with ``bucket`` NULL and the numbers of its words as they follow in the buckets, and
+#: rows for its words by buckets of their hashes.
 CUT = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc_ids", pa.list_(pa.int64())), ("counts", pa.binary()),
                  ("places", pa.binary()), ("at", pa.binary()), ("lengths", pa.binary()), ("words", pa.binary())])
 CUT_SQL = "block long, bucket int, doc_ids array<long>, counts binary, places binary, at binary, lengths binary, words binary"
-#: Words of a block, by number, with how many ids each has and all these ids.
-PARTS = pa.schema([("block", pa.int64()), ("at", pa.binary()), ("counts", pa.binary()), ("ids", pa.binary())])
-PARTS_SQL = "block long, at binary, counts binary, ids binary"
+#: How many ids each word of a bucket has, and all these ids.
+PARTS = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("counts", pa.binary()), ("ids", pa.binary())])
+PARTS_SQL = "block long, bucket int, counts binary, ids binary"
 ENCODED = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
 #: The texts of a block of ids in one row, with ``id`` NULL, and after it a row for each distinct id.
 SPELT = pa.schema([("doc_ids", pa.list_(pa.int64())), ("counts", pa.binary()), ("ids", pa.binary()), ("id", pa.int32())])
@@ -119,7 +120,8 @@ class Vocabulary:
             return np.fromiter(map(self.number.__getitem__, self.find(text)), np.uint32)
         known = self.chunks
         for chunk in set(chunks).difference(known):
-            known[chunk] = tuple(map(self.number.__getitem__, self.find(chunk)))
+            alone = chunk[chunk[0] == " ":].isalpha()
+            known[chunk] = (self.number[chunk],) if alone else tuple(map(self.number.__getitem__, self.find(chunk)))
         return np.fromiter(chain.from_iterable(map(known.__getitem__, chunks)), np.uint32)
 
 
@@ -130,30 +132,31 @@ def cut(pattern: str, limit: int, buckets: int) -> Callable:
         for number, block in enumerate(blocks(batches, limit=limit)):
             known = Vocabulary(pattern)
             found = [known.numbers(x.decode("utf-8", "replace")) for x in texts_of(block)]
-            places = np.concatenate(found)
-            order = np.argsort(-np.bincount(places, minlength=len(known.number)), kind="stable")
+            places, words = np.concatenate(found), [x.encode() for x in known.number]
+            del known
+            order = np.argsort(-np.bincount(places, minlength=len(words)), kind="stable")
             place = np.empty(len(order), np.uint32)
             place[order] = np.arange(len(order), dtype=np.uint32)
+            at, rows = word_rows(first + number, words, place, buckets)
             yield pa.RecordBatch.from_pylist([{
-                "block": first + number, "doc_ids": block.column("doc_id").to_pylist(),
-                "counts": packed(np.array([len(x) for x in found])), "places": packed(place[places])}], CUT)
-            if known.number:
-                yield word_rows(first + number, [x.encode() for x in known.number], place, buckets)
+                "block": first + number, "doc_ids": block.column("doc_id").to_pylist(), "at": at,
+                "counts": packed(np.array([len(x) for x in found])), "places": packed(place[places])}, *rows], CUT)
 
     return pre_tokens
 
 
-def word_rows(block: int, words: list[bytes], place: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """The words of a block, one row for each bucket of hashes."""
+def word_rows(block: int, words: list[bytes], place: np.ndarray, buckets: int) -> tuple[bytes, list[dict]]:
+    """The words of a block, one row for each bucket of hashes, and their numbers in the order of these rows."""
     bucket = np.fromiter(map(zlib.crc32, words), np.uint32, len(words)) % buckets
     order = np.lexsort([place, bucket])
     edges = np.flatnonzero(np.diff(bucket[order].astype(np.int64), prepend=-1, append=buckets))
     rows = []
     for a, b in zip(edges, edges[1:]):
-        own = order[a:b].tolist()
-        rows.append({"block": block, "bucket": int(bucket[own[0]]), "at": packed(np.diff(place[own].astype(np.int64), prepend=0)),
-                     "lengths": packed(np.array([len(words[i]) for i in own])), "words": zlib.compress(b"".join(words[i] for i in own), 1)})
-    return pa.RecordBatch.from_pylist(rows, CUT)
+        own = [words[i] for i in order[a:b].tolist()]
+        rows.append({"block": block, "bucket": int(bucket[order[a]]), "lengths": packed(np.array([len(x) for x in own])),
+                     "words": zlib.compress(b"".join(own))})
+    # Numbers ascend within a bucket, so the steps between them are small; at a bucket's end they turn around.
+    return packed(np.diff(place[order].astype(np.int64), prepend=0) % (1 << 32)), rows
 
 
 def packed(numbers: np.ndarray) -> bytes:
@@ -178,6 +181,7 @@ def word_ids(path: str) -> Callable:
     def encode(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The ids of the words of each row; rows of one bucket follow each other, and a word has one bucket."""
         encoding = merger(path)
+        width = 2 if encoding.max_token_value < 1 << 16 else 4
         bucket, known = None, {}
         for batch in batches:
             for i in range(batch.num_rows):
@@ -187,12 +191,12 @@ def word_ids(path: str) -> Callable:
                 raw = zlib.decompress(batch.column("words")[i].as_py())
                 words = [raw[a:b] for a, b in zip([0, *stops], stops)]
                 for word in set(words).difference(known):
-                    known[word] = np.array(encoding.encode_ordinary(word.decode()), "<u4").tobytes()
+                    known[word] = np.array(encoding.encode_ordinary(word.decode()), f"<u{width}").tobytes()
                 ids = [known[x] for x in words]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column("block").slice(i, 1), batch.column("at").slice(i, 1),
-                    pa.array([packed(np.array([len(x) // 4 for x in ids]))], pa.binary()),
-                    pa.array([packed(np.frombuffer(b"".join(ids), "<u4"))], pa.binary())], schema=PARTS)
+                    batch.column("block").slice(i, 1), batch.column("bucket").slice(i, 1),
+                    pa.array([packed(np.array([len(x) // width for x in ids]))], pa.binary()),
+                    pa.array([zlib.compress(bytes([width]) + b"".join(ids))], pa.binary())], schema=PARTS)
 
     return encode
 
@@ -201,21 +205,28 @@ def assembled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The ids of each text of a block from its places and the ids of its words."""
     for batch in batches:
         for row in range(batch.num_rows):
-            doc_ids, counts, places, parts = (batch.column(x)[row] for x in ("doc_ids", "counts", "places", "parts"))
-            places, counts = unpacked(places.as_py()), unpacked(counts.as_py())
-            found = [[unpacked(x[name]) for x in parts.as_py() or ()] for name in ("at", "counts", "ids")]
-            at, size, ids = (np.concatenate([np.empty(0, np.int64), *x]) for x in ([np.cumsum(x) for x in found[0]], *found[1:]))
-            if len(at) != (places.max() + 1 if len(places) else 0):
+            doc_ids, counts, places, at, parts = (batch.column(x)[row] for x in ("doc_ids", "counts", "places", "at", "parts"))
+            parts = sorted(parts.as_py() or (), key=lambda x: x["bucket"])
+            size = np.concatenate([np.empty(0, np.int64), *(unpacked(x["counts"]) for x in parts)])
+            ids = np.concatenate([np.empty(0, np.int32), *(flat_ids(x["ids"]) for x in parts)])
+            at = np.cumsum(unpacked(at.as_py())) % (1 << 32)
+            if len(at) != len(size):
                 raise ValueError("a word of a block has no ids")
             order = np.argsort(at)
             begin, size = (np.cumsum(size) - size)[order], size[order]
+            places, counts = unpacked(places.as_py()), unpacked(counts.as_py())
             each = size[places]
-            flat = gathered(ids.astype(np.int32), begin[places], each)
+            flat = gathered(ids, begin[places], each)
             bounds = np.r_[0, np.cumsum(each)][np.r_[0, np.cumsum(counts)]]
             yield pa.RecordBatch.from_arrays(
                 [doc_ids.values, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], schema=ENCODED)
 
 
+def flat_ids(raw: bytes) -> np.ndarray:
+    raw = zlib.decompress(raw)
+    return np.frombuffer(raw, f"<u{raw[0]}", offset=1).astype(np.int32)
+
+
 def kept_by_block(frame: DataFrame) -> DataFrame:
     """Blocks in a table of buckets, so that what their words send back is joined without moving them again.
 
@@ -237,12 +248,12 @@ def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", tex
     itself, whose matches are taken one by one.
     """
     rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kept = kept_by_block(rows.mapInArrow(cut(pattern, block, 4 * partitions(rows)), CUT_SQL))
-    words = kept.where("bucket is not null").select("bucket", "block", "at", "lengths", "words")
+    kept = kept_by_block(rows.mapInArrow(cut(pattern, block, partitions(rows)), CUT_SQL))
+    words = kept.where("bucket is not null").select("block", "bucket", "lengths", "words")
     parts = words.repartition(partitions(words), "bucket").sortWithinPartitions("bucket").mapInArrow(word_ids(path), PARTS_SQL)
-    own = parts.groupBy("block").agg(F.collect_list(F.struct("at", "counts", "ids")).alias("parts"))
-    whole = kept.where("bucket is null").select("block", "doc_ids", "counts", "places").join(own, "block", "left")
-    return whole.select("doc_ids", "counts", "places", "parts").mapInArrow(assembled, "doc_id long, ids array<int>")
+    own = parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "ids")).alias("parts"))
+    whole = kept.where("bucket is null").select("block", "doc_ids", "counts", "places", "at").join(own, "block", "left")
+    return whole.select("doc_ids", "counts", "places", "at", "parts").mapInArrow(assembled, "doc_id long, ids array<int>")
 
 
 def token_table(spark: SparkSession, path: str) -> DataFrame:
