@@ -23,6 +23,8 @@ from curbside.llm.words import span_hashes, word_spans
 SAMPLE = 20_000
 #: Word stems that the classifier knows at most, and those that vote as learned lexicons.
 FEATURES, LEARNED = 4096, 200
+#: Bytes of sampled texts that a task takes apart at once: a text has several times as many stems as words.
+SAMPLE_BLOCK = 1 << 20
 #: Toxic texts of the sample that a stem must be in.
 LEAST_TOXIC = 3
 STEMS = range(3, 9)
@@ -70,7 +72,7 @@ def distinct_words(texts: list[bytes]) -> tuple[list[str], np.ndarray, np.ndarra
 
 def stem_counts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many toxic and clean texts of a block each stem is."""
-    for block in blocks(batches):
+    for block in blocks(batches, limit=SAMPLE_BLOCK):
         count = {True: Counter(), False: Counter()}
         for text, toxic in zip(texts_of(block), block.column("toxic").to_pylist()):
             stems: set[str] = set()
@@ -90,7 +92,7 @@ def sample_rows(features: list[str]):
     def find(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {x: i for i, x in enumerate(features)}
         lexicons, patterns = list(LEXICONS), [re.compile(x) for x in PATTERNS.values()]
-        for block in blocks(batches):
+        for block in blocks(batches, limit=SAMPLE_BLOCK):
             found, votes = [], []
             for raw in texts_of(block):
                 text = raw.decode("utf-8", "replace")
