@@ -76,7 +76,7 @@ def repeated_windows(rows: DataFrame, words: int, base: int) -> DataFrame:
         else:
             sent = rows.join(found, ["doc", "row"]).mapInArrow(
                 next_level(steps[i - 1], want, buckets, last), W.SENT_SQL)
-        found = W.exchanged(sent, last, last, buckets)
+        found = W.exchanged(sent, W.answers(last, last, buckets))
     return found
 
 

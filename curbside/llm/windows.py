@@ -151,9 +151,9 @@ def by_text(found: pa.Table) -> pa.Table:
         [raw[4 * x:4 * y] for x, y in zip(heads.tolist(), [*heads[1:].tolist(), len(raw) // 4])], pa.binary())}, PLACES)
 
 
-def exchanged(sent: DataFrame, owners: bool, wide: bool, shards: int) -> DataFrame:
-    """(doc, row, places): one row for each text with any window found, places ascending."""
-    found = sent.groupBy("bucket").applyInArrow(answers(owners, wide, shards), SENT_SQL)
+def exchanged(sent: DataFrame, answer: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """(doc, row, places): one row for each text with any window found by ``answer``, places ascending."""
+    found = sent.groupBy("bucket").applyInArrow(answer, SENT_SQL)
     return found.groupBy("bucket").applyInArrow(by_text, PLACES_SQL)
 
 
