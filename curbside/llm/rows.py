@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -9,12 +10,23 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.session import reach_workers, remove, shared_folder
+from curbside.session import remove, shared_folder
 
 #: Bytes of text that a task holds at once; a longer single text is held alone.
 BLOCK_BYTES = 8 << 20
 
 
+def reach_workers(spark: SparkSession) -> None:
+    """Lets Python workers that share the driver's files import this package.
+
+    On a cluster it is installed on the workers or sent along by ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, known]))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reach_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
