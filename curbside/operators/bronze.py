@@ -62,20 +62,23 @@ def accepted(bronze: DataFrame) -> DataFrame:
     return bronze.filter(has_required_fields())
 
 
+# Why a record is rejected.
+NO_RIDE, NO_TYPE, UNREAD = "NULL_RIDE_ID", "NULL_EVENT_TYPE", "SCHEMA_MISMATCH"
+
+
 def reject_reason(strict: bool = False) -> Column:
     """``strict`` reports a payload of which no field could be read as SCHEMA_MISMATCH.
 
     Without it such a record reads NULL_RIDE_ID, as its ride_id is NULL too.
     """
-    reason = F.when(F.col("ride_id").isNull(), "NULL_RIDE_ID").when(
-        F.col("event_type").isNull(), "NULL_EVENT_TYPE")
+    reason = F.when(F.col("ride_id").isNull(), NO_RIDE).when(F.col("event_type").isNull(), NO_TYPE)
     if not strict:
-        return reason.otherwise("SCHEMA_MISMATCH")
+        return reason.otherwise(UNREAD)
     fields = ["event_timestamp" if n == "timestamp" else n
               for n in PAYLOAD.names if n != "kafka_partition_key"]
     unread = F.col("raw_value").isNotNull() & F.coalesce(
         *[F.col(n).cast("string") for n in fields]).isNull()
-    return F.when(unread, "SCHEMA_MISMATCH").otherwise(reason)
+    return F.when(unread, UNREAD).otherwise(reason)
 
 
 def rejected(bronze: DataFrame, strict_reasons: bool = False) -> DataFrame:

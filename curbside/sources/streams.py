@@ -18,6 +18,7 @@ def kafka_options(servers: str, topic: str = S.TOPIC, group: str | None = None,
                   security: str = "PLAINTEXT", max_offsets: int = S.MAX_OFFSETS_PER_TRIGGER,
                   **extra: str) -> dict[str, str]:
     """Options of Spark's Kafka source: from the earliest offset, rate limited, loss tolerated."""
+    # What the source is set to.
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,

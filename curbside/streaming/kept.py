@@ -30,24 +30,24 @@ ORDER = ("at", "offset", "part")
 VERSIONS = "hour string, batch_id long, filled boolean"
 
 
-def newest_changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The record that counts for a key from now on, and the one that does so no longer."""
-    before = best = tuple(state.get) if state.exists else None
-    for frame in frames:
-        for row in zip(*(frame[x].tolist() for x in (*ORDER, "record"))):
-            if best is None or row[:3] > best[:3]:
-                best = row
-    if best is not before:
-        state.update(best)
-        yield pd.DataFrame({SIGN: [1] if before is None else [-1, 1], "record": [x[3] for x in (before, best) if x]})
-
-
 def signed_images(cleaned: DataFrame) -> DataFrame:
     """A stream of images, with ``sign``, from a stream of cleaned records: the newest of each key counts.
 
     The state holds one record for each key, as text, so that no value changes on the way. A record
     older than the one that counts gives nothing, whenever it arrives.
     """
+
+    # Defined here, it travels with the plan: workers need no copy of this package.
+    def newest_changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        before = best = tuple(state.get) if state.exists else None
+        for frame in frames:
+            for row in zip(*(frame[x].tolist() for x in (*ORDER, "record"))):
+                if best is None or row[:3] > best[:3]:
+                    best = row
+        if best is not before:
+            state.update(best)
+            yield pd.DataFrame({SIGN: [1] if before is None else [-1, 1], "record": [x[3] for x in (before, best) if x]})
+
     rows = cleaned.select(
         *S.SILVER_KEYS, F.unix_micros("ingestion_ts").alias("at"), F.col("kafka_offset").alias("offset"),
         F.col("kafka_partition").cast("long").alias("part"),
