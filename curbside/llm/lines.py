@@ -173,5 +173,9 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, ident: str = "doc_id",
 
 def line_dedup(docs: DataFrame, ident: str = "doc_id", text: str = "text",
                shortest: int = 10) -> DataFrame:
-    """``apply_bitmaps`` of ``keep_bitmaps``."""
+    """``apply_bitmaps`` of ``keep_bitmaps``, which say what becomes of NULLs and repeated rows.
+
+    An empty table gives no rows. Other columns come along in ``rest``, whatever their names. Texts
+    are read in blocks of some megabytes, a longer one as a block by itself.
+    """
     return apply_bitmaps(docs, keep_bitmaps(docs, ident, text, shortest), ident, text)

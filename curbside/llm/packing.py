@@ -164,7 +164,9 @@ def pack_documents(docs: DataFrame, size: int = 2048, path: str | None = None, e
     A document's ids are those of the tokenizer at ``path`` and ``end``; NULL and empty texts have
     that one id, and repeated rows and rows without an id are packed as they are. Documents keep
     the order of the table's partitions, which are read without a shuffle; each is packed by itself
-    as a stream, so at most one window of a partition is cut short. ``sequence_id`` is unique.
+    as a stream, so at most one window of a partition is cut short. ``sequence_id`` is unique. An
+    empty table gives no pieces. Other columns are not looked at. Texts are read in blocks of some
+    megabytes, a longer one as a block by itself.
     """
     frame = docs.select(F.col(ident).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = dict(frame.dtypes)["doc_id"]

@@ -127,7 +127,9 @@ def substring_dedup(docs: DataFrame, words: int = 50, base: int = 25, ident: str
     of ``words`` words covers whose words also start, in this order, in a document with a smaller
     id. ``base`` is the length to start from. NULL counts as an empty text; shorter texts lose
     nothing; rows with one id count as one document, and rows without an id are left whole and
-    compared with nothing. Copies of a whole text are settled by its digest.
+    compared with nothing. Copies of a whole text are settled by its digest. Repeated rows get a
+    row each, an empty table gives none. Other columns are not looked at. Texts are read in blocks
+    of some megabytes, a longer one as a block by itself.
     """
     rows = keyed(docs, ident, text)
     return cut_repeats(docs, rows, repeated_windows(rows, words, base), words, ident)

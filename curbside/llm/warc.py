@@ -23,6 +23,7 @@ from curbside.session import shared_folder
 
 SEGMENT = 8192
 CHUNK = 4096
+#: A record has at most a segment and its fields, so this bounds a file to some 18 MB before compression.
 RECORDS_PER_FILE = 2000
 # Fixed values of the formats.
 VERSION = b"WARC/1.1"
@@ -235,7 +236,13 @@ def read_archives(spark: SparkSession, folder: str, payloads: bool = True) -> Da
 
 
 def archive_round_trip(pages: DataFrame, payloads: bool = False) -> DataFrame:
-    """Writes archives into the shared folder and reads them back."""
+    """Writes archives into the shared folder and reads them back.
+
+    Rows that are the same in id, address and payload are one page and give one row; rows with one
+    id that differ give a row each. NULL payloads are empty; pages without an id are responses. An
+    empty table gives no rows. Other columns are not looked at. A task holds an archive whole, of
+    at most RECORDS_PER_FILE records of some SEGMENT bytes.
+    """
     folder = shared_folder(pages.sparkSession, "warc")
     write_archives(pages, folder)
     return read_archives(pages.sparkSession, folder, payloads)
