@@ -89,10 +89,21 @@ def _apply(images: DataFrame, path: str, partials_path: str, batch_id: int, kept
         own = spark.createDataFrame([(x, batch_id, x in filled) for x in touched], VERSIONS)
         versions.filter(~F.col(HOUR).isin(touched)).unionAll(own).coalesce(1).write.mode("overwrite").parquet(
             _batch(partials_path, "versions", batch_id))
+        remove_replaced(spark, partials_path, batch_id)
     finally:
         more.unpersist()
 
 
+def remove_replaced(spark: SparkSession, partials_path: str, batch_id: int) -> None:
+    """Removes what the batch before this one replaced: a replay of this one reads what that one left."""
+    if batch_id < 2:
+        return
+    older, newer = ({(r.hour, r.batch_id) for r in read_versions(spark, partials_path, x).collect()} for x in (batch_id - 2, batch_id - 1))
+    for hour, batch in older - newer:
+        remove(spark, f"{_batch(partials_path, 'rows', batch)}/{HOUR}={hour}")
+    remove(spark, _batch(partials_path, "versions", batch_id - 3))
+
+
 def hours_of(rows: DataFrame) -> list[str]:
     """As many as there are hours that a batch touches."""
     return [r[0] for r in rows.select(HOUR).distinct().collect()]

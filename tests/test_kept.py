@@ -59,8 +59,13 @@ def test_withdrawn_records(spark, tmp_path, name):
     # Nothing is left in an hour, then something comes back.
     apply_images(images(spark, (-1, moved[1])), root, 2, [name])
     assert shown(read_kept(spark, root, name)) == expected(spark, name, *now[:2])
-    apply_images(images(spark, moved), root, 3, [name])
-    assert shown(read_kept(spark, root, name)) == expected(spark, name, *now)
+    for _ in range(2):
+        apply_images(images(spark, moved), root, 3, [name])
+        assert shown(read_kept(spark, root, name)) == expected(spark, name, *now)
+    # Partials that were replaced before the last batch are gone.
+    left = {(d.split("batch_id=")[1].split("/")[0], d.split(f"{HOUR}=")[1]) for d, _, _ in os.walk(f"{root}/_partials/{name}/rows") if f"{HOUR}=" in d}
+    assert ("0", "2024-01-15-10") not in left and ("1", "2024-01-15-10") in left
+    assert sorted(os.listdir(f"{root}/_partials/{name}/versions")) == [f"batch_id={i}" for i in (1, 2, 3)]
 
 
 def test_a_batch_reads_only_the_hours_it_touches(spark, tmp_path):
