@@ -19,8 +19,6 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
-import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,7 +31,7 @@ BLOCK = 4 << 20
 #: Matches of a text are taken in one list up to so many bytes, one by one beyond.
 LISTED = 1 << 20
 #: Words of a bucket that a task remembers; it starts anew when they are more.
-WORDS = 2 << 20
+WORDS = 1 << 19
 #: Ids that are decoded at once; a longer single text is decoded alone.
 IDS = 1 << 20
 #: A row for the texts of a block, with ``bucket`` NULL and the numbers of its words as they follow in the buckets, and
@@ -72,14 +70,18 @@ def rank_table(path: str) -> dict[bytes, int]:
 
 
 @lru_cache(maxsize=2)
-def splitter(pattern: str) -> regex.Pattern:
+def splitter(pattern: str):
     """White space is what Unicode calls so: Python's own class has four control characters more."""
+    import regex
+
     return regex.compile(pattern.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
 @lru_cache(maxsize=2)
-def merger(path: str) -> tiktoken.Encoding:
+def merger(path: str):
     """Merges the bytes of one word: the pattern takes whatever it is given as one piece."""
+    import tiktoken
+
     return tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=rank_table(path), special_tokens={})
 
 
@@ -201,8 +203,8 @@ def word_ids(path: str) -> Callable:
     return encode
 
 
-def assembled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids of each text of a block from its places and the ids of its words."""
+def block_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The document ids of each block, how many ids each text has and all these ids, from places and the ids of words."""
     for batch in batches:
         for row in range(batch.num_rows):
             doc_ids, counts, places, at, parts = (batch.column(x)[row] for x in ("doc_ids", "counts", "places", "at", "parts"))
@@ -216,10 +218,20 @@ def assembled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             begin, size = (np.cumsum(size) - size)[order], size[order]
             places, counts = unpacked(places.as_py()), unpacked(counts.as_py())
             each = size[places]
-            flat = gathered(ids, begin[places], each)
             bounds = np.r_[0, np.cumsum(each)][np.r_[0, np.cumsum(counts)]]
-            yield pa.RecordBatch.from_arrays(
-                [doc_ids.values, pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], schema=ENCODED)
+            yield doc_ids.values, np.diff(bounds), gathered(ids, begin[places], each)
+
+
+def ids_of_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for doc_ids, counts, ids in block_ids(batches):
+        bounds = pa.array(np.r_[0, np.cumsum(counts)], pa.int32())
+        yield pa.RecordBatch.from_arrays([doc_ids, pa.ListArray.from_arrays(bounds, pa.array(ids))], schema=ENCODED)
+
+
+def spelt_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts as SPELT says."""
+    for found in block_ids(batches):
+        yield from spelt(*found)
 
 
 def flat_ids(raw: bytes) -> np.ndarray:
@@ -238,6 +250,17 @@ def kept_by_block(frame: DataFrame) -> DataFrame:
     return spark.table(name)
 
 
+def blocks_with_ids(docs: DataFrame, path: str, pattern: str, ident: str, text: str, block: int) -> DataFrame:
+    """What ``block_ids`` takes: blocks of texts, joined with the ids of their words."""
+    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    kept = kept_by_block(rows.mapInArrow(cut(pattern, block, partitions(rows)), CUT_SQL))
+    words = kept.where("bucket is not null").select("block", "bucket", "lengths", "words")
+    parts = words.repartition(partitions(words), "bucket").sortWithinPartitions("bucket").mapInArrow(word_ids(path), PARTS_SQL)
+    own = parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "ids")).alias("parts"))
+    whole = kept.where("bucket is null").select("block", "doc_ids", "counts", "places", "at").join(own, "block", "left")
+    return whole.select("doc_ids", "counts", "places", "at", "parts")
+
+
 def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """(doc_id, ids) for each row of ``docs``: the ids that the merges of a rank file give for each pre-token.
 
@@ -247,13 +270,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, ident: str = "doc_id", tex
     not looked at. An empty table gives no rows. A text beyond ``block`` bytes is a block by
     itself, whose matches are taken one by one.
     """
-    rows = docs.select(F.col(ident).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    kept = kept_by_block(rows.mapInArrow(cut(pattern, block, partitions(rows)), CUT_SQL))
-    words = kept.where("bucket is not null").select("block", "bucket", "lengths", "words")
-    parts = words.repartition(partitions(words), "bucket").sortWithinPartitions("bucket").mapInArrow(word_ids(path), PARTS_SQL)
-    own = parts.groupBy("block").agg(F.collect_list(F.struct("bucket", "counts", "ids")).alias("parts"))
-    whole = kept.where("bucket is null").select("block", "doc_ids", "counts", "places", "at").join(own, "block", "left")
-    return whole.select("doc_ids", "counts", "places", "at", "parts").mapInArrow(assembled, "doc_id long, ids array<int>")
+    return blocks_with_ids(docs, path, pattern, ident, text, block).mapInArrow(ids_of_texts, "doc_id long, ids array<int>")
 
 
 def token_table(spark: SparkSession, path: str) -> DataFrame:
@@ -271,21 +288,22 @@ def with_distinct_ids(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBa
         for at, count in enumerate(batch.column("ids").value_lengths().fill_null(0).to_pylist()):
             if size and size + count > IDS:
                 held.append(batch.slice(start, at - start))
-                yield from spelt(held)
+                yield from joined_texts(held)
                 held, size, start = [], 0, at
             size += count
         held.append(batch.slice(start))
-    yield from spelt(held)
+    yield from joined_texts(held)
+
 
+def joined_texts(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    if sum(x.num_rows for x in held):
+        rows = pa.Table.from_batches(held).combine_chunks()
+        lists = rows.column("ids").combine_chunks()
+        yield from spelt(rows.column("doc_id").combine_chunks(), lists.value_lengths().fill_null(0).to_numpy(), lists.flatten().to_numpy())
 
-def spelt(held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    if not sum(x.num_rows for x in held):
-        return
-    rows = pa.Table.from_batches(held).combine_chunks()
-    counts = rows.column("ids").combine_chunks().value_lengths().fill_null(0).to_numpy()
-    ids = rows.column("ids").combine_chunks().flatten().to_numpy()
-    yield pa.RecordBatch.from_pylist([{"doc_ids": rows.column("doc_id").to_pylist(), "counts": packed(counts),
-                                       "ids": ids.astype("<u4").tobytes()}], SPELT)
+
+def spelt(doc_ids: pa.Array, counts: np.ndarray, ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+    yield pa.RecordBatch.from_pylist([{"doc_ids": doc_ids.to_pylist(), "counts": packed(counts), "ids": ids.astype("<u4").tobytes()}], SPELT)
     distinct = pa.array(np.unique(ids), pa.int32())
     yield pa.RecordBatch.from_arrays([*(pa.nulls(len(distinct), SPELT.field(i).type) for i in range(3)), distinct], schema=SPELT)
 
@@ -319,21 +337,30 @@ def text_rows(texts: dict, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
                                        pa.array([b"".join(tokens[a:b]) for a, b in spans], pa.binary())], schema=DECODED)
 
 
+def with_tokens(blocks_of_ids: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text) from rows as SPELT says.
+
+    The table of tokens is broadcast: it has as many rows as the vocabulary, whatever the input. The
+    join keeps the order of what it reads, so the ids of a block stay behind its texts and no
+    shuffle follows.
+    """
+    return blocks_of_ids.join(F.broadcast(token_table(blocks_of_ids.sparkSession, path)), "id", "left").select(
+        "doc_ids", "counts", "ids", "id", "token").mapInArrow(rejoined, "doc_id long, ids binary, text binary")
+
+
 def decoded(rows: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text) for rows of (doc_id, ids): ids as little-endian unsigned 32-bit numbers, and their bytes.
 
-    The distinct ids of a block of texts are exploded and joined with the table of tokens, which is
-    broadcast: it has as many rows as the vocabulary, whatever the input. The join keeps the order
-    of what it reads, so the ids of a block stay behind its texts and no shuffle follows. An id
-    without a token raises an error. Bytes need not be valid UTF-8. Rows without ids have no bytes.
+    The distinct ids of a block of texts are exploded, joined with the table of tokens and put in
+    the places of the ids. An id without a token raises an error. Bytes need not be valid UTF-8.
+    Rows without ids have no bytes.
     """
-    exploded = rows.select("doc_id", "ids").mapInArrow(with_distinct_ids, SPELT_SQL)
-    return exploded.join(F.broadcast(token_table(rows.sparkSession, path)), "id", "left").select(
-        "doc_ids", "counts", "ids", "id", "token").mapInArrow(rejoined, "doc_id long, ids binary, text binary")
+    return with_tokens(rows.select("doc_id", "ids").mapInArrow(with_distinct_ids, SPELT_SQL), path)
 
 
 def byte_pair_round_trip(docs: DataFrame, path: str | None = None, pattern: str | None = None, ident: str = "doc_id",
-                         text: str = "text") -> DataFrame:
-    """(doc_id, ids, text): the ids of each row of ``docs`` and the bytes that they stand for. See ``encoded`` and ``decoded``."""
+                         text: str = "text", block: int = BLOCK) -> DataFrame:
+    """(doc_id, ids, text): the ids of each row of ``docs`` and the bytes that they stand for, as ``encoded`` and ``decoded`` give them."""
     path = path or default_path()
-    return decoded(encoded(docs, path, pattern or default_pattern(), ident, text), path)
+    found = blocks_with_ids(docs, path, pattern or default_pattern(), ident, text, block)
+    return with_tokens(found.mapInArrow(spelt_blocks, SPELT_SQL), path)
