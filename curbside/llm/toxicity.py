@@ -25,6 +25,8 @@ SAMPLE = 20_000
 FEATURES, LEARNED = 4096, 200
 #: Bytes of sampled texts that a task takes apart at once: a text has several times as many stems as words.
 SAMPLE_BLOCK = 1 << 20
+#: Bytes of texts that are scored at once, and words that a task remembers, by hash; it starts anew when they are more.
+SCORED_BLOCK, WORDS = 4 << 20, 1 << 19
 #: Toxic texts of the sample that a stem must be in.
 LEAST_TOXIC = 3
 STEMS = range(3, 9)
@@ -201,14 +203,14 @@ def scorer(weights: dict[str, float], bias: float):
         weight = np.fromiter(weights.values(), float, len(weights))
         known: dict[int, tuple[int, ...]] = {}  # words by hash that have features
         seen = np.empty(0, np.uint64)  # words that were looked up
-        for block in blocks(batches):
+        for block in blocks(batches, limit=SCORED_BLOCK):
             texts = texts_of(block)
             words, hashes, of, text = distinct_words(texts)
             new = ~np.isin(hashes, seen)
             for i in np.flatnonzero(new).tolist():
                 if found := tuple({number[x] for x in stems_of(words[i]) if x in number}):
                     known[int(hashes[i])] = found
-            seen = hashes if len(seen) > 2_000_000 else np.concatenate([seen, hashes[new]])
+            seen = hashes if len(seen) > WORDS else np.concatenate([seen, hashes[new]])
             marked = np.isin(hashes, np.fromiter(known, np.uint64, len(known)))
             at = np.flatnonzero(marked[of])
             pairs = {(t, f) for t, h in zip(text[at].tolist(), hashes[of[at]].tolist()) for f in known[h]}
