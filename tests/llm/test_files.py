@@ -399,15 +399,17 @@ def test_registered():
     names = contract.queries()
     assert {n for n in names if n.startswith("op")} == {
         "op1_substring_dedup", "op2_toxicity", "op3_suffix_dedup", "op4_near_copies", "op5_packing", "op6_token_files",
-        "op7_decontamination", "op8_fingerprints", "op9_line_dedup", "op10_warc"} and "pipeline" in names
+        "op7_decontamination", "op8_fingerprints", "op9_line_dedup", "op10_warc", "op11_resampling", "op12_byte_pairs",
+        "op13_filter_audit"} and "pipeline" in names
 
 
-@pytest.mark.parametrize("name", ["op1_substring_dedup", "op3_suffix_dedup", "op4_near_copies", "op9_line_dedup", "op10_warc"])
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op3_suffix_dedup", "op4_near_copies", "op9_line_dedup", "op10_warc",
+                                  "op13_filter_audit"])
 def test_equal_to_sql(name, spark, data):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{data}/{t}.parquet'")
     cursor = con.execute(contract.oracle_sql()[name])
     columns = [c[0] for c in cursor.description]
