@@ -14,7 +14,7 @@ import tiktoken
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from curbside.llm import byte_pairs, resampling
+from curbside.llm import byte_pairs, queries, resampling
 from curbside.llm.byte_pairs import Vocabulary, byte_pair_round_trip, decoded, default_path, default_pattern, encoded, merger, splitter
 from curbside.llm.filter_audit import filter_audit
 from curbside.llm.resampling import resampled, text_runs
@@ -235,3 +235,21 @@ def test_one_text_in_most_rows(spark):
     rows = [(i, "one text " * 120, "en") for i in range(300)] + [(None, "one text " * 120, "de")] * 20
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert sorted(tuple(r) for r in filter_audit(docs_of(spark, rows), none).collect()) == plain_audit(rows, [])
+
+
+# -- the registered queries on whole tables ---------------------------------------------------
+
+
+def test_registered_draw(spark, data):
+    docs, bench = (spark.read.parquet(f"{data}/{x}.parquet") for x in ("documents", "benchmark"))
+    rows = [(r.doc_id, r.text, None) for r in docs.collect()]
+    got = [tuple(r) for r in queries.op11_resampling(spark, data).select("doc_id", "n_features", "weight", "score", "rank").collect()]
+    assert sorted(got, key=repr) == sorted(plain_draw(rows, [r.text for r in bench.collect()]), key=repr)
+
+
+def test_registered_ids(spark, data, library):
+    want = {}
+    for r in spark.read.parquet(f"{data}/documents.parquet").collect():
+        ids = np.array(library.encode_ordinary(r.text or ""), "<u4")
+        want[r.doc_id] = len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256((r.text or "").encode()).hexdigest()
+    assert {r.doc_id: tuple(r)[1:] for r in queries.op12_byte_pairs(spark, data).collect()} == want
