@@ -21,7 +21,7 @@ from curbside.plans.gold import read_gold, run_gold
 from curbside.schemas import SILVER
 from curbside.session import shared_folder
 from curbside.sources import rides as source
-from curbside.sources.sinks import append_evolving, clustered, log_run, look_up, read_evolving, write_lookup, z_clustered
+from curbside.sources.sinks import append_evolving, clustered, look_up, read_evolving, write_lookup, z_clustered
 from curbside.sources.streams import read_bronze_stream, read_event_stream, read_silver
 from curbside.sources.tables import (create_databases, init_tables, list_tables, register_files, save_bucketed, set_properties,
                                      table_detail, table_stats)
@@ -190,7 +190,7 @@ class Inputs:
     def run_closed(self, aggregate: DataFrame) -> DataFrame:
         """What an append-mode aggregate has written when its input is at an end."""
         root = self.folder("closed")
-        windows.start_closed(aggregate, f"{root}/rows", f"{root}/checkpoint", trigger=ONCE).awaitTermination()
+        pipeline.start_aggregate(aggregate, f"{root}/rows", f"{root}/checkpoint", None, ONCE).awaitTermination()
         return self.spark.read.schema(aggregate.schema).parquet(f"{root}/rows")
 
     def run_split(self) -> str:

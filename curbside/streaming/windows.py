@@ -15,7 +15,7 @@ from curbside import settings as S
 from curbside.operators import gold
 from curbside.operators.silver import clean
 from curbside.sources.sinks import write_batch
-from curbside.streaming.pipeline import _run, _start, _stream_id
+from curbside.streaming.pipeline import _start, _stream_id
 
 LATE_PARTITIONS = ("event_date",)
 
@@ -48,11 +48,6 @@ def demand_with_supply(demand: DataFrame, supply: DataFrame, time_fallback: Colu
         "win", "city", "ride_requests", "avg_surge_multiplier", F.coalesce("drivers_active", F.lit(0).cast("long")).alias("drivers_active"))
 
 
-def start_closed(aggregate: DataFrame, path: str, checkpoint: str, name: str | None = None, trigger: dict | None = None) -> StreamingQuery:
-    """Append the closed windows of a streaming aggregate to parquet files, exactly once."""
-    return _run(aggregate.writeStream.outputMode("append").format("parquet").option("path", path), checkpoint, name, trigger)
-
-
 def start_split_by_watermark(records: DataFrame, path: str, checkpoint: str, delay: str, window: str, name: str | None = None,
                              trigger: dict | None = None, time_fallback: Column | None = None) -> StreamingQuery:
     """Append cleaned records to ``path``/on_time, and those whose window had closed before their batch to ``path``/late.

@@ -4,7 +4,6 @@ import json
 import time
 from datetime import timedelta
 
-import pytest
 from pyspark.sql import functions as F
 
 from curbside import settings as S
