@@ -9,7 +9,6 @@ from collections import Counter
 import numpy as np
 import pytest
 import regex
-from pyspark.sql import functions as F
 
 from curbside.llm.fingerprints import BINS, edited_fingerprints
 from curbside.llm.graph import components
