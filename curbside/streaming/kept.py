@@ -8,54 +8,79 @@ before it and writes its own, so one that is replayed after a failure gives the
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Sequence
 
-import pandas as pd
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from curbside import schemas
 from curbside import settings as S
 from curbside.operators.retraction import HOUR, KEPT, SIGN, Partials
+from curbside.operators.silver import NEWEST_FIRST, deduplicate
 from curbside.session import remove
 
 #: What of a record the kept aggregates need; its event time among them.
 IMAGE = T.StructType([f for f in schemas.SILVER if f.name in (
     "ride_id", "driver_id", "city", "event_type", "trip_distance", "fare_amount", "net_fare", "surge_multiplier", "event_ts",
     "has_data_quality_issue")])
-ORDER = ("at", "offset", "part")
+#: And what tells which record of a key is the newest.
+RECORD = T.StructType([*IMAGE, *(schemas.BRONZE[x] for x in NEWEST_FIRST)])
+SIGNED = T.StructType([T.StructField(SIGN, T.IntegerType()), *RECORD])
+#: Batches after which all newest records are written as one set.
+SPAN = 10
 VERSIONS = "hour string, batch_id long, filled boolean"
 
 
-def signed_images(cleaned: DataFrame) -> DataFrame:
-    """A stream of images, with ``sign``, from a stream of cleaned records: the newest of each key counts.
+def newest_changes(cleaned: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """The images, with ``sign``, that a batch of cleaned records gives: the newest of each key counts.
 
-    The state holds one record for each key, as text, so that no value changes on the way. A record
-    older than the one that counts gives nothing, whenever it arrives.
+    A record older than the one that counts gives nothing, whenever it arrives. Below ``root`` lie
+    the images of each batch, and all newest records after each ``SPAN``th. A batch looks its keys up
+    in those before it and writes its own, so one that is replayed after a failure gives the same again.
     """
+    spark = cleaned.sparkSession
+    fresh = deduplicate(cleaned.select(*RECORD.names)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        history = read_newest(spark, root, batch_id)
+        before = deduplicate(history.join(fresh.select(*S.SILVER_KEYS), list(S.SILVER_KEYS), "left_semi"))
+        pairs = _packed(fresh, "after").join(_packed(before, "before"), list(S.SILVER_KEYS), "left").filter(
+            F.col("before").isNull() | (_place("after") > _place("before")))
+        both = F.array(*(F.struct(F.lit(sign).alias(SIGN), F.col(x).alias("r")) for sign, x in ((-1, "before"), (1, "after"))))
+        pairs.select(F.inline(both)).filter("r IS NOT NULL").select(SIGN, "r.*").write.mode("overwrite").parquet(_batch(root, "images", batch_id))
+        if (batch_id + 1) % SPAN == 0:
+            deduplicate(history.unionByName(_read_images(spark, root, [batch_id]))).write.mode("overwrite").parquet(_batch(root, "newest", batch_id))
+        if batch_id % SPAN == 0:
+            for x in range(batch_id - SPAN, batch_id):
+                remove(spark, _batch(root, "images", x))
+            remove(spark, _batch(root, "newest", batch_id - SPAN - 1))
+    finally:
+        fresh.unpersist()
+    return spark.read.schema(SIGNED).parquet(_batch(root, "images", batch_id)).select(SIGN, *IMAGE.names)
+
+
+def _packed(records: DataFrame, name: str) -> DataFrame:
+    return records.select(*S.SILVER_KEYS, F.struct(*RECORD.names).alias(name))
+
+
+def _place(name: str) -> Column:
+    return F.struct(*(F.col(name)[x] for x in NEWEST_FIRST))
+
+
+def read_newest(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
+    """The records that counted at some time since the last full set before a batch; the newest of a key counts now."""
+    first = batch_id - batch_id % SPAN
+    full = [_batch(root, "newest", first - 1)] if first else []
+    records = _read_images(spark, root, range(first, batch_id))
+    return records.unionByName(spark.read.schema(RECORD).parquet(*full)) if full else records
+
 
-    # Defined here, it travels with the plan: workers need no copy of this package.
-    def newest_changes(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        before = best = tuple(state.get) if state.exists else None
-        for frame in frames:
-            for row in zip(*(frame[x].tolist() for x in (*ORDER, "record"))):
-                if best is None or row[:3] > best[:3]:
-                    best = row
-        if best is not before:
-            state.update(best)
-            yield pd.DataFrame({SIGN: [1] if before is None else [-1, 1], "record": [x[3] for x in (before, best) if x]})
-
-    rows = cleaned.select(
-        *S.SILVER_KEYS, F.unix_micros("ingestion_ts").alias("at"), F.col("kafka_offset").alias("offset"),
-        F.col("kafka_partition").cast("long").alias("part"),
-        F.to_json(F.struct(*(F.unix_micros("event_ts").alias("event_ts") if x == "event_ts" else x for x in IMAGE.names))).alias("record"))
-    found = rows.groupBy(*S.SILVER_KEYS).applyInPandasWithState(
-        newest_changes, f"{SIGN} int, record string", "at long, offset long, part long, record string", "append", GroupStateTimeout.NoTimeout)
-    packed = T.StructType([T.StructField(f.name, T.LongType()) if f.name == "event_ts" else f for f in IMAGE])
-    return found.select(SIGN, F.from_json("record", packed).alias("r")).select(SIGN, "r.*").withColumn("event_ts", F.timestamp_micros("event_ts"))
+def _read_images(spark: SparkSession, root: str, batches: Iterable[int]) -> DataFrame:
+    paths = [_batch(root, "images", x) for x in batches]
+    if not paths:
+        return spark.createDataFrame([], RECORD)
+    return spark.read.schema(SIGNED).parquet(*paths).filter(F.col(SIGN) > 0).select(*RECORD.names)
 
 
 def apply_images(images: DataFrame, root: str, batch_id: int, tables: Sequence[str] = tuple(KEPT)) -> None:

@@ -17,13 +17,18 @@ from curbside.operators.quality import quality_counts
 from curbside.operators.silver import clean, deduplicate, to_silver
 from curbside.operators.retraction import KEPT
 from curbside.sources.sinks import log_run, write_batch
-from curbside.streaming.kept import apply_images, signed_images
+from curbside.streaming.kept import apply_images, newest_changes
 
 log = logging.getLogger(__name__)
 
 
 def _start(df: DataFrame, handler, checkpoint: str, name: str, trigger: dict | None):
-    return _run(df.writeStream.foreachBatch(handler), checkpoint, name, trigger)
+    """Streams switch adaptive execution off; plans within a batch keep no state and need it to divide large partitions."""
+    def adaptive(batch: DataFrame, batch_id: int) -> None:
+        batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+        handler(batch, batch_id)
+
+    return _run(df.writeStream.foreachBatch(adaptive), checkpoint, name, trigger)
 
 
 def _run(writer: DataStreamWriter, checkpoint: str, name: str | None, trigger: dict | None):
@@ -97,14 +102,14 @@ def start_gold(bronze: DataFrame, root: str, checkpoint: str, name: str | None =
                time_fallback: Column | None = None, tables: Sequence[str] = tuple(KEPT)) -> StreamingQuery:
     """Keep aggregates up with a stream of accepted records, whose newest one for each key counts.
 
-    Each batch adds what its records change, so it costs the hours that it touches and not the
-    history. ``root`` belongs to one checkpoint. Read the result with ``read_kept``.
+    Each batch adds what its records change: it writes the hours that it touches, and reads of the
+    history the newest record of each key. ``root`` belongs to one checkpoint. Read the result with ``read_kept``.
     """
 
-    def write(images: DataFrame, batch_id: int) -> None:
-        apply_images(images, root, batch_id, tables)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        apply_images(newest_changes(batch, f"{root}/_newest", batch_id), root, batch_id, tables)
 
-    return _start(signed_images(clean(bronze, time_fallback)), write, checkpoint, name, trigger)
+    return _start(clean(bronze, time_fallback), write, checkpoint, name, trigger)
 
 
 def start_aggregate(aggregate: DataFrame, path: str, checkpoint: str, name: str | None,

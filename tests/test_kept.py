@@ -11,8 +11,9 @@ from curbside.operators.retraction import HOUR, KEPT, SIGN
 from curbside.sources.streams import read_event_stream
 from curbside.operators import bronze as B
 from curbside.streaming import pipeline as P
+from curbside.streaming import kept as K
 from curbside.streaming.kept import apply_images, read_kept
-from helpers import messages, silver, ts
+from helpers import frame, messages, silver, ts
 
 ONCE = {"availableNow": True}
 
@@ -106,3 +107,41 @@ def test_gold_follows_late_corrections(spark, tmp_path):
     batch(2, 14, 16)
     assert run() == {(16, 1)}
     assert run() == {(16, 1)}
+
+
+def test_images_follow_the_newest_record(spark, tmp_path, monkeypatch):
+    """Over several full sets, with each batch run twice, as after a failure."""
+    monkeypatch.setattr(K, "SPAN", 2)
+    newest, state = {}, []
+
+    def record(ride, second, offset, fare):
+        return {"ride_id": ride, "event_type": "trip_completed", "fare_amount": fare, "ingestion_ts": ts(f"2024-01-15 10:00:{second:02}"),
+                "kafka_offset": offset, "kafka_partition": 0}
+
+    for i in range(7):
+        rows = [record(f"R{k % 4}", (i * 7 + k * 5) % 11, i * 10 + k, float(i * 10 + k)) for k in range(i, i + 3)] + [record("R9", i, i, 1.0)] * 2
+        want = {}
+        for x in rows:
+            best = want.get(x["ride_id"], newest.get(x["ride_id"]))
+            if best is None or (x["ingestion_ts"], x["kafka_offset"]) > (best["ingestion_ts"], best["kafka_offset"]):
+                want[x["ride_id"]] = x
+        signed = [(1, x["ride_id"], x["fare_amount"]) for x in want.values()]
+        signed += [(-1, k, newest[k]["fare_amount"]) for k in want if k in newest]
+        for _ in range(2):
+            got = K.newest_changes(frame(spark, K.RECORD, *rows), str(tmp_path), i)
+            assert sorted(map(tuple, got.select(SIGN, "ride_id", "fare_amount").collect())) == sorted(signed)
+        newest |= want
+        state.append(sorted(os.listdir(f"{tmp_path}/images")))
+    assert state[-1] == ["batch_id=6"] and os.listdir(f"{tmp_path}/newest") == ["batch_id=5"]
+
+
+@pytest.mark.parametrize("name", sorted(KEPT))
+def test_kept_streams_run_nothing_for_single_keys(spark, tmp_path, name):
+    """One call of Python for each key took two to three milliseconds."""
+    root = str(tmp_path)
+    body = {"ride_id": "R1", "event_type": "driver_assigned", "city": "Miami", "driver_id": "D"}
+    messages(spark, json.dumps(body)).write.parquet(f"{root}/in")
+    records = B.accepted(B.parse_events(read_event_stream(spark, "parquet", path=f"{root}/in"), F.col("timestamp")))
+    query = P.start_gold(records, f"{root}/gold", f"{root}/cp", name=None, trigger=ONCE, tables=(name,))
+    query.awaitTermination()
+    assert [p["stateOperators"] for p in query.recentProgress if p["numInputRows"]] == [[]]
