@@ -578,9 +578,15 @@ SELECT 'bronze' AS observation, CAST(batch_id AS BIGINT) AS batch_id, count(*) A
 UNION ALL
 SELECT 'silver', 0, count(*), count(*), count(*) FILTER (NOT has_data_quality_issue) FROM cleaned"""
 Q["stream_health"] = """
-SELECT observation, batch_id, true AS is_active, false AS stopped, false AS stalled FROM (
-  SELECT DISTINCT 'bronze' AS observation, CAST(batch_id AS BIGINT) AS batch_id FROM thirds
-  UNION ALL SELECT DISTINCT 'silver', CAST(0 AS BIGINT) FROM cleaned)"""
+SELECT *, NOT is_active AS stopped, is_active AND input_rows_per_sec = 0 AND batch_id > 5 AS stalled FROM (
+  SELECT CAST(kafka_partition AS VARCHAR) AS query_id, 'partition-' || kafka_partition AS query_name,
+         kafka_partition <> 9 AS is_active, CAST(kafka_partition AS BIGINT) AS batch_id, count(*) AS num_input_rows,
+         CASE WHEN kafka_partition % 2 = 0 THEN 0.0::DOUBLE ELSE count(*) / 10 END AS input_rows_per_sec,
+         count(*) / 10 AS processed_rows_per_sec FROM valid GROUP BY kafka_partition)
+UNION ALL
+SELECT NULL, observation, true, batch_id, num_input_rows, NULL, NULL, false, false FROM (
+  SELECT 'bronze' AS observation, CAST(batch_id AS BIGINT) AS batch_id, count(*) AS num_input_rows FROM thirds GROUP BY batch_id
+  UNION ALL SELECT 'silver', CAST(0 AS BIGINT), count(*) FROM cleaned)"""
 Q["stream_bronze"] = Q["triage_valid"]
 Q["stream_dead_letter"] = Q["dead_letter"]
 Q["stream_silver"] = Q["deduplicate"]

@@ -8,6 +8,7 @@ from curbside import schemas
 from curbside.operators import bronze as B
 from curbside.operators import gold as G
 from curbside.operators import silver as V
+from curbside.plans.catalog import QUERIES
 from curbside.plans.gold import read_gold, run_gold
 from curbside.sources import rides as source
 from curbside.sources.streams import (kafka_options, read_bronze_stream, read_event_stream, read_silver,
@@ -195,6 +196,14 @@ def test_stalled_flag(spark):
     assert {r.query_name for r in df.filter("stalled").collect()} == {"stalled", "nan"}
 
 
+def test_health_counts_the_rows_and_knows_every_outcome(spark, data):
+    got = QUERIES["stream_health"](spark, data)
+    n = spark.read.parquet(f"{data}/events.parquet").count()
+    assert got.filter("query_name = 'bronze'").agg(F.sum("num_input_rows")).first()[0] == n
+    parts = got.filter("query_name LIKE 'partition-%'")
+    assert {r.batch_id for r in parts.filter("stalled").collect()} == {6, 8} and {r.batch_id for r in parts.filter("stopped").collect()} == {9}
+
+
 def test_kafka_options():
     plain = kafka_options("host:1", group="g")
     assert plain["startingOffsets"] == "earliest" and plain["maxOffsetsPerTrigger"] == "50000"
