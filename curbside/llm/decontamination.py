@@ -20,7 +20,7 @@ SEEDS = ([0, 1, 3, 4, 6, 7], [0, 2, 3, 5, 6, 9])
 MISMATCH, LEAST = -3, 10
 #: Benchmarks of up to so many characters are sent to all executors, some 10 MB of seeds; larger ones are joined by a shuffle.
 BROADCAST_CHARS = 1 << 20
-#: A seed that more items have than this stands for the smallest of them.
+#: Items that more than so many of overlap with a document by the same worth are listed in one row.
 COMMON = 8
 #: Items of at most so many words are looked up as whole texts; longer ones inside texts.
 WHOLE = 3
@@ -67,14 +67,8 @@ def place_of(at: Column, words: Column, kinds: list[tuple[int, int, list[int]]])
     return place
 
 
-def item_keys(items: DataFrame, common: int) -> DataFrame:
-    """(seed, item_id, item_place): spaced seeds of long items, one hash of all words of the others.
-
-    A seed that more than ``common`` items have is kept for the smallest of them, so that a document
-    with a stretch that very many items begin with meets one of them and not all. What an item has of
-    its own is found by its other seeds, as every stretch has some that look at its first word and
-    at its last.
-    """
+def item_keys(items: DataFrame) -> DataFrame:
+    """(seed, item_id, item_place): spaced seeds of long items, one hash of all words of the others."""
     spaced = kinds_of([])
     size = F.size("item")
     long = items.where(size >= LEAST).select("item_id", size.alias("n"), F.posexplode(seeds_of(F.col("item"), spaced)).alias("at", "seed"))
@@ -84,9 +78,7 @@ def item_keys(items: DataFrame, common: int) -> DataFrame:
         run = F.when(size == n, looked_at(F.col("item"), F.lit(0), 100 + n, list(range(n)))).otherwise(run)
     short = items.where(size < LEAST).select(F.when(size <= WHOLE, F.xxhash64("item")).otherwise(run).alias("seed"), "item_id",
                                              F.lit(0).alias("item_place"))
-    keys = keys.union(short)
-    counts = keys.groupBy("seed").agg(F.count_distinct("item_id").alias("holders"), F.min("item_id").alias("least"))
-    return keys.join(counts, "seed").where((F.col("holders") <= common) | (F.col("item_id") == F.col("least"))).select(*keys.columns)
+    return keys.union(short)
 
 
 def best_stretch(doc: Column, item: Column, shift: Column) -> Column:
@@ -103,12 +95,13 @@ def best_stretch(doc: Column, item: Column, shift: Column) -> Column:
 
 def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text",
                        item_ident: str = "item_id", item_text: str = "text", common: int = COMMON) -> DataFrame:
-    """(doc, row, item_id, words): for each document and item that overlap, the best stretch.
+    """(doc, row, item_id, words, item_ids): for each document and item that overlap, the best stretch.
 
     Words are runs of letters and digits in lower case. An overlap is a stretch in which equal
     words, less three times the others, come to 10 or to all words of a shorter item; items of 1
-    to 3 words count only where they are a document's whole text. Of items that share a seed with
-    more than ``common`` items a document meets the smallest there. Rows without an id are compared
+    to 3 words count only where they are a document's whole text. More than ``common`` items that a
+    document overlaps with by the same worth share a row: ``item_id`` is the smallest of them and
+    ``item_ids`` has all, in other rows the one. Rows without an id are compared
     like others, repeated rows once; hits are reduced to one for each document, item and shift.
     """
     items = benchmark.select(F.col(item_ident).alias("item_id"), word_hashes(F.col(item_text).cast("string"), MARKS).alias("item"))
@@ -122,15 +115,22 @@ def benchmark_overlaps(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_
     found = rows.select("doc", "row", F.inline(F.array(let(word_hashes(F.col("text"), MARKS), lambda x: F.struct(
         F.size(x).alias("n"), seeds_of(x, kinds).alias("seeds"))))))
     found = found.select("doc", "row", "n", F.posexplode("seeds").alias("at", "seed"))
-    hits = stored(found.join(sent(item_keys(items, common)), "seed").select("doc", "row", "item_id", (
+    hits = stored(found.join(sent(item_keys(items)), "seed").select("doc", "row", "item_id", (
         place_of(F.col("at"), F.col("n"), kinds) - F.col("item_place")).alias("shift")).distinct(), "benchmark-hits")
-    near = hits.join(sent(items), "item_id")
     hashed = rows.join(hits.select("doc", "row").distinct(), ["doc", "row"], "left_semi").dropDuplicates(["doc", "row"]).select(
         "doc", "row", word_hashes(F.col("text"), MARKS).alias("words"))
-    scored = near.join(hashed, ["doc", "row"]).select(
+    # Words of items are not shuffled where they can be sent; otherwise they are, being fewer than those of documents.
+    near = hits.join(hashed, ["doc", "row"]).join(sent(items), "item_id") if size <= BROADCAST_CHARS else hits.join(items, "item_id").join(
+        hashed, ["doc", "row"])
+    scored = near.select(
         "doc", "row", "item_id", best_stretch(F.col("words"), F.col("item"), F.col("shift")).alias("words"),
         F.least(F.lit(LEAST), F.size("item")).alias("least"))
-    return scored.where("words >= least").groupBy("doc", "row", "item_id").agg(F.max("words").alias("words"))
+    best = scored.where("words >= least").groupBy("doc", "row", "item_id").agg(F.max("words").alias("words"))
+    alike = best.groupBy("doc", "row", "words").agg(F.min("item_id").alias("first"), F.sort_array(F.collect_list(F.struct("item_id"))).alias("ids"))
+    ids = F.col("ids.item_id")
+    return alike.select("doc", "row", "words", F.inline(F.when(F.size("ids") <= common, F.transform(ids, lambda x: F.struct(
+        x.alias("item_id"), F.array(x).alias("item_ids")))).otherwise(F.array(F.struct(F.col("first").alias("item_id"), ids.alias("item_ids")))))).select(
+        "doc", "row", "item_id", "words", "item_ids")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id", text: str = "text",
@@ -138,13 +138,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, ident: str = "doc_id",
     """(doc_id, doc, row, contaminated, n_items, item_id, words) for each row of ``docs``.
 
     ``item_id`` is the item with the longest overlap, the smallest of such, and ``words`` its worth;
-    ``n_items`` counts the items met, as ``benchmark_overlaps`` says. NULL and empty texts and
+    ``n_items`` counts all items that overlap. NULL and empty texts and
     benchmarks have no words and overlap with nothing. Repeated rows get a row each. Other columns
     are not looked at; an empty table gives no rows. Texts are worked on whole, whatever their length.
     """
     overlaps = benchmark_overlaps(docs, benchmark, ident, text, item_ident, item_text, common)
     best = overlaps.groupBy("doc", "row").agg(
-        F.count("*").alias("n_items"), F.min(F.struct((-F.col("words")).alias("less"), "item_id")).alias("best"))
+        F.sum(F.size("item_ids")).alias("n_items"), F.min(F.struct((-F.col("words")).alias("less"), "item_id")).alias("best"))
     own = docs.select(F.col(ident).alias("doc_id"), doc_of(ident).alias("doc"), row_of(ident, text).alias("row"))
     return own.join(best, ["doc", "row"], "left").select(
         "doc_id", "doc", "row", F.col("best").isNotNull().alias("contaminated"), F.coalesce("n_items", F.lit(0)).alias("n_items"),

@@ -19,7 +19,7 @@ from curbside.llm.substrings import substring_dedup
 from curbside.llm.suffixes import suffix_dedup
 from curbside.llm.toxicity import train
 from curbside.llm.words import LONGEST, levels, window_hashes, word_hashes
-from curbside.llm.decontamination import benchmark_overlaps, decontaminate
+from curbside.llm.decontamination import SEEDS, benchmark_overlaps, decontaminate
 
 SCHEMA = "doc_id long, text string, doc long, row string, score double"
 
@@ -342,6 +342,29 @@ def test_items_with_a_common_stem(spark):
     assert (got[1000].item_id, got[1000].words) == (77, 25) and (got[5].item_id, got[5].words) == (0, 13)
 
 
+def test_items_whose_seeds_are_all_common(spark):
+    """Each seed of an item occurs in nine items with smaller ids, none of which overlaps enough with the text."""
+    words, items = [f"w{i}" for i in range(10)], []
+    for offsets in SEEDS:
+        for place in range(3):
+            at = {place + x for x in offsets}
+            items += [(len(items) + n, " ".join(w if i in at else f"d{len(items)}x{n}x{i}" for i, w in enumerate(words))) for n in range(9)]
+    bench = spark.createDataFrame([*items, (1000, " ".join(words))], "item_id long, text string")
+    rows = [(1, "some text " + " ".join(words) + " and more")]
+    got = decontaminate(docs_of(spark, rows), bench).first()
+    assert (got.contaminated, got.n_items, got.item_id, got.words) == (True, 1, 1000, 10)
+
+
+def test_all_items_with_a_common_stem_are_listed(spark):
+    stem = " ".join(f"stem{i}" for i in range(13))
+    items = [(i, f"{stem} " + " ".join(f"own{i}x{j}" for j in range(12))) for i in range(40)]
+    rows = [(i, f"some text {i} {stem} and an end {i}") for i in range(5)] + [(1000, "before " + items[33][1] + " after")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = benchmark_overlaps(docs_of(spark, rows), bench).collect()
+    assert {(r.doc, x): r.words for r in found for x in r.item_ids} == plain_overlaps(rows, items) and len(found) == 7
+    assert {r.n_items for r in decontaminate(docs_of(spark, rows), bench).collect()} == {40}
+
+
 def test_near_copies_of_ids_with_two_texts(spark):
     rng = random.Random(3)
     one, two = ([f"{x}{i}" for i in range(120)] for x in "ab")
