@@ -4,6 +4,7 @@ import json
 import time
 from datetime import timedelta
 
+import pytest
 from pyspark.sql import functions as F
 
 from curbside import settings as S
@@ -11,6 +12,8 @@ from curbside.operators import bronze as B
 from curbside.operators import history as H
 from curbside.operators import silver as V
 from curbside.operators import upsert
+from curbside.plans import catalog
+from curbside.plans.catalog import QUERIES, Inputs
 from curbside.sources import rides as source
 from curbside.sources.sinks import append_evolving, look_up, read_evolving, write_lookup, z_clustered
 from curbside.sources.streams import read_bronze_stream, read_event_stream
@@ -137,6 +140,36 @@ def test_clustering_by_several_columns(spark):
     assert empty.collect() == []
 
 
+def jobs_of(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_clustering_measures_all_columns_at_once(spark):
+    frame = spark.range(1000).select(*(F.concat(F.lit(x), F.hash("id", F.lit(ord(x))).cast("string")).alias(x) for x in "abcdef"))
+    assert jobs_of(spark, "six", lambda: z_clustered(frame, list("abcdef"), 4)) == jobs_of(spark, "one", lambda: z_clustered(frame, ["a"], 4))
+
+
+@pytest.mark.parametrize("name", ["catalog_rows", "table_stats"])
+def test_layers_are_parsed_once(spark, data, name, monkeypatch):
+    """Each layer used to parse all messages anew, seven times in all."""
+    seen, parse = [], Inputs.parsed.fget
+    monkeypatch.setattr(Inputs, "parsed", property(lambda self: seen.append(1) or parse(self)))
+    QUERIES[name](spark, data)
+    assert seen == [1]
+
+
+def test_clustering_reads_stored_rows(spark, data, monkeypatch):
+    read = []
+    monkeypatch.setattr(catalog, "z_clustered", lambda df, *args, **more: read.extend(df.inputFiles()) or z_clustered(df, *args, **more))
+    QUERIES["cluster_skipping"](spark, data)
+    assert read and not any(x.endswith("/events.parquet") for x in read)
+
+
 def test_rescued_fields(spark, tmp_path):
     known = {"ride_id": "R1", "event_type": "x", "city": "Miami"}
     parsed = B.parse_rescued(messages(spark, json.dumps(known), json.dumps(known | {"tip": 2.5, "app": {"v": [1, 2]}, "note": None}), "{bad", "[]", None))
