@@ -20,9 +20,17 @@ from curbside.streaming.pipeline import _start, _stream_id
 LATE_PARTITIONS = ("event_date",)
 
 
-def first_arrivals(records: DataFrame, delay: str, time_fallback: Column | None = None) -> DataFrame:
-    """Cleaned records with a watermark, without repeats of a key. Records behind the watermark are dropped."""
-    return clean(records, time_fallback).withWatermark("event_ts", delay).dropDuplicatesWithinWatermark(list(S.SILVER_KEYS))
+def first_arrivals(records: DataFrame, delay: str, time_fallback: Column | None = None, event_type: str | None = None) -> DataFrame:
+    """Cleaned records with a watermark, without repeats of a key. Records behind the watermark are dropped.
+
+    All records move the watermark; with ``event_type`` only those of one type are kept and remembered.
+    """
+    marked = clean(records, time_fallback).withWatermark("event_ts", delay)
+    if event_type is not None:
+        # Always true, but not deterministic: Spark would move the filter below the watermark, where other types would not count.
+        always = F.rand(0) + 1 >= 1
+        marked = marked.filter((F.col("event_type") == event_type) == always)
+    return marked.dropDuplicatesWithinWatermark(list(S.SILVER_KEYS))
 
 
 def closed_city_metrics(records: DataFrame, time_fallback: Column | None = None) -> DataFrame:
@@ -42,8 +50,8 @@ def demand_with_supply(demand: DataFrame, supply: DataFrame, time_fallback: Colu
     Both sides carry a watermark. A window without supply is written, with no active drivers, once
     the watermarks of both sides have passed it; a NULL city has no supply.
     """
-    asked = gold.demand_counts(gold.usable(first_arrivals(demand, S.SURGE_WATERMARK, time_fallback)))
-    active = gold.supply_counts(gold.usable(first_arrivals(supply, S.SURGE_WATERMARK, time_fallback)))
+    asked = gold.demand_counts(gold.usable(first_arrivals(demand, S.SURGE_WATERMARK, time_fallback, S.REQUESTED)))
+    active = gold.supply_counts(gold.usable(first_arrivals(supply, S.SURGE_WATERMARK, time_fallback, S.ASSIGNED)))
     return asked.join(active, ["win", "city"], "left").select(
         "win", "city", "ride_requests", "avg_surge_multiplier", F.coalesce("drivers_active", F.lit(0).cast("long")).alias("drivers_active"))
 

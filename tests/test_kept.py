@@ -12,6 +12,7 @@ from curbside.sources.streams import read_event_stream
 from curbside.operators import bronze as B
 from curbside.streaming import pipeline as P
 from curbside.streaming import kept as K
+from curbside.streaming import windows as W
 from curbside.streaming.kept import apply_images, read_kept
 from helpers import frame, messages, silver, ts
 
@@ -145,3 +146,23 @@ def test_kept_streams_run_nothing_for_single_keys(spark, tmp_path, name):
     query = P.start_gold(records, f"{root}/gold", f"{root}/cp", name=None, trigger=ONCE, tables=(name,))
     query.awaitTermination()
     assert [p["stateOperators"] for p in query.recentProgress if p["numInputRows"]] == [[]]
+
+
+def test_only_one_type_is_remembered_and_all_move_the_watermark(spark, tmp_path):
+    """The demand of a stream keeps the keys of requests only; a late trip end still closes their windows."""
+    root = str(tmp_path)
+
+    def batch(i, *events):
+        bodies = [json.dumps({"ride_id": f"R{i}{n}", "event_type": kind, "city": "Miami", "driver_id": "D", "rider_id": "P", "trip_distance": 2.0,
+                              "fare_amount": 10.0, "surge_multiplier": 1.0, "timestamp": f"2024-01-15T{at}.000000+00:00"}) for n, (kind, at) in enumerate(events)]
+        messages(spark, *bodies, start=10 * i).coalesce(1).write.parquet(f"{root}/in/b={i}")
+
+    batch(0, ("ride_requested", "10:00:10"), ("driver_assigned", "10:00:20"), ("trip_started", "10:00:30"))
+    batch(1, ("trip_completed", "10:30:00"))
+    records = B.accepted(B.parse_events(read_event_stream(spark, "parquet", path=f"{root}/in", max_files_per_trigger=1), F.col("timestamp")))
+    query = P.start_aggregate(W.demand_with_supply(records, records), f"{root}/out", f"{root}/cp", None, ONCE)
+    query.awaitTermination()
+    got = spark.read.parquet(f"{root}/out").collect()
+    assert [(r.ride_requests, r.drivers_active) for r in got] == [(1, 1)]
+    kept = max(sum(s["numRowsTotal"] for s in p["stateOperators"] if s["operatorName"] == "dedupeWithinWatermark") for p in query.recentProgress)
+    assert kept == 2
