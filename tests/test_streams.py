@@ -204,6 +204,14 @@ def test_health_counts_the_rows_and_knows_every_outcome(spark, data):
     assert {r.batch_id for r in parts.filter("stalled").collect()} == {6, 8} and {r.batch_id for r in parts.filter("stopped").collect()} == {9}
 
 
+def test_batches_run_adaptively(spark, tmp_path):
+    """Without it a batch that is written by day and city has one task for each pair, however large."""
+    seen, before = [], spark.conf.get("spark.sql.adaptive.enabled")
+    stream = stream_of(spark, tmp_path, silver(spark, {}))
+    P._start(stream, lambda batch, _: seen.append(batch.sparkSession.conf.get("spark.sql.adaptive.enabled")), str(tmp_path / "cp"), None, ONCE).awaitTermination()
+    assert seen == ["true"] and spark.conf.get("spark.sql.adaptive.enabled") == before
+
+
 def test_kafka_options():
     plain = kafka_options("host:1", group="g")
     assert plain["startingOffsets"] == "earliest" and plain["maxOffsetsPerTrigger"] == "50000"
