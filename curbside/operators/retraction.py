@@ -40,9 +40,11 @@ class Partials:
 
     def added(self, before: DataFrame, more: DataFrame) -> DataFrame:
         """The sum of two sets of partials; what is fully withdrawn is left out."""
-        names = list(self.measures())
-        sums = before.unionByName(more).groupBy(HOUR, "win", *self.keys).agg(*(F.sum(x).alias(x) for x in names))
-        return sums.filter(" OR ".join(f"{x} <> 0" for x in names))
+        return self.left(before.unionByName(more).groupBy(HOUR, "win", *self.keys).agg(*(F.sum(x).alias(x) for x in self.measures())))
+
+    def left(self, sums: DataFrame) -> DataFrame:
+        """Without the partials that are fully withdrawn."""
+        return sums.filter(" OR ".join(f"{x} <> 0" for x in self.measures()))
 
     def aggregate(self, partials: DataFrame) -> DataFrame:
         """The aggregate's rows, with their hour."""

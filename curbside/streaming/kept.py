@@ -9,6 +9,7 @@ before it and writes its own, so one that is replayed after a failure gives the
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -44,13 +45,10 @@ def newest_changes(cleaned: DataFrame, root: str, batch_id: int) -> DataFrame:
     fresh = deduplicate(cleaned.select(*RECORD.names)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         history = read_newest(spark, root, batch_id)
-        before = deduplicate(history.join(fresh.select(*S.SILVER_KEYS), list(S.SILVER_KEYS), "left_semi"))
-        pairs = _packed(fresh, "after").join(_packed(before, "before"), list(S.SILVER_KEYS), "left").filter(
-            F.col("before").isNull() | (_place("after") > _place("before")))
-        both = F.array(*(F.struct(F.lit(sign).alias(SIGN), F.col(x).alias("r")) for sign, x in ((-1, "before"), (1, "after"))))
-        pairs.select(F.inline(both)).filter("r IS NOT NULL").select(SIGN, "r.*").write.mode("overwrite").parquet(_batch(root, "images", batch_id))
+        _images(fresh, history).write.mode("overwrite").parquet(_batch(root, "images", batch_id))
         if (batch_id + 1) % SPAN == 0:
-            deduplicate(history.unionByName(_read_images(spark, root, [batch_id]))).write.mode("overwrite").parquet(_batch(root, "newest", batch_id))
+            own = _read_images(spark, root, [batch_id])
+            deduplicate(history.unionByName(own) if history else own).write.mode("overwrite").parquet(_batch(root, "newest", batch_id))
         if batch_id % SPAN == 0:
             for x in range(batch_id - SPAN, batch_id):
                 remove(spark, _batch(root, "images", x))
@@ -60,6 +58,17 @@ def newest_changes(cleaned: DataFrame, root: str, batch_id: int) -> DataFrame:
     return spark.read.schema(SIGNED).parquet(_batch(root, "images", batch_id)).select(SIGN, *IMAGE.names)
 
 
+def _images(fresh: DataFrame, history: DataFrame | None) -> DataFrame:
+    """A first batch has nothing to look its records up in."""
+    if history is None:
+        return fresh.select(F.lit(1).alias(SIGN), "*")
+    before = deduplicate(history.join(fresh.select(*S.SILVER_KEYS), list(S.SILVER_KEYS), "left_semi"))
+    pairs = _packed(fresh, "after").join(_packed(before, "before"), list(S.SILVER_KEYS), "left").filter(
+        F.col("before").isNull() | (_place("after") > _place("before")))
+    both = F.array(*(F.struct(F.lit(sign).alias(SIGN), F.col(x).alias("r")) for sign, x in ((-1, "before"), (1, "after"))))
+    return pairs.select(F.inline(both)).filter("r IS NOT NULL").select(SIGN, "r.*")
+
+
 def _packed(records: DataFrame, name: str) -> DataFrame:
     return records.select(*S.SILVER_KEYS, F.struct(*RECORD.names).alias(name))
 
@@ -68,29 +77,30 @@ def _place(name: str) -> Column:
     return F.struct(*(F.col(name)[x] for x in NEWEST_FIRST))
 
 
-def read_newest(spark: SparkSession, root: str, batch_id: int) -> DataFrame:
-    """The records that counted at some time since the last full set before a batch; the newest of a key counts now."""
+def read_newest(spark: SparkSession, root: str, batch_id: int) -> DataFrame | None:
+    """The records that counted at some time since the last full set before a batch; the newest of a key counts now.
+
+    None before the first batch.
+    """
     first = batch_id - batch_id % SPAN
-    full = [_batch(root, "newest", first - 1)] if first else []
-    records = _read_images(spark, root, range(first, batch_id))
-    return records.unionByName(spark.read.schema(RECORD).parquet(*full)) if full else records
+    found = [spark.read.schema(RECORD).parquet(_batch(root, "newest", first - 1))] if first else []
+    if batch_id > first:
+        found.append(_read_images(spark, root, range(first, batch_id)))
+    return reduce(DataFrame.unionByName, found) if found else None
 
 
 def _read_images(spark: SparkSession, root: str, batches: Iterable[int]) -> DataFrame:
     paths = [_batch(root, "images", x) for x in batches]
-    if not paths:
-        return spark.createDataFrame([], RECORD)
     return spark.read.schema(SIGNED).parquet(*paths).filter(F.col(SIGN) > 0).select(*RECORD.names)
 
 
 def apply_images(images: DataFrame, root: str, batch_id: int, tables: Sequence[str] = tuple(KEPT)) -> None:
-    """Adds a batch of images to the stored partials and writes the aggregates of the touched hours anew."""
-    images = images.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        for table in tables:
-            _apply(images, f"{root}/{table}", f"{root}/_partials/{table}", batch_id, KEPT[table])
-    finally:
-        images.unpersist()
+    """Adds a batch of images to the stored partials and writes the aggregates of the touched hours anew.
+
+    Images are read once for each table: pass stored or persisted ones.
+    """
+    for table in tables:
+        _apply(images, f"{root}/{table}", f"{root}/_partials/{table}", batch_id, KEPT[table])
 
 
 def _apply(images: DataFrame, path: str, partials_path: str, batch_id: int, kept: Partials) -> None:
@@ -99,9 +109,10 @@ def _apply(images: DataFrame, path: str, partials_path: str, batch_id: int, kept
     try:
         touched = hours_of(more)
         versions = read_versions(spark, partials_path, batch_id - 1)
-        before = read_partials(spark, partials_path, more, versions.filter(F.col(HOUR).isin(touched) & F.col("filled")).collect())
+        earlier = versions.filter(F.col(HOUR).isin(touched) & F.col("filled")).collect()
+        sums = kept.added(read_partials(spark, partials_path, more, earlier), more) if earlier else kept.left(more)
         target = _batch(partials_path, "rows", batch_id)
-        kept.added(before, more).hint("rebalance", HOUR).write.mode("overwrite").option(
+        sums.hint("rebalance", HOUR).write.mode("overwrite").option(
             "partitionOverwriteMode", "static").partitionBy(HOUR).parquet(target)
         now = spark.read.schema(more.schema).parquet(target)
         filled = hours_of(now)
@@ -147,8 +158,6 @@ def read_versions(spark: SparkSession, partials_path: str, batch_id: int) -> Dat
 
 def read_partials(spark: SparkSession, partials_path: str, like: DataFrame, versions: Sequence[Row]) -> DataFrame:
     """The partials of some hours. Only their folders are listed and read."""
-    if not versions:
-        return like.limit(0)
     paths = [f"{_batch(partials_path, 'rows', r.batch_id)}/{HOUR}={r.hour}" for r in versions]
     return spark.read.schema(like.schema).option("basePath", f"{partials_path}/rows").parquet(*paths).select(*like.columns)
 

@@ -1,5 +1,6 @@
 """Aggregates kept up by retraction, windows closed in streams, and late rows."""
 
+import dataclasses
 import json
 import os
 
@@ -86,6 +87,28 @@ def test_a_batch_reads_only_the_hours_it_touches(spark, tmp_path):
     assert shown(read_kept(spark, root, "city_ride_metrics")) == expected(spark, "city_ride_metrics", B1, C, event(1, "D", "10:01:00"))
 
 
+@pytest.mark.parametrize("name", sorted(KEPT))
+def test_partials_of_a_batch_are_worked_out_once(spark, tmp_path, monkeypatch, name):
+    """Those of a first batch were worked out again when they were written."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(parts):
+        for part in parts:
+            seen.add(part.num_rows)
+            yield part
+
+    plain = KEPT[name].of_images
+    noting = dataclasses.replace(KEPT[name])
+    object.__setattr__(noting, "of_images", lambda images: (lambda more: more.mapInArrow(counted, more.schema))(plain(images)))
+    monkeypatch.setitem(K.KEPT, name, noting)
+    kinds = ("ride_requested", "driver_assigned") if name == "surge_pricing" else ("trip_completed", "trip_completed")
+    rows = [(1, row | {"event_type": kind, "driver_id": d}) for (_, row), kind, d in zip((A, B1), kinds, ("D1", "D2"))]
+    more = plain(images(spark, *rows)).count()
+    for batch in range(2):
+        apply_images(images(spark, *rows), str(tmp_path), batch, [name])
+        assert seen.value == more * (batch + 1)
+
+
 def test_gold_follows_late_corrections(spark, tmp_path):
     """A newer record moves a ride to another day; an older one that arrives later changes nothing."""
     root = str(tmp_path)
