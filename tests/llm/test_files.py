@@ -16,6 +16,7 @@ import corpus_pipeline
 import __spark_entry__ as contract
 from curbside.llm import token_files as H
 from curbside.llm import warc
+from curbside.llm.decontamination import SEEDS
 from curbside.llm.packing import best_cuts, pack_documents
 from curbside.llm.lines import line_dedup
 from curbside.llm.near_copies import near_copies
@@ -395,6 +396,18 @@ def test_stages_on_odd_rows(spark, data):
     assert sorted(clean, key=repr) == sorted((x for x in rows if x != rows[7]), key=repr)
 
 
+def test_pipeline_drops_texts_whose_item_has_only_common_seeds(spark, tmp_path):
+    """Each seed of an item occurs in nine items with smaller ids, none of which overlaps enough with the text."""
+    words, items = [f"w{i}" for i in range(10)], []
+    for offsets in SEEDS:
+        for place in range(3):
+            at = {place + x for x in offsets}
+            items += [(len(items) + n, " ".join(w if i in at else f"d{len(items)}x{n}x{i}" for i, w in enumerate(words))) for n in range(9)]
+    spark.createDataFrame([*items, (1000, " ".join(words))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = spark.createDataFrame([(1, "some text " + " ".join(words) + " and more"), (2, "a text of its own")], "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.not_in_benchmark(spark, docs, str(tmp_path)).collect()] == [2]
+
+
 def test_registered():
     names = contract.queries()
     assert {n for n in names if n.startswith("op")} == {
