@@ -1,8 +1,8 @@
 """Stored aggregates that each micro-batch changes in the hours that it touches.
 
 Below ``root`` lie, for each aggregate, its rows by day and hour, and the partials that they follow
-from. Partials are kept in versions, one folder for each batch with the hours it touched, and the
-table of versions names for every hour the batch whose partials hold. A batch reads the versions
+from: sums, and members as ``rows``. Partials are kept in versions, one folder for each batch with the hours
+it touched, and the table of versions names for every hour the batch whose partials hold. A batch reads the versions
 before it and writes its own, so one that is replayed after a failure gives the same again.
 """
 
@@ -32,6 +32,7 @@ SIGNED = T.StructType([T.StructField(SIGN, T.IntegerType()), *RECORD])
 #: Batches after which all newest records are written as one set.
 SPAN = 10
 VERSIONS = "hour string, batch_id long, filled boolean"
+MEMBERS, SUMS = "rows", "sums"
 
 
 def newest_changes(cleaned: DataFrame, root: str, batch_id: int) -> DataFrame:
@@ -42,9 +43,11 @@ def newest_changes(cleaned: DataFrame, root: str, batch_id: int) -> DataFrame:
     in those before it and writes its own, so one that is replayed after a failure gives the same again.
     """
     spark = cleaned.sparkSession
-    fresh = deduplicate(cleaned.select(*RECORD.names)).persist(StorageLevel.MEMORY_AND_DISK)
+    history = read_newest(spark, root, batch_id)
+    fresh = deduplicate(cleaned.select(*RECORD.names))
+    if history is not None:
+        fresh.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        history = read_newest(spark, root, batch_id)
         _images(fresh, history).write.mode("overwrite").parquet(_batch(root, "images", batch_id))
         if (batch_id + 1) % SPAN == 0:
             own = _read_images(spark, root, [batch_id])
@@ -97,7 +100,7 @@ def _read_images(spark: SparkSession, root: str, batches: Iterable[int]) -> Data
 def apply_images(images: DataFrame, root: str, batch_id: int, tables: Sequence[str] = tuple(KEPT)) -> None:
     """Adds a batch of images to the stored partials and writes the aggregates of the touched hours anew.
 
-    Images are read once for each table: pass stored or persisted ones.
+    Images are read twice for each table: pass stored or persisted ones.
     """
     for table in tables:
         _apply(images, f"{root}/{table}", f"{root}/_partials/{table}", batch_id, KEPT[table])
@@ -105,24 +108,25 @@ def apply_images(images: DataFrame, root: str, batch_id: int, tables: Sequence[s
 
 def _apply(images: DataFrame, path: str, partials_path: str, batch_id: int, kept: Partials) -> None:
     spark = images.sparkSession
-    more = kept.of_images(images).persist(StorageLevel.MEMORY_AND_DISK)
+    more, members = kept.of_images(images).persist(StorageLevel.MEMORY_AND_DISK), kept.members_of(images)
     try:
         touched = hours_of(more)
         versions = read_versions(spark, partials_path, batch_id - 1)
         earlier = versions.filter(F.col(HOUR).isin(touched) & F.col("filled")).collect()
-        sums = kept.added(read_partials(spark, partials_path, more, earlier), more) if earlier else kept.left(more)
-        target = _batch(partials_path, "rows", batch_id)
-        sums.hint("rebalance", HOUR).write.mode("overwrite").option(
-            "partitionOverwriteMode", "static").partitionBy(HOUR).parquet(target)
-        now = spark.read.schema(more.schema).parquet(target)
-        filled = hours_of(now)
-        rows = kept.aggregate(now).persist(StorageLevel.MEMORY_AND_DISK)
+        sums = kept.added(read_partials(spark, partials_path, SUMS, more, earlier), more) if earlier else more
+        if earlier:
+            members = members.unionByName(read_partials(spark, partials_path, MEMBERS, members, earlier))
+        all_sums = _stored(sums.hint("rebalance", HOUR), _batch(partials_path, SUMS, batch_id))
+        # Members are shuffled once: each task writes the hours that it has.
+        all_members = _stored(kept.members_left(members), _batch(partials_path, MEMBERS, batch_id))
+        filled = hours_of(all_members)
+        rows = kept.aggregate(all_sums, all_members).persist(StorageLevel.MEMORY_AND_DISK)
         rows.hint("rebalance", "window_start_date", HOUR).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "window_start_date", HOUR).parquet(path)
         for hour in set(touched).difference(hours_of(rows)):
             remove(spark, f"{path}/window_start_date={hour[:10]}/{HOUR}={hour}")
         rows.unpersist()
-        own = spark.createDataFrame([(x, batch_id, x in filled) for x in touched], VERSIONS)
+        own = more.select(HOUR, F.lit(batch_id).cast("long").alias("batch_id"), F.col(HOUR).isin(filled).alias("filled")).distinct()
         versions.filter(~F.col(HOUR).isin(touched)).unionAll(own).coalesce(1).write.mode("overwrite").parquet(
             _batch(partials_path, "versions", batch_id))
         remove_replaced(spark, partials_path, batch_id)
@@ -130,13 +134,19 @@ def _apply(images: DataFrame, path: str, partials_path: str, batch_id: int, kept
         more.unpersist()
 
 
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(HOUR).parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def remove_replaced(spark: SparkSession, partials_path: str, batch_id: int) -> None:
     """Removes what the batch before this one replaced: a replay of this one reads what that one left."""
     if batch_id < 2:
         return
     older, newer = ({(r.hour, r.batch_id) for r in read_versions(spark, partials_path, x).collect()} for x in (batch_id - 2, batch_id - 1))
     for hour, batch in older - newer:
-        remove(spark, f"{_batch(partials_path, 'rows', batch)}/{HOUR}={hour}")
+        for part in (MEMBERS, SUMS):
+            remove(spark, f"{_batch(partials_path, part, batch)}/{HOUR}={hour}")
     remove(spark, _batch(partials_path, "versions", batch_id - 3))
 
 
@@ -152,14 +162,15 @@ def _batch(path: str, part: str, batch_id: int) -> str:
 def read_versions(spark: SparkSession, partials_path: str, batch_id: int) -> DataFrame:
     """(hour, batch_id, filled) as a batch left it: as many rows as there are hours."""
     if batch_id < 0:
-        return spark.createDataFrame([], VERSIONS)
+        return spark.range(0).selectExpr("cast(NULL AS string) AS hour", "id AS batch_id", "false AS filled")
     return spark.read.schema(VERSIONS).parquet(_batch(partials_path, "versions", batch_id))
 
 
-def read_partials(spark: SparkSession, partials_path: str, like: DataFrame, versions: Sequence[Row]) -> DataFrame:
-    """The partials of some hours. Only their folders are listed and read."""
-    paths = [f"{_batch(partials_path, 'rows', r.batch_id)}/{HOUR}={r.hour}" for r in versions]
-    return spark.read.schema(like.schema).option("basePath", f"{partials_path}/rows").parquet(*paths).select(*like.columns)
+def read_partials(spark: SparkSession, partials_path: str, part: str, like: DataFrame, versions: Sequence[Row]) -> DataFrame:
+    """The sums or members of some hours. Only their folders are listed and read."""
+    paths = [f"{_batch(partials_path, part, r.batch_id)}/{HOUR}={r.hour}" for r in versions]
+    schema = T.StructType([*(f for f in like.schema if f.name != HOUR), T.StructField(HOUR, T.StringType())])
+    return spark.read.schema(schema).option("basePath", f"{partials_path}/{part}").parquet(*paths).select(*like.columns)
 
 
 def read_kept(spark: SparkSession, root: str, table: str) -> DataFrame:

@@ -87,6 +87,23 @@ def test_a_batch_reads_only_the_hours_it_touches(spark, tmp_path):
     assert shown(read_kept(spark, root, "city_ride_metrics")) == expected(spark, "city_ride_metrics", B1, C, event(1, "D", "10:01:00"))
 
 
+@pytest.mark.parametrize("name", sorted(KEPT))
+def test_sums_are_kept_by_window_and_key_and_members_are_shuffled_once(spark, tmp_path, name):
+    """Every ride and fare had all the sums, which were shuffled, written and added up with it."""
+    root, kept = str(tmp_path), KEPT[name]
+    kind = "driver_assigned" if name == "surge_pricing" else "trip_completed"
+    rows = [event(1, ride, "10:00:10", event_type=kind, fare_amount=fare) for ride in "ABC" for fare in (5.0, 6.0)]
+    for batch in range(2):
+        apply_images(images(spark, *rows), root, batch, [name])
+    sums, members = (spark.read.parquet(f"{root}/_partials/{name}/{part}/batch_id=1") for part in ("sums", "rows"))
+    assert sums.count() == sums.select("win", *kept.keys).distinct().count()
+    assert not set(members.columns) & (set(kept.measures()) - set(kept.counts()))
+    before = members.select(*kept.members_of(images(spark, *rows)).columns)
+    plan = kept.members_left(before.unionByName(kept.members_of(images(spark, *rows))))._jdf.queryExecution().sparkPlan().toString()
+    assert "RebalancePartitions" not in plan and "Repartition" not in plan
+    assert shown(read_kept(spark, root, name)) == expected(spark, name, *rows, *rows)
+
+
 @pytest.mark.parametrize("name", sorted(KEPT))
 def test_partials_of_a_batch_are_worked_out_once(spark, tmp_path, monkeypatch, name):
     """Those of a first batch were worked out again when they were written."""
