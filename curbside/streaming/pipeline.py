@@ -17,7 +17,7 @@ from curbside.operators.quality import quality_counts
 from curbside.operators.silver import clean, deduplicate, to_silver
 from curbside.operators.retraction import KEPT
 from curbside.sources.sinks import log_run, write_batch
-from curbside.streaming.kept import apply_images, newest_changes
+from curbside.streaming.kept import RECORD, apply_images, newest_changes
 
 log = logging.getLogger(__name__)
 
@@ -109,7 +109,8 @@ def start_gold(bronze: DataFrame, root: str, checkpoint: str, name: str | None =
     def write(batch: DataFrame, batch_id: int) -> None:
         apply_images(newest_changes(batch, f"{root}/_newest", batch_id), root, batch_id, tables)
 
-    return _start(clean(bronze, time_fallback), write, checkpoint, name, trigger)
+    # A batch is handed over as rows, of which Spark computes every column of the stream.
+    return _start(clean(bronze, time_fallback).select(*RECORD.names), write, checkpoint, name, trigger)
 
 
 def start_aggregate(aggregate: DataFrame, path: str, checkpoint: str, name: str | None,

@@ -212,6 +212,22 @@ def test_batches_run_adaptively(spark, tmp_path):
     assert seen == ["true"] and spark.conf.get("spark.sql.adaptive.enabled") == before
 
 
+def test_batches_hold_only_what_they_write(spark, tmp_path, monkeypatch):
+    """The raw text of every message was read from bronze, or made anew, and handed over with each batch."""
+    root, seen = str(tmp_path), []
+    for step in ("newest_changes",):
+        def noting(batch, *more, real=getattr(P, step)):
+            seen.append(set(batch.columns))
+            return real(batch, *more)
+        monkeypatch.setattr(P, step, noting)
+    body = {"ride_id": "R1", "event_type": "driver_assigned", "city": "Miami", "driver_id": "D"}
+    bronze = B.accepted(B.parse_events(messages(spark, json.dumps(body)), F.col("timestamp")))
+    bronze.write.parquet(f"{root}/bronze")
+    P.start_gold(read_bronze_stream(spark, f"{root}/bronze"), f"{root}/gold", f"{root}/cp_g", name=None, trigger=ONCE,
+                 tables=("surge_pricing",)).awaitTermination()
+    assert len(seen) == 1 and not any(x & {"raw_value", "raw_key", "event_timestamp"} for x in seen)
+
+
 def test_kafka_options():
     plain = kafka_options("host:1", group="g")
     assert plain["startingOffsets"] == "earliest" and plain["maxOffsetsPerTrigger"] == "50000"
