@@ -14,8 +14,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from curbside import settings as S
 from curbside.operators.bronze import accepted, has_required_fields, parse_events, rejected
 from curbside.operators.quality import quality_counts
-from curbside.operators.silver import clean, deduplicate, to_silver
+from curbside.operators.silver import NEWEST_FIRST, clean, deduplicate, to_silver
 from curbside.operators.retraction import KEPT
+from curbside.schemas import SILVER
 from curbside.sources.sinks import log_run, write_batch
 from curbside.streaming.kept import RECORD, apply_images, newest_changes
 
@@ -79,7 +80,8 @@ def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str,
                  time_fallback: Column | None = None, audit_path: str | None = None) -> StreamingQuery:
     """Clean each batch, keep its newest record per key and append it; ``read_silver`` gives the newest of all.
 
-    A replayed batch replaces what it wrote before.
+    A replayed batch replaces what it wrote before. Only what silver needs is read: a batch is handed over
+    as rows, of which Spark computes every column of the stream.
     """
 
     def append(batch: DataFrame, batch_id: int) -> None:
@@ -93,7 +95,7 @@ def start_silver(bronze: DataFrame, silver_path: str, checkpoint: str,
             log_run(batch.sparkSession, audit_path, layer="silver", batch_id=batch_id, rows_in=valid + flagged, rows_out=valid + flagged,
                     duration_sec=time.time() - started)
 
-    cleaned = clean(bronze, time_fallback).observe(
+    cleaned = clean(bronze, time_fallback).select(*SILVER.names, *(x for x in NEWEST_FIRST if x not in SILVER.names)).observe(
         "silver", F.count("*").alias("rows_in"), F.count_if(~F.col("has_data_quality_issue")).alias("rows_good"))
     return _start(cleaned, append, checkpoint, name, trigger)
 

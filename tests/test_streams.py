@@ -215,7 +215,7 @@ def test_batches_run_adaptively(spark, tmp_path):
 def test_batches_hold_only_what_they_write(spark, tmp_path, monkeypatch):
     """The raw text of every message was read from bronze, or made anew, and handed over with each batch."""
     root, seen = str(tmp_path), []
-    for step in ("newest_changes",):
+    for step in ("deduplicate", "newest_changes"):
         def noting(batch, *more, real=getattr(P, step)):
             seen.append(set(batch.columns))
             return real(batch, *more)
@@ -223,9 +223,11 @@ def test_batches_hold_only_what_they_write(spark, tmp_path, monkeypatch):
     body = {"ride_id": "R1", "event_type": "driver_assigned", "city": "Miami", "driver_id": "D"}
     bronze = B.accepted(B.parse_events(messages(spark, json.dumps(body)), F.col("timestamp")))
     bronze.write.parquet(f"{root}/bronze")
+    P.start_silver(read_bronze_stream(spark, f"{root}/bronze"), f"{root}/silver", f"{root}/cp_s", name=None, trigger=ONCE).awaitTermination()
     P.start_gold(read_bronze_stream(spark, f"{root}/bronze"), f"{root}/gold", f"{root}/cp_g", name=None, trigger=ONCE,
                  tables=("surge_pricing",)).awaitTermination()
-    assert len(seen) == 1 and not any(x & {"raw_value", "raw_key", "event_timestamp"} for x in seen)
+    assert len(seen) == 2 and not any(x & {"raw_value", "raw_key", "event_timestamp"} for x in seen)
+    assert read_silver(spark, f"{root}/silver").first().ride_id == "R1"
 
 
 def test_kafka_options():
