@@ -36,6 +36,8 @@ CROWDED = 4 << 20
 DEEP_TREES = 45
 #: Rows whose sets are compared at once.
 AT_ONCE = 256
+#: Bytes of texts whose sets are worked out at once.
+SETS_BLOCK = 2 << 20
 #: Partners that a document is compared with in one task.
 PARTNERS = 256
 
@@ -78,7 +80,7 @@ def signature(shingles: np.ndarray, first: int = 0, trees: int = TREES) -> bytes
 
 def set_rows(words: int) -> Callable:
     def describe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
+        for block in blocks(batches, limit=SETS_BLOCK):
             sets = shingle_sets(texts_of(block), words)
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc"), block.column("row"), pa.array([len(x) for x in sets], pa.int64()),
@@ -177,7 +179,7 @@ def linked(percent: int, words: int) -> Callable:
 
     def confirm(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hub, own = None, np.empty(0, np.uint64)
-        for block in blocks(batches):
+        for block in blocks(batches, limit=SETS_BLOCK):
             sets = shingle_sets(texts_of(block), words)
             pairs = []
             columns = (block.column(x).to_pylist() for x in ("a", "a_row", "b"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -9,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbside.session import reach_workers, remove, shared_folder
+from curbside.session import reach_workers, remove, shared_folder, small_batches
 
 #: Bytes of text that a task holds at once; a longer single text is held alone.
 BLOCK_BYTES = 8 << 20
@@ -17,6 +18,7 @@ BLOCK_BYTES = 8 << 20
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reach_workers(spark)
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -82,12 +84,24 @@ def blocks(batches: Iterable[pa.RecordBatch], column: str = "text",
         for at, length in enumerate(lengths):
             if size and size + length > limit:
                 held.append(batch.slice(start, at - start))
-                yield joined(held)
-                held, size, start = [], 0, at
+                whole, held = joined(held), []
+                yield whole
+                size, start, whole = 0, at, None
+                give_back()
             size += length
         held.append(batch.slice(start))
     if any(x.num_rows for x in held):
         yield joined(held)
+    held = []
+    give_back()
+
+
+def give_back() -> None:
+    """Returns free memory to the system: a worker lives on beside the JVM and the next tasks' workers."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def joined(held: list[pa.RecordBatch]) -> pa.RecordBatch:

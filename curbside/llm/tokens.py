@@ -6,6 +6,7 @@ import json
 import os
 import unicodedata
 from functools import lru_cache
+from itertools import pairwise
 
 import numpy as np
 import regex
@@ -17,6 +18,8 @@ from curbside.llm.words import span_hashes, word_spans
 WORDS, PIECES = 1_500_000, 200_000
 #: Bytes of text to encode at once: the larger, the fewer words are new.
 ENCODED_BYTES = 8 << 20
+#: Bytes of these whose words are looked up at once: arrays of words take some ten times as much.
+AT_ONCE = 2 << 20
 
 # The set-up under which texts may be encoded word by word.
 WORD_NORMALIZER = ["NFC", ("Replace", r"\s+", " "), "Lowercase"]
@@ -83,6 +86,13 @@ class Encoder:
             found = [np.array(x.ids, np.uint32) for x in self.whole.encode_batch_fast(
                 [x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)]
             return np.concatenate([np.empty(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
+        sizes = np.cumsum([len(x) for x in texts])
+        cuts = [0, *(np.flatnonzero(np.diff(sizes // AT_ONCE)) + 1).tolist(), len(texts)]
+        ids, counts = zip(*(self.looked_up(texts[a:b]) for a, b in pairwise(cuts)))
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def looked_up(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """``encode`` of some texts by their words."""
         whole, starts, ends, bounds = word_spans(texts)
         hashes, first, of = np.unique(span_hashes(whole, starts, ends), return_index=True, return_inverse=True)
         place = self.places(hashes, whole, starts[first], ends[first])

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -210,13 +211,17 @@ def scorer(weights: dict[str, float], bias: float):
             for i in np.flatnonzero(new).tolist():
                 if found := tuple({number[x] for x in stems_of(words[i]) if x in number}):
                     known[int(hashes[i])] = found
-            seen = hashes if len(seen) > WORDS else np.concatenate([seen, hashes[new]])
             marked = np.isin(hashes, np.fromiter(known, np.uint64, len(known)))
+            if len(seen) > WORDS:
+                seen, known = hashes, {h: known[h] for h in hashes[marked].tolist()}
+            else:
+                seen = np.concatenate([seen, hashes[new]])
             at = np.flatnonzero(marked[of])
-            pairs = {(t, f) for t, h in zip(text[at].tolist(), hashes[of[at]].tolist()) for f in known[h]}
+            cuts = np.searchsorted(text[at], np.arange(len(texts) + 1)).tolist()
             sums = np.full(len(texts), bias)
-            for t, f in sorted(pairs):
-                sums[t] += weight[f]
+            for t, (a, b) in enumerate(pairwise(cuts)):
+                for f in sorted({f for h in set(hashes[of[at[a:b]]].tolist()) for f in known[h]}):
+                    sums[t] += weight[f]
             yield block.append_column("score", pa.array(1 / (1 + np.exp(-np.clip(sums, -30, 30)))))
 
     return score

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import SparkSession
 
 STATE_STORE = "spark.sql.streaming.stateStore."
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+#: Bytes of rows that a Python worker gets at once.
+BATCH = "4m"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -59,6 +62,15 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Batches for Python are cut by bytes, unless the session's owner has set a number of their own.
+
+    Else a batch is 10,000 rows or 64 MB, whatever the texts; executor and worker hold it several times.
+    """
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, BATCH)
+
+
 def reach_workers(spark: SparkSession) -> None:
     """Lets Python workers that share the driver's files import this package.
 

@@ -3,9 +3,11 @@
 import hashlib
 import math
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -26,6 +28,8 @@ from curbside.llm.suffixes import suffix_dedup
 from curbside.llm.tokens import Encoder, default_path
 from curbside.llm import toxicity as toxicity_module
 from curbside.llm.toxicity import fitted, posterior, stems_of, toxicity, train, with_scores
+from curbside.llm.words import word_hashes
+from curbside.session import ARROW_BYTES
 
 SCHEMA = "doc_id long, text string, doc long, row string, score double"
 ODD_TEXTS = ["Straße ΑΣ ΣΑ İstanbul", "don't we'll ''s x's .'s", "<|endoftext|>a b<|startoftext|>  x", "", " \t\n", "à́ ́b ﬁ Ａ",
@@ -293,6 +297,55 @@ def test_the_sample_bounds_rows(spark):
     assert [x.count() for x in seen] == [30, 400]
 
 
+def test_python_gets_rows_by_the_megabyte(spark, data):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"rows": [batch.num_rows], "bytes": [batch.nbytes]})
+
+    def found():
+        table(spark, data, "documents")
+        rows = spark.range(400, numPartitions=1).select(F.repeat(F.lit("text "), 10_000).alias("text"))
+        return rows.mapInArrow(sizes, "rows long, bytes long").collect()
+
+    mine = spark.conf.get(ARROW_BYTES, None)
+    try:
+        spark.conf.unset(ARROW_BYTES)
+        assert sum(r["rows"] for r in found()) == 400 and max(r["bytes"] for r in found()) < 5 << 20
+        spark.conf.set(ARROW_BYTES, "1m")  # its owner's number stays
+        assert max(r["bytes"] for r in found()) < 2 << 20
+    finally:
+        spark.conf.unset(ARROW_BYTES)
+        if mine is not None:
+            spark.conf.set(ARROW_BYTES, mine)
+
+
+def test_scores_and_ids_take_little_memory(codes, monkeypatch):
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(20_000)]
+    texts = [" ".join(rng.choices(words, k=500)) for _ in range(1600)]
+    score = toxicity_module.scorer({x[:4]: 0.01 * i for i, x in enumerate(dict.fromkeys(words[:300]))}, -1.0)
+    batch = pa.RecordBatch.from_pydict({"text": texts})
+    size = sum(map(len, texts))
+    want = [codes.encode([x.encode()])[0].tolist() for x in texts[:50]]  # words are known from here on
+    codes.encode([x.encode() for x in texts])
+    tracemalloc.start()
+    try:
+        word_hashes([x.encode() for x in texts])
+        hashed = tracemalloc.get_traced_memory()[1]
+        tracemalloc.reset_peak()
+        ids, counts = codes.encode([x.encode() for x in texts])
+        encoded = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert hashed < 10 * size and encoded < 11 * size
+    assert ids[:counts[:50].sum()].tolist() == [i for x in want for i in x]
+    # Words that are forgotten and looked up again count as before.
+    scores = [x for out in score([batch]) for x in out.column("score").to_pylist()]
+    monkeypatch.setattr(toxicity_module, "WORDS", 1)
+    monkeypatch.setattr(toxicity_module, "SCORED_BLOCK", 1 << 14)
+    assert scores == [x for out in score([batch]) for x in out.column("score").to_pylist()] and len(set(scores)) > 1
+
+
 def plain_posterior(votes, q, rounds=12):
     """The same model, one text and voter after the other."""
     n, m = len(votes), len(votes[0])
